@@ -156,6 +156,9 @@ def utm_inverse(x, y, epsg) -> Column:
     return F.struct(lon.alias("lon"), F.degrees(lat).alias("lat"))
 
 
+_SNAP = 1e-6  # pixels; an edge this close to a grid line counts as on it
+
+
 def _bounds(points: list[Column], ax: str, ay: str) -> dict[str, Column]:
     xs, ys = [p[ax] for p in points], [p[ay] for p in points]
     return {"min_x": F.least(*xs), "min_y": F.least(*ys), "max_x": F.greatest(*xs), "max_y": F.greatest(*ys)}
@@ -166,22 +169,24 @@ def event_grid(west, south, east, north, res: float) -> Column:
     west, south, east, north = map(_col, (west, south, east, north))
     epsg = utm_epsg((west + east) / 2.0, (south + north) / 2.0)
     box = _bounds([utm_forward(x, y, epsg) for x in (west, east) for y in (south, north)], "x", "y")
-    left, right = F.floor(box["min_x"] / res), F.ceil(box["max_x"] / res)
-    bottom, top = F.floor(box["min_y"] / res), F.ceil(box["max_y"] / res)
+    down = lambda v: F.floor(v / res + _SNAP)
+    up = lambda v: F.ceil(v / res - _SNAP)
+    left, right, bottom, top = down(box["min_x"]), up(box["max_x"]), down(box["min_y"]), up(box["max_y"])
     return F.struct(
         epsg.alias("epsg"), (left * res).alias("x0"), (top * res).alias("y0"),
         (top - bottom).cast("long").alias("n_rows"), (right - left).cast("long").alias("n_cols"),
     )
 
 
-def chip_footprint(x0, y0, row, col, size: int, res: float, epsg, digits: int = 6) -> Column:
-    """Lon/lat bounds of a pixel window, over its four corners."""
+def chip_footprint(x0, y0, row, col, size: int, res: float, epsg, digits: int | None = 6) -> Column:
+    """Lon/lat bounds of a pixel window, over its four corners (unrounded when ``digits`` is None)."""
     x0, y0, row, col, epsg = map(_col, (x0, y0, row, col, epsg))
     left, top = x0 + col * res, y0 - row * res
     corners = [utm_inverse(x, y, epsg) for x in (left, left + size * res) for y in (top, top - size * res)]
     box = _bounds(corners, "lon", "lat")
     names = {"min_lon": "min_x", "min_lat": "min_y", "max_lon": "max_x", "max_lat": "max_y"}
-    return F.struct(*[F.bround(box[src], digits).alias(dst) for dst, src in names.items()])
+    tidy = (lambda v: v) if digits is None else (lambda v: F.bround(v, digits))
+    return F.struct(*[tidy(box[src]).alias(dst) for dst, src in names.items()])
 
 
 def pixel_area_km2(xres, yres) -> Column:

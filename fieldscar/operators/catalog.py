@@ -91,8 +91,8 @@ def visit_order(df: DataFrame, shuffle: Callable[..., Column]) -> DataFrame:
     continents = _queues(sizes, [], "continent", shuffle).select(
         "continent", F.col("idx").alias("_ci"), F.col("queues").alias("_cq"))
     placed = stratum_rank(df).join(years, ["continent", "year"]).join(continents, "continent")
-    placed = placed.withColumn("pos", round_robin_position(F.col("stratum_rank"), F.col("_yq"), F.col("_yi")))
-    placed = placed.withColumn("visit", round_robin_position(F.col("pos"), F.col("_cq"), F.col("_ci")))
+    placed = placed.withColumn("turn", round_robin_position(F.col("stratum_rank"), F.col("_yq"), F.col("_yi")))
+    placed = placed.withColumn("visit", round_robin_position(F.col("turn"), F.col("_cq"), F.col("_ci")))
     return first_per_group(placed.drop("_yi", "_yq", "_ci", "_cq"), ["event_id"], [F.col("visit")])
 
 
