@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import cut_lineage
 
@@ -49,7 +50,7 @@ def connected_components(cells: DataFrame, by: list[str], diagonal: bool = False
     """
     home = cells.select(*by, F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c")).select(
         "*", F.floor(F.col("r") / block).alias("_br"), F.floor(F.col("c") / block).alias("_bc"))
-    schema = home.schema.add("_local", "long")
+    schema = StructType([*home.schema.fields, StructField("_local", LongType())])
 
     def label(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf.assign(_local=_label_block(pdf["r"].to_numpy(), pdf["c"].to_numpy(), diagonal))

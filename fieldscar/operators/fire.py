@@ -48,19 +48,21 @@ def verify_patches(patches: DataFrame, footprint: DataFrame, observations: DataF
                    place: list[str], pad_days: int = VERIFY_PAD_DAYS) -> DataFrame:
     """Sensor agreement inside each patch within its burn days +- ``pad_days``.
 
-    ``footprint``: key..., place... (the cells of a patch); ``observations``: place..., sensor
-    ('modis' | 'viirs' | 'fire'), day, value. Cells without any observation count as 0.
+    ``footprint``: key..., place... (the cells of a patch; columns may be in both lists);
+    ``observations``: place..., sensor ('modis' | 'viirs' | 'fire'), day, value. Cells without any
+    observation count as 0.
     """
+    both = list(dict.fromkeys([*key, *place]))
     window = patches.select(*key, F.date_sub("day_min", pad_days).alias("_from"),
                             F.date_add("day_max", pad_days).alias("_to"))
-    spots = footprint.select(*key, *place).join(window, key)
+    spots = footprint.select(*both).join(window, key)
     peaks = (
         spots.join(observations, place)
         .filter((F.col("day") >= F.col("_from")) & (F.col("day") < F.col("_to")))
-        .groupBy(*key, *place).agg(*[
+        .groupBy(*both).agg(*[
             F.max(F.when(F.col("sensor") == s, F.col("value"))).alias(s) for s in ("modis", "viirs", "fire")])
     )
-    filled = spots.join(peaks, [*key, *place], "left")
+    filled = spots.join(peaks, both, "left")
     return filled.groupBy(*key).agg(
         F.avg(unmask_zero(burn_present("modis").cast("int"))).alias("modis_frac"),
         F.avg(unmask_zero(burn_present("viirs").cast("int"))).alias("viirs_frac"),

@@ -80,9 +80,9 @@ def run_counters(outcomes: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(ok, F.col("n_chips"))), F.lit(0)).alias("chips_written"))
 
 
-def mean_flooded_share(chips: DataFrame) -> DataFrame:
+def mean_flooded_share(chips: DataFrame, digits: int = 4) -> DataFrame:
     return chips.groupBy("event_id").agg(
-        F.count("*").alias("n_chips"), F.bround(F.avg("flooded_crop_frac"), 4).alias("mean_flooded_crop_frac"))
+        F.count("*").alias("n_chips"), F.bround(F.avg("flooded_crop_frac"), digits).alias("mean_flooded_crop_frac"))
 
 
 def scenes_per_day(scenes: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "joins", "aggregates", "windows", "sets", "rasters", "stages", "images", "tables", "composites")
+MODULES = ("scalars", "joins", "aggregates", "windows", "sets", "rasters", "images", "tables", "composites")
 
 
 def load_all() -> None:

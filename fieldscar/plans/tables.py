@@ -1 +1,255 @@
-"""Queries."""
+"""Sources S1 to S13, sinks K1 to K13 and pluggable functions X1, X2."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..functions import spectral as B
+from ..operators import catalog, labels, raster, release
+from ..sources import catalogues as S, sinks as K
+from .aggregates import flood_label_cells
+from .joins import MASTER_SQL, batched_chips, batched_events, scene_boxes
+from .registry import query
+from .scalars import BOXES_SQL, _DATE_TEXT, _NUMBER_TEXT
+from .sets import NO_FLOOD, no_flood
+from .windows import SHARD_SQL, flood_tiles, screen, with_continent
+
+
+def _text(column: str):
+    return F.col(column).cast("string").alias(column)
+
+
+@query("s1_news_floods", f"""SELECT 'GS' || SUBSTRING(md5(CAST(ev AS STRING)), 1, 12) AS event_id, year, area_km2_reported, CAST(date_end AS STRING) AS date_end, bbox_n,
+  {BOXES_SQL.replace('lon', '((bbox_w + bbox_e) / 2)').replace('lat', '((bbox_s + bbox_n) / 2)')} AS continent
+  FROM fx_floods WHERE year BETWEEN 1996 AND 2000 AND area_km2_reported BETWEEN 10 AND 2000""")
+def _(t):
+    raw = t.flood_shapes.select(
+        F.md5(F.col("ev").cast("string").cast("binary")).alias("uuid"), F.col("area_km2_reported").alias("area_km2"),
+        F.col("date_start").cast("string").alias("start_date"), F.col("date_end").cast("string").alias("end_date"), "rings")
+    return S.news_floods(raw, 1990, 1996, 2000).select(
+        "event_id", "year", "area_km2_reported", _text("date_end"), "bbox_n", "continent")
+
+
+@query("s2_archive_floods", f"""SELECT 'DFO' || CAST(ev AS STRING) AS event_id, CAST(b AS STRING) AS date_start, CAST(COALESCE(e, b) AS STRING) AS date_end,
+  sev AS magnitude, area AS area_km2_reported, CASE WHEN ev % 2 = 0 THEN 'GL-' || CAST(ev AS STRING) END AS glide, 'DFO Severity ' || st || CASE WHEN ev % 3 = 0 THEN '; north' ELSE '' END AS notes
+  FROM (SELECT ev, TRY_CAST(SUBSTRING({_DATE_TEXT}, 1, 10) AS DATE) AS b, CASE WHEN n_indep > 1 THEN date_end END AS e,
+    CASE n_indep WHEN 0 THEN '1' WHEN 1 THEN '1.5' WHEN 2 THEN '2' ELSE 'high' END AS st, TRY_CAST(CASE n_indep WHEN 0 THEN '1' WHEN 1 THEN '1.5' WHEN 2 THEN '2' ELSE 'high' END AS DOUBLE) AS sev,
+    TRY_CAST(REPLACE({_NUMBER_TEXT}, ',', '') AS DOUBLE) AS area FROM fx_floods) WHERE b IS NOT NULL AND YEAR(b) BETWEEN 1996 AND 2000 AND sev >= 1.5""")
+def _(t):
+    severity = F.element_at(F.array(*[F.lit(x) for x in ("1", "1.5", "2", "high")]), F.col("n_indep") + 1)
+    raw = t.flood_shapes.select(
+        F.col("ev").cast("double").alias("ReportNumber"), F.expr(_DATE_TEXT).alias("BeginDate"),
+        F.when(F.col("n_indep") > 1, F.col("date_end").cast("string")).otherwise("open").alias("EndDate"), severity.alias("Severity"),
+        F.lit("X").alias("Country"), F.lit("rain").alias("MainCause"),
+        F.when(F.col("ev") % 2 == 0, F.concat(F.lit("GL-"), F.col("ev").cast("string"))).otherwise("").alias("GlideNumber"),
+        F.expr(_NUMBER_TEXT).alias("Area"), F.when(F.col("ev") % 3 == 0, "north").alias("SubdivisionName"), "rings")
+    return S.archive_floods(raw, 1996, 2000).select(
+        "event_id", _text("date_start"), _text("date_end"), "magnitude", "area_km2_reported", "glide", "notes")
+
+
+@query("s3_activations", """SELECT 'EMSR' || CAST(pt AS STRING) AS code, CASE WHEN pt % 5 > 0 THEN CAST(DATE '1995-01-01' + day_no AS STRING) END AS date,
+  CASE WHEN pt % 2 = 0 THEN 'A;B' ELSE '' END AS countries, lon, lat FROM fx_points WHERE pt % 7 > 0""")
+def _(t):
+    day = F.date_add(F.lit("1995-01-01").cast("date"), F.col("day_no")).cast("string")
+    point = F.concat(F.lit("POINT ("), F.col("lon").cast("string"), F.lit(" "), F.col("lat").cast("string"), F.lit(")"))
+    text = F.to_json(F.struct(
+        F.concat(F.lit("EMSR"), F.col("pt").cast("string")).alias("code"),
+        F.when(F.col("pt") % 5 > 0, F.concat(day, F.lit("T10:00:00"))).otherwise("soon").alias("eventTime"),
+        F.when(F.col("pt") % 7 > 0, point).otherwise("POINT EMPTY").alias("centroid"),
+        F.when(F.col("pt") % 2 == 0, F.array(F.lit("A"), F.lit("B"))).alias("countries")))
+    docs, _bad = S.parse_documents(t.points.select(text.alias("value")), S.ACTIVATION_SCHEMA)
+    return S.activations(docs).withColumn("date", F.col("date").cast("string"))
+
+
+@query("s4_relief_events", """SELECT id, CAST(date AS STRING) AS date, CASE WHEN id % 3 = 0 THEN iso3 || ';ZZZ' WHEN id % 3 = 1 THEN iso3 ELSE '' END AS iso3,
+  'flood ' || CAST(id AS STRING) AS name FROM fx_relief""")
+def _(t):
+    code = lambda c: F.struct(c.alias("iso3"))
+    none = F.lit(None).cast("string")
+    countries = (
+        F.when(F.col("id") % 3 == 0, F.array(code(F.col("iso3")), code(F.lit("ZZZ"))))
+        .when(F.col("id") % 3 == 1, F.array(code(F.lit("")), code(F.col("iso3")))).otherwise(F.array(code(none))))
+    raw = t.relief.select(
+        "id", F.concat(F.col("date").cast("string"), F.lit("T00:00:00Z")).alias("disaster_start_date"),
+        countries.alias("countries"), F.concat(F.lit("flood "), F.col("id").cast("string")).alias("name"))
+    return S.relief_events(raw).withColumn("date", F.col("date").cast("string"))
+
+
+@query("s5_manifest_rows", """SELECT event_id, CAST(YEAR(COALESCE(CASE WHEN n_indep > 0 THEN date_end END, date_start)) AS INT) AS year, bbox_w AS west, bbox_n AS north FROM fx_floods""")
+def _(t):
+    m = S.manifest_rows(t.floods.withColumn("event_date_start", F.when(F.col("n_indep") > 0, F.col("date_end"))))
+    return m.select("event_id", "year", F.get("bbox", F.lit(0)).alias("west"), F.get("bbox", F.lit(3)).alias("north"))
+
+
+@query("s6_sidecar_documents", """SELECT event_id, CASE WHEN event_id % 10 > 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k, event_id % 10 = 0 AS bad FROM events""")
+def _(t):
+    broken = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{"), F.col("props"))).otherwise(F.col("props"))
+    good, bad = S.parse_documents(t.events.select("event_id", broken.alias("value")), "k long")
+    return good.select("event_id", "k", F.lit(False).alias("bad")).unionByName(
+        bad.select("event_id", F.lit(None).cast("long").alias("k"), F.lit(True).alias("bad")))
+
+
+@query("s7_chip_list", "SELECT event_id AS chip_id FROM fx_floods ORDER BY event_id LIMIT 250")
+def _(t):
+    return S.chip_list(t.floods.select(F.col("event_id").alias("chip_id")), limit=250)
+
+
+@query("s8_scene_search", """SELECT scene_id FROM fx_scenes WHERE lon - 1 <= 40 AND lon + 1 >= -10 AND lat - 1 <= 50 AND lat + 1 >= 10
+  AND acq >= DATE '1996-03-01' AND acq < DATE '1998-09-02'""")
+def _(t):
+    return S.search_scenes(scene_boxes(t), (-10.0, 10.0, 40.0, 50.0), "1996-03-01", "1998-09-01").select("scene_id")
+
+
+@query("s9_solar_day_stack", """SELECT ev, r, c, CAST(day AS INT) AS day, MIN_BY(extent, day_no) FILTER (extent IS NOT NULL) AS value FROM (
+  SELECT *, day_no - day_no % 3 AS day FROM fx_stack) GROUP BY ALL""")
+def _(t):
+    stack = t.stack.withColumns({"day": F.col("day_no") - F.col("day_no") % 3, "value": F.col("extent")})
+    return raster.fuse_solar_day(stack, ["ev", "day"], "day_no")
+
+
+@query("s10_thematic_scan", """SELECT ev, r, c, flood FROM fx_cells WHERE day >= DATE '2024-01-02' AND day < DATE '2024-01-20'""")
+def _(t):
+    return S.in_days(t.cells, "2024-01-02", "2024-01-20").select("ev", "r", "c", "flood")
+
+
+@query("s11_ledger_scan", "SELECT DISTINCT c_mktsegment AS event_id FROM customer UNION SELECT c_name FROM customer")
+def _(t):
+    padded = lambda c: F.concat(F.lit("  "), F.col(c), F.lit(" ")).alias("value")
+    lines = t.customer.select(padded("c_mktsegment")).unionByName(t.customer.select(padded("c_name"))).unionByName(
+        t.customer.select(F.lit("   ").alias("value")))
+    return S.ledger_ids(lines)
+
+
+@query("s12_exclusion_list", """SELECT 'GS' || CAST(o_orderkey AS STRING) || '_r0512_c1024' AS chip_id, 'GS' || CAST(o_orderkey AS STRING) AS event_id,
+  'Flooded' AS hazard, 'missing_required:s2_pre,s2_post' AS reason FROM orders""")
+def _(t):
+    ev = F.concat(F.lit("GS"), F.col("o_orderkey").cast("string"))
+    line = F.concat(ev, F.lit("_r0512_c1024,"), ev, F.lit(',Flooded,"missing_required:s2_pre,s2_post"'))
+    return S.exclusion_rows(t.orders.select(line.alias("value")))
+
+
+@query("s13_batch_discovery", """SELECT CAST(l_linenumber * 3 AS INT) AS batch_no, 'b' || LPAD(CAST(l_linenumber * 3 AS STRING), 2, '0') AS batch, COUNT(*) AS n FROM lineitem GROUP BY ALL""")
+def _(t):
+    name = F.concat(F.lit("batch_"), (F.col("l_linenumber") * 3).cast("string"))
+    rows = t.lineitem.select(name.alias("batch_name")).unionByName(t.orders.select(F.lit("batch_notes").alias("batch_name")))
+    return S.batch_folders(rows).groupBy("batch_no", "batch").agg(F.count("*").alias("n"))
+
+
+@query("k1_manifest_text", """SELECT event_id, source, tier, CAST(date_start AS STRING) AS date_start, CAST(year AS STRING) AS year, '' AS country, '' AS glide,
+  CASE WHEN passed THEN CAST(n_indep AS STRING) ELSE '' END AS n_indep, CAST(28 AS INT) AS n_columns FROM fx_floods""")
+def _(t):
+    rows = t.floods.withColumn("n_indep", F.when(F.col("passed"), F.col("n_indep")))
+    text = K.manifest_text(rows)
+    return text.select("event_id", "source", "tier", "date_start", "year", "country", "glide", "n_indep",
+                       F.lit(len(text.columns)).alias("n_columns"))
+
+
+@query("k2_geojson_features", """SELECT event_id, '{"type":"Feature","geometry":{"type":"Polygon","coordinates":[[[' || w || ',' || s || '],[' || e || ',' || s || '],[' || e || ',' || n ||
+  '],[' || w || ',' || n || '],[' || w || ',' || s || ']]]},"properties":{"event_id":"' || event_id || '","source":"' || source || '","n_indep":' || ni || '}}' AS feature
+  FROM (SELECT event_id, source, CAST(CAST(FLOOR(bbox_w * 100) AS BIGINT) AS STRING) AS w, CAST(CAST(FLOOR(bbox_s * 100) AS BIGINT) AS STRING) AS s,
+  CAST(CAST(FLOOR(bbox_e * 100) AS BIGINT) AS STRING) AS e, CAST(CAST(FLOOR(bbox_n * 100) AS BIGINT) AS STRING) AS n,
+  CASE WHEN n_indep > 0 THEN CAST(n_indep AS STRING) ELSE 'null' END AS ni FROM fx_floods)""")
+def _(t):
+    whole = {f"bbox_{k}": F.floor(F.col(f"bbox_{k}") * 100) for k in "wsen"}
+    rows = t.floods.withColumns(whole).withColumn("n_indep", F.when(F.col("n_indep") > 0, F.col("n_indep")))
+    return K.features(rows, ["event_id", "source", "n_indep"])
+
+
+@query("k3_run_report", f"""SELECT 'by_continent' AS section, {BOXES_SQL} AS name, COUNT(*) AS n FROM fx_floods GROUP BY 2
+  UNION ALL SELECT 'by_year', CAST(year AS STRING), COUNT(*) FROM fx_floods GROUP BY year
+  UNION ALL SELECT 'counters', 'events_processed', COUNT(*) FILTER (NOT err AND NOT skip) FROM (SELECT ev % 11 = 0 AS err, ev % 7 = 0 AS skip FROM fx_floods)
+  UNION ALL SELECT 'counters', 'failures', COUNT(*) FROM fx_floods WHERE ev % 11 = 0 UNION ALL SELECT 'counters', 'skipped_existing', COUNT(*) FROM fx_floods WHERE ev % 7 = 0
+  UNION ALL SELECT 'counters', 'scenes_downloaded', CAST(COALESCE(SUM(n_indep) FILTER (ev % 11 > 0 AND ev % 7 > 0), 0) AS BIGINT) FROM fx_floods
+  UNION ALL SELECT 'counters', 'chips_written', COUNT(*) FILTER (ev % 11 > 0 AND ev % 7 > 0) FROM fx_floods""")
+def _(t):
+    events = with_continent(t.floods)
+    outcomes = events.select(
+        "event_id", F.when(F.col("ev") % 11 == 0, "TimeoutError").alias("error"), F.col("n_indep").alias("n_scenes"),
+        F.lit(1).alias("n_chips"), (F.col("ev") % 7 == 0).alias("skipped"))
+    return K.report_rows(release.run_counters(outcomes), release.event_counts(events))
+
+
+@query("k4_chip_list", """SELECT 'E' || CAST(ev AS STRING) AS event_id, CAST(row AS INT) AS row, flooded_crop_px, cropland_frac, CAST(NULL AS STRING) AS tier, CAST(13 AS INT) AS n_columns FROM (
+  SELECT ev, r - r % 10 AS row, c - c % 10 AS col, COUNT(*) FILTER (label = 1) AS flooded_crop_px,
+  round_even(COUNT(*) FILTER (label IN (1, 2, 3)) / CAST(COUNT(*) FILTER (label <> 255) AS DOUBLE), 4) AS cropland_frac FROM fx_label GROUP BY ALL)""")
+def _(t):
+    tiles = labels.publish_shares(flood_tiles(t)).withColumns({
+        "event_id": F.concat(F.lit("E"), F.col("ev").cast("string")), "chip_id": F.col("row").cast("string")})
+    rows = K.chip_rows(tiles)
+    return rows.select("event_id", F.col("chip_id").cast("int").alias("row"), "flooded_crop_px", "cropland_frac", "tier",
+                       F.lit(len(rows.columns)).alias("n_columns"))
+
+
+@query("k5_imagery_lines", """SELECT chip_id, '{"chip_id":"' || chip_id || '","flood_start":"' || d || '","flood_end":"' || d || '","imagery":{' ||
+  STRING_AGG('"' || raster || '":{"vec":' || CAST(vec_id AS STRING) || '}', ',' ORDER BY raster) || '}}' AS line FROM (
+  SELECT 'c' || LPAD(CAST(chip_no AS STRING), 5, '0') AS chip_id, raster, vec_id, CAST(DATE '2020-01-01' + CAST(chip_no AS INT) AS STRING) AS d FROM fx_slots) GROUP BY chip_id, d""")
+def _(t):
+    no = F.substring("chip_id", 2, 5).cast("int")
+    day = F.date_add(F.lit("2020-01-01").cast("date"), no).cast("string")
+    keys = t.tiles.select("chip_id", "raster")
+    order = {"s2_pre": 0, "s2_post": 1, "s1_pre": 2, "s1_post": 3}
+    rank = F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), F.col("raster"))
+    slot = no * 4 + rank
+    vec = (slot - F.floor(slot / 10)).cast("long")
+    scenes = keys.select("chip_id", day.alias("flood_start"), day.alias("flood_end"), "raster", F.struct(vec.alias("vec")).alias("scene"))
+    return K.imagery_lines(scenes)
+
+
+@query("k6_sidecar_documents", """SELECT 'C' || CAST(ev AS STRING) AS chip_id, '{"chip_id":"C' || CAST(ev AS STRING) || '","event_id":"' || event_id || '","tier":"' || tier ||
+  '","n_independent":' || CAST(1 + n_indep % 2 AS STRING) || ',"s1_pre":' || CASE WHEN passed THEN '{"pass":"ASCENDING"}' ELSE 'null' END || '}' AS document FROM fx_floods""")
+def _(t):
+    from ..functions.text import flood_provenance
+    p = flood_provenance("source", "tier", F.col("n_indep") % 2, F.lit("no"), F.lit("no"), F.lit(None))
+    chip = F.concat(F.lit("C"), F.col("ev").cast("string"))
+    rows = t.floods.withColumn("chip_id", chip)
+    body = F.struct("chip_id", "event_id", "tier", p["n_independent"].alias("n_independent"),
+                    F.when(F.col("passed"), F.struct(F.lit("ASCENDING").alias("pass"))).alias("s1_pre"))
+    return K.documents(rows, body).select("chip_id", "document")
+
+
+@query("k7_flood_series", """SELECT ev, STRFTIME(DATE '2022-08-01' + CAST(day_no AS INT), '%Y%m%d') AS overpass_day, COUNT(*) FILTER (extent > 0) AS flood_px,
+  COUNT(extent) AS valid_px, round_even(COUNT(*) FILTER (extent > 0) * 0.0004::DOUBLE, 3) AS flood_km2 FROM fx_stack GROUP BY ev, day_no""")
+def _(t):
+    day = F.date_add(F.lit("2022-08-01").cast("date"), F.col("day_no"))
+    return K.series_rows(raster.flood_series(t.stack.withColumn("day", day), ["ev"], 0.0004))
+
+
+@query("k10_release_merge", f"SELECT m.event_id, m.n_chips, COUNT(c.event_id) AS merged FROM ({MASTER_SQL}) m LEFT JOIN (SELECT 'E' || CAST(l_orderkey AS STRING) AS event_id, "
+       "l_linenumber AS batch_no FROM lineitem WHERE l_quantity > 25) c ON c.event_id = m.event_id AND c.batch_no = m.batch_no GROUP BY ALL")
+def _(t):
+    master = release.master_events(batched_events(t), batched_chips(t))
+    chips = batched_chips(t).groupBy("event_id", "batch_no").agg(F.count("*").alias("merged"))
+    return master.join(chips, ["event_id", "batch_no"], "left").select(
+        "event_id", "n_chips", F.coalesce("merged", F.lit(0)).alias("merged"))
+
+
+@query("k11_shard_writer", f"SELECT event_id, shard, batch FROM ({SHARD_SQL}) WHERE batch NOT IN (SELECT DISTINCT CAST(l_linenumber AS BIGINT) FROM lineitem)")
+def _(t):
+    existing = t.lineitem.select(F.col("l_linenumber").cast("long").alias("batch"))
+    return K.fresh_batches(catalog.shard(t.floods, 400, 4), existing).select("event_id", "shard", "batch")
+
+
+@query("k12_label_bytes", """SELECT ev, r, c, CAST(label AS SMALLINT) AS label, CAST(COALESCE(flood, 255) AS SMALLINT) AS damage,
+  CAST(CASE WHEN flood IS NOT NULL THEN excl ELSE 255 END AS SMALLINT) AS exclusion, CAST(crop AS SMALLINT) AS crop, CAST(255 AS SMALLINT) AS severity FROM fx_label""")
+def _(t):
+    cells = flood_label_cells(t).withColumns({"damage": F.col("flood"), "severity": F.lit(None).cast("int")})
+    return K.label_bytes(cells)
+
+
+@query("k13_ledger_append", f"SELECT event_id FROM fx_floods WHERE passed AND n_indep % 2 = 1 AND event_id NOT IN ({NO_FLOOD}) ORDER BY 1")
+def _(t):
+    return K.new_ids(screen(t).filter("outcome = 'no_flood'"), no_flood(t))
+
+
+@query("x1_pluggable_screen", """SELECT event_id, COALESCE(passed AND n_indep % 2 = 0, false) AS passed,
+  CASE WHEN NOT passed THEN 'error' WHEN n_indep % 2 = 0 THEN 'pass' ELSE 'no_flood' END AS outcome FROM fx_floods""")
+def _(t):
+    return catalog.screen_with(t.floods, lambda _: screen(t))
+
+
+@query("x2_scene_closures", """SELECT px, cs >= 0.60 AND NOT ((b3 - b11) / (b3 + b11) > 0.42 AND b8 > 1100) AS clear,
+  CASE WHEN b8a + b4 <> 0 THEN (b8a - b4) / (b8a + b4) END AS ndvi, CAST(ABS(px % 60 - 30) AS BIGINT) AS gap FROM fx_bands""")
+def _(t):
+    return t.bands.select("px", B.is_clear("cs", "b3", "b11", "b8").alias("clear"),
+                          B.normalized_difference("b8a", "b4").alias("ndvi"), F.abs(F.col("px") % 60 - 30).alias("gap"))

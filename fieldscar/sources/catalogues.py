@@ -139,15 +139,19 @@ def search_scenes(scenes: DataFrame, box: tuple, first: str, last: str) -> DataF
     w, s, e, n = box
     return scenes.filter(
         (F.col("bbox_w") <= e) & (F.col("bbox_e") >= w) & (F.col("bbox_s") <= n) & (F.col("bbox_n") >= s)
-        & (F.col("acq") >= F.to_timestamp_ntz(F.lit(first))) & (F.col("acq") < F.to_timestamp_ntz(F.date_add(F.lit(last), 1).cast("string"))))
+        & (F.col("acq") >= F.lit(first).cast("date")) & (F.col("acq") < F.date_add(F.lit(last).cast("date"), 1)))
 
 
 def read_cells(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Raster cells partitioned by event; the half-open day range prunes partitions or row groups."""
-    cells = spark.read.parquet(path)
+    return in_days(spark.read.parquet(path), first, last)
+
+
+def in_days(cells: DataFrame, first: str | None = None, last: str | None = None, day: str = "day") -> DataFrame:
+    """Rows of the half-open day range [first, last)."""
     if first is not None:
-        cells = cells.filter(F.col("day") >= F.lit(first).cast("date"))
-    return cells if last is None else cells.filter(F.col("day") < F.lit(last).cast("date"))
+        cells = cells.filter(F.col(day) >= F.lit(first).cast("date"))
+    return cells if last is None else cells.filter(F.col(day) < F.lit(last).cast("date"))
 
 
 def ledger_ids(lines: DataFrame) -> DataFrame:
@@ -158,8 +162,16 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return ledger_ids(spark.read.text(path))
 
 
+EXCLUSION_SCHEMA = "chip_id string, event_id string, hazard string, reason string"
+
+
 def read_exclusions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("chip_id string, event_id string, hazard string, reason string").option("header", True).csv(path)
+    return spark.read.schema(EXCLUSION_SCHEMA).option("header", True).csv(path)
+
+
+def exclusion_rows(lines: DataFrame) -> DataFrame:
+    """Exclusion entries from CSV text lines."""
+    return lines.select(F.from_csv("value", EXCLUSION_SCHEMA).alias("x")).select("x.*").filter("chip_id <> 'chip_id'")
 
 
 def batch_folders(events: DataFrame) -> DataFrame:

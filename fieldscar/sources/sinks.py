@@ -41,6 +41,30 @@ def write_chip_lists(chips: DataFrame, json_path: str, csv_path: str) -> None:
     chip_rows(chips).write.mode("overwrite").option("header", True).csv(csv_path)
 
 
+def imagery_lines(scenes: DataFrame) -> DataFrame:
+    """One provenance line per chip: its window and the scene behind every image it got.
+
+    ``scenes``: chip_id, flood_start, flood_end, raster, scene (struct).
+    """
+    per = scenes.groupBy("chip_id", "flood_start", "flood_end").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("raster", "scene")))).alias("imagery"))
+    return per.select("chip_id", F.to_json(F.struct("chip_id", "flood_start", "flood_end", "imagery")).alias("line"))
+
+
+def write_imagery(scenes: DataFrame, path: str) -> None:
+    imagery_lines(scenes).select("line").write.mode("overwrite").text(path)
+
+
+def report_rows(counters: DataFrame, counts: DataFrame) -> DataFrame:
+    """Run counters and event counts as (section, name, n). ``counts``: continent, year, n."""
+    entries = F.array(*[F.struct(F.lit("counters").alias("section"), F.lit(c).alias("name"), F.col(c).alias("n"))
+                        for c in counters.columns])
+    grouped = counts.select(
+        F.when(F.col("continent").isNotNull(), "by_continent").otherwise("by_year").alias("section"),
+        F.coalesce("continent", F.col("year").cast("string")).alias("name"), "n")
+    return counters.select(F.inline(entries)).unionByName(grouped)
+
+
 def write_report(tables: dict[str, DataFrame], path: str) -> None:
     for name, df in tables.items():
         df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
@@ -55,9 +79,13 @@ def write_sidecars(sidecars: DataFrame, path: str) -> None:
     sidecars.write.mode("overwrite").partitionBy("event_id").option("ignoreNullFields", False).json(path)
 
 
+def series_rows(series: DataFrame) -> DataFrame:
+    days = series.withColumn("overpass_day", F.date_format("day", "yyyyMMdd"))
+    return days.select("ev", "overpass_day", "flood_px", "valid_px", "flood_km2")
+
+
 def write_series(series: DataFrame, path: str) -> None:
-    rows = series.withColumn("overpass_day", F.date_format("day", "yyyyMMdd"))
-    rows.select("ev", "overpass_day", "flood_px", "valid_px", "flood_km2").write.mode("overwrite").partitionBy(
+    series_rows(series).write.mode("overwrite").partitionBy(
         "ev").option("header", True).csv(path)
 
 
@@ -98,10 +126,15 @@ def append_ledger(ids: DataFrame, ledger: DataFrame, path: str) -> int:
     return added
 
 
+def fresh_batches(events: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows of batches that do not exist yet; existing ones are left as they are."""
+    return events.join(existing.select("batch").distinct(), "batch", "left_anti")
+
+
 def write_batches(events: DataFrame, path: str, existing: DataFrame | None = None) -> None:
-    """One folder per batch; batches that exist already are left as they are."""
+    """One folder per new batch."""
     if existing is not None:
-        events = events.join(existing.select("batch").distinct(), "batch", "left_anti")
+        events = fresh_batches(events, existing)
     events.write.mode("append").partitionBy("batch").parquet(path)
 
 
