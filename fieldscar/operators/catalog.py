@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import tier_rank
 from ..schemas import CANDIDATE_COLUMNS
+from ..session import cut_lineage
 from .ranking import first_per_group, ranked, round_robin_position, top_per_group
 
 CLUSTER_KM, CLUSTER_DAYS = 60.0, 15
@@ -100,9 +101,11 @@ def sample_and_screen(ordered: DataFrame, screened: DataFrame, quota: int) -> tu
     """(kept, log): the first ``quota`` passing rows in visit order, and every visit up to the last.
 
     ``screened``: event_id, passed, outcome and optionally measured columns. A row without a
-    screen result counts as an error: logged, never kept.
+    screen result counts as an error: logged, never kept. The joined visits are written once, so a
+    costly screen does not run again for the log.
     """
-    visits = ordered.join(screened, "event_id", "left").withColumn("outcome", F.coalesce("outcome", F.lit("error")))
+    visits = cut_lineage(
+        ordered.join(screened, "event_id", "left").withColumn("outcome", F.coalesce("outcome", F.lit("error"))))
     kept = visits.filter("passed").orderBy("visit").limit(quota)
     taken, last = kept.agg(F.count("*"), F.max("visit")).first()
     log = visits if taken < quota else visits.filter(F.col("visit") <= last)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .ranking import first_per_group, top_per_group
-from .spatial import day_bucket, day_buckets
+from .ranking import top_per_group
+from .spatial import day_number
 
-SPAN_DAYS = 16
 CANDIDATE_SCENES, MIN_COVERAGE, NATIVE_PIXEL_M2 = 25, 0.60, 400.0
 
 
@@ -20,51 +19,69 @@ def link_scores(scenes: DataFrame, scores: DataFrame) -> DataFrame:
     return scenes.join(scores, "scene_id", "left")
 
 
-def in_window(targets: DataFrame, scenes: DataFrame, place: str = "ev") -> DataFrame:
-    """Scenes of the same place with acq in the half-open [low, high) of each target.
+def best_in_window(targets: DataFrame, scenes: DataFrame, keys: list[str], first: int, last: int,
+                   order: Column, latest: bool = False) -> DataFrame:
+    """Best scene with acq in [target + first, target + last] days, per target row.
 
-    ``targets``: key columns, place, low, high. The day bucket keeps a busy place from becoming
-    one big group on either side.
+    ``targets``: keys..., target, anything; ``scenes``: keys..., acq. ``order`` is a struct that ranks
+    scenes (smallest wins, or largest when ``latest``) and is returned as ``best`` with the number of
+    scenes ``n_scenes``; both NULL / 0 when none.
+
+    Only the best scene of a day and the distinct target days matter, so both sides shrink to one row
+    per place and day before they meet: no pair of target and scene is ever built, and the window of
+    a place holds two rows per day at most, however many events or scenes it has.
     """
-    p = targets.withColumn("bucket", F.explode(day_buckets("low", F.date_sub("high", 1), SPAN_DAYS))).alias("p")
-    q = scenes.withColumn("bucket", day_bucket("acq", SPAN_DAYS)).alias("q")
-    cond = (
-        (F.col(f"p.{place}") == F.col(f"q.{place}")) & (F.col("p.bucket") == F.col("q.bucket"))
-        & (F.col("q.acq") >= F.col("p.low")) & (F.col("q.acq") < F.col("p.high"))
-    )
-    return p.join(q, cond).select(
-        *[f"p.{c}" for c in targets.columns], *[f"q.{c}" for c in scenes.columns if c not in targets.columns])
+    pick = F.max if latest else F.min
+    daily = scenes.groupBy(*keys, "acq").agg(pick(order).alias("best"), F.count("*").alias("n"))
+    asked = targets.select(*keys, F.col("target").alias("acq")).distinct()
+    days = daily.withColumn("_asked", F.lit(False)).unionByName(asked.select(
+        *keys, "acq", F.lit(None).cast(daily.schema["best"].dataType).alias("best"), F.lit(0).cast("long").alias("n"),
+        F.lit(True).alias("_asked")))
+    frame = W.partitionBy(*keys).orderBy(day_number("acq")).rangeBetween(first, last)
+    found = days.withColumns({"best": pick("best").over(frame), "n_scenes": F.sum("n").over(frame)}).filter(
+        "_asked AND best IS NOT NULL").select(*keys, F.col("acq").alias("target"), "best", "n_scenes")
+    return targets.join(found, [*keys, "target"], "left").withColumn("n_scenes", F.coalesce("n_scenes", F.lit(0)))
 
 
 def nearest_radar(targets: DataFrame, scenes: DataFrame, back: int, forward: int, key: str = "event_id") -> DataFrame:
-    """The usable radar scene closest in days to ``target`` in [target - back, target + forward)."""
-    windows = targets.select(key, "ev", "target", F.date_sub("target", back).alias("low"),
-                             F.date_add("target", forward).alias("high"))
-    found = in_window(windows, scenes.filter(radar_usable()))
-    gap = F.abs(F.date_diff("acq", "target"))
-    best = F.min_by(F.struct("scene_id", "acq", gap.alias("gap")), F.struct(gap, F.col("acq"), F.col("scene_id")))
-    return found.groupBy(key).agg(best.alias("s"), F.count("*").alias("n_scenes")).select(
+    """The usable radar scene closest in days to ``target`` in [target - back, target + forward);
+    the earlier one on a tie. Targets without a scene are left out."""
+    usable = scenes.filter(radar_usable())
+    asked = targets.select(key, "ev", "target")
+    by_day = usable.groupBy("ev", "acq").agg(F.min("scene_id").alias("scene_id"))
+    order = F.struct("acq", "scene_id")
+    before = best_in_window(asked, by_day, ["ev"], -back, -1, order, latest=True)
+    after = best_in_window(asked, by_day, ["ev"], 0, max(forward, 1) - 1, order)
+    found = before if forward == 0 else before.unionByName(after)
+    found = found.filter("n_scenes > 0")
+    gap = F.abs(F.date_diff("best.acq", "target"))
+    best = F.min(F.struct(gap.alias("gap"), F.col("best.acq").alias("acq"), F.col("best.scene_id").alias("scene_id")))
+    counts = window_counts(asked, usable, ["ev"], -back, forward - 1)
+    return found.groupBy(key, "ev", "target").agg(best.alias("s")).join(counts, ["ev", "target"]).select(
         key, "s.scene_id", "s.acq", F.col("s.gap").alias("gap_days"), "n_scenes")
 
 
+def window_counts(targets: DataFrame, scenes: DataFrame, keys: list[str], first: int, last: int) -> DataFrame:
+    """Scenes per distinct (keys, target) in [target + first, target + last] days."""
+    asked = targets.select(*keys, "target").distinct()
+    return best_in_window(asked, scenes, keys, first, last, F.struct("acq")).drop("best")
+
+
 def radar_pair(events: DataFrame, scenes: DataFrame, tolerance: int = 30, key: str = "event_id") -> DataFrame:
     """Latest usable scene before the start, then the earliest after the end on the same pass and
     orbit; without a "before" the "after" is free and carries no pass or orbit."""
     usable = scenes.filter(radar_usable())
-    pre = in_window(events.select(key, "ev", F.date_sub("date_start", tolerance).alias("low"),
-                                  F.col("date_start").alias("high")), usable)
-    picked = F.struct("scene_id", "acq", "pass", "rel_orbit")
-    pre = pre.groupBy(key).agg(F.max_by(picked, F.struct("acq", "scene_id")).alias("pre"))
-    after = events.join(pre, key, "left").select(
-        key, "ev", "pre", F.col("date_end").alias("low"), F.date_add("date_end", tolerance).alias("high"))
-    post = in_window(after, usable).filter(
-        F.col("pre").isNull() | ((F.col("pass") == F.col("pre.pass")) & (F.col("rel_orbit") == F.col("pre.rel_orbit"))))
-    post = post.groupBy(key).agg(F.min_by(F.struct("scene_id", "acq"), F.struct("acq", "scene_id")).alias("post"))
-    return after.select(key, "pre").join(post, key, "left").select(
+    pre = best_in_window(
+        events.select(key, "ev", "date_end", F.col("date_start").alias("target")), usable, ["ev"], -tolerance, -1,
+        F.struct("acq", "scene_id", "pass", "rel_orbit"), latest=True,
+    ).select(key, "ev", F.col("date_end").alias("target"), F.col("best").alias("pre"),
+             F.col("best.pass").alias("pass"), F.col("best.rel_orbit").alias("rel_orbit"))
+    order = F.struct("acq", "scene_id")
+    bound = best_in_window(pre.filter("pre IS NOT NULL"), usable, ["ev", "pass", "rel_orbit"], 0, tolerance - 1, order)
+    free = best_in_window(pre.filter("pre IS NULL"), usable, ["ev"], 0, tolerance - 1, order)
+    return bound.unionByName(free).select(
         key, F.col("pre.scene_id").alias("pre_scene"), F.col("pre.acq").alias("pre_date"),
-        F.col("post.scene_id").alias("post_scene"), F.col("post.acq").alias("post_date"),
-        F.when(F.col("post").isNotNull() | F.col("pre").isNotNull(), F.col("pre.pass")).alias("pass"),
-        F.col("pre.rel_orbit").alias("rel_orbit"))
+        F.col("best.scene_id").alias("post_scene"), F.col("best.acq").alias("post_date"), "pass", "rel_orbit")
 
 
 def least_cloudy(found: DataFrame, by: list[str], k: int = CANDIDATE_SCENES) -> DataFrame:
@@ -84,17 +101,18 @@ def covers(valid_px, area_m2) -> Column:
     return F.col(valid_px) >= MIN_COVERAGE * F.col(area_m2) / NATIVE_PIXEL_M2
 
 
-def clearest_scene(scored: DataFrame, by: list[str]) -> DataFrame:
-    """The scene with the largest clear share among those covering the chip (earliest id on ties)."""
-    return first_per_group(
-        scored.filter("covers AND clear_frac IS NOT NULL"), by, [-F.col("clear_frac"), F.col("scene_id")])
+def clearest_in_window(targets: DataFrame, scenes: DataFrame, first: int, last: int) -> DataFrame:
+    """The scene with the largest clear share in the window (smallest id on ties), with the number of
+    scenes behind it. Columns: those of ``targets``, scene_id, clear_frac, n_scenes."""
+    order = F.struct((-F.col("clear_frac")).alias("cloudy"), F.col("scene_id"))
+    found = best_in_window(targets, scenes.filter("clear_frac IS NOT NULL"), ["ev"], first, last, order)
+    return found.filter("n_scenes > 0").select(
+        *targets.columns, "best.scene_id", (-F.col("best.cloudy")).alias("clear_frac"), "n_scenes")
 
 
-def nominal_scene(found: DataFrame, by: list[str]) -> DataFrame:
-    """Best scene by clear share, with the number of scenes behind the mosaic."""
-    best = F.min_by(F.struct("scene_id", "acq", "clear_frac"), F.struct(-F.col("clear_frac"), F.col("scene_id")))
-    return found.filter("clear_frac IS NOT NULL").groupBy(*by).agg(
-        best.alias("s"), F.count("*").alias("n_scenes")).select(*by, "s.*", "n_scenes")
+def clearest_scene(targets: DataFrame, scenes: DataFrame, first: int, last: int) -> DataFrame:
+    """The clearest scene among those that cover the chip. ``scenes`` carries ``covers``."""
+    return clearest_in_window(targets, scenes.filter("covers"), first, last)
 
 
 def optical_record(date, clear_frac, n_scenes, path, bands) -> Column:

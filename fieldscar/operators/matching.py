@@ -25,26 +25,27 @@ def _padded(days: int) -> tuple[Column, Column]:
 
 
 def match_points(events: DataFrame, points: DataFrame, radius_km: float = 150.0, days: int = 15,
-                 cell: float = 2.0, name: str = "match_ems") -> DataFrame:
+                 cell: float = 4.0, name: str = "match_ems") -> DataFrame:
     """Flag events whose polygon comes within ``radius_km`` / 111 degrees of a dated point.
 
-    ``events``: event_id, bbox_*, rings, date_start, date_end; ``points``: lon, lat, date.
+    ``events``: event_id, bbox_*, rings, date_start, date_end; ``points``: lon, lat, date. The radius
+    and the day padding widen the keys of the points, the smaller side.
     """
     radius = radius_km / KM_PER_DEGREE
-    low, high = _padded(days)
-    w, s, e, n = (F.col(c) for c in S.BOX)
     probe = S.explode_keys(
-        events.select("event_id", *S.BOX, S.ring_edges("rings").alias("edges"),
-                      low.alias("low"), high.alias("high")),
-        cell=S.grid_cells(w - radius, s - radius, e + radius, n + radius, cell),
-        bucket=S.day_buckets("low", "high", SPAN_DAYS),
+        events.select("event_id", *S.BOX, S.ring_edges("rings").alias("edges"), "date_start", "date_end"),
+        cell=S.grid_cells(*S.BOX, cell), bucket=S.day_buckets("date_start", "date_end", SPAN_DAYS),
+    )
+    x, y = F.col("lon"), F.col("lat")
+    spots = S.explode_keys(
+        points.select("lon", "lat", "date").filter("date IS NOT NULL").distinct(),
+        cell=S.grid_cells(x - radius, y - radius, x + radius, y + radius, cell),
+        bucket=S.day_buckets(F.date_sub("date", days), F.date_add("date", days), SPAN_DAYS),
     )
-    spots = points.select("lon", "lat", "date").filter("date IS NOT NULL").distinct().select(
-        "*", S.grid_cell("lon", "lat", cell).alias("cell"), S.day_bucket("date", SPAN_DAYS).alias("bucket"))
     p, q = probe.alias("p"), spots.alias("q")
     near = (
         (F.col("p.cell") == F.col("q.cell")) & (F.col("p.bucket") == F.col("q.bucket"))
-        & F.col("q.date").between(F.col("p.low"), F.col("p.high"))
+        & F.col("q.date").between(F.date_sub("p.date_start", days), F.date_add("p.date_end", days))
         & F.col("q.lon").between(F.col("p.bbox_w") - radius, F.col("p.bbox_e") + radius)
         & F.col("q.lat").between(F.col("p.bbox_s") - radius, F.col("p.bbox_n") + radius)
         & (S.point_distance(F.col("q.lon"), F.col("q.lat"), F.col("p.edges")) <= radius)
@@ -52,7 +53,7 @@ def match_points(events: DataFrame, points: DataFrame, radius_km: float = 150.0,
     return _flag(events, "event_id", p.join(q, near, "left_semi"), name)
 
 
-def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell: float = 2.0,
+def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell: float = 4.0,
                    name: str = "match_dfo") -> DataFrame:
     """Flag events whose polygon meets an archive polygon with overlapping padded dates."""
     def keyed(df, pad):
@@ -128,7 +129,7 @@ def corroborate(news: DataFrame, activations: DataFrame, archive: DataFrame, rel
     return out.withColumn("n_indep", sum(F.col(f).cast("int") for f in flags))
 
 
-def event_scenes(events: DataFrame, scenes: DataFrame, cell: float = 1.0) -> DataFrame:
+def event_scenes(events: DataFrame, scenes: DataFrame, cell: float = 4.0) -> DataFrame:
     """Scenes whose box meets the event box inside its closed dates, one row per pair.
 
     ``events``: event_id, bbox_*, date_start, date_end; ``scenes``: scene_id, bbox_*, acq.

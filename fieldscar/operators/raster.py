@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
+from ..session import cut_lineage, small_side
+
 CELL = ["r", "c"]
 
 
@@ -191,26 +193,21 @@ def pick_centres(density: DataFrame, shape: DataFrame, by: str, win: int, k: int
     """Up to ``k`` window centres per event: highest density first, each pick suppressing the square
     [r - win, r + win) around it; row-major order on ties; windows may not leave the grid.
 
-    ``shape``: by, height, width. Every round reduces to one row per event inside each task.
+    ``shape``: by, height, width. The open cells are written once and read in every round; a round
+    reduces to one row per event inside each task, and the picks so far are one row per event.
     """
     m = win // 2
-    inside = density.join(shape, by).filter(
+    inside = cut_lineage(density.join(shape, by).filter(
         (F.col("density") > 0) & (F.col("r") >= m) & (F.col("r") < F.col("height") - m)
         & (F.col("c") >= m) & (F.col("c") < F.col("width") - m)
-    ).select(by, *CELL, "density")
-    picks = None
-    for _ in range(k):
-        open_cells = inside
-        if picks is not None:
-            taken = F.exists("picks", lambda p: (F.col("r") >= p["r"] - win) & (F.col("r") < p["r"] + win)
-                             & (F.col("c") >= p["c"] - win) & (F.col("c") < p["c"] + win))
-            open_cells = inside.join(picks, by).filter(~taken)
-        best = open_cells.groupBy(by).agg(F.max_by(
-            F.struct("r", "c", "density"), F.struct(F.col("density"), -F.col("r"), -F.col("c"))).alias("_p"))
-        if picks is None:
-            picks = best.select(by, F.array("_p").alias("picks"))
-        else:
-            grown = F.when(F.col("_p").isNull(), F.col("picks")).otherwise(F.concat("picks", F.array("_p")))
-            picks = picks.join(best, by, "left").select(by, grown.alias("picks"))
+    ).select(by, *CELL, "density"))
+    taken = F.exists("picks", lambda p: (F.col("r") >= p["r"] - win) & (F.col("r") < p["r"] + win)
+                     & (F.col("c") >= p["c"] - win) & (F.col("c") < p["c"] + win))
+    pick = F.max_by(F.struct("r", "c", "density"), F.struct(F.col("density"), -F.col("r"), -F.col("c"))).alias("_p")
+    picks = cut_lineage(inside.groupBy(by).agg(pick).select(by, F.array("_p").alias("picks")))
+    for _ in range(k - 1):
+        best = inside.join(small_side(picks), by).filter(~taken).groupBy(by).agg(pick)
+        grown = F.when(F.col("_p").isNull(), F.col("picks")).otherwise(F.concat("picks", F.array("_p")))
+        picks = cut_lineage(picks.join(best, by, "left").select(by, grown.alias("picks")))
     return picks.select(by, F.posexplode("picks").alias("_at", "_p")).select(
         by, (F.col("_at") + 1).alias("rank"), "_p.r", "_p.c", "_p.density")

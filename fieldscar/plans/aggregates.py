@@ -283,8 +283,8 @@ def _(t):
   SELECT f.event_id, s.scene_id, s.clear_frac FROM fx_floods f JOIN fx_scenes s ON s.ev = f.ev % 200
   AND s.acq >= f.date_start - 110 AND s.acq < f.date_start - 8) GROUP BY event_id""")
 def _(t):
-    windows = flood_targets(t).select("event_id", "ev", F.date_sub("date_start", 110).alias("low"), F.date_sub("date_start", 8).alias("high"))
-    return imagery.nominal_scene(imagery.in_window(windows, t.scenes), ["event_id"]).select("event_id", "scene_id", "n_scenes")
+    targets = flood_targets(t).select("event_id", "ev", F.col("date_start").alias("target"))
+    return imagery.clearest_in_window(targets, t.scenes, -110, -9).select("event_id", "scene_id", "n_scenes")
 
 
 @query("g29_event_chip_counts", f"""SELECT COUNT(*) AS events, COUNT(*) FILTER (flooded_crops = 1) AS productive,

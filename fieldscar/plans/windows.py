@@ -125,10 +125,8 @@ def _centres_sql(k: int) -> str:
 
 @query("w6_chip_centres", _centres_sql(5))
 def _(t):
-    from ..session import cut_lineage
-    density = cut_lineage(burn_density(t))
     shape = t.burn_cells.groupBy("ev").agg((F.max("r") + 1).alias("height"), (F.max("c") + 1).alias("width"))
-    return raster.pick_centres(density, shape, "ev", 5).withColumn("density", F.round("density", 6))
+    return raster.pick_centres(burn_density(t), shape, "ev", 5).withColumn("density", F.round("density", 6))
 
 
 @query("w7_box_density", f"SELECT ev, r, c, ROUND(density, 6) AS density FROM ({DENSITY_SQL})")
@@ -152,11 +150,10 @@ def _(t):
   SELECT f.event_id, s.scene_id, s.clear_frac FROM fx_floods f JOIN fx_scenes s ON s.ev = f.ev % 200
   AND s.acq >= f.date_start - 30 AND s.acq < f.date_start WHERE s.cloud * 10000 >= 0.6 * 160000 / 400.0::DOUBLE) GROUP BY event_id""")
 def _(t):
-    targets = flood_targets(t).select("event_id", "ev", F.date_sub("date_start", 30).alias("low"), F.col("date_start").alias("high"))
-    found = imagery.in_window(targets, t.scenes).withColumns({"valid_px": F.col("cloud") * 10000, "area": F.lit(160000.0)})
-    scored = found.withColumn("covers", imagery.covers("valid_px", "area")).select(
-        "event_id", "scene_id", "clear_frac", "covers")
-    return imagery.clearest_scene(scored, ["event_id"]).select("event_id", "scene_id", "clear_frac")
+    scenes = t.scenes.withColumns({"valid_px": F.col("cloud") * 10000, "area": F.lit(160000.0)})
+    scenes = scenes.withColumn("covers", imagery.covers("valid_px", "area"))
+    targets = flood_targets(t).select("event_id", "ev", F.col("date_start").alias("target"))
+    return imagery.clearest_scene(targets, scenes, -30, -1).select("event_id", "scene_id", "clear_frac")
 
 
 SCORED_SQL = """SELECT *, inc < 32000 AND "max" < 32000 AND "dec" < 32000 AND "min" < 32000 AND inc < "max" AND "max" < "dec" AND "dec" < "min" AS ok,
