@@ -141,11 +141,12 @@ def cap_per_continent(df: DataFrame, cap: int = 700, start: int = 0, limit: int
 
 
 def shard(df: DataFrame, size: int = 50, first_batch: int = 1) -> DataFrame:
-    """Cut rows in ``pos`` order into shards of ``size`` with names aa, ab, ... and batch numbers."""
+    """Cut rows in ``pos`` order into shards of ``size`` with names aa to zz and batch numbers; a shard
+    past the 676th keeps its batch number and has no name."""
     block = F.floor((F.col("_row") - 1) / F.lit(size))
     letters = F.concat(F.chr(97 + F.floor(F.col("shard_no") / 26)), F.chr(97 + F.pmod("shard_no", F.lit(26))))
     return (
         ranked(df, [], ["pos"], "_row").withColumn("shard_no", block)
-        .withColumn("shard", F.concat(F.lit("shard_"), letters))
+        .withColumn("shard", F.when(F.col("shard_no") < 26 * 26, F.concat(F.lit("shard_"), letters)))
         .withColumn("batch", F.col("shard_no") + first_batch).drop("_row")
     )

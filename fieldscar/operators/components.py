@@ -60,7 +60,7 @@ def connected_components(cells: DataFrame, by: list[str], diagonal: bool = False
     named = local.select(*by, "r", "c", "_local")
     if merged is None:
         return named.withColumnRenamed("_local", "label")
-    return (
+    return cut_lineage(
         named.join(merged.select(*by, F.col("node").alias("_local"), "root"), [*by, "_local"], "left")
         .withColumn("label", F.coalesce("root", "_local")).drop("_local", "root")
     )

@@ -55,13 +55,13 @@ def cycle_medians(scored: DataFrame) -> DataFrame:
 
 def chip_stages(scored: DataFrame) -> DataFrame:
     """Majority stage, agreement, shares, winning cycle, its transition dates and the pixel total."""
-    cells = cell_stages(scored)
-    stages = weighted_counts(cells, "stage")
-    shares = stages.groupBy("chip_id").agg(
+    # at most 4 stages x 5 cycle codes per chip: everything below works on this small table
+    votes = cell_stages(scored).groupBy("chip_id", "stage", "code").agg(F.sum("weight").alias("weight"))
+    shares = weighted_counts(votes, "stage").groupBy("chip_id").agg(
         F.sum("w").alias("total"), F.max("w").alias("top"),
         F.max_by("stage", F.struct(F.col("w"), -F.col("stage"))).alias("dominant_stage"),
         F.array_sort(F.collect_list(F.struct("stage", "w"))).alias("per_stage"))
-    cycles = dominant(weighted_counts(cells.filter("code > 0"), "code"), "code", "code")
+    cycles = dominant(weighted_counts(votes.filter("code > 0"), "code"), "code", "code")
     out = shares.join(cycles, "chip_id", "left").join(cycle_medians(scored), ["chip_id", "code"], "left")
     share = lambda w: F.bround(w / F.col("total"), 3)
     return out.select(

@@ -19,69 +19,66 @@ def link_scores(scenes: DataFrame, scores: DataFrame) -> DataFrame:
     return scenes.join(scores, "scene_id", "left")
 
 
-def best_in_window(targets: DataFrame, scenes: DataFrame, keys: list[str], first: int, last: int,
-                   order: Column, latest: bool = False) -> DataFrame:
-    """Best scene with acq in [target + first, target + last] days, per target row.
+def window_picks(targets: DataFrame, scenes: DataFrame, keys: list[str], order: Column,
+                 picks: dict[str, tuple[int, int, bool]], last_of_day: bool = False) -> DataFrame:
+    """Scenes picked around each target day: per name, the first (or latest) scene by ``order`` with acq
+    in [target + low, target + high] days, as a struct column, and their number as ``<name>_n``.
 
-    ``targets``: keys..., target, anything; ``scenes``: keys..., acq. ``order`` is a struct that ranks
-    scenes (smallest wins, or largest when ``latest``) and is returned as ``best`` with the number of
-    scenes ``n_scenes``; both NULL / 0 when none.
+    ``targets``: keys..., target, anything; ``scenes``: keys..., acq; ``picks``: name -> (low, high,
+    latest). A day counts with one scene, the smallest by ``order`` (the largest if ``last_of_day``).
 
-    Only the best scene of a day and the distinct target days matter, so both sides shrink to one row
-    per place and day before they meet: no pair of target and scene is ever built, and the window of
-    a place holds two rows per day at most, however many events or scenes it has.
+    Only that scene and the distinct target days matter, so both sides shrink to one row per place
+    and day before they meet: no pair of target and scene is ever built, and the window of a place
+    holds two rows per day at most, however many events or scenes it has.
     """
-    pick = F.max if latest else F.min
-    daily = scenes.groupBy(*keys, "acq").agg(pick(order).alias("best"), F.count("*").alias("n"))
+    daily = scenes.groupBy(*keys, "acq").agg(
+        (F.max if last_of_day else F.min)(order).alias("best"), F.count("*").alias("n"))
     asked = targets.select(*keys, F.col("target").alias("acq")).distinct()
     days = daily.withColumn("_asked", F.lit(False)).unionByName(asked.select(
         *keys, "acq", F.lit(None).cast(daily.schema["best"].dataType).alias("best"), F.lit(0).cast("long").alias("n"),
         F.lit(True).alias("_asked")))
-    frame = W.partitionBy(*keys).orderBy(day_number("acq")).rangeBetween(first, last)
-    found = days.withColumns({"best": pick("best").over(frame), "n_scenes": F.sum("n").over(frame)}).filter(
-        "_asked AND best IS NOT NULL").select(*keys, F.col("acq").alias("target"), "best", "n_scenes")
-    return targets.join(found, [*keys, "target"], "left").withColumn("n_scenes", F.coalesce("n_scenes", F.lit(0)))
+    by_day = W.partitionBy(*keys).orderBy(day_number("acq"))
+    found = {}
+    for name, (low, high, latest) in picks.items():
+        frame = by_day.rangeBetween(low, high)
+        found[name] = (F.max if latest else F.min)("best").over(frame)
+        found[f"{name}_n"] = F.sum("n").over(frame)
+    found = days.withColumns(found).filter("_asked").select(*keys, F.col("acq").alias("target"), *found)
+    return targets.join(found, [*keys, "target"])
 
 
 def nearest_radar(targets: DataFrame, scenes: DataFrame, back: int, forward: int, key: str = "event_id") -> DataFrame:
     """The usable radar scene closest in days to ``target`` in [target - back, target + forward);
     the earlier one on a tie. Targets without a scene are left out."""
-    usable = scenes.filter(radar_usable())
-    asked = targets.select(key, "ev", "target")
-    by_day = usable.groupBy("ev", "acq").agg(F.min("scene_id").alias("scene_id"))
-    order = F.struct("acq", "scene_id")
-    before = best_in_window(asked, by_day, ["ev"], -back, -1, order, latest=True)
-    after = best_in_window(asked, by_day, ["ev"], 0, max(forward, 1) - 1, order)
-    found = before if forward == 0 else before.unionByName(after)
-    found = found.filter("n_scenes > 0")
-    gap = F.abs(F.date_diff("best.acq", "target"))
-    best = F.min(F.struct(gap.alias("gap"), F.col("best.acq").alias("acq"), F.col("best.scene_id").alias("scene_id")))
-    counts = window_counts(asked, usable, ["ev"], -back, forward - 1)
-    return found.groupBy(key, "ev", "target").agg(best.alias("s")).join(counts, ["ev", "target"]).select(
+    picks = {"before": (-back, -1, True), "after": (0, max(forward, 1) - 1, False), "all": (-back, forward - 1, False)}
+    if forward <= 0:
+        del picks["after"]
+    found = window_picks(targets, scenes.filter(radar_usable()), ["ev"], F.struct("acq", "scene_id"), picks)
+    ranked = [F.when(F.col(name).isNotNull(), F.struct(
+        F.abs(F.date_diff(F.col(f"{name}.acq"), "target")).alias("gap"), F.col(f"{name}.acq").alias("acq"),
+        F.col(f"{name}.scene_id").alias("scene_id"))) for name in picks if name != "all"]
+    best = F.array_min(F.array_compact(F.array(*ranked)))
+    return found.filter("all_n > 0").select(
+        key, best.alias("s"), F.col("all_n").alias("n_scenes")).select(
         key, "s.scene_id", "s.acq", F.col("s.gap").alias("gap_days"), "n_scenes")
 
 
-def window_counts(targets: DataFrame, scenes: DataFrame, keys: list[str], first: int, last: int) -> DataFrame:
-    """Scenes per distinct (keys, target) in [target + first, target + last] days."""
-    asked = targets.select(*keys, "target").distinct()
-    return best_in_window(asked, scenes, keys, first, last, F.struct("acq")).drop("best")
-
-
 def radar_pair(events: DataFrame, scenes: DataFrame, tolerance: int = 30, key: str = "event_id") -> DataFrame:
     """Latest usable scene before the start, then the earliest after the end on the same pass and
     orbit; without a "before" the "after" is free and carries no pass or orbit."""
     usable = scenes.filter(radar_usable())
-    pre = best_in_window(
-        events.select(key, "ev", "date_end", F.col("date_start").alias("target")), usable, ["ev"], -tolerance, -1,
-        F.struct("acq", "scene_id", "pass", "rel_orbit"), latest=True,
-    ).select(key, "ev", F.col("date_end").alias("target"), F.col("best").alias("pre"),
-             F.col("best.pass").alias("pass"), F.col("best.rel_orbit").alias("rel_orbit"))
-    order = F.struct("acq", "scene_id")
-    bound = best_in_window(pre.filter("pre IS NOT NULL"), usable, ["ev", "pass", "rel_orbit"], 0, tolerance - 1, order)
-    free = best_in_window(pre.filter("pre IS NULL"), usable, ["ev"], 0, tolerance - 1, order)
-    return bound.unionByName(free).select(
+    pre = window_picks(
+        events.select(key, "ev", "date_end", F.col("date_start").alias("target")), usable, ["ev"],
+        F.struct("acq", "scene_id", "pass", "rel_orbit"), {"pre": (-tolerance, -1, True)}, last_of_day=True)
+    track = F.when(F.col("pre").isNotNull(), F.concat_ws("/", "pre.pass", "pre.rel_orbit")).otherwise("any")
+    asked = pre.select(key, "ev", F.col("date_end").alias("target"), "pre", track.alias("track"))
+    tracks = F.explode(F.array(F.concat_ws("/", "pass", "rel_orbit"), F.lit("any"))).alias("track")
+    post = window_picks(asked, usable.select("ev", "acq", "scene_id", tracks), ["ev", "track"],
+                        F.struct("acq", "scene_id"), {"post": (0, tolerance - 1, False)})
+    return post.select(
         key, F.col("pre.scene_id").alias("pre_scene"), F.col("pre.acq").alias("pre_date"),
-        F.col("best.scene_id").alias("post_scene"), F.col("best.acq").alias("post_date"), "pass", "rel_orbit")
+        F.col("post.scene_id").alias("post_scene"), F.col("post.acq").alias("post_date"),
+        F.col("pre.pass").alias("pass"), F.col("pre.rel_orbit").alias("rel_orbit"))
 
 
 def least_cloudy(found: DataFrame, by: list[str], k: int = CANDIDATE_SCENES) -> DataFrame:
@@ -105,9 +102,10 @@ def clearest_in_window(targets: DataFrame, scenes: DataFrame, first: int, last:
     """The scene with the largest clear share in the window (smallest id on ties), with the number of
     scenes behind it. Columns: those of ``targets``, scene_id, clear_frac, n_scenes."""
     order = F.struct((-F.col("clear_frac")).alias("cloudy"), F.col("scene_id"))
-    found = best_in_window(targets, scenes.filter("clear_frac IS NOT NULL"), ["ev"], first, last, order)
-    return found.filter("n_scenes > 0").select(
-        *targets.columns, "best.scene_id", (-F.col("best.cloudy")).alias("clear_frac"), "n_scenes")
+    found = window_picks(
+        targets, scenes.filter("clear_frac IS NOT NULL"), ["ev"], order, {"best": (first, last, False)})
+    return found.filter("best_n > 0").select(
+        *targets.columns, "best.scene_id", (-F.col("best.cloudy")).alias("clear_frac"), F.col("best_n").alias("n_scenes"))
 
 
 def clearest_scene(targets: DataFrame, scenes: DataFrame, first: int, last: int) -> DataFrame:

@@ -28,7 +28,7 @@ def persistence(flooded: Column, valid: Column) -> Column:
     return F.when(valid > 0, F.bround(100.0 * flooded / valid).cast("int"))
 
 
-def aggregate_event(stack: DataFrame, by: list[str] = ["ev"]) -> DataFrame:
+def aggregate_event(stack: DataFrame, by: tuple[str, ...] = ("ev",)) -> DataFrame:
     """All per-cell reduces of an overpass stack in one pass.
 
     ``stack``: by..., r, c, day, extent, water, exclusion, likelihood.
@@ -78,22 +78,22 @@ def flood_screen(events: DataFrame, stack: DataFrame, scenes: DataFrame, by: str
     ``stack``: by, r, c, x, y, extent; ``scenes``: by, n_scenes. No rows means a transient miss.
     """
     wet = F.coalesce(F.col("wet"), F.lit(False))
+    read = F.coalesce((F.col("n_scenes") >= min_scenes) & F.col("flood_px").isNotNull(), F.lit(False))
     cells = stack.groupBy(by, *CELL).agg(
-        F.bool_or(F.col("extent") == 1).alias("wet"), F.first("x").alias("x"), F.first("y").alias("y"))
+        F.bool_or(F.col("extent") == 1).alias("wet"), F.max("x").alias("x"), F.max("y").alias("y"))
     found = cells.groupBy(by).agg(
         F.count_if(wet).alias("flood_px"),
         *[fn(F.when(wet, F.col(axis))).alias(name) for name, fn, axis in (
             ("w", F.min, "x"), ("s", F.min, "y"), ("e", F.max, "x"), ("n", F.max, "y"))],
     )
-    read = (F.col("n_scenes") >= min_scenes) & F.col("flood_px").isNotNull()
-    passed = F.coalesce(read & (F.col("flood_px") >= min_pixels), F.lit(False))
+    passed = read & (F.col("flood_px") >= min_pixels)
     return events.select(by).join(scenes, by, "left").join(found, by, "left").select(
         by, F.coalesce("n_scenes", F.lit(0)).cast("long").alias("n_scenes"),
-        F.when(F.coalesce(read, F.lit(False)), F.col("flood_px")).otherwise(0).alias("flood_px"),
-        F.when(F.coalesce(read, F.lit(False)), F.bround(F.col("flood_px") * pixel_km2, 3)).otherwise(0.0).alias("flood_km2"),
-        passed.alias("passed"),
-        F.when(~F.coalesce(read, F.lit(False)), "transient").when(passed, "pass").otherwise("no_flood").alias("outcome"),
-        *[F.when(F.coalesce(read, F.lit(False)), F.col(side)).alias(f"flood_{side}") for side in "wsen"],
+        F.when(read, F.col("flood_px")).otherwise(0).alias("flood_px"),
+        F.when(read, F.bround(F.col("flood_px") * pixel_km2, 3)).otherwise(0.0).alias("flood_km2"),
+        F.coalesce(passed, F.lit(False)).alias("passed"),
+        F.when(~read, "transient").when(passed, "pass").otherwise("no_flood").alias("outcome"),
+        *[F.when(read, F.col(side)).alias(f"flood_{side}") for side in "wsen"],
     )
 
 

@@ -86,6 +86,12 @@ def mean_flooded_share(chips: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def scenes_per_day(scenes: DataFrame) -> DataFrame:
-    """Scenes per event and day with their sorted ids."""
+    """Scenes per event and overpass day, with the first and last id. The full id list of a day is
+    :func:`overpass_items`, one row per id, so that no day is collected into one row."""
     return scenes.groupBy("ev", "acq").agg(
-        F.count("*").alias("n_scenes"), F.array_sort(F.collect_list("scene_id")).alias("scene_ids"))
+        F.count("*").alias("n_scenes"), F.min("scene_id").alias("first_id"), F.max("scene_id").alias("last_id"))
+
+
+def overpass_items(scenes: DataFrame) -> DataFrame:
+    """Scene ids of each event and overpass day in order."""
+    return scenes.select("ev", "acq", "scene_id").orderBy("ev", "acq", "scene_id")

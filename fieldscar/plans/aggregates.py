@@ -256,8 +256,12 @@ def _(t):
   FROM fx_scenes GROUP BY ev, acq""")
 def _(t):
     return release.scenes_per_day(t.scenes).select(
-        "ev", F.col("acq").cast("string").alias("day"), "n_scenes", F.get("scene_ids", F.lit(0)).alias("first_id"),
-        F.element_at("scene_ids", -1).alias("last_id"))
+        "ev", F.col("acq").cast("string").alias("day"), "n_scenes", "first_id", "last_id")
+
+
+@query("g26_overpass_items", "SELECT ev, CAST(acq AS STRING) AS day, scene_id FROM fx_scenes ORDER BY ev, acq, scene_id")
+def _(t):
+    return release.overpass_items(t.scenes).select("ev", F.col("acq").cast("string").alias("day"), "scene_id")
 
 
 @query("g27_cluster_size", """SELECT cluster_size, COUNT(*) AS clusters FROM (SELECT COUNT(*) AS cluster_size FROM fx_floods GROUP BY

@@ -27,7 +27,8 @@ class Tables:
         if name in views.BUILT:
             return views.BUILT[name](self)
         if name in views.TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self.__dict__[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return self.__dict__[name]
         raise AttributeError(name)
 
 
