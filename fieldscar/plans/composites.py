@@ -22,7 +22,25 @@ def _(t):
                        geo.utm_epsg("lon", "lat").alias("epsg"))
 
 
-@query("u2_fire_acceptance")
+# the sequential rule as a fixpoint: a row is settled once nothing earlier can change its fate
+ACCEPT_SQL = f"""WITH RECURSIVE g AS (SELECT ev AS seq, event_id, lon, lat, date_start - DATE '1970-01-01' AS day, MONTH(date_start) AS month, YEAR(date_start) AS year,
+    {BOXES_SQL} AS continent, half_deg, n_indep, dur_days FROM fx_candidates WHERE area_km2 BETWEEN 50 AND 20000 AND half_deg >= 0.15),
+  f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY month, year, continent ORDER BY seq) AS nth FROM g),
+  v AS (SELECT * FROM f WHERE nth <= 40 AND half_deg >= 0.2 AND n_indep / 4.0 >= 0.2 AND dur_days >= 3),
+  near AS (SELECT *, FLOOR(day / 31) + UNNEST([-1, 0, 1]) AS k FROM v),
+  e AS (SELECT a.seq AS i, b.seq AS j FROM v a JOIN near b ON b.k = FLOOR(a.day / 31) AND b.seq < a.seq AND ABS(a.day - b.day) <= 30
+    AND SQRT(POW((a.lon - b.lon) * 111 * COS(RADIANS(a.lat)), 2) + POW((a.lat - b.lat) * 111, 2)) <= 25),
+  s(seq, month, year, continent, st, step) AS (SELECT seq, month, year, continent, 0, 0 FROM v UNION ALL
+    SELECT c.seq, c.month, c.year, c.continent, CASE WHEN c.st > 0 THEN c.st WHEN h.hit OR c.taken >= 8 THEN 2
+      WHEN NOT COALESCE(h.wait, false) AND c.alive < 8 THEN 1 ELSE 0 END, c.step + 1
+    FROM (SELECT *, COUNT(*) FILTER (st = 1) OVER w AS taken, COUNT(*) FILTER (st < 2) OVER w AS alive, COUNT(*) FILTER (st = 0) OVER () AS open FROM s
+      WINDOW w AS (PARTITION BY month, year, continent ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) c
+    LEFT JOIN (SELECT e.i, BOOL_OR(s.st = 1) AS hit, BOOL_OR(s.st = 0) AS wait FROM e JOIN s ON s.seq = e.j GROUP BY e.i) h ON h.i = c.seq WHERE c.open > 0)
+  SELECT event_id, s.seq, CAST(s.month AS INT) AS month, CAST(s.year AS INT) AS year, s.continent FROM s JOIN v USING (seq)
+  WHERE st = 1 AND step = (SELECT MAX(step) FROM s)"""
+
+
+@query("u2_fire_acceptance", ACCEPT_SQL)
 def _(t):
     seen = dedup_view(t).withColumnRenamed("seq", "ev")
     c = t.candidates.select("ev", "area_km2", "half_deg", "n_indep", "dur_days", "date_start", "event_id")
