@@ -118,7 +118,7 @@ FLOOD_LABEL_SQL = """red AS (SELECT ev, r, c, crop, MAX(extent) AS extent, MAX(C
     COUNT(*) FILTER (label IN (1, 2, 3)) AS cp, COUNT(*) FILTER (label = 1) AS fp, AVG(pers) FILTER (label = 1) AS pm FROM lab GROUP BY ALL HAVING COUNT(*) = 400),
   ok AS (SELECT *, round_even(fp / CAST(nv AS DOUBLE), 4) AS share FROM tile WHERE nv >= 200 AND cp / CAST(nv AS DOUBLE) >= 0.2 AND fp / CAST(nv AS DOUBLE) >= 0.02)
   SELECT 'E' || CAST(ev AS STRING) || '_r' || LPAD(CAST(row AS STRING), 4, '0') || '_c' || LPAD(CAST(col AS STRING), 4, '0') AS chip_id,
-  CAST(rank - 1 AS INT) AS rank, fp AS flooded_crop_px, share AS flooded_crop_frac, ROUND(pm, 1) AS persistence FROM (
+  CAST(rank - 1 AS INT) AS rank, fp AS flooded_crop_px, share AS flooded_crop_frac, round_even(pm, 1) AS persistence FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY ev ORDER BY share DESC, row, col) AS rank FROM ok) WHERE rank <= 5""")
 def _(t):
     cells = composites.flood_label(label_stack(t), fine_crop(t))
