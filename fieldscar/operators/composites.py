@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classes as C, spectral as B
 from ..functions.text import chip_id
+from ..session import small_side
 from . import labels as L, raster as R
 from .imagery import clear_share
 
@@ -18,9 +19,8 @@ def flood_label(stack: DataFrame, cropland: DataFrame) -> DataFrame:
     interpolated.
     """
     reduced = R.aggregate_event(stack)
-    classes = R.resample_nearest(reduced.select("ev", "r", "c", "extent", "water", "exclusion"))
-    smooth = R.resample_bilinear(reduced, ["ev"], ["likelihood", "persistence"])
-    cells = classes.join(smooth, ["ev", "r", "c"], "left").join(cropland, ["ev", "r", "c"], "left")
+    cells = R.halve_cells(reduced, ["ev"], ["extent", "water", "exclusion"], ["likelihood", "persistence"])
+    cells = cells.join(cropland, ["ev", "r", "c"], "left")
     rounded = {v: F.round(v).cast("int") for v in ("likelihood", "persistence")}
     return cells.withColumns(rounded).withColumn("label", C.flood_class("extent", "crop", "exclusion"))
 
@@ -71,6 +71,6 @@ def burn_chips(cells: DataFrame, win: int, k: int = L.CHIPS_PER_EVENT) -> DataFr
     inside = (
         (F.col("r") >= F.col("cr") - low) & (F.col("r") < F.col("cr") - low + win)
         & (F.col("c") >= F.col("cc") - low) & (F.col("c") < F.col("cc") - low + win))
-    cut = cells.join(boxes, "ev").filter(inside)
+    cut = cells.join(small_side(boxes), "ev").filter(inside)
     stats = L.burn_chip_gate(L.burn_chip_statistics(cut))
     return boxes.select("chip_id", "ev", "rank").join(stats, "chip_id")

@@ -104,19 +104,45 @@ def resample_nearest(cells: DataFrame, factor: int = 2) -> DataFrame:
     return fine.withColumns({"r": F.col("r") * factor + F.col("_i"), "c": F.col("c") * factor + F.col("_j")}).drop("_i", "_j")
 
 
+def _neighbours(df: DataFrame, by: list[str], along: str, across: str, value: str,
+                names: tuple[str, str], block: int) -> DataFrame:
+    """Add the value of the previous and the next cell along one axis (NULL where there is none).
+    Cells at a block border are copied into the neighbouring block, so a window spans one block."""
+    at = F.col(along)
+    spread = df.withColumn("_b", F.explode(F.sequence(
+        F.floor((at - 1) / F.lit(block)), F.floor((at + 1) / F.lit(block)))))
+    w = W.partitionBy(*by, across, "_b").orderBy(along)
+    return spread.withColumns({
+        names[0]: F.max(value).over(w.rangeBetween(-1, -1)), names[1]: F.max(value).over(w.rangeBetween(1, 1)),
+    }).filter(F.col("_b") == F.floor(at / F.lit(block))).drop("_b")
+
+
+def halve_cells(cells: DataFrame, by: list[str], nearest: list[str], smooth: list[str], block: int = 2048) -> DataFrame:
+    """Halve the cell size: ``nearest`` columns are copied, ``smooth`` columns mix the nearest 2 x 2
+    valid sources (9:3:3:1). Every cell first gathers its eight neighbours in two one-axis passes, so
+    the four targets are computed in place and no weighted copies are shuffled."""
+    line = F.struct(F.col("_west").alias("west"), F.col("_v").alias("mid"), F.col("_east").alias("east"))
+    out = cells.select(*by, *CELL, *nearest, F.struct(*smooth).alias("_v"))
+    out = _neighbours(out, by, "c", "r", "_v", ("_west", "_east"), block)
+    out = out.select(*by, *CELL, *nearest, line.alias("_mid"))
+    out = _neighbours(out, by, "r", "c", "_mid", ("_north", "_south"), block)
+
+    def mix(name: str, i: int, j: int) -> Column:
+        rows = (("_mid", 0.75), ("_south" if i else "_north", 0.25))
+        cols = (("mid", 0.75), ("east" if j else "west", 0.25))
+        terms = [(F.col(f"{row}.{col}.{name}"), wr * wc) for row, wr in rows for col, wc in cols]
+        total = sum(F.coalesce(v * w, F.lit(0.0)) for v, w in terms)
+        weight = sum(F.when(v.isNotNull(), w).otherwise(0.0) for v, w in terms)
+        return F.when(weight > 0, total / weight)
+
+    targets = F.explode(F.array(*[
+        F.struct((F.col("r") * 2 + i).alias("r"), (F.col("c") * 2 + j).alias("c"), *[mix(v, i, j).alias(v) for v in smooth])
+        for i in (0, 1) for j in (0, 1)]))
+    return out.select(*by, *nearest, targets.alias("_t")).select(*by, "_t.r", "_t.c", *nearest, *[f"_t.{v}" for v in smooth])
+
+
 def resample_bilinear(cells: DataFrame, by: list[str], values: list[str]) -> DataFrame:
-    """Halve the cell size: each target mixes the nearest 2 x 2 valid sources (9:3:3:1)."""
-    def spread(axis):
-        base = F.col(axis) * 2
-        return F.array(*[F.struct((base + d).alias("at"), F.lit(w).alias("w"), F.lit(d in (0, 1)).alias("home"))
-                         for d, w in ((-1, 0.25), (0, 0.75), (1, 0.75), (2, 0.25))])
-    parts = cells.withColumn("_y", F.explode(spread("r"))).withColumn("_x", F.explode(spread("c")))
-    weight = F.col("_y.w") * F.col("_x.w")
-    mixed = [
-        F.try_divide(F.sum(weight * F.col(v)), F.sum(F.when(F.col(v).isNotNull(), weight))).alias(v) for v in values
-    ]
-    return parts.groupBy(*by, F.col("_y.at").alias("r"), F.col("_x.at").alias("c")).agg(
-        F.bool_or(F.col("_y.home") & F.col("_x.home")).alias("_home"), *mixed).filter("_home").drop("_home")
+    return halve_cells(cells, by, [], values)
 
 
 def dilate(mask: DataFrame, by: list[str], shape: str = "circle") -> DataFrame:
