@@ -48,9 +48,13 @@ def dominant(counts: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def cycle_medians(scored: DataFrame) -> DataFrame:
-    """Exact median of each date over the coherent cells of a cycle."""
-    return scored.filter("ok").groupBy("chip_id", "code").agg(
-        *[F.percentile(d, F.lit(0.5)).alias(d) for d in DATES])
+    """Exact median of each date over the coherent cells of a cycle. Equal dates are counted first, so
+    a large chip reaches the median as one row per date and count."""
+    dates = F.inline(F.array(*[F.struct(F.lit(d).alias("name"), F.col(d).alias("value")) for d in DATES]))
+    counts = scored.filter("ok").select("chip_id", "code", dates).groupBy("chip_id", "code", "name", "value").agg(
+        F.count("*").alias("n"))
+    return counts.groupBy("chip_id", "code").agg(*[
+        F.percentile(F.when(F.col("name") == d, F.col("value")), F.lit(0.5), F.col("n")).alias(d) for d in DATES])
 
 
 def chip_stages(scored: DataFrame) -> DataFrame:
