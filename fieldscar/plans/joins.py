@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import fire, imagery, matching, raster, release, sidecars
+from ..operators import imagery, matching, raster, release, sidecars
 from .registry import query
 from .scalars import with_polarisations
 

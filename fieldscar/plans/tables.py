@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..functions import spectral as B
 from ..operators import catalog, labels, raster, release
 from ..sources import catalogues as S, sinks as K
