@@ -8,6 +8,7 @@ The pieces find their bins by their rank among the pieces of the same length.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -20,7 +21,7 @@ from .common import arrow_map, register, table
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 BATCH_WORDS = 20_000
 
 
@@ -30,11 +31,17 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: A full stop or comma after a letter or digit, at the end of a word: always a token of its own.
+_WORD_END = re.compile(rb"(?<=[a-z0-9])(?=[.,](?:\s|\Z))")
+_CACHES: dict[str, WordCache] = {}
+
+
 class WordCache:
     """Token ids (little-endian unsigned 32-bit bytes) of texts, word by word.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    words; each distinct word is encoded once while it stays in the bounded cache.
+    The tokenizer lower-cases, drops white space and never joins across it, so a text's ids are
+    those of its words. Each distinct word is encoded once while it stays in the cache: words that
+    were not met since the last ``CACHED_WORDS`` new ones are dropped.
     """
 
     def __init__(self, path: str):
@@ -43,16 +50,29 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def shared(path: str) -> WordCache:
+        """The cache of this Python worker, which outlives its tasks."""
+        if path not in _CACHES:
+            _CACHES[path] = WordCache(path)
+        return _CACHES[path]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [_WORD_END.sub(b" ", t.encode().lower()).split() for t in texts]  # bytes.lower: ASCII only
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
+            self.known, self.older = {}, self.known
+        new = []
+        for word in set().union(*split).difference(self.known):
+            if word in self.older:
+                self.known[word] = self.older[word]
+            else:
+                new.append(word)
         for i in range(0, len(new), BATCH_WORDS):
             part = new[i:i + BATCH_WORDS]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+            for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
                 self.known[word] = np.asarray(e.ids, dtype="<u4").tobytes()
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
@@ -65,7 +85,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc
     over ``capacity`` are cut, into full pieces and a last one.
     """
     def rows(batch):
-        cache = rows.__dict__.get("cache") or rows.__dict__.setdefault("cache", WordCache(path))
+        cache = WordCache.shared(path)
         names = ("key", "row", "piece", "start", "length", "ids_crc32")
         for lo in range(0, batch.num_rows, 256):
             part, out = batch.slice(lo, 256), {n: [] for n in names}
