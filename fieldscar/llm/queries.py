@@ -1,4 +1,4 @@
 """Imports every operator module, which registers its query."""
 
-from . import html_blocks, neighbours, packing, pii, toxicity, warc  # noqa: F401
+from . import html_blocks, licenses, neighbours, packing, pii, toxicity, warc  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
