@@ -56,7 +56,7 @@ def connected_components(cells: DataFrame, by: list[str], diagonal: bool = False
         return pdf.assign(_local=_label_block(pdf["r"].to_numpy(), pdf["c"].to_numpy(), diagonal))
 
     local = cut_lineage(home.groupBy(*by, "_br", "_bc").applyInPandas(label, schema))
-    merged = _merge_labels(_border_links(local, by, diagonal, block), by)
+    merged = merge_labels(_border_links(local, by, diagonal, block), by)
     named = local.select(*by, "r", "c", "_local")
     if merged is None:
         return named.withColumnRenamed("_local", "label")
@@ -80,7 +80,7 @@ def _border_links(local: DataFrame, by: list[str], diagonal: bool, block: int) -
     return pairs.filter("u <> v").select(*by, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _merge_labels(links: DataFrame, by: list[str]) -> DataFrame | None:
+def merge_labels(links: DataFrame, by: list[str]) -> DataFrame | None:
     """Root of every linked label: alternate large-star and small-star steps (Kiveris et al. 2014)
     until the link set no longer changes. None when nothing is linked."""
     links = cut_lineage(links)
