@@ -1,4 +1,4 @@
 """Imports every operator module, which registers its query."""
 
-from . import decontamination, html_blocks, licenses, neighbours, packing, pii, toxicity, warc, winnowing  # noqa: F401
+from . import decontamination, html_blocks, jaccard, licenses, neighbours, packing, pii, toxicity, warc, winnowing  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
