@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import arrow_map, register, table
@@ -124,16 +125,27 @@ def joined(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def mask(text: Column, spans: Column) -> Column:
+def mask(text: str) -> str:
     """``text`` with every span replaced by [KIND]; of overlapping spans the first stays."""
-    state = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(
-            F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                     F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out"), s["end"].alias("at"))).otherwise(acc),
-    )
-    return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
+    out, at = [], 0
+    for start, kind, end in find_spans(text):
+        if start >= at:
+            out += [text[at:start], f"[{KINDS[kind].upper()}]"]
+            at = end
+    return "".join([*out, text[at:]])
+
+
+def mask_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the spans of ``text`` masked; null texts stay null, all other columns as they are."""
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            masked = pa.array([None if t is None else mask(t) for t in batch.column(at).to_pylist()], type=batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(
+                [masked if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 @register("op10_pii")
