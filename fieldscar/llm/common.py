@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import configure
+from ..session import configure, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +30,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: cuts the lineage like a checkpoint,
+    but compressed and with column pruning, for the wider intermediate results."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint if ``df`` (narrow, cheap to count) has at most ``max_rows`` rows; beyond that
     the join shuffles both sides, and gives the same rows."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..operators.components import merge_labels
 from ..session import cut_lineage
-from .common import arrow_map, broadcast_if, register, table
+from .common import arrow_map, broadcast_if, register, stored, table
 from .shingles import mix, shingle_sets
 
 SHINGLE_WORDS, PERCENT = 4, 85
@@ -36,10 +36,10 @@ def extra(n):
 
 
 def token_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per row: doc_id, n, set_id (128 bits of the set; null for an empty one), prefix in the first order."""
+    """Per row: row, doc_id, n, set_id (128 bits of the set; null for an empty one), prefix in the first order."""
     def rows(batch):
-        out = {"doc_id": batch.column(0), "n": [], "set_id": [], "prefix": []}
-        for s in shingle_sets(batch.column(1), k):
+        out = {"row": batch.column(0), "doc_id": batch.column(1), "n": [], "set_id": [], "prefix": []}
+        for s in shingle_sets(batch.column(2), k):
             n = len(s)
             out["n"].append(n)
             out["set_id"].append(set_id(s))
@@ -47,7 +47,8 @@ def token_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
         yield out
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", "text"), f"doc_id {kind}, n bigint, set_id binary, prefix array<bigint>", rows)
+    return arrow_map(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
+                     f"row bigint, doc_id {kind}, n bigint, set_id binary, prefix array<bigint>", rows)
 
 
 def set_id(s: np.ndarray) -> bytes | None:
@@ -132,13 +133,13 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 def _rare_families(members: DataFrame, percent: int) -> DataFrame | None:
     """Second order, for the members (family, c, n, tokens) of large families: sets linked by shared
     tokens of their rarity prefixes inside the family."""
-    tokens = cut_lineage(members.select("family", "c", "n", F.explode("tokens").alias("t")))
+    tokens = members.select("family", "c", "n", F.explode("tokens").alias("t"))
     common = tokens.groupBy("family", "t").agg(F.count("*").alias("df")).filter("df > 1")
     shared = tokens.join(common, ["family", "t"])
     by_rarity = W.partitionBy("c").orderBy("df", "t")
     spare = F.expr(f"n - (({percent} * n + 99) div 100) + 1") - (F.col("n") - F.count("*").over(W.partitionBy("c")))
     prefix = shared.withColumn("spare", spare).withColumn("at", F.row_number().over(by_rarity)).filter("at <= spare")
-    return _families(_stars(cut_lineage(prefix.select("family", "t", "c")), ["family", "t"]))
+    return _families(_stars(stored(prefix.select("family", "t", "c")), ["family", "t"]))
 
 
 def _links(members: DataFrame, percent: int) -> DataFrame:
@@ -159,13 +160,13 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
     return keyed.groupBy("family", "i", "j").applyInPandas(compare, "u bigint, v bigint").distinct()
 
 
-def _survivors(sets: DataFrame, percent: int) -> DataFrame | None:
-    """(c, family) of the sets that pass the first order."""
-    tokens = sets.select("c", "n", F.explode("prefix").alias("t"))
-    common = tokens.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("t")
-    shared = cut_lineage(tokens.join(common, "t").distinct())
-    enough = shared.groupBy("c", "n").agg(F.count("*").alias("m")).filter(F.expr("m >= (n + 19) div 20")).select("c")
-    return _families(_stars(shared.join(cut_lineage(enough), "c").select("c", "t"), ["t"]))
+def _survivors(sets: DataFrame, sizes: DataFrame) -> DataFrame | None:
+    """(c, family) of the sets (c, prefix) that pass the first order; ``sizes``: c, n."""
+    tokens = sets.select("c", F.explode("prefix").alias("t"))
+    common = tokens.groupBy("t").agg(F.count("*").alias("df")).filter("df > 1").select("t")
+    shared = stored(tokens.join(common, "t").select("c", "t"))
+    enough = shared.groupBy("c").agg(F.count("*").alias("m")).join(sizes, "c").filter(F.expr("m >= (n + 19) div 20")).select("c")
+    return _families(_stars(stored(shared.join(cut_lineage(enough), "c")), ["t"]))
 
 
 def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -176,47 +177,52 @@ def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PE
     is linked with nothing and has its own doc_id. Repeated rows each give a row; rows without a doc_id take
     part but never name a component that has one.
     """
-    sets = cut_lineage(token_sets(docs, k, percent).withColumn("c", F.xxhash64("set_id")))
-    classes = cut_lineage(sets.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("head"), F.first("n").alias("n")))
-    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "c")
-    links = _all_links(docs, sets.filter("c is not null").select("c", "n", "prefix"), classes, k, percent)
+    sets = stored(token_sets(docs, k, percent))
+    worded = sets.filter("set_id is not null")
+    # a class of equal sets goes by its first row
+    classes = stored(worded.groupBy("set_id").agg(F.min("row").alias("c"), F.min("doc_id").alias("head"), F.first("n").alias("n")))
+    links = _all_links(docs, worded, classes, k, percent)
     roots = None if links is None else _families(links)
-    named = classes.select("c", "head") if roots is None else classes.select("c", "head").join(roots, "c", "left")
-    root = F.col("c") if roots is None else F.coalesce("family", "c")
-    named = named.withColumn("root", root)
+    named = classes.select("set_id", "c", "head")
+    named = named.withColumn("root", F.col("c")) if roots is None else named.join(roots, "c", "left").withColumn(
+        "root", F.coalesce("family", "c"))
     smallest = named.groupBy("root").agg(F.min("head").alias("component_id"))
-    by_class = named.join(smallest, "root").select("c", "component_id")
-    worded = rows.filter("c is not null").join(by_class, "c").select("doc_id", "n_shingles", "component_id")
-    return worded.unionByName(rows.filter("c is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-
-
-def _all_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame | None:
-    families = _survivors(sets, percent)
+    by_class = named.join(smallest, "root").select("set_id", "component_id")
+    found = worded.select("doc_id", "n", "set_id").join(by_class, "set_id").select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return found.unionByName(sets.filter("set_id is null").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def _all_links(docs: DataFrame, worded: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """Links (u > v) that connect the classes of each component; None if there are none."""
+    copies = cut_lineage(worded.select("row").join(classes.select(F.col("c").alias("row")), "row", "left_anti"))
+    firsts = worded.select("row", "prefix").join(broadcast_if(copies, BROADCAST_ROWS), "row", "left_anti")
+    families = _survivors(firsts.select(F.col("row").alias("c"), "prefix"), classes.select("c", "n"))
     if families is None:
         return None
-    reps = cut_lineage(classes.join(families, "c").select(F.col("head").alias("rep"), F.col("c").alias("expected"), "family"))
+    reps = cut_lineage(classes.join(families, "c").select(F.col("head").alias("rep"), F.col("set_id").alias("expected"), "c", "family"))
 
     def rows(batch):
-        out = {x: [] for x in ("c_is", "family", "n", "tokens")}
-        for s, expected, family in zip(shingle_sets(batch.column(0), k), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            for x, v in zip(out, (expected, family, len(s), s.view(np.int64))):
+        out = {x: [] for x in ("same", "c", "family", "n", "tokens")}
+        for s, *named in zip(shingle_sets(batch.column(0), k), *(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            for x, v in zip(out, (set_id(s) == named[0], *named[1:], len(s), s.view(np.int64))):
                 out[x].append(v)
-        yield out | {"set_id": [set_id(np.asarray(t).view(np.uint64)) for t in out["tokens"]]}
+        yield out
 
     texts = docs.select("doc_id", "text").join(broadcast_if(reps, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("rep")))
-    members = cut_lineage(
-        arrow_map(texts.select("text", "expected", "family"), "c_is bigint, family bigint, n bigint, tokens array<bigint>, set_id binary", rows)
-        .filter(F.xxhash64("set_id") == F.col("c_is")).select("family", F.col("c_is").alias("c"), "n", "tokens").dropDuplicates(["c"]))
+    members = stored(  # rows that share a representative's doc_id but not its set are none of it
+        arrow_map(texts.select("text", "expected", "c", "family"), "same boolean, c bigint, family bigint, n bigint, tokens array<bigint>", rows)
+        .filter("same").drop("same"))
     large = members.groupBy("family").count().filter(F.col("count") > BLOCK).select("family")
     large = broadcast_if(cut_lineage(large), BROADCAST_ROWS)
-    small_links = _links(members.join(large, "family", "left_anti"), percent)
+    links = _links(members.join(large, "family", "left_anti"), percent)
     in_large = members.join(large, "family", "left_semi")
     rare = _rare_families(in_large, percent)
-    links = small_links
     if rare is not None:
         again = in_large.select("c", "n", "tokens").join(rare, "c").select("family", "c", "n", "tokens")
         links = links.unionByName(_links(again, percent))
-    return cut_lineage(links.distinct())
+    return cut_lineage(links.filter("u > v").distinct())
 
 
 _WORDS_SQL = (r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "

@@ -73,7 +73,7 @@ def vote(latent: np.ndarray, voters: np.ndarray, labels: np.ndarray) -> np.ndarr
     for lo in range(0, len(latent), DOC_BLOCK):
         cosines = latent[lo:lo + DOC_BLOCK] @ voters.T
         near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosines, near, axis=1), 1e-6) ** SHARPNESS
+        weight = np.maximum(np.take_along_axis(cosines, near, axis=1).astype(np.float64), 1e-3) ** SHARPNESS
         out[lo:lo + DOC_BLOCK] = np.clip((weight * labels[near]).sum(axis=1) / weight.sum(axis=1), 0, 1)
     return out
 
