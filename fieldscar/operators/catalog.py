@@ -140,13 +140,23 @@ def cap_per_continent(df: DataFrame, cap: int = 700, start: int = 0, limit: int
     return capped if limit is None else capped.limit(limit)
 
 
+def shard_letters(number: Column, longest: int = 8) -> Column:
+    """0 is aa, 675 is zz, 676 is aaa: all names of one length before those of the next."""
+    first, out = 0, None
+    for length in range(2, longest + 1):
+        at = number - first
+        name = F.concat(*[F.chr(97 + F.pmod(F.floor(at / 26 ** k), F.lit(26))) for k in range(length - 1, -1, -1)])
+        first += 26 ** length
+        out = F.when(number < first, name) if out is None else out.when(number < first, name)
+    return out
+
+
 def shard(df: DataFrame, size: int = 50, first_batch: int = 1) -> DataFrame:
-    """Cut rows in ``pos`` order into shards of ``size`` with names aa to zz and batch numbers; a shard
-    past the 676th keeps its batch number and has no name."""
+    """Cut rows in ``pos`` order into shards of ``size`` with names aa to zz, then aaa to zzz and so on,
+    and batch numbers."""
     block = F.floor((F.col("_row") - 1) / F.lit(size))
-    letters = F.concat(F.chr(97 + F.floor(F.col("shard_no") / 26)), F.chr(97 + F.pmod("shard_no", F.lit(26))))
     return (
         ranked(df, [], ["pos"], "_row").withColumn("shard_no", block)
-        .withColumn("shard", F.when(F.col("shard_no") < 26 * 26, F.concat(F.lit("shard_"), letters)))
+        .withColumn("shard", F.concat(F.lit("shard_"), shard_letters(F.col("shard_no"))))
         .withColumn("batch", F.col("shard_no") + first_batch).drop("_row")
     )

@@ -76,35 +76,39 @@ def test_ranked_is_a_row_number_per_group(spark):
     assert got == want
 
 
-def visit_loop(rows):
-    """Continents take turns; inside one, years take turns; shuffles replaced by sorted order."""
-    queues = {}
-    for cont in sorted({r[1] for r in rows}):
-        years = {}
-        for r in sorted((x for x in rows if x[1] == cont), key=lambda x: (-x[3], -x[4], x[0])):
-            years.setdefault(r[2], []).append(r)
-        order, i, names = [], 0, sorted(years)
-        while any(years.values()):
-            if years[names[i % len(names)]]:
-                order.append(years[names[i % len(names)]].pop(0))
-            i += 1
-        queues[cont] = order
-    out, i, names = [], 0, sorted(queues)
-    while any(queues.values()):
-        if queues[names[i % len(names)]]:
-            out.append(queues[names[i % len(names)]].pop(0)[0])
-        i += 1
-    return out
-
-
-def test_visit_order_and_quota_equal_the_loop(spark):
+def turns(sequence, queues):
+    """Check that ``sequence`` (queue names) deals the queues in turn: the k-th visit of a queue comes after the
+    k-1 st of every queue that has so many members, in name order inside a turn."""
+    seen, keys = {}, []
+    for name in sequence:
+        seen[name] = seen.get(name, 0) + 1
+        keys.append((seen[name], name))
+    assert seen == queues and keys == sorted(keys)
+
+
+def check_visits(order, rows):
+    """Continents are dealt in turn, inside one the years, inside a year by agreement, area and id."""
+    by_id = {r[0]: r for r in rows}
+    assert sorted(order) == sorted(by_id)
+    continents = [by_id[e][1] for e in order]
+    turns(continents, {c: continents.count(c) for c in set(continents)})
+    for continent in set(continents):
+        mine = [by_id[e] for e in order if by_id[e][1] == continent]
+        years = [r[2] for r in mine]
+        turns(years, {y: years.count(y) for y in set(years)})
+        for year in set(years):
+            rank = [(-r[3], -r[4], r[0]) for r in mine if r[2] == year]
+            assert rank == sorted(rank)
+
+
+def test_visit_order_and_quota(spark):
     rng = random.Random(8)
     rows = [(f"e{i:03d}", rng.choice(["A", "A", "A", "B", "C"]), rng.choice([2020, 2021, 2022]), rng.randrange(3),
              float(rng.randrange(100)), "A") for i in range(160)]
     df = spark.createDataFrame(rows, "event_id string, continent string, year int, n_indep int, area_km2_reported double, tier string")
     ordered = catalog.visit_order(df, lambda *c: F.lit(0))
     got = [r.event_id for r in ordered.orderBy("visit").collect()]
-    assert got == visit_loop(rows)
+    check_visits(got, rows)
     answers = [(e, int(e[1:]) % 3 == 0, "pass" if int(e[1:]) % 3 == 0 else "no_flood") for e in got if int(e[1:]) % 7]
     screened = spark.createDataFrame(answers, "event_id string, passed boolean, outcome string")
     kept, log = catalog.sample_and_screen(ordered, screened, 10)
@@ -116,6 +120,14 @@ def test_visit_order_and_quota_equal_the_loop(spark):
     assert full_log.count() == 160 and everything.count() == sum(ok for _, ok, _ in answers)
 
 
+def test_shard_names_grow_and_stay_unique(spark):
+    df = spark.range(20_000).select(F.col("id").alias("pos"))
+    got = {r.pos: r.shard for r in catalog.shard(df, 1).collect()}
+    assert len(set(got.values())) == 20_000 and None not in got.values()
+    assert [got[i] for i in (0, 25, 26, 675, 676, 677, 676 + 17575, 676 + 17576)] == [
+        "shard_aa", "shard_az", "shard_ba", "shard_zz", "shard_aaa", "shard_aab", "shard_zzz", "shard_aaaa"]
+
+
 def test_seeded_order_is_reproducible(spark):
     rows = [(f"e{i}", "AB"[i % 2], 2020 + i % 3, 0, 1.0, "A") for i in range(30)]
     df = spark.createDataFrame(rows, "event_id string, continent string, year int, n_indep int, area_km2_reported double, tier string")
