@@ -14,7 +14,7 @@ from .ranking import top_per_group
 
 MIN_AREA_KM2, MAX_AREA_KM2, MIN_CROP_SHARE = 50.0, 20000.0, 0.15
 MIN_VERIFY_SHARE, MIN_ACTIVE_FIRES, VERIFY_PAD_DAYS, MIN_PATCH_CELLS = 0.20, 3, 45, 20
-FETCHED_PER_CELL, ACCEPTED_PER_CELL = 40, 8
+ACCEPTED_PER_CELL = 8
 
 
 def fire_patches(cells: DataFrame, by: list[str], min_cells: int = MIN_PATCH_CELLS, block: int = 256) -> DataFrame:
@@ -79,8 +79,10 @@ def confirmed(df: DataFrame) -> DataFrame:
     )
 
 
-def fetch_per_cell(patches: DataFrame, cell: list[str], cap: int = FETCHED_PER_CELL) -> DataFrame:
-    """The first ``cap`` patches of every (month, year, region) cell in ``seq`` order."""
+def fetch_per_cell(patches: DataFrame, cell: list[str], cap: int | None = None) -> DataFrame:
+    """The first ``cap`` patches of every (month, year, region) cell in ``seq`` order; all without a cap."""
+    if cap is None:
+        return patches
     return top_per_group(patches, cell, ["seq"], cap, "_fetched").drop("_fetched")
 
 

@@ -131,7 +131,7 @@ def _(t):
     return out.withColumn("overpass_days", F.array_join(F.transform("overpass_days", lambda d: d.cast("string")), ","))
 
 
-@query("g12_flood_screen", """WITH cell AS (SELECT ev, r, c, BOOL_OR(extent = 1) AS wet FROM fx_stack WHERE crop = 1 GROUP BY ALL),
+@query("g12_flood_screen", """WITH cell AS (SELECT ev, r, c, BOOL_OR(extent = 1) AS wet FROM fx_stack GROUP BY ALL),
   f AS (SELECT ev, COUNT(*) FILTER (wet) AS px, MIN(c) FILTER (wet) AS w, MIN(-r) FILTER (wet) AS s, MAX(c) FILTER (wet) AS e, MAX(-r) FILTER (wet) AS n FROM cell GROUP BY ev),
   sc AS (SELECT ev, COUNT(*) AS n_scenes FROM fx_scenes GROUP BY ev)
   SELECT x.ev, COALESCE(n_scenes, 0) AS n_scenes, CASE WHEN n_scenes >= 1 AND px IS NOT NULL THEN px ELSE 0 END AS flood_px,
@@ -143,7 +143,7 @@ def _(t):
   FROM (SELECT DISTINCT o_orderkey % 300 AS ev FROM orders) x LEFT JOIN sc USING (ev) LEFT JOIN f USING (ev)""")
 def _(t):
     events = t.orders.select((F.col("o_orderkey") % 300).alias("ev")).distinct()
-    stack = t.stack.filter("crop = 1").withColumns({"x": F.col("c") * 80.0, "y": F.col("r") * -80.0})
+    stack = t.stack.withColumns({"x": F.col("c") * 80.0, "y": F.col("r") * -80.0})
     scenes = t.scenes.groupBy("ev").agg(F.count("*").alias("n_scenes"))
     return raster.flood_screen(events, stack, scenes, "ev", 0.0064, 1180)
 

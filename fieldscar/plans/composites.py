@@ -25,8 +25,7 @@ def _(t):
 # the sequential rule as a fixpoint: a row is settled once nothing earlier can change its fate
 ACCEPT_SQL = f"""WITH RECURSIVE g AS (SELECT ev AS seq, event_id, lon, lat, date_start - DATE '1970-01-01' AS day, MONTH(date_start) AS month, YEAR(date_start) AS year,
     {BOXES_SQL} AS continent, half_deg, n_indep, dur_days FROM fx_candidates WHERE area_km2 BETWEEN 50 AND 20000 AND half_deg >= 0.15),
-  f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY month, year, continent ORDER BY seq) AS nth FROM g),
-  v AS (SELECT * FROM f WHERE nth <= 40 AND half_deg >= 0.2 AND n_indep / 4.0 >= 0.2 AND dur_days >= 3),
+  v AS (SELECT * FROM g WHERE half_deg >= 0.2 AND n_indep / 4.0 >= 0.2 AND dur_days >= 3),
   near AS (SELECT *, FLOOR(day / 31) + UNNEST([-1, 0, 1]) AS k FROM v),
   e AS (SELECT a.seq AS i, b.seq AS j FROM v a JOIN near b ON b.k = FLOOR(a.day / 31) AND b.seq < a.seq AND ABS(a.day - b.day) <= 30
     AND SQRT(POW((a.lon - b.lon) * 111 * COS(RADIANS(a.lat)), 2) + POW((a.lat - b.lat) * 111, 2)) <= 25),
@@ -49,8 +48,7 @@ def _(t):
         "modis_frac": F.col("half_deg"), "viirs_frac": F.col("n_indep") / 4.0, "af_count": F.col("dur_days"),
         "month": F.month("date_start"), "year": F.year("date_start"), "continent": geo.continent_of("lon", "lat")})
     cell = ["month", "year", "continent"]
-    fetched = fire.fetch_per_cell(fire.patch_gates(patches), cell)
-    verified = fire.confirmed(fetched).select("seq", "event_id", "lon", "lat", "day", *cell)
+    verified = fire.confirmed(fire.patch_gates(patches)).select("seq", "event_id", "lon", "lat", "day", *cell)
     return fire.accept_events(verified, cell).select("event_id", "seq", *cell)
 
 
