@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classes as C, spectral as B
 from ..functions.text import chip_id
-from ..session import small_side
 from . import labels as L, raster as R
 from .imagery import clear_share
 
@@ -68,9 +67,10 @@ def burn_chips(cells: DataFrame, win: int, k: int = L.CHIPS_PER_EVENT) -> DataFr
     boxes = centres.select(
         "ev", "rank", F.col("r").alias("cr"), F.col("c").alias("cc"),
         chip_id(F.concat(F.lit("E"), F.col("ev").cast("string")), "r", "c").alias("chip_id"))
-    inside = (
-        (F.col("r") >= F.col("cr") - low) & (F.col("r") < F.col("cr") - low + win)
-        & (F.col("c") >= F.col("cc") - low) & (F.col("c") < F.col("cc") - low + win))
-    cut = cells.join(small_side(boxes), "ev").filter(inside)
+    block = max(64, win)
+    spread = R.boxes_in_blocks(boxes.withColumns({
+        "r0": F.col("cr") - low, "c0": F.col("cc") - low, "r1": F.col("cr") - low + win, "c1": F.col("cc") - low + win}), block).alias("s")
+    x = cells.select("*", *R.block_of("r", "c", block)).alias("x")
+    cut = x.join(spread, (F.col("x.ev") == F.col("s.ev")) & R.inside_box("x", "s")).select("x.*", "s.rank", "s.cr", "s.cc", "s.chip_id")
     stats = L.burn_chip_gate(L.burn_chip_statistics(cut))
     return boxes.select("chip_id", "ev", "rank").join(stats, "chip_id")

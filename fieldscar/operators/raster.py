@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from ..session import cut_lineage, small_side
+from ..session import cut_lineage
 
 CELL = ["r", "c"]
 
@@ -215,24 +215,44 @@ def box_density(grid: DataFrame, by: list[str], value: str, win: int, block: int
     return summed.withColumn("density", F.col("density") / (win * win))
 
 
+def block_of(r: str, c: str, block: int) -> list[Column]:
+    return [F.floor(F.col(r) / block).alias("br"), F.floor(F.col(c) / block).alias("bc")]
+
+
+def boxes_in_blocks(boxes: DataFrame, block: int) -> DataFrame:
+    """One row per block that a half-open box (r0, c0, r1, c1) meets."""
+    span = lambda a, b: F.sequence(F.floor(F.col(a) / block), F.floor((F.col(b) - 1) / block))
+    return boxes.withColumn("br", F.explode(span("r0", "r1"))).withColumn("bc", F.explode(span("c0", "c1")))
+
+
+def inside_box(cell: str, box: str) -> Column:
+    """Whether a cell (r, c, br, bc) lies in a box in blocks, for joins of the two aliases."""
+    x, s = (lambda n: F.col(f"{cell}.{n}")), (lambda n: F.col(f"{box}.{n}"))
+    return ((x("br") == s("br")) & (x("bc") == s("bc")) & (x("r") >= s("r0")) & (x("r") < s("r1"))
+            & (x("c") >= s("c0")) & (x("c") < s("c1")))
+
+
 def pick_centres(density: DataFrame, shape: DataFrame, by: str, win: int, k: int = 5) -> DataFrame:
     """Up to ``k`` window centres per event: highest density first, each pick suppressing the square
     [r - win, r + win) around it; row-major order on ties; windows may not leave the grid.
 
-    ``shape``: by, height, width. The open cells are written once and read in every round; a round
-    reduces to one row per event inside each task, and the picks so far are one row per event.
+    ``shape``: by, height, width. The open cells are written once and read in every round. Cells meet
+    the squares of the picks by event and block, so a large event is spread over its blocks.
     """
-    m = win // 2
+    m, block = win // 2, max(64, win)
     inside = cut_lineage(density.join(shape, by).filter(
         (F.col("density") > 0) & (F.col("r") >= m) & (F.col("r") < F.col("height") - m)
         & (F.col("c") >= m) & (F.col("c") < F.col("width") - m)
-    ).select(by, *CELL, "density"))
-    taken = F.exists("picks", lambda p: (F.col("r") >= p["r"] - win) & (F.col("r") < p["r"] + win)
-                     & (F.col("c") >= p["c"] - win) & (F.col("c") < p["c"] + win))
+    ).select(by, *CELL, "density", *block_of("r", "c", block)))
     pick = F.max_by(F.struct("r", "c", "density"), F.struct(F.col("density"), -F.col("r"), -F.col("c"))).alias("_p")
     picks = cut_lineage(inside.groupBy(by).agg(pick).select(by, F.array("_p").alias("picks")))
     for _ in range(k - 1):
-        best = inside.join(small_side(picks), by).filter(~taken).groupBy(by).agg(pick)
+        squares = boxes_in_blocks(picks.select(by, F.explode("picks").alias("p")).select(
+            by, (F.col("p.r") - win).alias("r0"), (F.col("p.c") - win).alias("c0"),
+            (F.col("p.r") + win).alias("r1"), (F.col("p.c") + win).alias("c1")), block).alias("s")
+        x = inside.alias("x")
+        hit = (F.col(f"x.{by}") == F.col(f"s.{by}")) & inside_box("x", "s")
+        best = x.join(squares, hit, "left_anti").groupBy(by).agg(pick)
         grown = F.when(F.col("_p").isNull(), F.col("picks")).otherwise(F.concat("picks", F.array("_p")))
         picks = cut_lineage(picks.join(best, by, "left").select(by, grown.alias("picks")))
     return picks.select(by, F.posexplode("picks").alias("_at", "_p")).select(

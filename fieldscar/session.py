@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,7 +29,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
+    elif context.master == "local" or context.master.startswith("local["):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="fieldscar-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
@@ -39,12 +39,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from the files."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-BROADCAST_ROWS = 100_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a narrow join side once its row count is known to be small; a larger side
-    stays a shuffle join. ``df`` should be cheap to count (a checkpoint)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
