@@ -29,8 +29,10 @@ def news_floods(raw: DataFrame, start_year: int = 2020, year_min: int = 2020, ye
     """News floods in scope as candidates. The filters read scalar columns only, so the rings of
     dropped rows are never decoded past the scan."""
     year = F.substring("start_date", 1, 4).try_cast("int")
+    first = max(start_year, year_min)
+    pushed = (F.col("start_date") >= f"{first:04d}") & (F.col("start_date") < f"{year_max + 1:04d}")  # reaches the scan
     kept = raw.filter(
-        year.between(max(start_year, year_min), year_max) & F.col("area_km2").between(area_min, area_max))
+        pushed & year.between(first, year_max) & F.col("area_km2").between(area_min, area_max))
     return _boxed(kept).select(
         news_event_id("uuid").alias("event_id"), F.lit("groundsource").alias("source"),
         lenient_date("start_date").alias("date_start"), lenient_date("end_date").alias("date_end"),
@@ -116,10 +118,16 @@ def parse_documents(lines: DataFrame, schema: str, text: str = "value") -> tuple
     return parsed.filter(~bad).select(*keep, "_doc.*").drop("_bad"), parsed.filter(bad).select(*lines.columns)
 
 
-def read_sidecars(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(readable sidecars, unreadable files); one JSON document per file under ``path``/*/."""
-    files = spark.read.text(f"{path}/*/*.json", wholetext=True).withColumn("path", F.input_file_name())
-    return parse_documents(files, schema)
+def read_sidecars(spark: SparkSession, path: str, schema: str, whole_files: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(readable sidecars, unreadable texts) of all JSON files below ``path``: one document per line, or
+    one per file with ``whole_files``, where text after the document makes the file unreadable."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=whole_files)
+    texts = files.filter(F.trim("value") != "").withColumn("path", F.input_file_name())
+    if not whole_files:
+        return parse_documents(texts, schema)
+    single = F.coalesce(F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]"))) == 1, F.lit(False))
+    good, bad = parse_documents(texts.filter(single), schema)
+    return good, bad.unionByName(texts.filter(~single))
 
 
 def read_chips(spark: SparkSession, path: str, schema: str, event: str | None = None,

@@ -75,8 +75,19 @@ def documents(df: DataFrame, body: Column) -> DataFrame:
     return df.select("event_id", "chip_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("document"))
 
 
-def write_sidecars(sidecars: DataFrame, path: str) -> None:
-    sidecars.write.mode("overwrite").partitionBy("event_id").option("ignoreNullFields", False).json(path)
+FOLDERS, ROWS_PER_FILE = 64, 20_000
+
+
+def in_folders(df: DataFrame, *order: str, folders: int = FOLDERS) -> DataFrame:
+    """``df`` with a column ``part``, one of ``folders`` hash buckets of the first ``order`` column, ranged by
+    part and order: a bounded number of folders, and neighbours in one file."""
+    return df.withColumn("part", F.pmod(F.xxhash64(order[0]), F.lit(folders)).cast("int")).repartitionByRange("part", *order)
+
+
+def write_sidecars(sidecars: DataFrame, path: str, folders: int = FOLDERS) -> None:
+    """One document per line; the documents keep all their columns, the folder is a hash of the event."""
+    in_folders(sidecars, "event_id", "chip_id", folders=folders).write.mode("overwrite").partitionBy("part").option(
+        "maxRecordsPerFile", ROWS_PER_FILE).option("ignoreNullFields", False).json(path)
 
 
 def series_rows(series: DataFrame) -> DataFrame:
@@ -85,8 +96,8 @@ def series_rows(series: DataFrame) -> DataFrame:
 
 
 def write_series(series: DataFrame, path: str) -> None:
-    series_rows(series).write.mode("overwrite").partitionBy(
-        "ev").option("header", True).csv(path)
+    in_folders(series_rows(series), "ev", "overpass_day").write.mode("overwrite").partitionBy("part").option(
+        "maxRecordsPerFile", ROWS_PER_FILE).option("header", True).csv(path)
 
 
 def image_order(raster: str = "raster") -> Column:
@@ -106,7 +117,7 @@ def label_bytes(cells: DataFrame) -> DataFrame:
 
 
 def write_labels(cells: DataFrame, path: str) -> None:
-    label_bytes(cells).write.mode("overwrite").partitionBy("ev").parquet(path)
+    in_folders(label_bytes(cells), "ev", "r", "c").write.mode("overwrite").partitionBy("part").parquet(path)
 
 
 def new_ids(ids: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -140,4 +151,4 @@ def write_batches(events: DataFrame, path: str, existing: DataFrame | None = Non
 
 def write_release(master: DataFrame, chips: DataFrame, path: str) -> None:
     master.write.mode("overwrite").parquet(f"{path}/events_master")
-    chips.write.mode("overwrite").partitionBy("event_id").parquet(f"{path}/chips")
+    in_folders(chips, "event_id", "chip_id").write.mode("overwrite").partitionBy("part").parquet(f"{path}/chips")

@@ -67,19 +67,41 @@ def test_news_and_archive_scans(spark, tmp_path):
     assert row.date_end == row.date_start
 
 
-def test_sidecars_skip_unreadable_files(spark, tmp_path):
-    for name, text in (("a", '{"chip_id": "a", "n": 1}'), ("b", "{broken")):
+DOCUMENT = "event_id string, chip_id string, n int, phenology struct<stage:string>"
+
+
+def test_sidecars_survive_the_round_trip(spark, tmp_path):
+    rows = [(f"e{i % 7}", f"c{i}", i, None if i % 3 else ("late",)) for i in range(60)]
+    K.write_sidecars(spark.createDataFrame(rows, DOCUMENT), str(tmp_path / "s"), folders=2)
+    assert len(list((tmp_path / "s").glob("part=*"))) == 2
+    good, bad = S.read_sidecars(spark, str(tmp_path / "s"), DOCUMENT)
+    back = sorted((r.event_id, r.chip_id, r.n, r.phenology and tuple(r.phenology)) for r in good.collect())
+    assert back == sorted(rows) and bad.count() == 0
+    line = json.loads(spark.read.text(str(tmp_path / "s")).filter("value like '%\"c1\"%'").first().value)
+    assert line == {"event_id": "e1", "chip_id": "c1", "n": 1, "phenology": None}
+
+
+def test_unreadable_sidecars_are_counted(spark, tmp_path):
+    texts = {"a": '{"chip_id": "a", "n": 1}', "b": "{broken", "c": '{"chip_id": "c"}\n{"chip_id": "d"}', "d": '{\n"chip_id": "e"\n}'}
+    for name, text in texts.items():
         (tmp_path / "ev").mkdir(exist_ok=True)
         (tmp_path / "ev" / f"{name}.json").write_text(text)
+    good, bad = S.read_sidecars(spark, str(tmp_path), "chip_id string, n int", whole_files=True)
+    assert sorted(r.chip_id for r in good.collect()) == ["a", "e"] and bad.count() == 2
+    (tmp_path / "ev" / "d.json").unlink()
     good, bad = S.read_sidecars(spark, str(tmp_path), "chip_id string, n int")
-    assert [r.chip_id for r in good.collect()] == ["a"] and bad.count() == 1
-
-
-def test_sidecar_sink_keeps_null_blocks(spark, tmp_path):
-    df = spark.createDataFrame([Row(event_id="e", chip_id="c", phenology=None)], "event_id string, chip_id string, phenology string")
-    K.write_sidecars(df, str(tmp_path / "s"))
-    line = spark.read.text(str(tmp_path / "s")).first().value
-    assert json.loads(line) == {"chip_id": "c", "phenology": None}
+    assert sorted(r.chip_id for r in good.collect()) == ["a", "c", "d"] and bad.count() == 1
+
+
+def test_news_years_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([("u", 50.0, f"{y}-05-01", f"{y}-05-02", [[(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]) for y in (2019, 2020, 2026, 2027)],
+                          S.NEWS_SCHEMA).write.parquet(str(tmp_path / "n"))
+    df = S.news_floods(S.read_news(spark, str(tmp_path / "n")))
+    assert sorted(r.year for r in df.collect()) == [2020, 2026]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = S.news_floods(S.read_news(spark, str(tmp_path / "n")))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(start_date,2020)" in plan and "LessThan(start_date,2027)" in plan
 
 
 def test_ledger_grows_once(spark, tmp_path):
