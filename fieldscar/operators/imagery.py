@@ -122,6 +122,7 @@ def optical_record(date, clear_frac, n_scenes, path, bands) -> Column:
         F.array(*[F.lit(b) for b in bands]).alias("bands"))
 
 
+# Fixed value: a note of the published documents.
 RADAR_NOTE = ("no Sentinel-1 IW VV+VH acquisition over this AOI in the pre and/or post window "
               "(genuine SAR coverage gap)")
 

@@ -226,7 +226,8 @@ def with_near_head(df: DataFrame, heads: DataFrame, condition: Column) -> DataFr
 def seen_before(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> DataFrame:
     """Flag rows with an earlier row (smaller ``seq``) close in space and time.
 
-    Rows that are not the head of their block have one by construction; only heads are tested.
+    Rows that are not the head of their block have one by construction; only heads are tested. All
+    rows stand on the left of an inner join, whose hot blocks AQE can split; a row meets a bounded number of heads.
     """
     blocked = with_block(df, km, days)
     heads = block_heads(blocked)
@@ -237,7 +238,7 @@ def seen_before(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) ->
         (F.col("x.band") == F.col("h.near_band")) & (F.col("x.strip") == F.col("h.near_strip"))
         & (F.col("x.slot") == F.col("h.near_slot")) & earlier
     )
-    hit = h.join(x, same, "left_semi").select("seq").distinct().withColumn("_hit", F.lit(True))
+    hit = x.join(h, same).select("h.seq").distinct().withColumn("_hit", F.lit(True))
     fresh = heads.join(hit, "seq", "left_anti").select("seq").withColumn("_fresh", F.lit(True))
     return (
         df.join(fresh, "seq", "left").withColumn("seen", F.col("_fresh").isNull()).drop("_fresh")

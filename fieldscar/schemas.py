@@ -1,4 +1,4 @@
-"""Fixed column lists and types of the published tables (order is part of the format)."""
+"""Column lists and types of the published tables (order is part of the format)."""
 
 from __future__ import annotations
 

@@ -9,6 +9,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import compare  # noqa: E402
 from compare import entry  # noqa: E402
 
+from fieldscar.plans.registry import QUERIES  # noqa: E402
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -17,7 +19,7 @@ def tables():
     return compare.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, tables, name):
     result = compare.compare(spark, tables, FOLDER, name)
     assert result.startswith(("ok", "rows-only")) and "TYPES" not in result, result
