@@ -57,16 +57,30 @@ def cycle_medians(scored: DataFrame) -> DataFrame:
         F.percentile(F.when(F.col("name") == d, F.col("value")), F.lit(0.5), F.col("n")).alias(d) for d in DATES])
 
 
+def _totals(value: str):
+    """Weight per distinct ``value`` of the votes ``v``, by value."""
+    kinds = F.array_sort(F.array_distinct(F.transform("v", lambda x: x[value])))
+    return F.transform(kinds, lambda k: F.struct(k.alias(value), F.aggregate(
+        F.filter("v", lambda x: x[value] == k), F.lit(0.0), lambda a, x: a + x["weight"]).alias("w")))
+
+
+def _heaviest(totals: str, value: str):
+    """The entry with the largest weight, of equal ones the smallest value."""
+    return F.element_at(F.array_sort(F.transform(totals, lambda x: F.struct(
+        (-x["w"]).alias("lightness"), x[value].alias(value), x["w"].alias("w")))), 1)
+
+
 def chip_stages(scored: DataFrame) -> DataFrame:
     """Majority stage, agreement, shares, winning cycle, its transition dates and the pixel total."""
     # at most 4 stages x 5 cycle codes per chip: everything below works on this small table
     votes = cell_stages(scored).groupBy("chip_id", "stage", "code").agg(F.sum("weight").alias("weight"))
-    shares = weighted_counts(votes, "stage").groupBy("chip_id").agg(
-        F.sum("w").alias("total"), F.max("w").alias("top"),
-        F.max_by("stage", F.struct(F.col("w"), -F.col("stage"))).alias("dominant_stage"),
-        F.array_sort(F.collect_list(F.struct("stage", "w"))).alias("per_stage"))
-    cycles = dominant(weighted_counts(votes.filter("code > 0"), "code"), "code", "code")
-    out = shares.join(cycles, "chip_id", "left").join(cycle_medians(scored), ["chip_id", "code"], "left")
+    per_chip = votes.groupBy("chip_id").agg(F.collect_list(F.struct("stage", "code", "weight")).alias("v"))
+    shares = per_chip.withColumns({"per_stage": _totals("stage"), "per_code": F.filter(_totals("code"), lambda x: x["code"] > 0)})
+    shares = shares.withColumns({
+        "total": F.aggregate("per_stage", F.lit(0.0), lambda a, x: a + x["w"]), "stage_max": _heaviest("per_stage", "stage"),
+        "code": _heaviest("per_code", "code")["code"]}).withColumns(
+        {"dominant_stage": F.col("stage_max.stage"), "top": F.col("stage_max.w")})
+    out = shares.join(cycle_medians(scored), ["chip_id", "code"], "left")
     share = lambda w: F.bround(w / F.col("total"), 3)
     return out.select(
         "chip_id", G.stage_name("dominant_stage").alias("stage"), share(F.col("top")).alias("stage_agreement"),

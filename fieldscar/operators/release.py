@@ -46,12 +46,13 @@ def released_chips(chips: DataFrame, excluded: DataFrame) -> DataFrame:
 def summary(chips: DataFrame) -> DataFrame:
     """Per hazard and region (and their totals): events, chips, and shares with both radar images,
     all images usable and a growth stage."""
-    share = lambda c: F.bround(100.0 * F.count_if(c) / F.count("*"), 1)
-    return chips.cube("hazard", "continent").agg(
-        F.count_distinct("event_id").alias("events"), F.count("*").alias("chips"),
-        F.bround(F.count("*") / F.count_distinct("event_id"), 1).alias("chips_per_event"),
-        share("has_s1").alias("pct_radar"), share("usable").alias("pct_usable"),
-        share(F.col("stage").isNotNull()).alias("pct_stage"))
+    per_event = chips.groupBy("hazard", "continent", "event_id").agg(
+        F.count("*").alias("n"), F.count_if("has_s1").alias("radar"), F.count_if("usable").alias("usable"), F.count("stage").alias("stage"))
+    share = lambda c: F.bround(100.0 * F.sum(c) / F.sum("n"), 1)
+    return per_event.cube("hazard", "continent").agg(
+        F.count_distinct("event_id").alias("events"), F.sum("n").alias("chips"),
+        F.bround(F.sum("n") / F.count_distinct("event_id"), 1).alias("chips_per_event"),
+        share("radar").alias("pct_radar"), share("usable").alias("pct_usable"), share("stage").alias("pct_stage"))
 
 
 def distributions(chips: DataFrame) -> DataFrame:
