@@ -113,12 +113,16 @@ def clearest_scene(targets: DataFrame, scenes: DataFrame, first: int, last: int)
     return clearest_in_window(targets, scenes.filter("covers"), first, last)
 
 
+def _path(path) -> Column:
+    return (path if isinstance(path, Column) else F.col(path)).alias("path")
+
+
 def optical_record(date, clear_frac, n_scenes, path, bands) -> Column:
     """Sidecar entry of an optical image; a NULL clear share is 0."""
     return F.struct(
         F.date_format(date, "yyyy-MM-dd").alias("date"),
         F.bround(F.coalesce(F.col(clear_frac), F.lit(0.0)), 4).alias("clear_frac"),
-        F.col(n_scenes).cast("long").alias("n_scenes"), F.col(path).alias("path"),
+        F.col(n_scenes).cast("long").alias("n_scenes"), _path(path),
         F.array(*[F.lit(b) for b in bands]).alias("bands"))
 
 
@@ -134,6 +138,6 @@ def radar_note(n_pre, n_post) -> Column:
 def radar_record(n_scenes, date, path, direction, orbit, bands) -> Column:
     """Sidecar entry of a radar image, NULL when its window has no scene."""
     return F.when(F.coalesce(F.col(n_scenes), F.lit(0)) > 0, F.struct(
-        F.date_format(date, "yyyy-MM-dd").alias("date"), F.col(path).alias("path"),
+        F.date_format(date, "yyyy-MM-dd").alias("date"), _path(path),
         F.col(direction).alias("pass"), F.col(orbit).alias("rel_orbit"),
         F.array(*[F.lit(b) for b in bands]).alias("bands")))

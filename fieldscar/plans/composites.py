@@ -217,3 +217,51 @@ def _(t):
     master = release.master_events(batched_events(t), chips)
     return master.groupBy("batch_no").agg(
         F.count("*").alias("events"), F.sum("n_chips").alias("chips"), F.sum("n_chips_imaged").alias("imaged"))
+
+
+BURN_CHIP = {  # inputs of the burn document, the same expression on both sides
+    "chip_id": "CONCAT('MC', CAST(ev AS STRING), '_r0000_c0000')", "rank": "CAST(ev % 5 AS INT)", "tier": "CASE WHEN ev % 2 = 0 THEN 'A' ELSE 'B' END",
+    "continent": "CASE WHEN ev % 3 = 0 THEN 'Africa' ELSE 'Asia' END", "country": "CASE WHEN ev % 4 > 0 THEN 'X' END", "place": "'P'",
+    "burn_km2": "area_km2", "modis_frac": "half_deg", "viirs_frac": "half_deg / CAST(2 AS DOUBLE)", "af_count": "dur_days",
+    "event_date_start": "date_start", "event_date_end": "CAST(date_start + dur_days AS DATE)", "epsg": "CAST(32600 + ev % 60 + 1 AS INT)", "res_m": "10", "size": "512",
+    "burn_severity_mean": "CASE WHEN ev % 6 > 0 THEN half_deg * CAST(5 AS DOUBLE) END", "cropland_frac": "half_deg", "burned_crop_px": "CAST(ev % 5000 AS BIGINT)",
+    "label_px": "CAST(262144 AS BIGINT)", "excluded_px": "CAST(ev % 7 AS BIGINT)", "cropland_px": "CAST(ev % 100 AS BIGINT)",
+    "min_lon": "lon", "min_lat": "lat", "max_lon": "lon + half_deg", "max_lat": "lat + half_deg",
+    "s2_pre_date": "CAST(date_start - 9 AS DATE)", "s2_pre_clear": "CASE WHEN ev % 8 > 0 THEN half_deg END", "s2_pre_n": "n_indep",
+    "s2_post_date": "CAST(date_start + 9 AS DATE)", "s2_post_clear": "half_deg", "s2_post_n": "n_indep + 1",
+    "s1_pre_n": "n_indep", "s1_pre_date": "CAST(date_start - 3 AS DATE)", "s1_pre_pass": "'ASCENDING'", "s1_pre_orbit": "dur_days",
+    "s1_post_n": "CAST(ev % 2 AS INT)", "s1_post_date": "CAST(date_start + 3 AS DATE)", "s1_post_pass": "'DESCENDING'", "s1_post_orbit": "dur_days + 1",
+    "s2_pre_first": "CAST(date_start - 60 AS DATE)", "s2_pre_last": "CAST(date_start - 1 AS DATE)",
+    "s2_post_first": "CAST(date_start + 1 AS DATE)", "s2_post_last": "CAST(date_start + 60 AS DATE)",
+    "has_s2_pre": "ev % 9 > 0", "has_s2_post": "true", "has_s1_pre": "n_indep > 0", "has_s1_post": "ev % 2 = 1", "observed_frac": "half_deg"}
+BURN_CHIP_SQL = "SELECT ev, event_id, source, n_indep, " + ", ".join(f"{v.replace('STRING', 'VARCHAR')} AS {k}" for k, v in BURN_CHIP.items()) + " FROM fx_candidates"
+_DAY = "STRFTIME({}, '%Y-%m-%d')".format
+_R = "round_even({}, {})".format
+
+
+@query("u6_burn_sidecar", f"""SELECT chip_id, event_id, CAST(rank + 1 AS INT) AS rank, source, tier, continent, country, place, 'MCD64A1 burned-area clustering (GlobFire method)' AS origin,
+  'MODIS MCD64A1,VIIRS VNP64A1,VIIRS VNP14A1 active fire' AS confirmed_by, n_indep AS n_independent, burn_km2, modis_frac, viirs_frac, af_count AS active_fire_px,
+  {_DAY('event_date_start')} AS event_date_start, {_DAY('event_date_end')} AS event_date_end, 'EPSG:' || epsg AS crs, event_id || '/' || chip_id || '_label.tif' AS label_path,
+  {_R('COALESCE(burn_severity_mean, 0)', 2)} AS burn_severity_mean, {_R('cropland_frac', 4)} AS cropland_frac, {_R('burned_crop_px / 262144.0::DOUBLE', 4)} AS burned_crop_frac, burned_crop_px,
+  {_R('excluded_px / CAST(GREATEST(cropland_px, 1) AS DOUBLE)', 4)} AS excluded_crop_frac, {_R('min_lon', 6)} AS min_lon, {_R('max_lat', 6)} AS max_lat,
+  {_DAY('s2_pre_date')} AS s2_date, {_R('COALESCE(s2_pre_clear, 0)', 4)} AS s2_clear, CAST(s2_post_n AS BIGINT) AS s2_post_n, event_id || '/' || chip_id || '_s2_post.tif' AS s2_post_path,
+  CASE WHEN s1_pre_n > 0 THEN {_DAY('s1_pre_date')} END AS s1_date, CASE WHEN s1_pre_n > 0 THEN 'ASCENDING' END AS s1_pass, CASE WHEN s1_post_n > 0 THEN s1_post_orbit END AS s1_post_orbit,
+  CASE WHEN s1_pre_n = 0 OR s1_post_n = 0 THEN 'no Sentinel-1 IW VV+VH acquisition over this AOI in the pre and/or post window (genuine SAR coverage gap)' END AS s1_note,
+  {_DAY('s2_pre_first')} || ',' || {_DAY('s2_pre_last')} AS pre_window, {_DAY('s2_post_first')} || ',' || {_DAY('s2_post_last')} AS post_window,
+  has_s2_pre AND has_s1_pre AND has_s1_post AS all_ok, CASE WHEN has_s1_post THEN 'ok' ELSE 'missing' END AS s1_post,
+  CASE WHEN has_s2_pre AND has_s1_pre AND has_s1_post AND observed_frac > 0.5 THEN 'clean' ELSE 'check' END AS verdict FROM ({BURN_CHIP_SQL})""")
+def _(t):
+    from ..operators.sidecars import burn_sidecar
+    rows = t.candidates.selectExpr("ev", "event_id", "source", "n_indep", "area_km2", "half_deg", "dur_days", "lon", "lat", "date_start").selectExpr(
+        "event_id", "source", "n_indep", *[f"{v} AS {k}" for k, v in BURN_CHIP.items()])
+    d = rows.select(burn_sidecar().alias("d")).select("d.*")
+    i, joined = "imagery", lambda c: F.array_join(c, ",")
+    return d.select(
+        "chip_id", "event_id", "rank", "source", "tier", "continent", "country", "place", "provenance.origin", joined("provenance.confirmed_by").alias("confirmed_by"),
+        "provenance.n_independent", "provenance.burn_km2", "provenance.modis_frac", "provenance.viirs_frac", "provenance.active_fire_px",
+        "event_date_start", "event_date_end", "crs", "label_path", "burn_severity_mean", "cropland_frac", "burned_crop_frac", "burned_crop_px",
+        "excluded_crop_frac", "min_lon", "max_lat", F.col(f"{i}.s2_pre.date").alias("s2_date"), F.col(f"{i}.s2_pre.clear_frac").alias("s2_clear"),
+        F.col(f"{i}.s2_post.n_scenes").alias("s2_post_n"), F.col(f"{i}.s2_post.path").alias("s2_post_path"), F.col(f"{i}.s1_pre.date").alias("s1_date"),
+        F.col(f"{i}.s1_pre.pass").alias("s1_pass"), F.col(f"{i}.s1_post.rel_orbit").alias("s1_post_orbit"), f"{i}.s1_note",
+        joined(f"{i}.s2_pre_window").alias("pre_window"), joined(f"{i}.s2_post_window").alias("post_window"), F.col("qc.all_rasters_ok").alias("all_ok"),
+        F.col("qc.rasters.s1_post").alias("s1_post"), "qc.verdict")
