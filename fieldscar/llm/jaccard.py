@@ -4,8 +4,8 @@ Two sets whose Jaccard similarity is at least t share a token among the first n
 under any global order of tokens, and at least l among the first n - ceil(t n) + l. First order: by hash, over
 all documents, with l a twentieth of the set; documents that lack enough shared tokens are out, the others
 form families of documents linked by shared tokens. Second order: by rarity inside a family; third: by another
-hash. Pairs that pass all are compared exactly. Families are cut to blocks, so no task holds more than
-``BLOCK`` members twice, and a task returns a spanning forest of its links, never all pairs.
+hash. Pairs that pass all are compared exactly. Families are cut to blocks, a task compares two of them and
+returns a spanning forest of its links, never all pairs.
 """
 
 from __future__ import annotations
@@ -142,22 +142,55 @@ def _rare_families(members: DataFrame, percent: int) -> DataFrame | None:
     return _families(_stars(stored(prefix.select("family", "t", "c")), ["family", "t"]))
 
 
-def _links(members: DataFrame, percent: int) -> DataFrame:
-    """Links (u > v) inside the families of ``members`` (family, c, n, tokens), block by block."""
-    sizes = members.groupBy("family").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("c", F.lit(3)), F.col("blocks")).cast("int")
-    placed = members.join(sizes, "family").withColumn("blocks", blocks).withColumn("own", own).select(
-        "family", "c", "tokens", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-
+def _compared(placed: DataFrame, percent: int) -> DataFrame:
+    """Links (u > v) inside each group (family, i, j) of ``placed`` (c, tokens), which holds two blocks at most."""
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c", ignore_index=True)
         c = pdf["c"].to_numpy()
         pairs = linked([np.asarray(t).view(np.uint64) for t in pdf["tokens"]], percent)
         return pd.DataFrame({"u": [c[i] for i, _ in pairs], "v": [c[j] for _, j in pairs]}, dtype="int64")
 
-    keyed = placed.select("family", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "c", "tokens")
-    return keyed.groupBy("family", "i", "j").applyInPandas(compare, "u bigint, v bigint").distinct()
+    return placed.select("family", "i", "j", "c", "tokens").groupBy("family", "i", "j").applyInPandas(compare, "u bigint, v bigint")
+
+
+def _in_blocks(members: DataFrame, name: str) -> DataFrame:
+    """``members`` with their hash block ``name`` and the family's number of blocks, ``name``_n."""
+    sizes = members.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"{name}_n"))
+    return members.join(sizes, "family").withColumn(name, F.pmod(F.xxhash64("c", F.lit(3)), F.col(f"{name}_n")).cast("int"))
+
+
+def _links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (u > v) that connect the components of the families of ``members`` (family, c, tokens).
+
+    Every block meets the first one. In families of more than two blocks, the sets that this leaves
+    outside the largest component meet all blocks; sets of one component need no further comparison.
+    """
+    placed = _in_blocks(members.select("family", "c", "tokens"), "b")
+    partners = F.when(F.col("b") == 0, F.sequence(F.lit(0), F.col("b_n") - 1)).otherwise(F.array("b"))
+    return _compared(placed.withColumns({"i": F.lit(0), "j": F.explode(partners)}), percent)
+
+
+def _links_of_large(members: DataFrame, percent: int) -> DataFrame:
+    first = cut_lineage(_links(members, percent).distinct())
+    joined = _families(first)
+    if joined is None:
+        first, rest = None, members.select("family", "c", "tokens")
+    else:
+        named = members.select("family", "c").join(joined.withColumnRenamed("family", "root"), "c", "left").withColumn(
+            "root", F.coalesce("root", "c"))
+        sizes = named.groupBy("family", "root").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("family").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
+        outside = stored(named.join(largest, "family").filter("root <> largest").select("c"))
+        rest = members.select("family", "c", "tokens").join(outside, "c")
+    rest = _in_blocks(rest, "r")
+    every = _in_blocks(members.select("family", "c", "tokens"), "b")
+    numbers = rest.groupBy("family").agg(F.first("r_n").alias("r_n"))
+    with_all = rest.join(every.groupBy("family").agg(F.first("b_n").alias("b_n")), "family").select(
+        "family", "c", "tokens", F.col("r").alias("i"), F.explode(F.sequence(F.lit(0), F.col("b_n") - 1)).alias("j"))
+    met = every.join(numbers, "family").select(
+        "family", "c", "tokens", F.explode(F.sequence(F.lit(0), F.col("r_n") - 1)).alias("i"), F.col("b").alias("j"))
+    second = _compared(with_all.unionByName(met), percent)
+    return second if first is None else first.unionByName(second)
 
 
 def _survivors(sets: DataFrame, sizes: DataFrame) -> DataFrame | None:
@@ -221,7 +254,7 @@ def _all_links(docs: DataFrame, worded: DataFrame, classes: DataFrame, k: int, p
     rare = _rare_families(in_large, percent)
     if rare is not None:
         again = in_large.select("c", "n", "tokens").join(rare, "c").select("family", "c", "n", "tokens")
-        links = links.unionByName(_links(again, percent))
+        links = links.unionByName(_links_of_large(stored(again), percent))
     return cut_lineage(links.filter("u > v").distinct())
 
 
