@@ -205,8 +205,10 @@ BLOCK = ["band", "strip", "slot"]
 
 
 def block_heads(df: DataFrame) -> DataFrame:
-    """The earliest row (smallest ``seq``) of every block."""
-    return first_per_group(df, BLOCK, [F.col("seq")])
+    """The earliest row (smallest ``seq``, which is unique) of every block, column by column, so that
+    fixed-width columns are aggregated by hash."""
+    rest = [F.min_by(c, "seq").alias(c) for c in df.columns if c not in (*BLOCK, "seq")]
+    return df.groupBy(*BLOCK).agg(F.min("seq").alias("seq"), *rest).select(*df.columns)
 
 
 def with_near_head(df: DataFrame, heads: DataFrame, condition: Column) -> DataFrame:

@@ -145,3 +145,35 @@ def test_cycle_is_idempotent(spark):
     assert names(still) == ["b", "c", "d"] and names(manifest) == ["a", "b"] and names(ledger) == ["c", "z"]
     again, manifest2, ledger2 = cycles.append_cycle(ids("a", "b", "c", "d"), manifest, ledger, log, ids("b"))
     assert names(again) == ["d"] and names(manifest2) == names(manifest) and names(ledger2) == names(ledger)
+
+
+def test_chip_lists_imagery_and_report(spark, tmp_path):
+    chips = spark.createDataFrame([("c1", "e1", None), ("c2", "e1", "x")], "chip_id string, event_id string, note string")
+    K.write_chip_lists(chips, str(tmp_path / "j"), str(tmp_path / "c"))
+    assert sorted(json.loads(r.value)["chip_id"] for r in spark.read.text(str(tmp_path / "j")).collect()) == ["c1", "c2"]
+    back = spark.read.option("header", True).csv(str(tmp_path / "c"))
+    assert back.columns == list(schemas.CHIP_LIST) and back.count() == 2
+    assert S.read_chips(spark, str(tmp_path / "j"), "chip_id string, event_id string, note string", "e1", 1).first().chip_id == "c1"
+    scenes = spark.createDataFrame([("c1", "2021-01-01", "2021-01-02", "s1_pre", ("p",)), ("c1", "2021-01-01", "2021-01-02", "s2_pre", None)],
+                                   "chip_id string, flood_start string, flood_end string, raster string, scene struct<path:string>")
+    K.write_imagery(scenes, str(tmp_path / "i"))
+    line, = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "i")).collect()]
+    assert line["chip_id"] == "c1" and line["imagery"]["s1_pre"] == {"path": "p"} and line["flood_end"] == "2021-01-02"
+    counters = spark.createDataFrame([(3, 1)], "events_processed long, failures long")
+    counts = spark.createDataFrame([("Asia", None, 2), (None, 2021, 2)], "continent string, year int, n long")
+    failures = spark.createDataFrame([("e9", "timeout")], "event_id string, error string")
+    K.write_report({"counters": K.report_rows(counters, counts), "failures": failures}, str(tmp_path / "r"))
+    rows = {(r.section, r.name): r.n for r in spark.read.json(str(tmp_path / "r" / "counters")).collect()}
+    assert rows == {("counters", "events_processed"): 3, ("counters", "failures"): 1, ("by_continent", "Asia"): 2, ("by_year", "2021"): 2}
+    assert spark.read.json(str(tmp_path / "r" / "failures")).first().error == "timeout"
+
+
+def test_release_and_cells_round_trip(spark, tmp_path):
+    master = spark.createDataFrame([("e1", 2), ("e2", 0)], "event_id string, n_chips int")
+    chips = spark.createDataFrame([("c1", "e1"), ("c2", "e1")], "chip_id string, event_id string")
+    K.write_release(master, chips, str(tmp_path / "rel"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "rel" / "events_master")).collect())) == [("e1", 2), ("e2", 0)]
+    back = spark.read.parquet(str(tmp_path / "rel" / "chips"))
+    assert sorted((r.chip_id, r.event_id) for r in back.collect()) == [("c1", "e1"), ("c2", "e1")]
+    spark.createDataFrame([(1, dt.date(2022, 8, d)) for d in (1, 2, 3)], "ev int, day date").write.parquet(str(tmp_path / "cells"))
+    assert S.read_cells(spark, str(tmp_path / "cells"), "2022-08-02", "2022-08-03").count() == 1
