@@ -6,17 +6,15 @@ columns of ``documents``. Between stages the documents are written as Parquet an
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldscar.llm.common import broadcast_if, table
+from fieldscar.llm.common import broadcast_if, remove, shared_folder, table
 from fieldscar.llm.decontamination import decontaminate
 from fieldscar.llm.jaccard import similar_documents
 from fieldscar.llm.packing import packed
 from fieldscar.llm.pii import mask_texts
 from fieldscar.llm.toxicity import toxicity
-from fieldscar.session import configure, cut_lineage, ensure_checkpoint_dir
+from fieldscar.session import configure, cut_lineage
 
 #: doc_ids up to which a list of them is broadcast; a longer one is joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -74,12 +72,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written to the shared folder and read again."""
-    ensure_checkpoint_dir(configure(spark))
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir.rstrip("/"), "documents")
+    """All stages over ``documents``; what a stage returns is written to the shared folder and read again,
+    and removed when its successor is written."""
+    folder = shared_folder(configure(spark), "pipeline")
+    docs, before = table(spark, sf_dir.rstrip("/"), "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir.rstrip("/")).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

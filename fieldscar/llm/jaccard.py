@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..operators.components import merge_labels
 from ..session import cut_lineage
-from .common import arrow_map, broadcast_if, register, stored, table
+from .common import Scratch, arrow_map, broadcast_if, register, table
 from .shingles import mix, shingle_sets
 
 SHINGLE_WORDS, PERCENT = 4, 85
@@ -130,7 +130,7 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return [(int(some[i]), int(some[label[i]])) for i in np.flatnonzero(label < np.arange(len(some)))]
 
 
-def _rare_families(members: DataFrame, percent: int) -> DataFrame | None:
+def _rare_families(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
     """Second order, for the members (family, c, n, tokens) of large families: sets linked by shared
     tokens of their rarity prefixes inside the family."""
     tokens = members.select("family", "c", "n", F.explode("tokens").alias("t"))
@@ -139,7 +139,7 @@ def _rare_families(members: DataFrame, percent: int) -> DataFrame | None:
     by_rarity = W.partitionBy("c").orderBy("df", "t")
     spare = F.expr(f"n - (({percent} * n + 99) div 100) + 1") - (F.col("n") - F.count("*").over(W.partitionBy("c")))
     prefix = shared.withColumn("spare", spare).withColumn("at", F.row_number().over(by_rarity)).filter("at <= spare")
-    return _families(_stars(stored(prefix.select("family", "t", "c")), ["family", "t"]))
+    return _families(_stars(scratch.stored(prefix.select("family", "t", "c")), ["family", "t"]))
 
 
 def _compared(placed: DataFrame, percent: int) -> DataFrame:
@@ -170,7 +170,7 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
     return _compared(placed.withColumns({"i": F.lit(0), "j": F.explode(partners)}), percent)
 
 
-def _links_of_large(members: DataFrame, percent: int) -> DataFrame:
+def _links_of_large(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     first = cut_lineage(_links(members, percent).distinct())
     joined = _families(first)
     if joined is None:
@@ -180,7 +180,7 @@ def _links_of_large(members: DataFrame, percent: int) -> DataFrame:
             "root", F.coalesce("root", "c"))
         sizes = named.groupBy("family", "root").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("family").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
-        outside = stored(named.join(largest, "family").filter("root <> largest").select("c"))
+        outside = scratch.stored(named.join(largest, "family").filter("root <> largest").select("c"))
         rest = members.select("family", "c", "tokens").join(outside, "c")
     rest = _in_blocks(rest, "r")
     every = _in_blocks(members.select("family", "c", "tokens"), "b")
@@ -193,13 +193,13 @@ def _links_of_large(members: DataFrame, percent: int) -> DataFrame:
     return second if first is None else first.unionByName(second)
 
 
-def _survivors(sets: DataFrame, sizes: DataFrame) -> DataFrame | None:
+def _survivors(sets: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame | None:
     """(c, family) of the sets (c, prefix) that pass the first order; ``sizes``: c, n."""
     tokens = sets.select("c", F.explode("prefix").alias("t"))
     common = tokens.groupBy("t").agg(F.count("*").alias("df")).filter("df > 1").select("t")
-    shared = stored(tokens.join(common, "t").select("c", "t"))
+    shared = scratch.stored(tokens.join(common, "t").select("c", "t"))
     enough = shared.groupBy("c").agg(F.count("*").alias("m")).join(sizes, "c").filter(F.expr("m >= (n + 19) div 20")).select("c")
-    return _families(_stars(stored(shared.join(cut_lineage(enough), "c")), ["t"]))
+    return _families(_stars(scratch.stored(shared.join(cut_lineage(enough), "c")), ["t"]))
 
 
 def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -210,11 +210,16 @@ def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PE
     is linked with nothing and has its own doc_id. Repeated rows each give a row; rows without a doc_id take
     part but never name a component that has one.
     """
-    sets = stored(token_sets(docs, k, percent))
+    with Scratch(docs.sparkSession) as scratch:
+        return _components(docs, k, percent, scratch)
+
+
+def _components(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    sets = scratch.stored(token_sets(docs, k, percent))
     worded = sets.filter("set_id is not null")
     # a class of equal sets goes by its first row
-    classes = stored(worded.groupBy("set_id").agg(F.min("row").alias("c"), F.min("doc_id").alias("head"), F.first("n").alias("n")))
-    links = _all_links(docs, worded, classes, k, percent)
+    classes = scratch.stored(worded.groupBy("set_id").agg(F.min("row").alias("c"), F.min("doc_id").alias("head"), F.first("n").alias("n")))
+    links = _all_links(docs, worded, classes, k, percent, scratch)
     roots = None if links is None else _families(links)
     named = classes.select("set_id", "c", "head")
     named = named.withColumn("root", F.col("c")) if roots is None else named.join(roots, "c", "left").withColumn(
@@ -223,15 +228,15 @@ def similar_documents(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PE
     by_class = named.join(smallest, "root").select("set_id", "component_id")
     found = worded.select("doc_id", "n", "set_id").join(by_class, "set_id").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return found.unionByName(sets.filter("set_id is null").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return cut_lineage(found.unionByName(sets.filter("set_id is null").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
 
 
-def _all_links(docs: DataFrame, worded: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame | None:
+def _all_links(docs: DataFrame, worded: DataFrame, classes: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame | None:
     """Links (u > v) that connect the classes of each component; None if there are none."""
     copies = cut_lineage(worded.select("row").join(classes.select(F.col("c").alias("row")), "row", "left_anti"))
     firsts = worded.select("row", "prefix").join(broadcast_if(copies, BROADCAST_ROWS), "row", "left_anti")
-    families = _survivors(firsts.select(F.col("row").alias("c"), "prefix"), classes.select("c", "n"))
+    families = _survivors(firsts.select(F.col("row").alias("c"), "prefix"), classes.select("c", "n"), scratch)
     if families is None:
         return None
     reps = cut_lineage(classes.join(families, "c").select(F.col("head").alias("rep"), F.col("set_id").alias("expected"), "c", "family"))
@@ -244,17 +249,17 @@ def _all_links(docs: DataFrame, worded: DataFrame, classes: DataFrame, k: int, p
         yield out
 
     texts = docs.select("doc_id", "text").join(broadcast_if(reps, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("rep")))
-    members = stored(  # rows that share a representative's doc_id but not its set are none of it
+    members = scratch.stored(  # rows that share a representative's doc_id but not its set are none of it
         arrow_map(texts.select("text", "expected", "c", "family"), "same boolean, c bigint, family bigint, n bigint, tokens array<bigint>", rows)
         .filter("same").drop("same"))
     large = members.groupBy("family").count().filter(F.col("count") > BLOCK).select("family")
     large = broadcast_if(cut_lineage(large), BROADCAST_ROWS)
     links = _links(members.join(large, "family", "left_anti"), percent)
     in_large = members.join(large, "family", "left_semi")
-    rare = _rare_families(in_large, percent)
+    rare = _rare_families(in_large, percent, scratch)
     if rare is not None:
         again = in_large.select("c", "n", "tokens").join(rare, "c").select("family", "c", "n", "tokens")
-        links = links.unionByName(_links_of_large(stored(again), percent))
+        links = links.unionByName(_links_of_large(scratch.stored(again), percent, scratch))
     return cut_lineage(links.filter("u > v").distinct())
 
 

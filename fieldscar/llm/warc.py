@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import cut_lineage, ensure_checkpoint_dir
-from .common import arrow_map, broadcast_if, register, table
+from ..session import cut_lineage
+from .common import arrow_map, broadcast_if, register, remove, shared_folder, table
 
 MIN_REVISIT_BYTES = 100
 #: A record ends with two line breaks, so this separator between rows makes a text file an archive.
@@ -54,8 +53,8 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         .agg(F.min(F.struct(F.col("key_value").isNull(), "key_value", "seq")).alias("head"), F.count("*").alias("copies"))
         .filter("copies > 1").select(F.col("digest").alias("d"), F.col("head.key_value").cast("string").alias("head_key"),
                                      F.col("head.seq").alias("head_seq"))
-    ).checkpoint()
-    repeated = broadcast_if(first, DIGESTS_TO_BROADCAST)
+    )
+    repeated = broadcast_if(cut_lineage(first), DIGESTS_TO_BROADCAST)
     named = rows.join(repeated, F.col("digest") == F.col("d"), "left").withColumn(
         "revisit", F.coalesce(F.col("seq") != F.col("head_seq"), F.lit(False)))
     urn = lambda kind, seq="seq": _urn(F.lit(kind), F.col(seq).cast("string"))
@@ -160,11 +159,12 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """)
 def op8_warc(spark, folder):
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/warc-{uuid.uuid4().hex}"
+    path = shared_folder(spark, "warc")
     write_archives(table(spark, folder, "pages"), path)
+    records = cut_lineage(read_archives(spark, path))
+    remove(spark, path)
     fields = F.col("metadata.fields")
-    return captures(cut_lineage(read_archives(spark, path))).select(
+    return captures(records).select(
         fields["page-id"].cast("long").alias("page_id"), fields["payload-bytes"].cast("long").alias("payload_bytes"),
         F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
         F.col("original_page").cast("long").alias("refers_to"))
