@@ -10,7 +10,7 @@ from ..functions.spectral import burn_present, fire_present, unmask_zero
 from ..session import cut_lineage
 from . import matching as M
 from .components import connected_components
-from .ranking import top_per_group
+from .ranking import ranked, top_per_group
 
 MIN_AREA_KM2, MAX_AREA_KM2, MIN_CROP_SHARE = 50.0, 20000.0, 0.15
 MIN_VERIFY_SHARE, MIN_ACTIVE_FIRES, VERIFY_PAD_DAYS, MIN_PATCH_CELLS = 0.20, 3, 45, 20
@@ -86,6 +86,13 @@ def fetch_per_cell(patches: DataFrame, cell: list[str], cap: int | None = None)
     return top_per_group(patches, cell, ["seq"], cap, "_fetched").drop("_fetched")
 
 
+def build_order(patches: DataFrame, regions: list[str], position: str) -> DataFrame:
+    """Add ``seq``, the turn of every patch: months first, then years, then regions in their order (one that is
+    not listed before all), then the ``position`` inside the cell."""
+    index = F.coalesce(F.array_position(F.array(*map(F.lit, regions)), F.col("continent")), F.lit(0)).cast("int")
+    return ranked(patches.withColumn("_region", index), [], ["month", "year", "_region", position], "seq").drop("_region")
+
+
 def accept_events(candidates: DataFrame, cell: list[str], per_cell: int = ACCEPTED_PER_CELL,
                   total: int | None = None, accepted: DataFrame | None = None) -> DataFrame:
     """Accept verified candidates in ``seq`` order: not close to an earlier accepted event and

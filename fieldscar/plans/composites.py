@@ -23,9 +23,14 @@ def _(t):
 
 
 # the sequential rule as a fixpoint: a row is settled once nothing earlier can change its fate
-ACCEPT_SQL = f"""WITH RECURSIVE g AS (SELECT ev AS seq, event_id, lon, lat, date_start - DATE '1970-01-01' AS day, MONTH(date_start) AS month, YEAR(date_start) AS year,
-    {BOXES_SQL} AS continent, half_deg, n_indep, dur_days FROM fx_candidates WHERE area_km2 BETWEEN 50 AND 20000 AND half_deg >= 0.15),
-  v AS (SELECT * FROM g WHERE half_deg >= 0.2 AND n_indep / 4.0 >= 0.2 AND dur_days >= 3),
+REGIONS = [name for name, _ in geo.CONTINENT_BOXES]
+EARLIER, WANTED = "ev % 97 = 5", 3000  # events of an earlier run, and how many new ones to accept
+ACCEPT_SQL = f"""WITH RECURSIVE g AS (SELECT ROW_NUMBER() OVER (ORDER BY month, year, COALESCE(LIST_POSITION({REGIONS}, continent), 0), ev) AS seq, * FROM (
+    SELECT ev, event_id, lon, lat, date_start - DATE '1970-01-01' AS day, MONTH(date_start) AS month, YEAR(date_start) AS year,
+    {BOXES_SQL} AS continent, half_deg, n_indep, dur_days FROM fx_candidates WHERE NOT ({EARLIER}) AND area_km2 BETWEEN 50 AND 20000 AND half_deg >= 0.15)),
+  old AS (SELECT lon AS olon, lat AS olat, date_start - DATE '1970-01-01' AS oday FROM fx_candidates WHERE {EARLIER}),
+  v AS (SELECT * FROM g WHERE half_deg >= 0.2 AND n_indep / 4.0 >= 0.2 AND dur_days >= 3
+    AND NOT EXISTS (SELECT 1 FROM old WHERE ABS(day - oday) <= 30 AND SQRT(POW((lon - olon) * 111 * COS(RADIANS(lat)), 2) + POW((lat - olat) * 111, 2)) <= 25)),
   near AS (SELECT *, FLOOR(day / 31) + UNNEST([-1, 0, 1]) AS k FROM v),
   e AS (SELECT a.seq AS i, b.seq AS j FROM v a JOIN near b ON b.k = FLOOR(a.day / 31) AND b.seq < a.seq AND ABS(a.day - b.day) <= 30
     AND SQRT(POW((a.lon - b.lon) * 111 * COS(RADIANS(a.lat)), 2) + POW((a.lat - b.lat) * 111, 2)) <= 25),
@@ -36,7 +41,7 @@ ACCEPT_SQL = f"""WITH RECURSIVE g AS (SELECT ev AS seq, event_id, lon, lat, date
       WINDOW w AS (PARTITION BY month, year, continent ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) c
     LEFT JOIN (SELECT e.i, BOOL_OR(s.st = 1) AS hit, BOOL_OR(s.st = 0) AS wait FROM e JOIN s ON s.seq = e.j GROUP BY e.i) h ON h.i = c.seq WHERE c.open > 0)
   SELECT event_id, s.seq, CAST(s.month AS INT) AS month, CAST(s.year AS INT) AS year, s.continent FROM s JOIN v USING (seq)
-  WHERE st = 1 AND step = (SELECT MAX(step) FROM s)"""
+  WHERE st = 1 AND step = (SELECT MAX(step) FROM s) ORDER BY s.seq LIMIT {WANTED}"""
 
 
 @query("u2_fire_acceptance", ACCEPT_SQL)
@@ -44,12 +49,14 @@ def _(t):
     seen = dedup_view(t).withColumnRenamed("seq", "ev")
     c = t.candidates.select("ev", "area_km2", "half_deg", "n_indep", "dur_days", "date_start", "event_id")
     patches = seen.join(c, "ev").withColumns({
-        "seq": F.col("ev"), "km2": F.col("area_km2"), "crop_frac": F.col("half_deg"), "doy_min": F.dayofyear("date_start"),
+        "km2": F.col("area_km2"), "crop_frac": F.col("half_deg"), "doy_min": F.dayofyear("date_start"),
         "modis_frac": F.col("half_deg"), "viirs_frac": F.col("n_indep") / 4.0, "af_count": F.col("dur_days"),
         "month": F.month("date_start"), "year": F.year("date_start"), "continent": geo.continent_of("lon", "lat")})
     cell = ["month", "year", "continent"]
-    verified = fire.confirmed(fire.patch_gates(patches)).select("seq", "event_id", "lon", "lat", "day", *cell)
-    return fire.accept_events(verified, cell).select("event_id", "seq", *cell)
+    in_turn = fire.build_order(fire.patch_gates(patches.filter(f"NOT ({EARLIER})")), REGIONS, "ev")
+    verified = fire.confirmed(in_turn).select("seq", "event_id", "lon", "lat", "day", *cell)
+    earlier = patches.filter(EARLIER).select("lon", "lat", "day")
+    return fire.accept_events(verified, cell, total=WANTED, accepted=earlier).select("event_id", "seq", *cell)
 
 
 @query("u3_sampled_events", VISIT_SQL + SCREENED_SQL + """, kept AS (SELECT * FROM k WHERE ok AND running <= 500)
