@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import KM_PER_DEGREE
 from . import spatial as S
-from .ranking import first_per_group
 
 SPAN_DAYS = 32
 
