@@ -216,7 +216,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             at += kind * each
         first_bin += times
     plan = spark.createDataFrame(places, "length bigint, rank_from bigint, rank_to bigint, each bigint, first_bin bigint, at bigint")
-    place = F.col("rank") - 1 - F.col("rank_from")
+    # a few patterns per length: as small as the histogram
     by_length = plan.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("rank_from", "rank_to", "each", "first_bin", "at"))).alias("plan"))
     found = ranked(cut, ["length"], ["row", "piece"]).join(F.broadcast(by_length), "length").withColumn(
         "p", F.filter("plan", lambda p: (F.col("rank") > p["rank_from"]) & (F.col("rank") <= p["rank_to"]))[0])
