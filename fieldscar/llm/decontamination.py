@@ -16,14 +16,15 @@ from ..session import cut_lineage
 from .common import broadcast_if, register, table
 
 WINDOW_WORDS, SHINGLE_WORDS = 10, 4
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts words, in lower-cased text; splitting at it is much faster than extracting words.
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Rows of a benchmark side up to which it is broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 
 def words(text: Column) -> Column:
     lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.coalesce(F.regexp_extract_all(lower, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(lower, BETWEEN_WORDS), ""), F.array().cast("array<string>"))
 
 
 def _shingles(w: Column, k: int) -> Column:
