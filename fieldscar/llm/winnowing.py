@@ -14,9 +14,9 @@ from ..session import cut_lineage
 from .common import broadcast_if, register, table
 
 GRAM, WINDOW = 8, 16
-#: A pick is one long: the complement of a 32-bit hash above a 31-bit position, so that the largest
-#: value is the smallest hash, and the rightmost of equal ones.
-POSITION = 1 << 31
+#: A pick is one long: the complement of a 32-bit hash above a 31-bit place, so that the largest
+#: value is the smallest hash, and the rightmost of equal ones. The place is that of the run's first byte, from 1.
+PLACES = 1 << 31
 HASHES = 1 << 32
 DOCS_PER_CELL = 512
 BROADCAST_GUESTS = 500_000
@@ -32,10 +32,10 @@ def with_picks(df: DataFrame, text: str, name: str, gram: int = GRAM, window: in
     df = df.withColumn("_runs", F.when(F.length(text) > 0, runs).otherwise(0))
 
     def values(codes: Column) -> Column:  # a lambda variable: a column would be copied for every run
-        def value(i):
-            run = F.substring(codes, i * 4 + 1, F.lit(4 * gram))
-            return (F.lit(HASHES - 1) - F.shiftrightunsigned(F.xxhash64(run), 32)) * F.lit(POSITION) + i
-        return F.transform(F.sequence(F.lit(0), F.col("_runs") - 1), value)
+        def value(place):
+            run = F.substring(codes, place, F.lit(4 * gram))
+            return F.xxhash64(run).bitwiseAND(F.lit((HASHES - 1) * PLACES)) + place
+        return F.transform(F.sequence(F.lit(1), F.col("_runs") * 4 - 3, F.lit(4)), value)
 
     # code points of four bytes each, so that a run is a slice at a known place
     codes = F.array(F.encode(text, "UTF-32"))
@@ -52,7 +52,8 @@ def with_picks(df: DataFrame, text: str, name: str, gram: int = GRAM, window: in
 def as_text(picks: Column) -> Column:
     """``hash@position`` (hexadecimal, decimal) of every pick, comma-joined."""
     one = lambda v: F.concat(
-        F.lower(F.hex(F.lit(HASHES - 1) - F.shiftright(v, 31))), F.lit("@"), v.bitwiseAND(F.lit(POSITION - 1)).cast("string"))
+        F.lower(F.hex(F.lit(HASHES - 1) - F.shiftright(v, 31))), F.lit("@"),
+        F.shiftright(v.bitwiseAND(F.lit(PLACES - 1)) - 1, 2).cast("string"))
     return F.concat_ws(",", F.transform(picks, one))
 
 

@@ -155,7 +155,7 @@ def plain_picks(text):
     if not text:
         return []
     runs = [text[i:i + k].encode("utf-32-be") for i in range(max(1, len(text) - k + 1))]
-    h = [xxhash.xxh64_intdigest(r, seed=42) >> 32 for r in runs]
+    h = [0xFFFFFFFF - (xxhash.xxh64_intdigest(r, seed=42) >> 31 & 0xFFFFFFFF) for r in runs]
     picks = []
     for i in range(max(1, len(h) - w + 1)):
         part = h[i:i + w]
