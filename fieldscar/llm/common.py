@@ -70,6 +70,20 @@ def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+_KEPT: dict = {}
+
+
+def worker_cache(key, make: Callable):
+    """``make()``, kept in this Python worker beyond its tasks until another key is asked for: a worker
+    that Spark reuses for the next operator holds nothing of the last one."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        if make is None:
+            return None
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def arrow_map(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], Iterator[dict]]) -> DataFrame:
     """``df`` mapped batch by batch: ``rows`` turns an Arrow batch into dicts of column lists."""
     from pyspark.sql.pandas.types import to_arrow_schema

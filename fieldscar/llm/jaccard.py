@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..operators.components import merge_labels
 from ..session import cut_lineage
-from .common import Scratch, arrow_map, broadcast_if, register, table
+from .common import Scratch, arrow_map, broadcast_if, register, table, worker_cache
 from .shingles import mix, shingle_sets
 
 SHINGLE_WORDS, PERCENT = 4, 85
@@ -38,6 +38,7 @@ def extra(n):
 def token_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Per row: row, doc_id, n, set_id (128 bits of the set; null for an empty one), prefix in the first order."""
     def rows(batch):
+        worker_cache("sets", None)
         out = {"row": batch.column(0), "doc_id": batch.column(1), "n": [], "set_id": [], "prefix": []}
         for s in shingle_sets(batch.column(2), k):
             n = len(s)
@@ -145,6 +146,7 @@ def _rare_families(members: DataFrame, percent: int, scratch: Scratch) -> DataFr
 def _compared(placed: DataFrame, percent: int) -> DataFrame:
     """Links (u > v) inside each group (family, i, j) of ``placed`` (c, tokens), which holds two blocks at most."""
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        worker_cache("sets", None)
         pdf = pdf.sort_values("c", ignore_index=True)
         c = pdf["c"].to_numpy()
         pairs = linked([np.asarray(t).view(np.uint64) for t in pdf["tokens"]], percent)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.ranking import ranked
 from ..session import cut_lineage
-from .common import arrow_map, register, table
+from .common import arrow_map, register, table, worker_cache
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -33,7 +33,6 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 #: A full stop or comma after a letter or digit, at the end of a word: always a token of its own.
 _WORD_END = re.compile(rb"(?<=[a-z0-9])(?=[.,](?:\s|\Z))")
-_CACHES: dict[str, WordCache] = {}
 
 
 class WordCache:
@@ -56,9 +55,7 @@ class WordCache:
     @staticmethod
     def shared(path: str) -> WordCache:
         """The cache of this Python worker, which outlives its tasks."""
-        if path not in _CACHES:
-            _CACHES[path] = WordCache(path)
-        return _CACHES[path]
+        return worker_cache(path, lambda: WordCache(path))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_WORD_END.sub(b" ", t.encode().lower()).split() for t in texts]  # bytes.lower: ASCII only

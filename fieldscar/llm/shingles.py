@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at a time; a longer text is taken alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

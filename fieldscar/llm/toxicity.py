@@ -13,10 +13,13 @@ import re
 import uuid
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import arrow_map, broadcast_if, register, table
+from .common import arrow_map, broadcast_if, register, table, worker_cache
 
 DEPTH = 8
 DISCOUNT = 0.75
@@ -30,12 +33,12 @@ PRIOR_WORDS = 20.0
 #: Entries up to which the model is sent to every task; beyond, documents' words are joined with it.
 BROADCAST_ENTRIES = 2_000_000
 BROADCAST_LABELS = 4_000_000
+CACHED_WORDS = 200_000
 BINS_PER_UNIT, MAX_BINS = 2000, 10_000
 FOLDS, HELD_FOLD = 5, 0
 END = "$"
 
 _WORD = re.compile(r"[^\W\d_]+")
-_LOADED: dict = {}
 
 
 def fold(key: Column, folds: int) -> Column:
@@ -88,28 +91,40 @@ def fit(counts: DataFrame) -> DataFrame:
         "prefix", F.log(of("n_tox", "c_tox", "t_tox") / of("n_ord", "c_ord", "t_ord")).alias("llr"))
 
 
-def _evidence(word: str, model: dict[str, float]) -> float:
-    return max(0.0, sum(model.get(word[:k], 0.0) for k in range(1, len(word) + 1)) - MARGIN)
+class _Weights:
+    """Evidence of word beginnings from the model as two flat arrays: hashes of the prefixes, ascending, and ratios."""
+
+    def __init__(self, model: pa.Table):
+        hashes = np.array([xxhash.xxh64_intdigest(p) for p in model.column(0).to_pylist()], dtype=np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.llr = hashes[order], model.column(1).to_numpy()[order]
+        self.known: dict[str, float] = {}
+
+    def learn(self, words: list[str]) -> None:
+        """Add the evidence of new words to the bounded cache."""
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        if not new:
+            return
+        wanted = np.array([xxhash.xxh64_intdigest(w[:k]) for w in new for k in range(1, len(w) + 1)], dtype=np.uint64)
+        at = np.minimum(np.searchsorted(self.hashes, wanted), max(len(self.hashes) - 1, 0))
+        found = np.where(self.hashes[at] == wanted, self.llr[at], 0.0) if len(self.hashes) else np.zeros(len(wanted))
+        lengths = np.array([len(w) for w in new])
+        total = np.add.reduceat(found, np.cumsum(lengths) - lengths)
+        self.known.update(zip(new, np.maximum(total - MARGIN, 0.0).tolist()))
 
 
 def _raw_by_broadcast(docs: DataFrame, model: DataFrame) -> DataFrame:
     sent, name = docs.sparkSession.sparkContext.broadcast(model.toArrow()), uuid.uuid4().hex
 
     def rows(batch):
-        if name not in _LOADED:  # once per Python worker
-            _LOADED.clear()
-            values = sent.value
-            _LOADED[name] = dict(zip(values.column(0).to_pylist(), values.column(1).to_pylist())), {}
-        weights, known = _LOADED[name]
+        weights = worker_cache(name, lambda: _Weights(sent.value))
         raw = []
         for text in batch.column(1).to_pylist():
             words = beginnings(text or "")
-            if len(known) > 500_000:
-                known.clear()
-            for w in set(words):
-                if w not in known:
-                    known[w] = _evidence(w, weights)
-            raw.append(sum(map(known.__getitem__, words)) / (len(words) + PRIOR_WORDS))
+            weights.learn(list(set(words)))
+            raw.append(sum(map(weights.known.__getitem__, words)) / (len(words) + PRIOR_WORDS))
         yield {"doc_id": batch.column(0), "raw": raw}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
