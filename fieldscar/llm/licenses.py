@@ -3,7 +3,9 @@ identifiers are matched with ordered licence rules. DataFrame functions only."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import cut_lineage
 from .common import register, table
@@ -60,6 +62,25 @@ RULES = [
     ("cc-by-sa-short", "CC-BY-SA-4.0", ["cc-by-sa-line"]), ("cc0-short", "CC0-1.0", ["cc0-line"]),
     ("reserved", "all-rights-reserved", ["reserved"]),
 ]
+# The comparison SQL is made of the two above and knows each text by its first sentence. The operator compares
+# every sentence of a text, and knows these as well.
+MORE_SENTENCES = {
+    "gpl2-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License.",
+    "gpl2-only-2": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "agpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-details": "See the GNU Affero General Public License for more details.",
+}
+#: ``id/k`` is sentence k of a text, a plain identifier all its sentences in order.
+MORE_RULES = [
+    ("apache-part", "Apache-2.0", ["apache-notice/0"]),
+    ("gpl3-version", "GPL-3.0-or-later", ["gpl-free/1"]), ("gpl2-version", "GPL-2.0-or-later", ["gpl2-free/1", "gpl2-free/2"]),
+    ("gpl2-only-part", "GPL-2.0-only", ["gpl2-only"]), ("gpl2-only-part-2", "GPL-2.0-only", ["gpl2-only-2"]),
+    ("gpl2-only-header", "GPL-2.0-only", ["gpl2-only", "gpl-hope", "gpl-details"]),
+    ("gpl2-only-header-2", "GPL-2.0-only", ["gpl2-only-2", "gpl-hope", "gpl-details"]),
+    ("agpl3-version", "AGPL-3.0-or-later", ["agpl-free/1"]), ("agpl3-part", "AGPL-3.0-or-later", ["agpl-free"]),
+    ("agpl3-header", "AGPL-3.0-or-later", ["agpl-free", "gpl-hope", "agpl-details"]),
+]
+ALL_SENTENCES, ALL_RULES = SENTENCES | MORE_SENTENCES, RULES + MORE_RULES
 #: Unknown sentences that may stand between two neighbours of a rule (list marks, split headings).
 MAX_GAP = 2
 LONGEST = max(len(ids) for _, _, ids in RULES)
@@ -74,15 +95,33 @@ def normal_sentences(text: Column) -> Column:
     return F.filter(F.transform(split, lambda s: F.trim(F.regexp_replace(s, NOISE, " "))), lambda s: s != "")
 
 
-def known_sentences(spark: SparkSession, sentences: dict[str, str]) -> DataFrame:
-    """Normal sentence and identifier (``sentence``, ``sid``); a text of several sentences is known by each,
-    its first one with the plain identifier, so that rules name it once."""
-    raw = spark.createDataFrame(list(sentences.items()), "sid string, text string")
-    parts = raw.select("sid", F.posexplode(normal_sentences(F.col("text"))).alias("part", "sentence"))
-    return parts.filter("part = 0").groupBy("sentence").agg(F.min("sid").alias("sid"))
+def parts_of(text: str) -> list[str]:
+    """``normal_sentences`` of a licence text."""
+    found = (re.sub(NOISE, " ", s).strip() for s in re.split(SENTENCE_END, text.lower()))
+    return [s for s in found if s]
+
+
+def known_sentences(sentences: dict[str, str]) -> dict[str, str]:
+    """Identifier (``id/k``) by normal sentence: every sentence of every text has one, and a sentence that
+    several texts share has that of the first."""
+    known: dict[str, str] = {}
+    for sid, text in sentences.items():
+        for k, part in enumerate(parts_of(text)):
+            known.setdefault(part, f"{sid}/{k}")
+    return known
+
+
+def rule_parts(ids: list[str], sentences: dict[str, str]) -> list[str]:
+    """The sentence identifiers that a rule names, in order."""
+    known, out = known_sentences(sentences), []
+    for name in ids:
+        sid, _, k = name.partition("/")
+        parts = parts_of(sentences[sid])
+        out += [known[p] for p in ([parts[int(k)]] if k else parts)]
+    return out
 
 
-def license_matches(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list = RULES) -> DataFrame:
+def license_matches(docs: DataFrame, sentences: dict[str, str] = ALL_SENTENCES, rules: list = ALL_RULES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_sentences, n_known, licenses (distinct, sorted, comma-joined),
     matches (``rule:first:last`` by sentence number from 0, in order, comma-joined).
 
@@ -90,7 +129,10 @@ def license_matches(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rule
     has no sentences; repeated rows each give a row; other columns are ignored.
     """
     spark = docs.sparkSession
-    known = F.broadcast(known_sentences(spark, sentences))  # as many rows as ``sentences``
+    rules = [(name, licence, rule_parts(ids, sentences)) for name, licence, ids in rules]
+    longest = max(len(ids) for _, _, ids in rules)
+    # a few rows for each of ``sentences``
+    known = F.broadcast(spark.createDataFrame(list(known_sentences(sentences).items()), "sentence string, sid string"))
     marked = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
         F.concat(F.array(F.lit("")), F.coalesce(normal_sentences(F.col("text")), F.array())).alias("all"))
@@ -102,14 +144,14 @@ def license_matches(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rule
     hits = found.filter("sid is not null")
     in_order = W.partitionBy("row").orderBy("pos")
     run = [(F.col("sid"), F.col("pos"))] + [
-        (F.lead("sid", i).over(in_order), F.lead("pos", i).over(in_order)) for i in range(1, LONGEST)]
+        (F.lead("sid", i).over(in_order), F.lead("pos", i).over(in_order)) for i in range(1, longest)]
     starts = hits.select("row", "pos", F.array(*[F.struct(s.alias("sid"), p.alias("at")) for s, p in run]).alias("run"))
-    lengths = F.sequence(F.lit(1), F.lit(LONGEST))
+    lengths = F.sequence(F.lit(1), F.lit(longest))
     ids = lambda n: F.transform(F.slice("run", 1, n), lambda x: x["sid"])
     near = lambda n: F.forall(
-        F.sequence(F.lit(1), F.lit(LONGEST)),
+        F.sequence(F.lit(1), F.lit(longest)),
         lambda i: (i >= n) | (F.element_at("run", i + 1)["at"] - F.element_at("run", i)["at"] <= MAX_GAP + 1))
-    candidates = F.filter(lengths, lambda n: F.element_at("run", n)["sid"].isNotNull() & (near(n) if LONGEST > 1 else F.lit(True)))
+    candidates = F.filter(lengths, lambda n: F.element_at("run", n)["sid"].isNotNull() & (near(n) if longest > 1 else F.lit(True)))
     by_ids = spark.createDataFrame(
         [(name, licence, ",".join(i), len(i)) for name, licence, i in rules], "rule string, licence string, ids string, n int")
     matched = (

@@ -216,3 +216,18 @@ def test_licence_rules(spark):
     assert by_id[4] == by_id[5] == by_id[6] == by_id[8] == ("", "") and by_id[None][0] == "all-rights-reserved"
     assert by_id[7][0] == "Apache-2.0" and by_id[7][1].startswith("apache-header:0:") and by_id[9][0] == "Apache-2.0"
     assert licenses.license_matches(docs_of(spark, [])).count() == 0
+
+
+def test_every_licence_rule_finds_its_text(spark):
+    def text(name):
+        sid, _, k = name.partition("/")
+        return licenses.parts_of(licenses.ALL_SENTENCES[sid])[int(k)] if k else licenses.ALL_SENTENCES[sid]
+
+    rules = licenses.ALL_RULES
+    rows = [(i, "intro\n" + "\n".join(map(text, ids))) for i, (_, _, ids) in enumerate(rules)]
+    rows += [(900, "This program is free software."), (901, "Foo is free software; " + text("gpl2-free/1") + "; version 7 of the License")]
+    got = {r.doc_id: r for r in licenses.license_matches(docs_of(spark, rows)).collect()}
+    for i, (name, licence, ids) in enumerate(rules):
+        last = len(licenses.rule_parts(ids, licenses.ALL_SENTENCES))
+        assert (got[i].licenses, got[i].matches, got[i].n_known) == (licence, f"{name}:1:{last}", last), name
+    assert got[900].licenses == got[901].licenses == ""
