@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..session import cut_lineage
 from .common import register, table
@@ -87,16 +87,19 @@ LONGEST = max(len(ids) for _, _, ids in RULES)
 
 SENTENCE_END = r"[.!?:;]+(?=\s|$)|\n"
 NOISE = "[^a-z0-9]+"
+HARD = "|"
 
 
-def normal_sentences(text: Column) -> Column:
-    """Sentences in lower case, other characters than a-z and 0-9 as single spaces, empty ones left out."""
-    split = F.split(F.lower(text), SENTENCE_END)
-    return F.filter(F.transform(split, lambda s: F.trim(F.regexp_replace(s, NOISE, " "))), lambda s: s != "")
+def lines_and_sentences(text: Column) -> Column:
+    """Pieces of the text between sentence ends and line breaks, in lower case, other characters than a-z and 0-9
+    as single spaces, empty ones left out. A piece after a sentence end or an empty line begins with HARD."""
+    ended = F.regexp_replace(F.lower(text), r"[.!?:;]+(?=\s|$)", "\n\n")
+    spaced = F.regexp_replace(F.regexp_replace(ended, r"[^a-z0-9\n]+", " "), " ?\n ?", "\n")
+    return F.filter(F.split(F.trim(F.regexp_replace(spaced, "\n\n+", f"\n{HARD}")), "\n"), lambda s: ~s.isin("", HARD))
 
 
 def parts_of(text: str) -> list[str]:
-    """``normal_sentences`` of a licence text."""
+    """Sentences of a licence text in the form of ``lines_and_sentences``."""
     found = (re.sub(NOISE, " ", s).strip() for s in re.split(SENTENCE_END, text.lower()))
     return [s for s in found if s]
 
@@ -121,42 +124,82 @@ def rule_parts(ids: list[str], sentences: dict[str, str]) -> list[str]:
     return out
 
 
+def known_pieces(spark: SparkSession, sentences: dict[str, str]) -> DataFrame:
+    """``piece``: every run of words of a known sentence, once; ``begins``: the known sentences (``sentence``, ``sid``)
+    that it begins. As many rows as the licence texts have runs of words."""
+    begins: dict[str, list] = {}
+    for sentence, sid in known_sentences(sentences).items():
+        words = sentence.split()
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1):
+                of = begins.setdefault(" ".join(words[i:j]), [])
+                if i == 0:
+                    of.append((sentence, sid))
+    return spark.createDataFrame(list(begins.items()), "piece string, begins array<struct<sentence:string,sid:string>>")
+
+
+def _hits(lines: DataFrame, most: int) -> DataFrame:
+    """row, pos, last, sid: the known sentences that begin at a line, the longest of each and none inside another.
+    ``lines`` are runs of words of known sentences; ``most`` words are in the longest one."""
+    in_order = W.partitionBy("row").orderBy("pos")
+    parted = F.col("hard") | F.coalesce(F.lag("pos").over(in_order) < F.col("pos") - 1, F.lit(True))
+    block = W.partitionBy("row", "block").orderBy("pos")
+    ahead = block.rowsBetween(0, most - 1)
+    joined = (
+        lines.withColumn("parted", parted.cast("int")).withColumn("block", F.sum("parted").over(in_order))
+        .withColumn("end", F.sum(F.col("n") + 1).over(block))
+        .withColumns({"text": F.concat(F.array_join(F.collect_list("piece").over(ahead), " "), F.lit(" ")), "ends": F.collect_list("end").over(ahead)})
+        .filter(F.size("begins") > 0))
+    last = lambda k: F.array_position(  # noqa: E731, lines that the sentence takes, 0 if it ends within one
+        "ends", F.col("end") - F.col("n") + F.length(k["sentence"]))
+    whole = F.filter("begins", lambda k: F.startswith(F.col("text"), F.concat(k["sentence"], F.lit(" "))) & (last(k) > 0))
+    best = F.array_max(F.transform(whole, lambda k: F.struct((F.col("pos") + last(k) - 1).cast("int").alias("last"), k["sid"].alias("sid"))))
+    return (
+        joined.withColumn("best", best).filter("best is not null").select("row", "pos", "best.last", "best.sid")
+        .withColumn("before", F.max("last").over(in_order.rowsBetween(W.unboundedPreceding, -1)))
+        .filter("before is null or before < last").drop("before"))
+
+
 def license_matches(docs: DataFrame, sentences: dict[str, str] = ALL_SENTENCES, rules: list = ALL_RULES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_sentences, n_known, licenses (distinct, sorted, comma-joined),
     matches (``rule:first:last`` by sentence number from 0, in order, comma-joined).
 
-    At each sentence the longest matching rule counts, and none inside a longer match. A null text
-    has no sentences; repeated rows each give a row; other columns are ignored.
+    A line counts as a sentence of its own in the numbers. A known sentence is found on one line, and over
+    neighbouring lines without a sentence end or an empty line between them, so that line wrapping and marks of
+    comments do not hide it. At each line the longest known sentence counts, and none inside a longer one; so for
+    rules. A null text has no sentences; repeated rows each give a row; other columns are ignored.
     """
     spark = docs.sparkSession
     rules = [(name, licence, rule_parts(ids, sentences)) for name, licence, ids in rules]
     longest = max(len(ids) for _, _, ids in rules)
-    # a few rows for each of ``sentences``
-    known = F.broadcast(spark.createDataFrame(list(known_sentences(sentences).items()), "sentence string, sid string"))
+    known = F.broadcast(known_pieces(spark, sentences))
     marked = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
-        F.concat(F.array(F.lit("")), F.coalesce(normal_sentences(F.col("text")), F.array())).alias("all"))
+        F.concat(F.array(F.lit("")), F.coalesce(lines_and_sentences(F.col("text")), F.array())).alias("all"))
     # one pass over the texts: position 0 stands for the document, sentence i is at i + 1
     found = cut_lineage(
-        marked.select("row", "doc_id", (F.size("all") - 1).cast("long").alias("n_sentences"), F.posexplode("all").alias("pos", "sentence"))
-        .join(known, "sentence", "left").filter("pos = 0 or sid is not null")
-        .select("row", "doc_id", "n_sentences", (F.col("pos") - 1).alias("pos"), "sid"))
-    hits = found.filter("sid is not null")
+        marked.select("row", "doc_id", (F.size("all") - 1).cast("long").alias("n_sentences"), F.posexplode("all").alias("pos", "line"))
+        .withColumn("piece", F.ltrim(F.col("line"), F.lit(HARD)))
+        .join(known, "piece", "left").filter("pos = 0 or begins is not null")
+        .select("row", "doc_id", "n_sentences", (F.col("pos") - 1).alias("pos"), "begins", F.length("piece").alias("n"),
+                F.col("piece"), F.col("line").startswith(HARD).alias("hard")))
     in_order = W.partitionBy("row").orderBy("pos")
-    run = [(F.col("sid"), F.col("pos"))] + [
-        (F.lead("sid", i).over(in_order), F.lead("pos", i).over(in_order)) for i in range(1, longest)]
-    starts = hits.select("row", "pos", F.array(*[F.struct(s.alias("sid"), p.alias("at")) for s, p in run]).alias("run"))
+    hits = cut_lineage(_hits(found.filter("pos >= 0"), max(len(s.split()) for s in known_sentences(sentences))))
+    run = [
+        F.struct(*[(F.lead(c, i).over(in_order) if i else F.col(c)).alias(to) for c, to in (("sid", "sid"), ("pos", "at"), ("last", "last"))])
+        for i in range(longest)]
+    starts = hits.select("row", "pos", F.array(*run).alias("run"))
     lengths = F.sequence(F.lit(1), F.lit(longest))
     ids = lambda n: F.transform(F.slice("run", 1, n), lambda x: x["sid"])
     near = lambda n: F.forall(
         F.sequence(F.lit(1), F.lit(longest)),
-        lambda i: (i >= n) | (F.element_at("run", i + 1)["at"] - F.element_at("run", i)["at"] <= MAX_GAP + 1))
+        lambda i: (i >= n) | (F.element_at("run", i + 1)["at"] - F.element_at("run", i)["last"] <= MAX_GAP + 1))
     candidates = F.filter(lengths, lambda n: F.element_at("run", n)["sid"].isNotNull() & (near(n) if longest > 1 else F.lit(True)))
     by_ids = spark.createDataFrame(
         [(name, licence, ",".join(i), len(i)) for name, licence, i in rules], "rule string, licence string, ids string, n int")
     matched = (
         starts.select("row", "pos", "run", F.explode(candidates).alias("n"))
-        .select("row", "pos", F.element_at("run", F.col("n"))["at"].alias("last"), F.concat_ws(",", ids(F.col("n"))).alias("ids"))
+        .select("row", "pos", F.element_at("run", F.col("n"))["last"].alias("last"), F.concat_ws(",", ids(F.col("n"))).alias("ids"))
         .join(F.broadcast(by_ids), "ids")
         .groupBy("row", "pos").agg(F.max(F.struct("n", "last", "rule", "licence")).alias("m"))
         .withColumn("before", F.max("m.last").over(in_order.rowsBetween(W.unboundedPreceding, -1)))
@@ -164,10 +207,11 @@ def license_matches(docs: DataFrame, sentences: dict[str, str] = ALL_SENTENCES,
     per_row = matched.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("pos", "m.last", "m.rule"))).alias("list"),
         F.array_sort(F.collect_set("m.licence")).alias("set"))
-    n_known = found.groupBy("row", "doc_id", "n_sentences").agg(F.count("sid").alias("n_known"))
+    n_known = found.filter("pos < 0").select("row", "doc_id", "n_sentences").join(
+        hits.groupBy("row").agg(F.count("*").alias("n_known")), "row", "left")
     text = F.transform("list", lambda m: F.concat_ws(":", m["rule"], m["pos"].cast("string"), m["last"].cast("string")))
     return n_known.join(per_row, "row", "left").select(
-        "doc_id", "n_sentences", "n_known", F.coalesce(F.concat_ws(",", "set"), F.lit("")).alias("licenses"),
+        "doc_id", "n_sentences", F.coalesce("n_known", F.lit(0)).cast("long").alias("n_known"), F.coalesce(F.concat_ws(",", "set"), F.lit("")).alias("licenses"),
         F.coalesce(F.concat_ws(",", text), F.lit("")).alias("matches"))
 
 

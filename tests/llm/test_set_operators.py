@@ -231,3 +231,30 @@ def test_every_licence_rule_finds_its_text(spark):
         last = len(licenses.rule_parts(ids, licenses.ALL_SENTENCES))
         assert (got[i].licenses, got[i].matches, got[i].n_known) == (licence, f"{name}:1:{last}", last), name
     assert got[900].licenses == got[901].licenses == ""
+
+
+def test_wrapped_licence_texts(spark):
+    import textwrap
+
+    def wrapped(ids, width, mark="", head=""):
+        texts = [textwrap.fill(licenses.ALL_SENTENCES[i], width, break_on_hyphens=False, break_long_words=False).replace("\n", "\n" + mark) for i in ids]
+        return head + mark + f"\n{mark}\n{mark}".join(texts)
+
+    named = {name: (licence, ids) for name, licence, ids in licenses.ALL_RULES}
+    whole = ["mit-titled-text", "apache-header", "gpl3-header", "gpl2-header", "gpl2-only-header", "agpl3-header", "bsd2-text", "bsd3-text", "isc-text", "mpl2-header"]
+    cases = [(name, width, mark) for name in whole for width, mark in ((72, ""), (40, " * "), (1, "# "))]
+    rows = [(i, wrapped(named[name][1], width, mark, "Copyright (c) 2020 N. N.\n")) for i, (name, width, mark) in enumerate(cases)]
+    grant = licenses.SENTENCES["mit-grant"]
+    rows += [
+        (900, "MIT License\n" + textwrap.fill(grant, 60)), (901, textwrap.fill(grant, 60).replace("\n", "\n\n", 1)),
+        (902, textwrap.fill(grant, 60).replace("\n", ".\n", 1)), (903, textwrap.fill(grant, 60).replace("\n", "\nother\n", 1)),
+        (904, textwrap.fill(grant, 60).rsplit("\n", 1)[0]),
+        (905, "1. " + licenses.SENTENCES["bsd-redistribution"].replace("forms, ", "forms,\n") + "\n1. " + licenses.SENTENCES["bsd-source"].replace("this list", "this\n   list")
+         + "\r\n2. " + licenses.SENTENCES["bsd-binary"].replace("this list", "this\r\n   list")),
+    ]
+    got = {r.doc_id: r for r in licenses.license_matches(docs_of(spark, rows)).collect()}
+    for i, (name, width, mark) in enumerate(cases):
+        assert got[i].licenses == named[name][0] and got[i].matches.startswith(name + ":") and "," not in got[i].matches, (cases[i], got[i])
+        assert got[i].n_known == len(licenses.rule_parts(named[name][1], licenses.ALL_SENTENCES))
+    assert got[900].matches == f"mit-titled:0:0,mit-part:1:{got[900].n_sentences - 1}"
+    assert [got[i].licenses for i in (901, 902, 903, 904)] == [""] * 4 and got[905].licenses == "BSD-2-Clause"
