@@ -126,12 +126,12 @@ def joined(spans: Column) -> Column:
 
 
 def mask(text: str) -> str:
-    """``text`` with every span replaced by [KIND]; of overlapping spans the first stays."""
+    """``text`` with every span replaced by [KIND]; overlapping spans are masked as one, of the kind of the first."""
     out, at = [], 0
     for start, kind, end in find_spans(text):
         if start >= at:
             out += [text[at:start], f"[{KINDS[kind].upper()}]"]
-            at = end
+        at = max(at, end)
     return "".join([*out, text[at:]])
 
 

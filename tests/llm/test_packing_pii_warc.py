@@ -186,3 +186,25 @@ def test_warc_of_nothing(spark, tmp_path):
 def test_all_pairs_of_spans_do_not_overlap_per_kind():
     spans = pii.find_spans(" ".join(ODD))
     assert all(a[2] <= b[0] or b[2] <= a[0] or a[1] != b[1] for a, b in combinations(spans, 2))
+
+
+CARD_OVER_IBAN = next(f"NO93 8601 1117 947-{d}" for d in range(10) if pii.luhn(f"9386011117947{d}"))
+CARD_IN_PHONE = next(f"+37 8282 2463 100{d}" for d in range(10) if pii.luhn(f"3782822463100{d}"))
+
+
+@pytest.mark.parametrize("text, kinds, want", [
+    ("call +49 30 1234567.max@mail.de now", "phone email", "call [PHONE] now"),
+    ("x 1.2.3.4 111 1111 1111 1111 y", "ip card", "x [IP] y"),
+    ("x 1.2.3.4.n@mail.de y", "email ip", "x [EMAIL] y"),
+    ("x n@mail.4111 1111 1111 1111 y", "email card", "x [EMAIL] y"),
+    ("x me+49301234567@mail.de y", "email phone", "x [EMAIL] y"),
+    ("x +49 30 1.2.3.4.5.6.7 y", "phone ip", "x [PHONE] y"),
+    (f"x {CARD_IN_PHONE} y", "phone card", "x [PHONE] y"),
+    ("x DE89 3704 0044 0532 0130 00@mail.de y", "iban email", "x [IBAN] y"),
+    ("x DE89 3704 0044 0532 0130 00.1.2.3 y", "iban ip", "x [IBAN] y"),
+    (f"x {CARD_OVER_IBAN} y", "iban card", "x [IBAN] y"),
+    ("x n@mail.de n@mail.de,1.2.3.4 y", "email email ip", "x [EMAIL] [EMAIL],[IP] y"),
+])
+def test_overlapping_spans_are_masked_to_their_last_end(text, kinds, want):
+    found = [pii.KINDS[k] for _, k, _ in pii.find_spans(text)]
+    assert sorted(set(found)) == sorted(set(kinds.split())) and pii.mask(text) == want
