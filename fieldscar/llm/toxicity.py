@@ -1,7 +1,7 @@
 """Toxicity by two class-conditional Kneser-Ney models that share their backoff counts.
 
-A word is a chain of characters, each conditioned on the word's beginning, up to ``DEPTH``
-characters with the end of the word as one of them. Both class models discount their counts and back
+A word is a chain of characters to its end, which is one of them; each is conditioned on the word's
+beginning, from character ``DEPTH`` on on the ``DEPTH`` - 1 characters before it. Both class models discount their counts and back
 off to one distribution made of both classes' counts, which backs off to continuation counts
 of characters. A document's score compares its two log-likelihoods per word, counting the words on
 which the two models differ by more than ``MARGIN``.
@@ -25,18 +25,20 @@ DEPTH = 8
 DISCOUNT = 0.75
 #: Counts that the shared distribution is worth in a class model.
 SHARED_WEIGHT = 50.0
-#: A beginning met less often than this in toxic text has the shared distribution in both models.
-MIN_CONTEXT = 5
 MARGIN = 1.5
 #: Words without evidence that are added to every document, so that a few words decide nothing.
 PRIOR_WORDS = 20.0
 #: Entries up to which the model is sent to every task; beyond, documents' words are joined with it.
 BROADCAST_ENTRIES = 2_000_000
+#: Words with evidence up to which their weights are sent to every task.
+BROADCAST_WEIGHTS = 500_000
 BROADCAST_LABELS = 4_000_000
 CACHED_WORDS = 200_000
 BINS_PER_UNIT, MAX_BINS = 2000, 10_000
 FOLDS, HELD_FOLD = 5, 0
 END = "$"
+#: Before the last characters of a chain that begin within the word.
+WITHIN = "~"
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -45,17 +47,28 @@ def fold(key: Column, folds: int) -> Column:
     return F.crc32(key.cast("string")) % folds
 
 
-def beginnings(text: str) -> list[str]:
-    """First DEPTH characters of every word, with END where the word ends before."""
-    return [(w + END)[:DEPTH] for w in _WORD.findall(text.lower())]
+def words_of(text: str) -> list[str]:
+    """Every word to its end, and END."""
+    return [w + END for w in _WORD.findall(text.lower())]
+
+
+def chain_of(word: str) -> list[str]:
+    """Each character after its context: the first DEPTH beginnings, then WITHIN and the last DEPTH characters."""
+    return [word[:k] if k <= DEPTH else WITHIN + word[k - DEPTH:k] for k in range(1, len(word) + 1)]
+
+
+def _chain(word: str = "word") -> Column:
+    """``chain_of`` a column."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1))), lambda k: F.when(
+        k <= DEPTH, F.substring(word, F.lit(1), k)).otherwise(F.concat(F.lit(WITHIN), F.substring(word, k - DEPTH + 1, F.lit(DEPTH)))))
 
 
 def class_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``word`` (its beginning), ``n_tox``, ``n_ord`` over the documents that ``labels`` (doc_id, toxic) names."""
+    """``word``, ``n_tox``, ``n_ord`` over the documents that ``labels`` (doc_id, toxic) names."""
     def rows(batch):
         seen = [Counter(), Counter()]
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen[toxic].update(beginnings(text or ""))
+            seen[toxic].update(words_of(text or ""))
         words = list(seen[0].keys() | seen[1].keys())
         yield {"word": words, "n_tox": [seen[1][w] for w in words], "n_ord": [seen[0][w] for w in words]}
 
@@ -66,17 +79,16 @@ def class_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(counts: DataFrame) -> DataFrame:
-    """``prefix``, ``llr``: log of the toxic over the ordinary probability of the prefix's last
-    character after the rest; prefixes that are not listed have 0."""
-    prefixes = F.transform(F.sequence(F.lit(1), F.length("word")), lambda k: F.substring("word", F.lit(1), k))
+    """``prefix``, ``llr``: log of the toxic over the ordinary probability of the last character of a
+    prefix (of ``chain_of``) after the rest; prefixes that are not listed have 0."""
     chain = cut_lineage(
-        counts.select(F.explode(prefixes).alias("prefix"), "n_tox", "n_ord").groupBy("prefix")
+        counts.select(F.explode(_chain()).alias("prefix"), "n_tox", "n_ord").groupBy("prefix")
         .agg(F.sum("n_tox").alias("n_tox"), F.sum("n_ord").alias("n_ord"))
         .withColumn("context", F.expr("substring(prefix, 1, length(prefix) - 1)"))
         .withColumn("last", F.expr("right(prefix, 1)")))
     context = chain.groupBy("context").agg(
         F.sum("n_tox").alias("c_tox"), F.sum("n_ord").alias("c_ord"), F.count("*").alias("t_all"),
-        F.count_if(F.col("n_tox") > 0).alias("t_tox"), F.count_if(F.col("n_ord") > 0).alias("t_ord")).filter(F.col("c_tox") >= MIN_CONTEXT)
+        F.count_if(F.col("n_tox") > 0).alias("t_tox"), F.count_if(F.col("n_ord") > 0).alias("t_ord"))
     follows = chain.groupBy("last").agg(F.count("*").alias("contexts"))
     model = chain.join(context, "context").join(follows, "last")
     low = F.col("contexts") / F.lit(chain.count())  # every prefix is one context of its last character
@@ -92,7 +104,7 @@ def fit(counts: DataFrame) -> DataFrame:
 
 
 class _Weights:
-    """Evidence of word beginnings from the model as two flat arrays: hashes of the prefixes, ascending, and ratios."""
+    """Evidence of words from the model as two flat arrays: hashes of the prefixes, ascending, and ratios."""
 
     def __init__(self, model: pa.Table):
         hashes = np.array([xxhash.xxh64_intdigest(p) for p in model.column(0).to_pylist()], dtype=np.uint64)
@@ -107,7 +119,7 @@ class _Weights:
         new = [w for w in words if w not in self.known]
         if not new:
             return
-        wanted = np.array([xxhash.xxh64_intdigest(w[:k]) for w in new for k in range(1, len(w) + 1)], dtype=np.uint64)
+        wanted = np.array([xxhash.xxh64_intdigest(p) for w in new for p in chain_of(w)], dtype=np.uint64)
         at = np.minimum(np.searchsorted(self.hashes, wanted), max(len(self.hashes) - 1, 0))
         found = np.where(self.hashes[at] == wanted, self.llr[at], 0.0) if len(self.hashes) else np.zeros(len(wanted))
         lengths = np.array([len(w) for w in new])
@@ -122,7 +134,7 @@ def _raw_by_broadcast(docs: DataFrame, model: DataFrame) -> DataFrame:
         weights = worker_cache(name, lambda: _Weights(sent.value))
         raw = []
         for text in batch.column(1).to_pylist():
-            words = beginnings(text or "")
+            words = words_of(text or "")
             weights.learn(list(set(words)))
             raw.append(sum(map(weights.known.__getitem__, words)) / (len(words) + PRIOR_WORDS))
         yield {"doc_id": batch.column(0), "raw": raw}
@@ -132,11 +144,33 @@ def _raw_by_broadcast(docs: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def _raw_by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """The same scores for a model of any size: each document's distinct words meet the model by a join."""
+    """The same scores for a model of any size: the distinct words of all documents meet the model by a join, and
+    the documents get the weights of the words that have one."""
+    def words(batch):
+        yield {"word": list({w for text in batch.column(0).to_pylist() for w in words_of(text or "")})}
+
+    weights = cut_lineage(
+        arrow_map(docs.select("text"), "word string", words).distinct().select("word", F.explode(_chain()).alias("prefix"))
+        .join(model, "prefix").groupBy("word").agg(F.greatest(F.sum("llr") - MARGIN, F.lit(0.0)).alias("weight")).filter("weight > 0"))
+    if weights.limit(BROADCAST_WEIGHTS + 1).count() > BROADCAST_WEIGHTS:
+        return _raw_by_words(docs, weights)
+    sent, name = docs.sparkSession.sparkContext.broadcast(weights.toArrow()), uuid.uuid4().hex
+
+    def rows(batch):
+        known = worker_cache(name, lambda: dict(zip(*(c.to_pylist() for c in sent.value.columns))))
+        found = [words_of(text or "") for text in batch.column(1).to_pylist()]
+        yield {"doc_id": batch.column(0), "raw": [sum(known.get(w, 0.0) for w in ws) / (len(ws) + PRIOR_WORDS) for ws in found]}
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return arrow_map(docs.select("doc_id", "text"), f"doc_id {kind}, raw double", rows)
+
+
+def _raw_by_words(docs: DataFrame, weights: DataFrame) -> DataFrame:
+    """Scores from any number of weights (``word``, ``weight``): each document's distinct words are joined with them."""
     def rows(batch):
         out = {c: [] for c in ("row", "doc_id", "n", "word", "times")}
         for row, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            found = beginnings(text or "")
+            found = words_of(text or "")
             for word, times in (Counter(found) or {"": 0}).items():
                 for c, v in zip(out, (row, doc, len(found), word, times)):
                     out[c].append(v)
@@ -146,10 +180,6 @@ def _raw_by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
     words = cut_lineage(arrow_map(
         docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
         f"row bigint, doc_id {kind}, n bigint, word string, times bigint", rows))
-    prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.length("word"), F.lit(1))), lambda k: F.substring("word", F.lit(1), k))
-    weights = (
-        words.select("word").distinct().select("word", F.explode(prefixes).alias("prefix")).join(model, "prefix")
-        .groupBy("word").agg(F.greatest(F.sum("llr") - MARGIN, F.lit(0.0)).alias("weight")).filter("weight > 0"))
     return (
         words.join(weights, "word", "left").groupBy("row", "doc_id", "n")
         .agg((F.coalesce(F.sum(F.col("weight") * F.col("times")), F.lit(0.0)) / (F.col("n") + PRIOR_WORDS)).alias("raw"))

@@ -154,3 +154,17 @@ def test_stages_keep_the_columns_and_odd_rows(spark):
         assert len(kept) == (4 if name == "near_copies" else 6), name
     assert corpus_pipeline.drop_near_copies(spark, docs.filter("doc_id = 2"), SMALL).count() == 1
     assert corpus_pipeline.STAGES[-1][1](spark, docs.filter("false"), SMALL).count() == 0
+
+
+def test_toxicity_reads_words_to_their_end_and_rare_contexts(spark, monkeypatch):
+    counts = spark.createDataFrame([("mountainidiot$", 400, 0), ("mountainside$", 0, 400), ("b$", 1, 3)], "word string, n_tox bigint, n_ord bigint")
+    model = toxicity.fit(counts).cache()
+    got = {r.prefix: r.llr for r in model.collect()}
+    assert toxicity.chain_of("mountainside$")[7:] == ["mountain", "~ountains", "~untainsi", "~ntainsid", "~tainside", "~ainside$"]
+    assert set(got) == {p for w in ("mountainidiot$", "mountainside$", "b$") for p in toxicity.chain_of(w)}
+    assert got["~ountaini"] > 0 > got["~ountains"]
+    docs = spark.createDataFrame([(1, "mountainidiot x"), (2, "mountainside x"), (3, "y" * 30_000), (4, None)], "doc_id bigint, text string")
+    kinds = [{r.doc_id: round(r.raw, 9) for r in by(docs, model).collect()} for by in (toxicity._raw_by_broadcast, toxicity._raw_by_join)]
+    monkeypatch.setattr(toxicity, "BROADCAST_WEIGHTS", 0)
+    kinds.append({r.doc_id: round(r.raw, 9) for r in toxicity._raw_by_join(docs, model).collect()})
+    assert kinds[0] == kinds[1] == kinds[2] and kinds[0][1] > 0 == kinds[0][2]
