@@ -1,4 +1,5 @@
 """Imports every operator module, which registers its query."""
 
-from . import decontamination, html_blocks, jaccard, licenses, neighbours, packing, pii, toxicity, warc, winnowing  # noqa: F401
+from . import (  # noqa: F401
+    decontamination, html_blocks, jaccard, licenses, mixing, negatives, neighbours, packing, periods, pii, toxicity, warc, winnowing)
 from .common import ORACLES, QUERIES  # noqa: F401
