@@ -1,6 +1,7 @@
 """Main text extraction, the two classifiers and the pipeline."""
 
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -72,24 +73,86 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in some)
 
 
-def test_toxicity_by_join_equals_by_broadcast(spark):
+def plain_ratios(counts):
+    """Log-ratios of all prefixes of (word, n_tox, n_ord), by the formulas of the model."""
+    d, mu, tox, ordinary = toxicity.DISCOUNT, toxicity.SHARED_WEIGHT, defaultdict(int), defaultdict(int)
+    for word, t, o in counts:
+        if t + o:
+            for k in range(len(word) + 2):
+                tox[(word + "$")[:k]] += t
+                ordinary[(word + "$")[:k]] += o
+    nodes = [p for p in tox if p]
+    kinds, ends = defaultdict(lambda: [0, 0, 0]), Counter(p[-1] for p in nodes)
+    for p in nodes:
+        for j, met in enumerate((True, tox[p] > 0, ordinary[p] > 0)):
+            kinds[p[:-1]][j] += met
+    ratio = {}
+    for p in nodes:
+        q = p[:-1]
+        shared = (max(tox[p] + ordinary[p] - d, 0) + d * kinds[q][0] * ends[p[-1]] / len(nodes)) / (tox[q] + ordinary[q])
+        of = lambda n, j: (max(n[p] - d, 0) + (d * kinds[q][j] + mu) * shared) / (n[q] + mu)  # noqa: E731, B023
+        ratio[p] = np.log(of(tox, 1) / of(ordinary, 2))
+    return ratio
+
+
+def plain_evidence(ratio, word):
+    total = sum(ratio.get((word + "$")[:k], 0.0) for k in range(1, len(word) + 2))
+    return np.sign(total) * max(abs(total) - toxicity.MARGIN, 0)
+
+
+@pytest.mark.parametrize("slices", [1, 7, 60])
+def test_word_weights_equal_plain_model(spark, slices):
+    rng = np.random.default_rng(slices)
+    stems = ["ab", "abc", "é", "idiot", "zz", "b" * 99]
+    words = {rng.choice(stems)[:rng.integers(1, 100)] + "".join(rng.choice(list("abcé"), rng.integers(0, 5))) for _ in range(300)}
+    counts = [(w, int(rng.integers(0, 30) * (w[0] == "i" or rng.random() < 0.2)), int(rng.integers(0, 3) * rng.integers(0, 40))) for w in sorted(words)]
+    frame = spark.createDataFrame(counts, "word string, n_tox bigint, n_ord bigint")
+    conf = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", slices)
+    try:
+        got = {r.word: r.weight for r in toxicity.word_weights(frame.repartition(3)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", conf)
+    ratio = plain_ratios(counts)
+    expected = {w: e for w, *_ in counts if (e := plain_evidence(ratio, w))}
+    assert set(got) == set(expected) and min(expected.values()) < 0 < max(expected.values())
+    assert all(got[w] == pytest.approx(e) for w, e in expected.items())
+
+
+def test_toxicity_equals_plain_model(spark, monkeypatch):
     docs, labels = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
-    model = toxicity.fit(toxicity.class_counts(docs, labels.select("doc_id", F.col("toxic").cast("int")))).cache()
+    train = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 5}
     both = docs.select("doc_id", "text").unionByName(odd_docs(spark).select("doc_id", "text"))
-    kinds = [sorted(((r.doc_id or -1, round(r.raw, 9)) for r in by(both, model).collect())) for by in (toxicity._raw_by_broadcast, toxicity._raw_by_join)]
-    assert kinds[0] == kinds[1] and any(x for _, x in kinds[0])
+    rows, counts = both.collect(), defaultdict(lambda: [0, 0])
+    words = lambda t: toxicity.words_of(t or "")
+    for r in docs.collect():
+        for w in words(r.text):
+            if r.doc_id in train:
+                counts[w][train[r.doc_id]] += 1
+    ratio = plain_ratios([(w, t, o) for w, (o, t) in counts.items()])
+    expected = sorted((r.doc_id or -1, round(sum(plain_evidence(ratio, w) for w in words(r.text)) / (len(words(r.text)) + toxicity.PRIOR_WORDS), 9)) for r in rows)
+    labelled = docs.join(spark.createDataFrame(list(train.items()), "doc_id bigint, toxic int"), "doc_id").select("text", "toxic")
+    weights = toxicity.word_weights(toxicity.word_counts(labelled.unionByName(both.select("text", F.lit(None).cast("int").alias("toxic")))))
+    for by in (toxicity._raw_by_broadcast, toxicity._raw_by_words):
+        assert sorted((r.doc_id or -1, round(r.raw, 9)) for r in by(both, weights).collect()) == expected
+    assert any(x > 0 for _, x in expected)
+    found = sorted((r.doc_id or -1, round(r.score, 9), r.predicted) for r in toxicity.toxicity(docs, labels, both).collect())
+    monkeypatch.setattr(toxicity, "BROADCAST_WEIGHTS", 0)
+    assert found == sorted((r.doc_id or -1, round(r.score, 9), r.predicted) for r in toxicity.toxicity(docs, labels, both).collect())
 
 
-def test_model_probabilities_are_kneser_ney(spark):
-    counts = spark.createDataFrame([("ab$", 6, 1), ("ac$", 1, 8), ("b$", 2, 3)], "word string, n_tox bigint, n_ord bigint")
-    got = {r.prefix: r.llr for r in toxicity.fit(counts).collect()}
+def test_model_probabilities_are_kneser_ney():
+    got = plain_ratios([("ab", 6, 1), ("ac", 1, 8), ("b", 2, 3)])
     d, mu = toxicity.DISCOUNT, toxicity.SHARED_WEIGHT
-    contexts = {"a": 1, "b": 2, "c": 1, "$": 3}  # prefixes: a ab ab$ ac ac$ b b$
-    shared = (7 - d + d * 2 * contexts["b"] / 7) / 16  # b after a: 7 of 16
+    shared = (7 - d + d * 2 * 2 / 7) / 16  # b after a: 7 of 16; prefixes: a ab ab$ ac ac$ b b$, two of which end in b
     tox, ordinary = (6 - d + (d * 2 + mu) * shared) / (7 + mu), (1 - d + (d * 2 + mu) * shared) / (9 + mu)
     assert got["ab"] == pytest.approx(np.log(tox / ordinary)) and got["ab"] > 0 > got["ac"]
 
 
+def test_long_stretches_of_letters_are_several_words():
+    assert [len(w) for w in toxicity.words_of("a" * 250 + " b")] == [100, 100, 50, 1]
+
+
 def test_classifiers_on_odd_rows(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame([(1, 0, 1), (4, 1, 0), (4, 0, 0), (9, 1, 1), (None, 1, 1), (5, None, None)], "doc_id bigint, toxic int, quality int")
@@ -154,17 +217,3 @@ def test_stages_keep_the_columns_and_odd_rows(spark):
         assert len(kept) == (4 if name == "near_copies" else 6), name
     assert corpus_pipeline.drop_near_copies(spark, docs.filter("doc_id = 2"), SMALL).count() == 1
     assert corpus_pipeline.STAGES[-1][1](spark, docs.filter("false"), SMALL).count() == 0
-
-
-def test_toxicity_reads_words_to_their_end_and_rare_contexts(spark, monkeypatch):
-    counts = spark.createDataFrame([("mountainidiot$", 400, 0), ("mountainside$", 0, 400), ("b$", 1, 3)], "word string, n_tox bigint, n_ord bigint")
-    model = toxicity.fit(counts).cache()
-    got = {r.prefix: r.llr for r in model.collect()}
-    assert toxicity.chain_of("mountainside$")[7:] == ["mountain", "~ountains", "~untainsi", "~ntainsid", "~tainside", "~ainside$"]
-    assert set(got) == {p for w in ("mountainidiot$", "mountainside$", "b$") for p in toxicity.chain_of(w)}
-    assert got["~ountaini"] > 0 > got["~ountains"]
-    docs = spark.createDataFrame([(1, "mountainidiot x"), (2, "mountainside x"), (3, "y" * 30_000), (4, None)], "doc_id bigint, text string")
-    kinds = [{r.doc_id: round(r.raw, 9) for r in by(docs, model).collect()} for by in (toxicity._raw_by_broadcast, toxicity._raw_by_join)]
-    monkeypatch.setattr(toxicity, "BROADCAST_WEIGHTS", 0)
-    kinds.append({r.doc_id: round(r.raw, 9) for r in toxicity._raw_by_join(docs, model).collect()})
-    assert kinds[0] == kinds[1] == kinds[2] and kinds[0][1] > 0 == kinds[0][2]
