@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import cut_lineage
+from ..session import Scratch, cut_lineage
 
 _ROW = 1 << 32
 
@@ -81,40 +81,62 @@ def _border_links(local: DataFrame, by: list[str], diagonal: bool, block: int) -
 
 
 def merge_labels(links: DataFrame, by: list[str]) -> DataFrame | None:
-    """Root of every linked label: alternate large-star and small-star steps (Kiveris et al. 2014)
-    until the link set no longer changes. None when nothing is linked."""
-    links = cut_lineage(links)
-    if links.isEmpty():
-        return None
-    before = None
+    """``node`` and ``root``, the smallest label of its component, of every label that is linked with a smaller one.
+    None when nothing is linked.
+
+    In every round each label hooks to its first neighbour in some order, if that comes before itself, paths are
+    shortened by doubling, and the links are drawn again between the roots. The first order is that of the labels,
+    which settles stars at once; later ones are random, so that at most half of the linked labels are expected to
+    stay roots, and the rounds are logarithmic. A label with very many links is no hot key: its first neighbour is a
+    minimum that tasks take before the shuffle, and where links or labels look up a root they are the plain
+    side of a join with one row per label, which Spark can split.
+    """
+    with Scratch(links.sparkSession) as scratch:
+        links = scratch.stored(links.filter("u <> v"))
+        if links.isEmpty():
+            return None
+        named, turn = None, 0
+        while True:
+            roots = _shortened(scratch.stored(_hooks(links, by, turn)), by, scratch)
+            named = roots if named is None else scratch.stored(_looked_up(named, roots, by, "root").unionByName(roots))
+            drawn = _looked_up(_looked_up(links, roots, by, "u"), roots, by, "v").filter("u <> v")
+            links = scratch.stored(drawn.select(*by, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+            if links.isEmpty():
+                return cut_lineage(_by_smallest(named, by, scratch) if turn else named)
+            turn += 1
+
+
+def _hooks(links: DataFrame, by: list[str], turn: int) -> DataFrame:
+    """(node, root): the first neighbour, in the order of this turn, of every label that has one before itself."""
+    u, v = (F.struct((F.xxhash64(x, F.lit(turn)) if turn else F.lit(0).cast("long")).alias("place"), F.col(x).alias("label"))
+            for x in ("u", "v"))
+    ends = links.select(*by, F.greatest(u, v)["label"].alias("node"), F.least(u, v).alias("first"))
+    return ends.groupBy(*by, "node").agg(F.min("first").alias("first")).select(*by, "node", F.col("first.label").alias("root"))
+
+
+def _by_smallest(named: DataFrame, by: list[str], scratch: Scratch) -> DataFrame:
+    """``named`` (node, root) with the smallest label of every component as its root."""
+    least = named.groupBy(*by, "root").agg(F.min("node").alias("_least"))
+    least = scratch.stored(least.select(*by, "root", F.least("root", "_least").alias("_least")))
+    renamed = named.join(least, [*by, "root"]).select(*by, "node", F.col("_least").alias("root"))
+    return renamed.unionByName(least.select(*by, F.col("root").alias("node"), F.col("_least").alias("root"))).filter("node <> root")
+
+
+def _looked_up(rows: DataFrame, roots: DataFrame, by: list[str], name: str) -> DataFrame:
+    """``rows`` with the labels in column ``name`` replaced by their roots, if they have one."""
+    to = roots.select(*by, F.col("node").alias(name), F.col("root").alias("_to"))
+    return rows.join(to, [*by, name], "left").withColumn(name, F.coalesce("_to", name)).select(*rows.columns)
+
+
+def _shortened(hooks: DataFrame, by: list[str], scratch: Scratch) -> DataFrame:
+    """``hooks`` (node, root) with every root that hooks itself followed to the end."""
     while True:
-        links = cut_lineage(_small_star(_large_star(links, by), by))
-        size = links.agg(F.count("*"), F.sum(F.xxhash64(*by, "u", "v").cast("decimal(38,0)"))).first()
-        if before == size:
-            break
-        before = size
-    return links.select(*by, F.col("u").alias("node"), F.col("v").alias("root"))
-
-
-def _large_star(links: DataFrame, by: list[str]) -> DataFrame:
-    both = links.unionByName(links.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy(*by, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (
-        both.filter("v > u").join(low, [*by, "u"])
-        .select(*by, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    )
-
-
-def _small_star(links: DataFrame, by: list[str]) -> DataFrame:
-    low = links.groupBy(*by, "u").agg(F.min("v").alias("m"))
-    moved = links.join(low, [*by, "u"]).select(*by, F.col("v").alias("u"), F.col("m").alias("v"))
-    kept = low.select(*by, "u", F.col("m").alias("v"))
-    return moved.unionByName(kept).filter("u <> v").distinct()
-
-
-def runs_to_cells(runs: DataFrame, by: list[str]) -> DataFrame:
-    """Cells (by..., r, c) of horizontal runs (r, c0, c1)."""
-    return runs.select(*by, "r", F.explode(F.sequence("c0", "c1")).alias("c"))
+        ahead = hooks.select(*by, F.col("node").alias("root"), F.col("root").alias("ahead"))
+        hooks = scratch.stored(hooks.join(ahead, [*by, "root"], "left").select(
+            *by, "node", F.coalesce("ahead", "root").alias("root"), F.col("ahead").isNotNull().alias("moved")))
+        if hooks.filter("moved").isEmpty():
+            return hooks.select(*by, "node", "root")
+        hooks = hooks.select(*by, "node", "root")
 
 
 def edge_blobs(cells: DataFrame, by: list[str], height, width, block: int = 256) -> DataFrame:

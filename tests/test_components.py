@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from fieldscar.operators.components import connected_components, edge_blobs
+from fieldscar.operators import components
+from fieldscar.operators.components import connected_components, edge_blobs, merge_labels
 
 
 def flood_fill(cells, diagonal):
@@ -54,3 +56,56 @@ def test_edge_blob_ties_take_the_first_component(spark):
     df = spark.createDataFrame(inner + border, "ev long, r int, c int")
     row = edge_blobs(df, ["ev"], 8, 8, block=4).first()
     assert (row.nodata_px, row.blob_share, row.touches_border) == (4, 0.5, False)
+
+
+def union_find(links):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for by, u, v in links:
+        a, b = sorted((find((by, u)), find((by, v))))
+        parent[b] = a
+    return {(x[0], x[1], find(x)[1]) for x in parent if find(x) != x}
+
+
+def shapes():
+    rng = random.Random(9)
+    star = [(1, 500, i) for i in range(400)] + [(2, i, 3) for i in range(4, 300)]
+    chain = [(3, i, i + 1) for i in range(300)]
+    comb = [(4, i, 1000 + rng.randrange(40)) for i in range(200)]
+    loose = [(5, rng.randrange(300), rng.randrange(300)) for _ in range(250)]
+    return star + chain + comb + loose + star[:20]
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_merged_labels_equal_union_find(spark, parts):
+    links = shapes()
+    df = spark.createDataFrame(links, "ev long, u long, v long").repartition(parts)
+    got = merge_labels(df, ["ev"]).collect()
+    assert len(got) == len({(r.ev, r.node) for r in got}) and {tuple(r) for r in got} == union_find(links)
+    assert merge_labels(df.filter("u = v"), ["ev"]) is None
+
+
+def test_hub_is_spread_over_tasks(spark):
+    """A label linked with 200,000 others: no join puts its rows into one task once Spark splits skewed partitions."""
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        links = spark.range(1, 200_001).selectExpr("id AS u", "0L AS v")
+        merged = merge_labels(links, [])
+        rows = merged.selectExpr("node", "root")
+        assert rows.count() == 200_000 and rows.filter("root <> 0").isEmpty()
+        looked = components._looked_up(merged.repartition(16), spark.range(0, 1).selectExpr("id AS node", "-1L AS root"), [], "root")
+        sizes = looked.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(r["count"] for r in sizes) < 60_000
