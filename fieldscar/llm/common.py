@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import configure, ensure_checkpoint_dir
+from ..session import Scratch, configure, remove, shared_folder  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,40 +29,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-class Scratch:
-    """Intermediate tables in the shared folder, removed at the end of the ``with`` block; what leaves the
-    block must not depend on them."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
-
-    def __enter__(self) -> Scratch:
-        return self
-
-    def __exit__(self, *_) -> None:
-        for path in self.paths:
-            remove(self.spark, path)
-
-    def stored(self, df: DataFrame) -> DataFrame:
-        """``df`` written as Parquet and read again: cuts the lineage like a checkpoint, but compressed
-        and with column pruning, for the wider intermediate results."""
-        path = shared_folder(self.spark, "table")
-        self.paths.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-
 def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint if ``df`` (narrow, cheap to count) has at most ``max_rows`` rows; beyond that
     the join shuffles both sides, and gives the same rows."""

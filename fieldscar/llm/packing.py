@@ -8,7 +8,6 @@ The pieces find their bins by their rank among the pieces of the same length.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -21,7 +20,7 @@ from .common import arrow_map, register, table, worker_cache
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 BATCH_WORDS = 20_000
 
 
@@ -31,16 +30,20 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-#: A full stop or comma after a letter or digit, at the end of a word: always a token of its own.
-_WORD_END = re.compile(rb"(?<=[a-z0-9])(?=[.,](?:\s|\Z))")
+#: Stands between words that are encoded together. It is a token of its own, which no word without it can have.
+MARK = "~"
+#: Begins what may be a special token, which holds across words and cases.
+SPECIAL = "<|"
 
 
 class WordCache:
     """Token ids (little-endian unsigned 32-bit bytes) of texts, word by word.
 
-    The tokenizer lower-cases, drops white space and never joins across it, so a text's ids are
-    those of its words. Each distinct word is encoded once while it stays in the cache: words that
-    were not met since the last ``CACHED_WORDS`` new ones are dropped.
+    The tokenizer drops white space and never joins across it, so a text's ids are those of its words; only special
+    tokens reach further, so texts that may hold one are encoded whole. Each distinct word is encoded once while it
+    stays in the cache: words that were not met since the last ``CACHED_WORDS`` new ones are dropped. All folding of
+    case and of composed characters is the tokenizer's, but words of ASCII letters and digits share the ids of
+    their lower case, and a full stop or comma after a letter or digit ends a word as a token of its own.
     """
 
     def __init__(self, path: str):
@@ -51,28 +54,62 @@ class WordCache:
         self.tokenizer.no_truncation()
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.tails = {b"": b""} | {c.encode(): self._whole(c) for c in ".,"}
+        mark = self._ids(MARK)
+        self.mark = mark[0] if len(mark) == 1 else None
 
     @staticmethod
     def shared(path: str) -> WordCache:
         """The cache of this Python worker, which outlives its tasks."""
         return worker_cache(path, lambda: WordCache(path))
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self._ids(text), dtype="<u4").tobytes()
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; words without MARK go through the tokenizer as one text, parted by MARK."""
+        out = dict.fromkeys(words)
+        plain = [w for w in words if b"~" not in w] if self.mark is not None else []
+        for i in range(0, len(plain), BATCH_WORDS):
+            part = plain[i:i + BATCH_WORDS]
+            [e] = self.tokenizer.encode_batch_fast([f" {MARK} ".join(w.decode() for w in part)], add_special_tokens=False)
+            ids = np.asarray(e.ids, dtype="<u4")
+            ends = (4 * np.append(np.flatnonzero(ids == self.mark), len(ids))).tolist()
+            data, at = ids.tobytes(), 0
+            for word, end in zip(part, ends, strict=True):
+                out[word], at = data[at:end], end + 4
+        for word in words:
+            if out[word] is None:
+                out[word] = self._whole(word.decode())
+        return list(out.values())
+
+    def _learn(self, missing: set[bytes]) -> None:
+        parts = {}
+        for word in missing:
+            form, tail = word, b""
+            if word[-1:] in self.tails and word[-2:-1].isalnum():
+                form, tail = word[:-1], word[-1:]
+            parts[word] = (form.lower() if form.isalnum() else form, tail)  # bytes: ASCII only
+        new = []
+        for form in {f for f, _ in parts.values()}.difference(self.known):
+            if form in self.older:
+                self.known[form] = self.older[form]
+            else:
+                new.append(form)
+        self.known.update(zip(new, self._encoded(new)))
+        for word, (form, tail) in parts.items():
+            self.known[word] = self.known[form] + self.tails[tail]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_WORD_END.sub(b" ", t.encode().lower()).split() for t in texts]  # bytes.lower: ASCII only
+        split = [[] if SPECIAL in t else t.encode().split() for t in texts]  # bytes part at ASCII white space only
         if len(self.known) > CACHED_WORDS:
             self.known, self.older = {}, self.known
-        new = []
-        for word in set().union(*split).difference(self.known):
-            if word in self.older:
-                self.known[word] = self.older[word]
-            else:
-                new.append(word)
-        for i in range(0, len(new), BATCH_WORDS):
-            part = new[i:i + BATCH_WORDS]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.asarray(e.ids, dtype="<u4").tobytes()
+        self._learn(set().union(*split).difference(self.known))
         get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return [self._whole(t) if SPECIAL in t else b"".join(map(get, words)) for t, words in zip(texts, split)]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:

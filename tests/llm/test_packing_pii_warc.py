@@ -108,6 +108,23 @@ def test_word_cache_equals_the_tokenizer():
         assert list(np.frombuffer(cache.encode([text])[0], "<u4")) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_cache_equals_the_tokenizer_on_random_texts():
+    """Words in any order, one cache for all texts, and one that drops words again and again."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    rng = np.random.default_rng(12)
+    signs = list("aAbZé9.,!~'<|> \t\u0301\u030cßİΣ一𝄞") + ["<|endoftext|>", "'s", "ing ", ". "]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(3000)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    cache, packing.CACHED_WORDS, kept = packing.WordCache(packing.tokenizer_path()), 500, packing.CACHED_WORDS
+    try:
+        got = [ids for i in range(0, len(texts), 100) for ids in cache.encode(texts[i:i + 100])]
+    finally:
+        packing.CACHED_WORDS = kept
+    assert [list(np.frombuffer(g, "<u4")) for g in got] == want
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
