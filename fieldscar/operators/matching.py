@@ -6,14 +6,21 @@ Existence tests are semi joins, so matches are never materialised.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import KM_PER_DEGREE
-from . import spatial as S
+from ..session import Scratch, cut_lineage
+from . import cells as C, spatial as S
 
 SPAN_DAYS = 32
 
 
+#: Places or shapes of a cell up to which it is not split, and levels below the first.
+CELL_BOUND, CELL_LEVELS = 64, 8
+
+
 def _flag(df: DataFrame, key: str, matched: DataFrame, name: str) -> DataFrame:
     hits = matched.select(key).distinct().withColumn(name, F.lit(True))
     return df.join(hits, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
@@ -23,56 +30,158 @@ def _padded(days: int) -> tuple[Column, Column]:
     return F.date_sub("date_start", days), F.date_add("date_end", days)
 
 
-def match_points(events: DataFrame, points: DataFrame, radius_km: float = 150.0, days: int = 15,
-                 cell: float = 4.0, name: str = "match_ems") -> DataFrame:
+def _with_days(df: DataFrame, low: Column, high: Column, *columns: str) -> DataFrame:
+    """One row per bucket of the date range, with the bits of its days."""
+    return df.select(*columns, F.explode(C.day_masks(low, high)).alias("_d")).select(*columns, "_d.bucket", "_d.days")
+
+
+def match_points(events: DataFrame, points: DataFrame, radius_km: float = 150.0, days: int = 15, cell: float = 4.0,
+                 name: str = "match_ems", bound: int = CELL_BOUND, levels: int = CELL_LEVELS) -> DataFrame:
     """Flag events whose polygon comes within ``radius_km`` / 111 degrees of a dated point.
 
-    ``events``: event_id, bbox_*, rings, date_start, date_end; ``points``: lon, lat, date. The radius
-    and the day padding widen the keys of the points, the smaller side.
+    ``events``: event_id, bbox_*, rings, date_start, date_end; ``points``: lon, lat, date. A place counts once,
+    whatever its number of dates: its days are bits. Cells with more than ``bound`` places are split; an event
+    walks down the cells that its surroundings reach, and a cell that lies wholly within the radius needs neither
+    its places nor a distance. So a hot place costs an event a bounded number of rows.
     """
     radius = radius_km / KM_PER_DEGREE
-    probe = S.explode_keys(
-        events.select("event_id", *S.BOX, S.ring_edges("rings").alias("edges"), "date_start", "date_end"),
-        cell=S.grid_cells(*S.BOX, cell), bucket=S.day_buckets("date_start", "date_end", SPAN_DAYS),
-    )
     x, y = F.col("lon"), F.col("lat")
-    spots = S.explode_keys(
-        points.select("lon", "lat", "date").filter("date IS NOT NULL").distinct(),
-        cell=S.grid_cells(x - radius, y - radius, x + radius, y + radius, cell),
-        bucket=S.day_buckets(F.date_sub("date", days), F.date_add("date", days), SPAN_DAYS),
-    )
-    p, q = probe.alias("p"), spots.alias("q")
-    near = (
-        (F.col("p.cell") == F.col("q.cell")) & (F.col("p.bucket") == F.col("q.bucket"))
-        & F.col("q.date").between(F.date_sub("p.date_start", days), F.date_add("p.date_end", days))
-        & F.col("q.lon").between(F.col("p.bbox_w") - radius, F.col("p.bbox_e") + radius)
-        & F.col("q.lat").between(F.col("p.bbox_s") - radius, F.col("p.bbox_n") + radius)
-        & (S.point_distance(F.col("q.lon"), F.col("q.lat"), F.col("p.edges")) <= radius)
-    )
-    return _flag(events, "event_id", p.join(q, near, "left_semi"), name)
-
-
-def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell: float = 4.0,
-                   name: str = "match_dfo") -> DataFrame:
-    """Flag events whose polygon meets an archive polygon with overlapping padded dates."""
-    def keyed(df, pad):
-        low, high = _padded(pad)
-        return S.explode_keys(
-            df.select("event_id", *S.BOX, S.ring_edges("rings").alias("edges"),
-                      low.alias("low"), high.alias("high")),
-            cell=S.grid_cells(*S.BOX, cell), bucket=S.day_buckets("low", "high", SPAN_DAYS),
-        )
-    p, q = keyed(events, 0).alias("p"), keyed(archive, days).alias("q")
-    box = lambda side: tuple(F.col(f"{side}.{c}") for c in S.BOX)
-    pw, ps, pe, pn = box("p")
-    qw, qs, qe, qn = box("q")
-    meets = (
-        (F.col("p.cell") == F.col("q.cell")) & (F.col("p.bucket") == F.col("q.bucket"))
-        & (F.col("q.low") <= F.col("p.high")) & (F.col("q.high") >= F.col("p.low"))
-        & (pw <= qe) & (pe >= qw) & (ps <= qn) & (pn >= qs)
-        & S.edges_intersect(F.col("p.edges"), F.col("q.edges"))
-    )
-    return _flag(events, "event_id", p.join(q, meets, "left_semi"), name)
+    spots = points.filter("date IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL").groupBy(
+        "lon", "lat", S.day_bucket("date", C.BUCKET_DAYS).alias("bucket")).agg(F.bit_or(C.day_mask(F.col("date"))).alias("seen"))
+
+    def at(level):
+        side = cell / 2 ** level
+        return [F.lit(level).alias("level"), F.floor(x / side).alias("cx"), F.floor(y / side).alias("cy")]
+
+    with Scratch(events.sparkSession) as scratch:
+        crowded = _crowded(spots.select("lon", "lat").distinct(), at, bound, levels, scratch)
+        deepest = len(crowded)
+        leaf = spots.withColumn("_n", F.lit(0))
+        for level, split in enumerate(crowded):  # how many levels down the cells of a spot are split
+            here = split.select("cx", "cy", F.lit(1).alias("_more"))
+            leaf = leaf.withColumns(dict(zip(("level", "cx", "cy"), at(level)))).join(here, ["cx", "cy"], "left").withColumn(
+                "_n", F.when((F.col("_n") == level) & F.col("_more").isNotNull(), level + 1).otherwise(F.col("_n"))).drop("_more", "level", "cx", "cy")
+        node = F.expr(f"CAST({cell} / shiftleft(1, _n) AS DOUBLE)")
+        right = leaf.select(F.col("_n").alias("level"), F.floor(x / node).alias("cx"), F.floor(y / node).alias("cy"), F.lit(False).alias("whole"),
+                            "bucket", "seen", "lon", "lat")
+        for level in range(deepest + 1):
+            if cell / 2 ** level * 0.7072 <= radius:  # cells of this size can lie wholly within the radius
+                right = right.unionByName(spots.groupBy(*at(level), "bucket").agg(F.bit_or("seen").alias("seen")).select(
+                    *C.NODE, F.lit(True).alias("whole"), "bucket", "seen", F.lit(None).cast("double").alias("lon"), F.lit(None).cast("double").alias("lat")))
+        low, high = _padded(days)
+        walk = events.select("event_id", S.ring_edges("rings").alias("edges"), low.alias("low"), high.alias("high"), F.explode(
+            S.grid_boxes(F.col("bbox_w") - radius, F.col("bbox_s") - radius, F.col("bbox_e") + radius, F.col("bbox_n") + radius, cell)).alias("_c")).select(
+            "event_id", "edges", "low", "high", "_c.cx", "_c.cy")
+        left = None
+        for level in range(deepest + 1):
+            side = cell / 2 ** level
+            half = side * 0.70710679  # of the diagonal, and a little more
+            far = S.point_distance(*C.centre(side), F.col("edges"))
+            reached = walk
+            if level or deepest:
+                reached = walk.withColumn("_far", far).filter(F.col("_far") <= radius + half)
+            whole = (F.col("_far") + half <= radius) if (level or deepest) and half <= radius else F.lit(False)
+            reached = reached.withColumns({"level": F.lit(level), "whole": whole})
+            if level < deepest:
+                split = crowded[level].select("cx", "cy", F.lit(True).alias("_split"))
+                reached = scratch.stored(reached.join(split, ["cx", "cy"], "left"))
+                walk = reached.filter("_split AND NOT whole").select("event_id", "edges", "low", "high", "cx", "cy", F.explode(
+                    F.array(*map(F.lit, range(4)))).alias("_q")).select(
+                    "event_id", "edges", "low", "high", (2 * F.col("cx") + F.col("_q") % 2).alias("cx"), (2 * F.col("cy") + F.expr("_q div 2")).alias("cy"))
+                reached = reached.filter("whole OR _split IS NULL")
+            kept = reached.select("event_id", "edges", "low", "high", *C.NODE, "whole")
+            left = kept if left is None else left.unionByName(kept)
+        p = _with_days(left, F.col("low"), F.col("high"), "event_id", "edges", *C.NODE, "whole").join(
+            right, [*C.NODE, "whole", "bucket"]).filter(C.shared_days("days", "seen"))
+        near = F.col("whole") | (S.point_distance(x, y, F.col("edges")) <= radius)
+        return _flag(events, "event_id", cut_lineage(p.filter(near).select("event_id").distinct()), name)
+
+
+def _crowded(things: DataFrame, at, bound: int, levels: int, scratch: Scratch) -> list[DataFrame]:
+    """Per level the cells (cx, cy) with more than ``bound`` rows of ``things``, as long as there are any; those of a level
+    lie in those of the level before."""
+    out = []
+    while len(out) < levels:
+        level = len(out)
+        split = scratch.stored(things.groupBy(*at(level)[1:]).count().filter(F.col("count") > bound).select("cx", "cy"))
+        if split.isEmpty():
+            break
+        out.append(split)
+    return out
+
+
+def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell: float = 4.0, name: str = "match_dfo",
+                   bound: int = CELL_BOUND, levels: int = CELL_LEVELS) -> DataFrame:
+    """Flag events whose polygon shares a point with an archive polygon (touching counts) with overlapping padded dates.
+
+    Archive records with equal rings are one shape, whose days are bits. Both sides are cut to cells; cells that
+    the edges of more than ``bound`` shapes meet are split. Where either polygon holds a whole cell, all shapes of
+    the cell count together; edges are compared only in cells with few of them.
+    """
+    shape = F.sha2(F.to_json("rings"), 256).alias("shape")
+    low, high = _padded(days)
+    ranges = archive.select(shape, low.alias("low"), high.alias("high"))
+    seen = _with_days(ranges, F.col("low"), F.col("high"), "shape").groupBy("shape", "bucket").agg(F.bit_or("days").alias("seen"))
+    shapes = archive.select(shape, *S.BOX, "rings").dropDuplicates(["shape"])
+    with Scratch(events.sparkSession) as scratch:
+        theirs = _cut_to_cells(shapes, ["shape"], cell)
+        ours = _cut_to_cells(events, ["event_id", "date_start", "date_end"], cell)
+        kinds, left = [], []
+        for level in range(levels + 1):
+            side = cell / 2 ** level
+            theirs = scratch.stored(theirs)
+            crowd = theirs.filter(F.size("edges") > 0).groupBy("cx", "cy").count().filter(F.col("count") > bound)
+            split = scratch.stored(crowd.select("cx", "cy", F.lit(True).alias("split"))) if level < levels else None
+            last = split is None or split.isEmpty()
+            if not last:
+                theirs, ours = (x.join(split, ["cx", "cy"], "left") for x in (theirs, scratch.stored(ours)))
+            else:
+                theirs, ours = (x.withColumn("split", F.lit(None).cast("boolean")) for x in (theirs, ours))
+            kinds.append(theirs.withColumn("level", F.lit(level)))
+            left.append(ours.withColumn("level", F.lit(level)))
+            if last:
+                break
+            theirs = C.halved(theirs.filter("split AND size(edges) > 0").drop("split"), side)
+            ours = C.halved(ours.filter("split AND size(edges) > 0").drop("split"), side)
+        theirs, ours = (functools.reduce(DataFrame.unionByName, x) for x in (kinds, left))
+        # what an event asks for: where it holds the cell, any shape; on its edges, shapes that hold the cell, and the edges of others
+        dated = theirs.join(seen, "shape")
+        by_node = [*C.NODE, "bucket"]
+        whole = dated.groupBy(*by_node, F.when(F.size("edges") == 0, "whole").otherwise("edge").alias("kind")).agg(F.bit_or("seen").alias("seen"))
+        none = F.lit(None)
+        together = whole.select(*by_node, "kind", "seen", none.cast("boolean").alias("q_inside"), F.array().cast(EDGES).alias("q_edges"))
+        alone = dated.filter("split IS NULL AND size(edges) > 0").select(
+            *by_node, F.lit("one").alias("kind"), "seen", F.col("inside").alias("q_inside"), F.col("edges").alias("q_edges"))
+        asks = F.when(F.size("edges") == 0, F.array(F.lit("whole"), F.lit("edge"))).when(
+            F.col("split").isNull(), F.array(F.lit("whole"), F.lit("one"))).otherwise(F.array(F.lit("whole")))
+        p = _with_days(ours, F.col("date_start"), F.col("date_end"), "event_id", "inside", "edges", "split", *C.NODE).withColumn("kind", F.explode(asks))
+        pairs = p.join(together.unionByName(alone), [*by_node, "kind"]).filter(C.shared_days("days", "seen"))
+        side = F.expr(f"CAST({cell} / shiftleft(1, level) AS DOUBLE)")
+        meets = (F.col("kind") != "one") | S.edges_meet("edges", "q_edges") | (F.col("inside") & F.col("q_inside")) | _reaches_into(
+            "edges", "q_inside", "q_edges", side) | _reaches_into("q_edges", "inside", "edges", side)
+        return _flag(events, "event_id", cut_lineage(pairs.filter(meets).select("event_id").distinct()), name)
+
+
+EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+
+
+def _cut_to_cells(df: DataFrame, keep: list[str], cell: float) -> DataFrame:
+    """``keep``, cx, cy, inside, edges for the cells that polygons (bbox_*, rings) of few edges have part in."""
+    cut = df.select(*keep, S.ring_edges("rings").alias("all"), F.explode(S.grid_boxes(*S.BOX, cell)).alias("_c")).select(*keep, "all", "_c.cx", "_c.cy")
+    found = cut.select(*keep, "cx", "cy", S.point_inside(*C.centre(cell), F.col("all")).alias("inside"), F.filter(
+        "all", lambda e: C.meets_cell(e, F.col("cx"), F.col("cy"), cell)).alias("edges"))
+    return found.filter(F.col("inside") | (F.size("edges") > 0))
+
+
+def _reaches_into(edges: str, inside: str, others: str, side: Column) -> Column:
+    """Whether a part of ``edges`` within the cell lies in the other polygon, known by its centre and its edges there."""
+    x0, y0 = C.centre(side)
+
+    def reaches(e):
+        x, y = S.middle_in_box(e, F.col("cx") * side, F.col("cy") * side, (F.col("cx") + 1) * side, (F.col("cy") + 1) * side)
+        return C.inside_from(x0, y0, F.col(inside), x, y, F.col(others))
+
+    return F.exists(edges, reaches)
 
 
 def match_country_dates(events: DataFrame, relief: DataFrame, days: int = 15,
@@ -100,20 +209,16 @@ def match_country_dates(events: DataFrame, relief: DataFrame, days: int = 15,
 
 
 def assign_country(events: DataFrame, countries: DataFrame, key: str = "event_id", name: str = "iso3",
-                   default: str | None = None, cell: float = 10.0) -> DataFrame:
-    """Code of the first country polygon (by ``country_id``) that holds the centre (lon, lat)."""
-    spots = events.select(key, "lon", "lat", S.grid_cell("lon", "lat", cell).alias("cell"))
-    shapes = S.explode_keys(
-        countries.select("country_id", "iso_a3", *S.BOX, S.ring_edges("rings").alias("edges")),
-        cell=S.grid_cells(*S.BOX, cell),
-    )
-    p, q = spots.alias("p"), shapes.alias("q")
-    x, y = F.col("p.lon"), F.col("p.lat")
-    holds = (
-        (F.col("p.cell") == F.col("q.cell")) & x.between(F.col("q.bbox_w"), F.col("q.bbox_e"))
-        & y.between(F.col("q.bbox_s"), F.col("q.bbox_n")) & S.point_inside(x, y, F.col("q.edges"))
-    )
-    found = p.join(q, holds).groupBy(f"p.{key}").agg(F.min_by("iso_a3", "country_id").alias(name))
+                   default: str | None = None, cell: float = 2.0) -> DataFrame:
+    """Code of the first country polygon (by ``country_id``) that holds the centre (lon, lat).
+
+    Countries are rasterised: a cell carries the edges that meet it, cells inside a country none; so a centre
+    meets the countries of its cell and their edges there, however long a border is.
+    """
+    spots = events.select(key, "lon", "lat", F.floor(F.col("lon") / cell).alias("cx"), F.floor(F.col("lat") / cell).alias("cy"))
+    shapes = C.rasterised(countries, "country_id", cell).join(countries.select("country_id", "iso_a3"), "country_id")
+    held = C.inside_from(*C.centre(cell), F.col("inside"), F.col("lon"), F.col("lat"), F.col("edges"))
+    found = spots.join(shapes, ["cx", "cy"]).filter(held).groupBy(key).agg(F.min_by("iso_a3", "country_id").alias(name))
     out = events.join(found, key, "left")
     return out if default is None else out.withColumn(name, F.coalesce(name, F.lit(default)))
 

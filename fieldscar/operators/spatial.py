@@ -65,14 +65,20 @@ def _segments_meet(a, b) -> Column:
     return near & straddles(a, b) & straddles(b, a)
 
 
-def edges_intersect(a, b) -> Column:
-    """True when two polygons share a point (touching counts)."""
-    a, b = _col(a), _col(b)
-    return (
-        F.exists(a, lambda p: F.exists(b, lambda q: _segments_meet(p, q)))
-        | F.exists(b, lambda q: point_inside(q["x1"], q["y1"], a))
-        | F.exists(a, lambda p: point_inside(p["x1"], p["y1"], b))
-    )
+def edges_meet(a, b) -> Column:
+    """True when an edge of ``a`` shares a point with an edge of ``b``."""
+    return F.exists(_col(a), lambda p: F.exists(_col(b), lambda q: _segments_meet(p, q)))
+
+
+def middle_in_box(e, west, south, east, north) -> tuple[Column, Column]:
+    """The middle of the part of a segment that lies in the box (which it meets)."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    ways = [(F.try_divide(low - start, d), F.try_divide(high - start, d))
+            for start, d, low, high in ((e["x1"], dx, west, east), (e["y1"], dy, south, north))]
+    enter = F.greatest(F.lit(0.0), *[F.least(*w) for w in ways])
+    leave = F.least(F.lit(1.0), *[F.greatest(*w) for w in ways])
+    t = (enter + leave) / 2
+    return e["x1"] + t * dx, e["y1"] + t * dy
 
 
 def day_number(day) -> Column:
@@ -102,6 +108,15 @@ def grid_cells(west, south, east, north, size: float) -> Column:
     return F.flatten(F.transform(span(west, east), lambda x: F.transform(ys, lambda y: x * 1_000_000 + y)))
 
 
+def grid_boxes(west, south, east, north, size: float) -> Column:
+    """ARRAY<STRUCT<cx, cy>> of every square cell a box touches."""
+    def span(low, high):
+        low, high = F.floor(_col(low) / size), F.floor(_col(high) / size)
+        return F.when(low <= high, F.sequence(low, high))
+    ys = span(south, north)
+    return F.flatten(F.transform(span(west, east), lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+
+
 def explode_keys(df: DataFrame, **arrays: Column) -> DataFrame:
     """One row per combination of the named key arrays."""
     for name, values in arrays.items():
