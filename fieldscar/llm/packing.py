@@ -9,6 +9,7 @@ The pieces find their bins by their rank among the pieces of the same length.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -20,7 +21,7 @@ from .common import arrow_map, register, table, worker_cache
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 BATCH_WORDS = 20_000
 
 
@@ -36,14 +37,18 @@ MARK = "~"
 SPECIAL = "<|"
 
 
+#: Byte-level models show the bytes without a printable sign as the characters from U+0100 on.
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
+
+
 class WordCache:
     """Token ids (little-endian unsigned 32-bit bytes) of texts, word by word.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words; only special
     tokens reach further, so texts that may hold one are encoded whole. Each distinct word is encoded once while it
-    stays in the cache: words that were not met since the last ``CACHED_WORDS`` new ones are dropped. All folding of
-    case and of composed characters is the tokenizer's, but words of ASCII letters and digits share the ids of
-    their lower case, and a full stop or comma after a letter or digit ends a word as a token of its own.
+    stays in the cache: words that were not met since the last ``CACHED_WORDS`` new ones are dropped. ASCII letters
+    are put in lower case beforehand where no mark follows that could be composed with one of them; all other folding
+    is the tokenizer's. A full stop or comma after an ASCII letter or digit ends a word as a token of its own.
     """
 
     def __init__(self, path: str):
@@ -57,6 +62,9 @@ class WordCache:
         self.tails = {b"": b""} | {c.encode(): self._whole(c) for c in ".,"}
         mark = self._ids(MARK)
         self.mark = mark[0] if len(mark) == 1 else None
+        # whether words of letters reach the model as they are, their bytes as characters
+        self.model, self.direct = self.tokenizer.model, True
+        self.direct = all(self._of_letters(w.encode()) == self._whole(w) for w in ("the", "\xfcbung", "na\xefvet\xe9", "\u0161\u0105zzqj"))
 
     @staticmethod
     def shared(path: str) -> WordCache:
@@ -69,10 +77,19 @@ class WordCache:
     def _whole(self, text: str) -> bytes:
         return np.asarray(self._ids(text), dtype="<u4").tobytes()
 
+    def _of_letters(self, word: bytes) -> bytes | None:
+        """Ids of a word of small Latin letters (to U+024F), which folding and splitting leave whole; None for others."""
+        text = word.decode()
+        if not (self.direct and text.isalpha() and max(text) < "\u0250" and text == text.lower()):
+            return None
+        shown = text if len(text) == len(word) else word.decode("latin-1").translate(_SHOWN)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
     def _encoded(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word; words without MARK go through the tokenizer as one text, parted by MARK."""
-        out = dict.fromkeys(words)
-        plain = [w for w in words if b"~" not in w] if self.mark is not None else []
+        """Ids of each word; words of letters go to the tokenizer's model, those without MARK through all of the
+        tokenizer as one text, parted by MARK."""
+        out = {w: self._of_letters(w) for w in words}
+        plain = [w for w in words if out[w] is None and b"~" not in w] if self.mark is not None else []
         for i in range(0, len(plain), BATCH_WORDS):
             part = plain[i:i + BATCH_WORDS]
             [e] = self.tokenizer.encode_batch_fast([f" {MARK} ".join(w.decode() for w in part)], add_special_tokens=False)
@@ -87,31 +104,37 @@ class WordCache:
         return list(out.values())
 
     def _learn(self, missing: set[bytes]) -> None:
-        parts = {}
+        known, older, tails, new, tailed = self.known, self.older, self.tails, [], []
         for word in missing:
-            form, tail = word, b""
-            if word[-1:] in self.tails and word[-2:-1].isalnum():
-                form, tail = word[:-1], word[-1:]
-            parts[word] = (form.lower() if form.isalnum() else form, tail)  # bytes: ASCII only
-        new = []
-        for form in {f for f, _ in parts.values()}.difference(self.known):
-            if form in self.older:
-                self.known[form] = self.older[form]
+            if word in older:
+                known[word] = older[word]
+            elif word[-1:] in tails and word[-2:-1].isalnum():  # bytes: ASCII only
+                tailed.append(word)
             else:
-                new.append(form)
-        self.known.update(zip(new, self._encoded(new)))
-        for word, (form, tail) in parts.items():
-            self.known[word] = self.known[form] + self.tails[tail]
+                new.append(word)
+        forms = {w[:-1] for w in tailed}.difference(known, new)
+        for form in [f for f in forms if f in older]:
+            known[form] = older[form]
+        new += [f for f in forms if f not in known]
+        known.update(zip(new, self._encoded(new)))
+        for word in tailed:
+            known[word] = known[word[:-1]] + tails[word[-1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [[] if SPECIAL in t else t.encode().split() for t in texts]  # bytes part at ASCII white space only
         if len(self.known) > CACHED_WORDS:
             self.known, self.older = {}, self.known
-        self._learn(set().union(*split).difference(self.known))
-        get = self.known.__getitem__
+        split = [[] if SPECIAL in t else _folded(t.encode()).split() for t in texts]  # bytes part at ASCII white space only
+        met = set().union(*split)
+        self._learn(met.difference(self.known))
+        get = {w: self.known[w] for w in met}.__getitem__  # a small table that stays close
         return [self._whole(t) if SPECIAL in t else b"".join(map(get, words)) for t, words in zip(texts, split)]
 
 
+def _folded(text: bytes) -> bytes:
+    """ASCII letters in lower case, unless the text holds marks of U+0300 to U+037F, the only ones composed with them."""
+    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: ``key``, row (tells repeated keys apart), piece, start, length, ids_crc32.
 
