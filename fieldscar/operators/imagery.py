@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import cut_lineage
 from .ranking import top_per_group
-from .spatial import day_number
+from .spatial import BOX, day_bucket, day_buckets, day_number, grid_boxes
 
 CANDIDATE_SCENES, MIN_COVERAGE, NATIVE_PIXEL_M2 = 25, 0.60, 400.0
 
@@ -19,6 +20,16 @@ def link_scores(scenes: DataFrame, scores: DataFrame) -> DataFrame:
     return scenes.join(scores, "scene_id", "left")
 
 
+#: ``by`` of the picks below: scenes belong to the targets whose box they meet, in place of an equal key.
+BOUNDS = "bounds"
+CELL_DEGREES, BUCKET_DAYS = 4.0, 32
+
+
+def daily_scenes(scenes: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """keys..., acq, low, high, n: per place and day the first and the last scene by ``order``, and their number."""
+    return scenes.groupBy(*keys, "acq").agg(F.min(order).alias("low"), F.max(order).alias("high"), F.count("*").alias("n"))
+
+
 def window_picks(targets: DataFrame, scenes: DataFrame, keys: list[str], order: Column,
                  picks: dict[str, tuple[int, int, bool]], last_of_day: bool = False) -> DataFrame:
     """Scenes picked around each target day: per name, the first (or latest) scene by ``order`` with acq
@@ -26,13 +37,19 @@ def window_picks(targets: DataFrame, scenes: DataFrame, keys: list[str], order:
 
     ``targets``: keys..., target, anything; ``scenes``: keys..., acq; ``picks``: name -> (low, high,
     latest). A day counts with one scene, the smallest by ``order`` (the largest if ``last_of_day``).
+    """
+    return picks_of_days(targets, daily_scenes(scenes, keys, order), keys, picks, last_of_day)
 
-    Only that scene and the distinct target days matter, so both sides shrink to one row per place
+
+def picks_of_days(targets: DataFrame, daily: DataFrame, keys: list[str], picks: dict[str, tuple[int, int, bool]],
+                  last_of_day: bool = False) -> DataFrame:
+    """``window_picks`` from ``daily_scenes``.
+
+    Only the scenes of days and the distinct target days matter, so both sides have one row per place
     and day before they meet: no pair of target and scene is ever built, and the window of a place
     holds two rows per day at most, however many events or scenes it has.
     """
-    daily = scenes.groupBy(*keys, "acq").agg(
-        (F.max if last_of_day else F.min)(order).alias("best"), F.count("*").alias("n"))
+    daily = daily.select(*keys, "acq", F.col("high" if last_of_day else "low").alias("best"), "n")
     asked = targets.select(*keys, F.col("target").alias("acq")).distinct()
     days = daily.withColumn("_asked", F.lit(False)).unionByName(asked.select(
         *keys, "acq", F.lit(None).cast(daily.schema["best"].dataType).alias("best"), F.lit(0).cast("long").alias("n"),
@@ -47,13 +64,63 @@ def window_picks(targets: DataFrame, scenes: DataFrame, keys: list[str], order:
     return targets.join(found, [*keys, "target"])
 
 
-def nearest_radar(targets: DataFrame, scenes: DataFrame, back: int, forward: int, key: str = "event_id") -> DataFrame:
+def footprint() -> Column:
+    """The box of a scene as its place: scenes of one footprint share their days."""
+    return F.struct(*BOX).alias("place")
+
+
+def places_met(targets: DataFrame, scenes: DataFrame, key: str) -> DataFrame:
+    """``key``, place: the footprints that meet the box of a target and have a scene in a bucket of its dates.
+
+    ``targets``: key, bbox_*, low, high (dates); ``scenes``: bbox_*, acq. Both sides are cut to cells and
+    buckets of days, the scenes after their distinct footprints; a pair is kept in the cell of its south-west corner only.
+    """
+    p = targets.select(key, *BOX, F.explode(day_buckets("low", "high", BUCKET_DAYS)).alias("bucket")).select(
+        key, *BOX, "bucket", F.explode(grid_boxes(*BOX, CELL_DEGREES)).alias("cell")).alias("p")
+    q = scenes.select(*BOX, day_bucket("acq", BUCKET_DAYS).alias("bucket")).distinct().select(
+        *BOX, "bucket", F.explode(grid_boxes(*BOX, CELL_DEGREES)).alias("cell")).alias("q")
+    (pw, ps, pe, pn), (qw, qs, qe, qn) = ([F.col(f"{side}.{c}") for c in BOX] for side in "pq")
+    corner = F.struct(F.floor(F.greatest(pw, qw) / CELL_DEGREES).alias("cx"), F.floor(F.greatest(ps, qs) / CELL_DEGREES).alias("cy"))
+    meet = (
+        (F.col("p.cell") == F.col("q.cell")) & (F.col("p.bucket") == F.col("q.bucket"))
+        & (pw <= qe) & (pe >= qw) & (ps <= qn) & (pn >= qs) & (F.col("p.cell") == corner))
+    return p.join(q, meet).select(f"p.{key}", F.struct(*[F.col(f"q.{c}").alias(c) for c in BOX]).alias("place")).distinct()
+
+
+def _span(targets: DataFrame, picks: dict, key: str) -> DataFrame:
+    return targets.select(key, *BOX, F.date_add("target", min(p[0] for p in picks.values())).alias("low"),
+                          F.date_add("target", max(p[1] for p in picks.values())).alias("high"))
+
+
+def _gathered(found: DataFrame, key: str, picks: dict, last_of_day: bool = False) -> DataFrame:
+    """One row per ``key`` from the picks of its places: the best of the best, numbers added up."""
+    best = {}
+    for name, (_, _, latest) in picks.items():
+        order = F.col(name) if last_of_day or not latest else F.struct((-day_number(f"{name}.acq")).alias("late"), F.col(name))
+        pick = (F.max_by if latest and last_of_day else F.min_by)(F.col(name), F.when(F.col(name).isNotNull(), order))
+        best[name], best[f"{name}_n"] = pick, F.sum(f"{name}_n")
+    return found.groupBy(key).agg(*[c.alias(n) for n, c in best.items()])
+
+
+def picks_for(targets: DataFrame, scenes: DataFrame, order: Column, picks: dict[str, tuple[int, int, bool]],
+              key: str, by: str = "ev") -> DataFrame:
+    """``window_picks`` of scenes with an equal ``by``, or, with BOUNDS, of scenes whose box meets that of the
+    target (both have bbox_*): every footprint gives its best, and a target takes the best of those it meets."""
+    if by != BOUNDS:
+        return window_picks(targets, scenes, [by], order, picks)
+    placed = scenes.withColumn("place", footprint())
+    asked = targets.select(key, "target").join(places_met(_span(targets, picks, key), scenes, key), key)
+    found = window_picks(asked, placed, ["place"], order, picks)
+    return targets.join(_gathered(found, key, picks), key)
+
+
+def nearest_radar(targets: DataFrame, scenes: DataFrame, back: int, forward: int, key: str = "event_id", by: str = "ev") -> DataFrame:
     """The usable radar scene closest in days to ``target`` in [target - back, target + forward);
     the earlier one on a tie. Targets without a scene are left out."""
     picks = {"before": (-back, -1, True), "after": (0, max(forward, 1) - 1, False), "all": (-back, forward - 1, False)}
     if forward <= 0:
         del picks["after"]
-    found = window_picks(targets, scenes.filter(radar_usable()), ["ev"], F.struct("acq", "scene_id"), picks)
+    found = picks_for(targets, scenes.filter(radar_usable()), F.struct("acq", "scene_id"), picks, key, by)
     ranked = [F.when(F.col(name).isNotNull(), F.struct(
         F.abs(F.date_diff(F.col(f"{name}.acq"), "target")).alias("gap"), F.col(f"{name}.acq").alias("acq"),
         F.col(f"{name}.scene_id").alias("scene_id"))) for name in picks if name != "all"]
@@ -63,24 +130,64 @@ def nearest_radar(targets: DataFrame, scenes: DataFrame, back: int, forward: int
         key, "s.scene_id", "s.acq", F.col("s.gap").alias("gap_days"), "n_scenes")
 
 
-def radar_pair(events: DataFrame, scenes: DataFrame, tolerance: int = 30, key: str = "event_id") -> DataFrame:
+def radar_pair(events: DataFrame, scenes: DataFrame, tolerance: int = 30, key: str = "event_id", by: str = "ev") -> DataFrame:
     """Latest usable scene before the start, then the earliest after the end on the same pass and
-    orbit; without a "before" the "after" is free and carries no pass or orbit."""
-    usable = scenes.filter(radar_usable())
-    pre = window_picks(
-        events.select(key, "ev", "date_end", F.col("date_start").alias("target")), usable, ["ev"],
-        F.struct("acq", "scene_id", "pass", "rel_orbit"), {"pre": (-tolerance, -1, True)}, last_of_day=True)
-    track = F.when(F.col("pre").isNotNull(), F.concat_ws("/", "pre.pass", "pre.rel_orbit")).otherwise("any")
-    asked = pre.select(key, "ev", F.col("date_end").alias("target"), "pre", track.alias("track"))
-    tracks = F.explode(F.array(F.concat_ws("/", "pass", "rel_orbit"), F.lit("any"))).alias("track")
-    post = window_picks(asked, usable.select("ev", "acq", "scene_id", tracks), ["ev", "track"],
-                        F.struct("acq", "scene_id"), {"post": (0, tolerance - 1, False)})
+    orbit; without a "before" the "after" is free and carries no pass or orbit.
+
+    Scenes are read once: one table of days per place and track serves both picks, added up over tracks where any will do.
+    """
+    track = F.concat_ws("/", "pass", "rel_orbit")
+    usable = scenes.filter(radar_usable()).withColumns({"track": track, "place": footprint() if by == BOUNDS else F.col(by)})
+    if by == BOUNDS:
+        window = events.select(key, *BOX, F.date_sub("date_start", tolerance).alias("low"), F.date_add("date_end", tolerance - 1).alias("high"))
+        events = cut_lineage(events.select(key, "date_start", "date_end").join(places_met(window, usable, key), key, "left"))
+    else:
+        events = events.select(key, F.col(by).alias("place"), "date_start", "date_end")
+    daily = cut_lineage(daily_scenes(usable, ["place", "track"], F.struct("acq", "scene_id", "pass", "rel_orbit")))
+    total = daily.groupBy("place", "acq").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+    first = {"pre": (-tolerance, -1, True)}
+    pre = picks_of_days(events.withColumn("target", F.col("date_start")), total, ["place"], first, last_of_day=True)
+    if by == BOUNDS:
+        met = pre.select(key, "place", "date_end", "pre", "pre_n")
+        pre = met.select(key, "place", "date_end").join(_gathered(met, key, first, last_of_day=True), key)
+    on = F.when(F.col("pre").isNotNull(), F.concat_ws("/", "pre.pass", "pre.rel_orbit")).otherwise("any")
+    asked = pre.select(key, "place", F.col("date_end").alias("target"), "pre", on.alias("track"))
+    after = {"post": (0, tolerance - 1, False)}
+    days = daily.unionByName(total.withColumn("track", F.lit("any")))
+    post = picks_of_days(asked, days, ["place", "track"], after)
+    if by == BOUNDS:
+        named = _gathered(post.select(key, "post", "post_n"), key, after)
+        post = pre.select(key, "pre").dropDuplicates([key]).join(named, key, "left")
+        post = events.select(key).distinct().join(post, key, "left")
     return post.select(
         key, F.col("pre.scene_id").alias("pre_scene"), F.col("pre.acq").alias("pre_date"),
         F.col("post.scene_id").alias("post_scene"), F.col("post.acq").alias("post_date"),
         F.col("pre.pass").alias("pass"), F.col("pre.rel_orbit").alias("rel_orbit"))
 
 
+def scenes_between(events: DataFrame, scenes: DataFrame, key: str = "event_id") -> DataFrame:
+    """``key``, n_scenes, first_scene, last_scene of the scenes whose box meets the event's within its closed dates.
+
+    ``events``: key, bbox_*, date_start, date_end; ``scenes``: scene_id, bbox_*, acq; first and last by acq, then scene_id.
+    Events without a scene are left out. Scenes are counted along the days of their footprint, and an event takes
+    the difference of two counts per footprint that it meets: no row is a pair of event and scene.
+    """
+    days = daily_scenes(scenes.withColumn("place", footprint()), ["place"], F.struct("acq", "scene_id"))
+    window = events.select(key, *BOX, F.col("date_start").alias("low"), F.col("date_end").alias("high"))
+    asked = cut_lineage(places_met(window, scenes, key).join(window.select(key, F.date_sub("low", 1).alias("before"), "high"), key))
+    asks = asked.select("place", F.explode(F.array("before", "high")).alias("acq")).distinct()
+    line = days.withColumn("_asked", F.lit(False)).unionByName(asks.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    by_day = W.partitionBy("place").orderBy(day_number("acq"))
+    upto, beyond = by_day.rangeBetween(W.unboundedPreceding, 0), by_day.rangeBetween(1, W.unboundedFollowing)
+    seen = line.withColumns({"upto": F.coalesce(F.sum("n").over(upto), F.lit(0)), "last": F.max("high").over(upto), "next": F.min("low").over(beyond)})
+    seen = seen.filter("_asked").select("place", "acq", "upto", "last", "next")
+    ends = asked.join(seen.select("place", F.col("acq").alias("before"), F.col("upto").alias("n0"), F.col("next").alias("first")), ["place", "before"])
+    ends = ends.join(seen.select("place", F.col("acq").alias("high"), F.col("upto").alias("n1"), "last"), ["place", "high"]).filter("n1 > n0")
+    return ends.groupBy(key).agg(
+        F.sum(F.col("n1") - F.col("n0")).alias("n_scenes"), F.min("first").alias("a"), F.max("last").alias("b")).select(
+        key, "n_scenes", F.col("a.scene_id").alias("first_scene"), F.col("b.scene_id").alias("last_scene"))
+
+
 def least_cloudy(found: DataFrame, by: list[str], k: int = CANDIDATE_SCENES) -> DataFrame:
     return top_per_group(found, by, ["cloud", "scene_id"], k, "cloud_rank")
 
@@ -98,19 +205,18 @@ def covers(valid_px, area_m2) -> Column:
     return F.col(valid_px) >= MIN_COVERAGE * F.col(area_m2) / NATIVE_PIXEL_M2
 
 
-def clearest_in_window(targets: DataFrame, scenes: DataFrame, first: int, last: int) -> DataFrame:
+def clearest_in_window(targets: DataFrame, scenes: DataFrame, first: int, last: int, key: str = "event_id", by: str = "ev") -> DataFrame:
     """The scene with the largest clear share in the window (smallest id on ties), with the number of
     scenes behind it. Columns: those of ``targets``, scene_id, clear_frac, n_scenes."""
     order = F.struct((-F.col("clear_frac")).alias("cloudy"), F.col("scene_id"))
-    found = window_picks(
-        targets, scenes.filter("clear_frac IS NOT NULL"), ["ev"], order, {"best": (first, last, False)})
+    found = picks_for(targets, scenes.filter("clear_frac IS NOT NULL"), order, {"best": (first, last, False)}, key, by)
     return found.filter("best_n > 0").select(
         *targets.columns, "best.scene_id", (-F.col("best.cloudy")).alias("clear_frac"), F.col("best_n").alias("n_scenes"))
 
 
-def clearest_scene(targets: DataFrame, scenes: DataFrame, first: int, last: int) -> DataFrame:
+def clearest_scene(targets: DataFrame, scenes: DataFrame, first: int, last: int, key: str = "event_id", by: str = "ev") -> DataFrame:
     """The clearest scene among those that cover the chip. ``scenes`` carries ``covers``."""
-    return clearest_in_window(targets, scenes.filter("covers"), first, last)
+    return clearest_in_window(targets, scenes.filter("covers"), first, last, key, by)
 
 
 def _path(path) -> Column:

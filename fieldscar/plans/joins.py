@@ -100,6 +100,44 @@ def _(t):
         "event_id", "pre_scene", "post_scene", "pass", "rel_orbit")
 
 
+# the same picks, with scenes found by their boxes instead of an equal key
+_BOUNDED = ("e.bbox_w <= s.lon + 1 AND e.bbox_e >= s.lon - 1 AND e.bbox_s <= s.lat + 1 AND e.bbox_n >= s.lat - 1")
+
+
+def boxed_scenes(t):
+    lon, lat = F.col("lon"), F.col("lat")
+    return with_polarisations(t.scenes).withColumns({"bbox_w": lon - 1, "bbox_s": lat - 1, "bbox_e": lon + 1, "bbox_n": lat + 1})
+
+
+@query("j6_scene_counts", f"""SELECT e.event_id, COUNT(*) AS n_scenes, MIN_BY(s.scene_id, (s.acq, s.scene_id)) AS first_scene,
+  MAX_BY(s.scene_id, (s.acq, s.scene_id)) AS last_scene FROM fx_floods e JOIN fx_scenes s
+  ON s.acq BETWEEN e.date_start AND e.date_end AND {_BOUNDED} GROUP BY e.event_id""")
+def _(t):
+    return imagery.scenes_between(t.floods, scene_boxes(t))
+
+
+@query("j8_nearest_radar_by_bounds", f"""SELECT e.event_id, MIN_BY(s.scene_id, (ABS(s.acq - (e.date_start - 5)), s.acq, s.scene_id)) AS scene_id,
+  CAST(MIN(ABS(s.acq - (e.date_start - 5))) AS INT) AS gap_days, COUNT(*) AS n_scenes
+  FROM fx_floods e JOIN fx_scenes s ON {_BOUNDED} AND s.acq >= e.date_start - 35 AND s.acq < e.date_start + 15
+  WHERE s.mode = 'IW' AND s.dual = 1 GROUP BY e.event_id""")
+def _(t):
+    targets = t.floods.select("event_id", "bbox_w", "bbox_s", "bbox_e", "bbox_n", F.date_sub("date_start", 5).alias("target"))
+    return imagery.nearest_radar(targets, boxed_scenes(t), 30, 20, by=imagery.BOUNDS).select("event_id", "scene_id", "gap_days", "n_scenes")
+
+
+@query("j9_radar_pair_by_bounds", f"""WITH s AS (SELECT * FROM fx_scenes WHERE mode = 'IW' AND dual = 1),
+  pre AS (SELECT e.event_id, MAX_BY(s.scene_id, (s.acq, s.scene_id)) AS scene, MAX_BY(s.pass, (s.acq, s.scene_id)) AS pass,
+    MAX_BY(s.rel_orbit, (s.acq, s.scene_id)) AS orbit FROM fx_floods e JOIN s ON {_BOUNDED}
+    AND s.acq >= e.date_start - 30 AND s.acq < e.date_start GROUP BY e.event_id),
+  post AS (SELECT e.event_id, MIN_BY(s.scene_id, (s.acq, s.scene_id)) AS scene FROM fx_floods e LEFT JOIN pre USING (event_id)
+    JOIN s ON {_BOUNDED} AND s.acq >= e.date_end AND s.acq < e.date_end + 30
+    AND (pre.scene IS NULL OR (s.pass = pre.pass AND s.rel_orbit = pre.orbit)) GROUP BY e.event_id)
+  SELECT e.event_id, pre.scene AS pre_scene, post.scene AS post_scene, pre.pass AS pass, pre.orbit AS rel_orbit
+  FROM fx_floods e LEFT JOIN pre USING (event_id) LEFT JOIN post USING (event_id)""")
+def _(t):
+    return imagery.radar_pair(t.floods, boxed_scenes(t), by=imagery.BOUNDS).select("event_id", "pre_scene", "post_scene", "pass", "rel_orbit")
+
+
 @query("j10_sidecar_patch", """SELECT CAST(o.o_orderkey AS STRING) AS chip_id, CASE WHEN l.n IS NULL THEN o.o_orderstatus ELSE CAST(l.n AS STRING) END AS qc,
   l.n IS NULL AS orphan FROM orders o LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n FROM lineitem WHERE l_quantity > 10 GROUP BY 1) l
   ON l.l_orderkey = o.o_orderkey""")

@@ -156,6 +156,18 @@ def _(t):
     return imagery.clearest_scene(targets, scenes, -30, -1).select("event_id", "scene_id", "clear_frac")
 
 
+@query("w10_clearest_by_bounds", """SELECT e.event_id, MIN_BY(s.scene_id, (-s.clear_frac, s.scene_id)) AS scene_id, MAX(s.clear_frac) AS clear_frac,
+  COUNT(*) AS n_scenes FROM fx_floods e JOIN fx_scenes s ON s.acq >= e.date_start - 30 AND s.acq < e.date_start
+  AND e.bbox_w <= s.lon + 1 AND e.bbox_e >= s.lon - 1 AND e.bbox_s <= s.lat + 1 AND e.bbox_n >= s.lat - 1
+  WHERE s.cloud * 10000 >= 0.6 * 160000 / 400.0::DOUBLE GROUP BY e.event_id""")
+def _(t):
+    from .joins import boxed_scenes
+    scenes = boxed_scenes(t).withColumns({"valid_px": F.col("cloud") * 10000, "area": F.lit(160000.0)})
+    scenes = scenes.withColumn("covers", imagery.covers("valid_px", "area"))
+    targets = t.floods.select("event_id", "bbox_w", "bbox_s", "bbox_e", "bbox_n", F.col("date_start").alias("target"))
+    return imagery.clearest_scene(targets, scenes, -30, -1, by=imagery.BOUNDS).select("event_id", "scene_id", "clear_frac", "n_scenes")
+
+
 SCORED_SQL = """SELECT *, inc < 32000 AND "max" < 32000 AND "dec" < 32000 AND "min" < 32000 AND inc < "max" AND "max" < "dec" AND "dec" < "min" AS ok,
   CAST(CASE WHEN granule_year = year THEN 10 ELSE 0 END + cycle AS INT) AS code,
   CASE WHEN day < "max" THEN 1 WHEN day < "dec" THEN 2 ELSE 3 END AS st, inc <= day AND "min" >= day AS inside FROM fx_cycles"""

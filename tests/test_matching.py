@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fieldscar.operators import cells, matching
+from fieldscar.operators import cells, imagery, matching
 
 DAY = dt.date(2021, 3, 1)
 SHAPES = ("event_id string, bbox_w double, bbox_s double, bbox_e double, bbox_n double, "
@@ -105,3 +105,37 @@ def test_country_of_many_edges(spark):
     got = matching.assign_country(spark.createDataFrame(spots, "event_id long, lon double, lat double"), countries).collect()
     want = {i: "AAA" if inside(ring, x, y) else "BBB" if inside(square, x, y) else None for i, x, y in spots}
     assert {r.event_id: r.iso3 for r in got} == want and {"AAA", "BBB", None} == set(want.values())
+
+
+def test_scene_picks_by_bounds_equal_plain_loops(spark):
+    """Many events under a few shared footprints and many footprints over one event; equal days and ids decide ties."""
+    rng = random.Random(6)
+    box = lambda x, y, h: (x - h, y - h, x + h, y + h)
+    events = [(f"e{i}", *box(rng.uniform(-9, 9), rng.uniform(-9, 9), rng.choice([0.1, 1.5, 6])), DAY + dt.timedelta(rng.randrange(90)),
+               DAY + dt.timedelta(90 + rng.randrange(30))) for i in range(60)]
+    places = [box(rng.uniform(-9, 9), rng.uniform(-9, 9), rng.choice([1, 3])) for _ in range(12)]
+    scenes = [(f"s{i:03d}", *rng.choice(places), DAY + dt.timedelta(rng.randrange(-40, 160)), rng.choice(["A", "D"]), rng.randrange(2), "IW", ["VV", "VH"])
+              for i in range(400)]
+    bounds = "bbox_w double, bbox_s double, bbox_e double, bbox_n double"
+    ev = spark.createDataFrame(events, f"event_id string, {bounds}, date_start date, date_end date")
+    sc = spark.createDataFrame(scenes, f"scene_id string, {bounds}, acq date, pass string, rel_orbit int, mode string, polarisations array<string>")
+    meets = lambda e, s: e[1] <= s[3] and e[3] >= s[1] and e[2] <= s[4] and e[4] >= s[2]
+    met = {e[0]: [s for s in scenes if meets(e, s)] for e in events}
+    pairs, counts, nearest = {}, {}, {}
+    for e in events:
+        before = [s for s in met[e[0]] if e[5] - dt.timedelta(20) <= s[5] < e[5]]
+        pre = max(before, key=lambda s: (s[5], s[0]), default=None)
+        after = [s for s in met[e[0]] if e[6] <= s[5] < e[6] + dt.timedelta(20) and (pre is None or s[6:8] == pre[6:8])]
+        post = min(after, key=lambda s: (s[5], s[0]), default=None)
+        pairs[e[0]] = (pre and pre[0], post and post[0])
+        within = sorted((s[5], s[0]) for s in met[e[0]] if e[5] <= s[5] <= e[6])
+        if within:
+            counts[e[0]] = (len(within), within[0][1], within[-1][1])
+        near = [(abs((s[5] - e[5]).days), s[5], s[0]) for s in met[e[0]] if e[5] - dt.timedelta(9) <= s[5] < e[5] + dt.timedelta(7)]
+        if near:
+            nearest[e[0]] = (min(near)[2], len(near))
+    got = imagery.radar_pair(ev, sc, tolerance=20, by=imagery.BOUNDS).collect()
+    assert {r.event_id: (r.pre_scene, r.post_scene) for r in got} == pairs and len(got) == len(events)
+    assert {r.event_id: tuple(r)[1:] for r in imagery.scenes_between(ev, sc).collect()} == counts
+    found = imagery.nearest_radar(ev.withColumn("target", F.col("date_start")), sc, 9, 7, by=imagery.BOUNDS).collect()
+    assert {r.event_id: (r.scene_id, r.n_scenes) for r in found} == nearest
