@@ -196,14 +196,16 @@ def scout_map(cells: DataFrame, by: list[str], factor: int) -> DataFrame:
 
 def _moving_sum(df: DataFrame, by: list[str], along: str, across: str, value: str,
                 back: int, ahead: int, block: int) -> DataFrame:
-    """Sum over [p - back, p + ahead] along one axis. Rows near a block border are copied into the
+    """Sum over [p - back, p + ahead] along one axis, as the difference of two running sums (exact for whole
+    numbers), so the work does not depend on the width. Rows near a block border are copied into the
     next block, so a window never spans more than one block."""
     at = F.col(along)
     home = F.floor(at / F.lit(block))
     spread = df.withColumn("_b", F.explode(F.sequence(
         F.floor((at - ahead) / F.lit(block)), F.floor((at + back) / F.lit(block)))))
-    w = W.partitionBy(*by, across, "_b").orderBy(along).rangeBetween(-back, ahead)
-    return spread.withColumn(value, F.sum(value).over(w)).filter(F.col("_b") == home).drop("_b")
+    line = W.partitionBy(*by, across, "_b").orderBy(along)
+    upto, before = (F.coalesce(F.sum(value).over(line.rangeBetween(W.unboundedPreceding, end)), F.lit(0.0)) for end in (ahead, -back - 1))
+    return spread.withColumn(value, upto - before).filter(F.col("_b") == home).drop("_b")
 
 
 def box_density(grid: DataFrame, by: list[str], value: str, win: int, block: int = 2048) -> DataFrame:

@@ -53,6 +53,18 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of what a folder holds; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(target)) if files.exists(target) else []
+
+
 class Scratch:
     """Intermediate tables in the shared folder, removed at the end of the ``with`` block; what leaves the
     block must not depend on them."""

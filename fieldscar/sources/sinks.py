@@ -125,30 +125,11 @@ def new_ids(ids: DataFrame, ledger: DataFrame) -> DataFrame:
     return ids.select("event_id").distinct().join(ledger.select("event_id"), "event_id", "left_anti").orderBy("event_id")
 
 
-def append_ledger(ids: DataFrame, ledger: DataFrame, path: str) -> int:
-    """Append the new ids; returns how many there were."""
-    fresh = new_ids(ids, ledger).cache()
-    try:
-        added = fresh.count()
-        if added:
-            fresh.select(F.col("event_id").alias("value")).write.mode("append").text(path)
-    finally:
-        fresh.unpersist()
-    return added
-
-
 def fresh_batches(events: DataFrame, existing: DataFrame) -> DataFrame:
     """Rows of batches that do not exist yet; existing ones are left as they are."""
     return events.join(existing.select("batch").distinct(), "batch", "left_anti")
 
 
-def write_batches(events: DataFrame, path: str, existing: DataFrame | None = None) -> None:
-    """One folder per new batch."""
-    if existing is not None:
-        events = fresh_batches(events, existing)
-    events.write.mode("append").partitionBy("batch").parquet(path)
-
-
 def write_release(master: DataFrame, chips: DataFrame, path: str) -> None:
     master.write.mode("overwrite").parquet(f"{path}/events_master")
     in_folders(chips, "event_id", "chip_id").write.mode("overwrite").partitionBy("part").parquet(f"{path}/chips")

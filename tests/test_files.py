@@ -9,7 +9,7 @@ from fieldscar import schemas
 from fieldscar.functions.geo import rect_ring
 from fieldscar.operators import raster, release
 from fieldscar.sources import catalogues as S, sinks as K
-from fieldscar.streaming import cycles
+from fieldscar.streaming import cycles, publish as P
 
 
 def flood_rows(spark):
@@ -107,19 +107,61 @@ def test_news_years_reach_the_scan(spark, tmp_path):
 def test_ledger_grows_once(spark, tmp_path):
     path = str(tmp_path / "ledger")
     ids = spark.createDataFrame([("b",), ("a",), ("a",)], "event_id string")
-    empty = ids.filter("false")
-    assert K.append_ledger(ids, empty, path) == 2
-    assert K.append_ledger(ids, S.read_ledger(spark, path), path) == 0
-    assert sorted(r.event_id for r in S.read_ledger(spark, path).collect()) == ["a", "b"]
+    assert P.publish_ids(ids, path, "01") == 2
+    assert P.publish_ids(ids, path, "01") == 2  # repeated
+    assert P.publish_ids(ids.unionByName(spark.createDataFrame([("c",)], "event_id string")), path, "02") == 1
+    assert sorted(r.event_id for r in P.published(spark, path, "ledger").collect()) == ["a", "b", "c"]
 
 
 def test_batches_are_left_as_they_are(spark, tmp_path):
     path = str(tmp_path / "batches")
     first = spark.createDataFrame([("a", 1), ("b", 1)], "event_id string, batch int")
-    K.write_batches(first, path)
     second = spark.createDataFrame([("c", 1), ("d", 2)], "event_id string, batch int")
-    K.write_batches(second, path, spark.read.parquet(path))
-    assert sorted((r.event_id, r.batch) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 1), ("d", 2)]
+    for events, run in ((first, "1"), (first, "1"), (second, "2"), (second, "2"), (first, "3")):
+        P.publish_batches(events, path, run)
+    assert sorted((r.event_id, r.batch) for r in P.published(spark, path, "batches").collect()) == [("a", 1), ("b", 1), ("d", 2)]
+
+
+def test_a_failed_run_is_not_seen_and_can_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "run")
+    good, more = (spark.createDataFrame([(i,)], "event_id string") for i in "ab")
+    broken = good.select(F.raise_error(F.lit("lost")).cast("string").alias("event_id"))
+    try:
+        P.publish({"manifest": good, "ledger": broken}, path, "x")
+        raise AssertionError("the run must fail")
+    except Exception as e:
+        assert "lost" in str(e)
+    assert P.published(spark, path, "manifest") is None and not P.is_published(spark, path, "x")
+    assert P.publish({"manifest": more, "ledger": good}, path, "x") and not P.publish({"manifest": good, "ledger": good}, path, "x")
+    assert [r.event_id for r in P.published(spark, path, "manifest").collect()] == ["b"]
+
+
+def test_cycles_are_published_whole(spark, tmp_path):
+    path, ids = str(tmp_path / "cycle"), lambda *x: spark.createDataFrame([(i,) for i in x], "event_id string")
+    log = spark.createDataFrame([("a", "flood"), ("b", "no_flood"), ("c", "error")], "event_id string, outcome string")
+    chips = ids("a", "a")
+    for run in ("1", "1", "2"):
+        P.publish_cycle(ids("a", "b", "c"), log, ids("a"), chips, path, run)
+    read = lambda name: sorted(tuple(r)[:-1] for r in P.published(spark, path, name).collect())
+    assert read("manifest") == [("a",)] and read("ledger") == [("b",)] and read("done") == [("a", 2)]
+
+
+def test_quality_tables_are_read_back_in_order(spark, tmp_path):
+    path, images = str(tmp_path / "qc"), []
+    kind = lambda c: "string" if c in ("chip_id", "event_id", "raster", "status", "defects", "note") else "double"
+    for chip in ("c2", "c1"):
+        for raster_ in reversed(K.IMAGES):
+            images.append(tuple({"chip_id": chip, "raster": raster_}.get(c, "x" if kind(c) == "string" else 0.5) for c in schemas.QC_IMAGE))
+    chips = [tuple("c2" if c == "chip_id" else "x" if kind(c) == "string" else None for c in schemas.QC_CHIP),
+             tuple("c1" if c == "chip_id" else "x" if kind(c) == "string" else 1.0 for c in schemas.QC_CHIP)]
+    frame = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"`{c}` {kind(c)}" for c in names))
+    K.write_quality(frame(images, schemas.QC_IMAGE).withColumn("more", F.lit(1)), frame(chips, schemas.QC_CHIP), path)
+    rows = spark.read.option("header", True).csv(f"{path}/images").collect()
+    assert list(rows[0].asDict()) == list(schemas.QC_IMAGE)
+    assert [(r.chip_id, r.raster) for r in rows] == [(c, k) for c in ("c1", "c2") for k in K.IMAGES]
+    back = spark.read.option("header", True).csv(f"{path}/chips").collect()
+    assert list(back[0].asDict()) == list(schemas.QC_CHIP) and [r.chip_id for r in back] == ["c1", "c2"]
+    assert all(v is None for c, v in back[1].asDict().items() if kind(c) == "double")
 
 
 def test_other_sinks_write(spark, tmp_path):
