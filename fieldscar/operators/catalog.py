@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import tier_rank
-from ..schemas import CANDIDATE_COLUMNS
+from ..schemas import CANDIDATE_COLUMNS, FLOOD_MANIFEST
 from ..session import cut_lineage
 from .ranking import first_per_group, ranked, round_robin_position, top_per_group
+from .spatial import BOX
 
 CLUSTER_KM, CLUSTER_DAYS = 60.0, 15
 
@@ -112,6 +114,60 @@ def sample_and_screen(ordered: DataFrame, screened: DataFrame, quota: int) -> tu
     return kept, log.select("event_id", "continent", "year", "visit", "passed", "outcome")
 
 
+#: Ranges of visits that are counted at a time to find the visit that fills the quota.
+_RANGES = 1024
+
+
+def _visit_of(passing: DataFrame, k: int, low: int, high: int) -> int:
+    """The visit of the ``k``-th row of ``passing`` in (low, high], by counts of ever smaller ranges of visits."""
+    while high - low > 1:
+        width = -(-(high - low) // _RANGES)
+        part = F.floor((F.col("visit") - (low + 1)) / F.lit(width))
+        counts = dict(passing.filter((F.col("visit") > low) & (F.col("visit") <= high)).groupBy(part.alias("part")).count().collect())
+        at = 0
+        while counts.get(at, 0) < k:
+            k, at = k - counts.get(at, 0), at + 1
+        low, high = low + at * width, min(high, low + (at + 1) * width)
+    return high
+
+
+def screen_until(ordered: DataFrame, screen: Callable[[DataFrame], DataFrame], quota: int) -> tuple[DataFrame, DataFrame]:
+    """(kept, log) of ``sample_and_screen``, with a costly ``screen`` called only on visits that the quota asks for.
+
+    ``screen`` maps candidates to event_id, passed, outcome and anything measured. Visits are screened in slices: as
+    many as the quota lacks, or as were screened before if that is more, until it is full. So at most twice the needed
+    visits are screened, in a number of slices that is logarithmic in them; each slice's answers are written once.
+    """
+    ordered = cut_lineage(ordered)
+    last = ordered.agg(F.max("visit")).first()[0] or 0
+    done, passed, parts = 0, 0, []
+    while done < last and passed < quota or not parts:
+        upto = min(last, done + max(quota - passed, done))
+        part = ordered.filter((F.col("visit") > done) & (F.col("visit") <= upto))
+        answers = screen(part)
+        part = cut_lineage(part.drop(*[c for c in answers.columns if c != "event_id"]).join(answers, "event_id", "left").withColumns({
+            "passed": F.coalesce("passed", F.lit(False)), "outcome": F.coalesce("outcome", F.lit("error"))}))
+        parts.append(part)
+        found = part.filter("passed").count()
+        if passed + found >= quota:
+            last = _visit_of(part.filter("passed"), quota - passed, done, upto) if quota else 0
+        done, passed = upto, passed + found
+    visits = functools.reduce(DataFrame.unionByName, parts)
+    log = visits.filter(F.col("visit") <= last)
+    return log.filter("passed"), log.select("event_id", "continent", "year", "visit", "passed", "outcome")
+
+
+def screened_manifest(kept: DataFrame) -> DataFrame:
+    """Manifest rows of screened events: the flooded box and the search window of the screen take the place of the
+    reported ones, which stay as event_date_*, and what it measured is named gfm_*."""
+    measured = {f"gfm_{c}": F.col(c).cast(t) for c, t in (
+        ("n_scenes", "int"), ("n_overpass_days", "int"), ("flood_px", "int"), ("flood_km2", "double"), ("epsg", "int"))}
+    rest = [c for c in kept.columns if c in FLOOD_MANIFEST and c not in (
+        *BOX, "event_id", "date_start", "date_end", "event_date_start", "event_date_end", "aoi_tightened")]
+    merged = merge_screen(kept).join(kept.select("event_id", *rest, *[c.alias(n) for n, c in measured.items()]), "event_id")
+    return merged.withColumn("aoi_tightened", F.coalesce("aoi_tightened", F.lit(False)))
+
+
 def merge_screen(kept: DataFrame) -> DataFrame:
     """A kept row takes the screen's box and search window; reported dates move to event_date_*."""
     boxed = F.col("flood_bbox").isNotNull()

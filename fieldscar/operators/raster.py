@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
+from ..functions.geo import utm_inverse
 from ..session import cut_lineage
 
 CELL = ["r", "c"]
@@ -97,6 +98,15 @@ def flood_screen(events: DataFrame, stack: DataFrame, scenes: DataFrame, by: str
     )
 
 
+def lonlat_box(screened: DataFrame, epsg: str = "epsg") -> DataFrame:
+    """``screened`` (flood_w, flood_s, flood_e, flood_n in metres of ``epsg``) with ``flood_bbox``: the lon/lat bounds of the
+    box's corners at 5 decimals, NULL without flooded pixels."""
+    corners = [utm_inverse(x, y, epsg) for x in ("flood_w", "flood_e") for y in ("flood_s", "flood_n")]
+    sides = {"w": (F.least, "lon"), "s": (F.least, "lat"), "e": (F.greatest, "lon"), "n": (F.greatest, "lat")}
+    box = F.struct(*[F.bround(fn(*[c[axis] for c in corners]), 5).alias(k) for k, (fn, axis) in sides.items()])
+    return screened.withColumn("flood_bbox", F.when(F.col("flood_w").isNotNull(), box))
+
+
 def resample_nearest(cells: DataFrame, factor: int = 2) -> DataFrame:
     """Split every cell into factor x factor cells of the same value."""
     steps = F.sequence(F.lit(0), F.lit(factor - 1))

@@ -10,7 +10,7 @@ from ..operators import catalog, composites, fire, growth, matching, raster, rel
 from .aggregates import STAGE_SQL
 from .joins import _COUNTRY, batched_chips, batched_events, dedup_view
 from .registry import query
-from .scalars import BOXES_SQL
+from .scalars import _INVERSE, BOXES_SQL
 from .windows import CLUSTER_SQL, SCREENED_SQL, VISIT_SQL, screen, visits, with_continent
 
 
@@ -83,6 +83,60 @@ def _(t):
     return log.select("event_id", "visit", "outcome")
 
 
+# the raster of an event is that of its number modulo AREAS, 80 m cells from a corner in the event's own zone
+AREAS, CORNER_X, CORNER_Y, FLOODED_PX = 5, 480000.0, 5000000.0, 1150
+SCREEN_SQL = VISIT_SQL + f""", cell AS (SELECT ev, r, c, BOOL_OR(extent = 1) AS wet FROM fx_stack WHERE ev < {AREAS} GROUP BY ALL),
+  px AS (SELECT ev, COUNT(*) FILTER (wet) AS px, MIN(c) FILTER (wet) AS w, MIN(-r) FILTER (wet) AS s, MAX(c) FILTER (wet) AS e, MAX(-r) FILTER (wet) AS n FROM cell GROUP BY ev),
+  od AS (SELECT ev, COUNT(DISTINCT day_no) AS days FROM fx_stack GROUP BY ev),
+  sc AS (SELECT ev, COUNT(*) AS scenes FROM fx_scenes GROUP BY ev),
+  k AS (SELECT v.*, px, w, s, e, n, COALESCE(days, 0) AS days, COALESCE(scenes, 0) AS scenes, COALESCE(px >= {FLOODED_PX} AND scenes >= 1, false) AS ok,
+    SUM(CASE WHEN px >= {FLOODED_PX} AND scenes >= 1 THEN 1 ELSE 0 END) OVER (ORDER BY visit) AS running
+    FROM v LEFT JOIN px ON px.ev = v.ev % {AREAS} LEFT JOIN od ON od.ev = v.ev % {AREAS} LEFT JOIN sc ON sc.ev = v.ev % {AREAS})"""
+
+
+def measured_screen(t):
+    """The flood screen of candidates (event_id, ev, lon): cells of the areas that they need, once per area."""
+    stack = t.stack.withColumns({"x": F.col("c") * 80.0 + CORNER_X, "y": F.col("r") * -80.0 + CORNER_Y, "area": F.col("ev")})
+    scenes = t.scenes.groupBy(F.col("ev").alias("area")).agg(F.count("*").alias("n_scenes"))
+    days = t.stack.groupBy(F.col("ev").alias("area")).agg(F.count_distinct("day_no").alias("n_overpass_days"))
+
+    def screen_areas(candidates):
+        asked = candidates.select("event_id", "lon", "date_start", "date_end", (F.col("ev") % AREAS).alias("area"))
+        areas = asked.select("area").distinct()
+        found = raster.flood_screen(areas, stack.join(areas, "area", "left_semi"), scenes, "area", 0.0064, FLOODED_PX)
+        found = asked.join(found.join(days, "area", "left"), "area").withColumn("epsg", geo.utm_epsg("lon", F.lit(1.0)))
+        return raster.lonlat_box(found).select(
+            "event_id", "passed", "outcome", "n_scenes", F.coalesce("n_overpass_days", F.lit(0)).alias("n_overpass_days"), "flood_px", "flood_km2", "epsg",
+            "flood_bbox", F.date_sub("date_start", 4).alias("search_start"), F.date_add("date_end", 14).alias("search_end"))
+
+    return screen_areas
+
+
+@query("u3_flood_manifest", SCREEN_SQL + f""", kept AS (SELECT *, CAST(FLOOR((lon + 180) / 6) + 1 AS DOUBLE) * 6 - 183 AS cm FROM k WHERE ok AND running <= 500),
+  pts AS (SELECT event_id AS ev, cm, 1 AS lat, UNNEST([w, w, e, e]) * 80.0::DOUBLE + {CORNER_X} AS cx, UNNEST([s, n, s, n]) * 80.0::DOUBLE + {CORNER_Y} AS cy FROM kept),
+  {_INVERSE}, box AS (SELECT ev, ROUND(MIN(lo), 5) AS w, ROUND(MIN(la), 5) AS s, ROUND(MAX(lo), 5) AS e, ROUND(MAX(la), 5) AS n FROM ll GROUP BY ev)
+  SELECT event_id, visit, box.w AS bbox_w, box.s AS bbox_s, box.e AS bbox_e, box.n AS bbox_n, true AS aoi_tightened, source, tier, CAST(year AS INT) AS year,
+  CAST(date_start AS STRING) AS event_date_start, CAST(date_end AS STRING) AS event_date_end, CAST(date_start - 4 AS STRING) AS date_start,
+  CAST(date_end + 14 AS STRING) AS date_end, CAST(scenes AS INT) AS gfm_n_scenes, CAST(days AS INT) AS gfm_n_overpass_days, CAST(px AS INT) AS gfm_flood_px,
+  round_even(px * 0.0064::DOUBLE, 3) AS gfm_flood_km2, CAST(32601 + FLOOR((lon + 180) / 6) AS INT) AS gfm_epsg, area_km2_reported, n_indep
+  FROM kept JOIN box ON box.ev = event_id""")
+def _(t):
+    kept, _log = catalog.screen_until(visits(t).drop("passed"), measured_screen(t), 500)
+    out = catalog.screened_manifest(kept)
+    dates = {c: F.col(c).cast("string") for c in ("event_date_start", "event_date_end", "date_start", "date_end")}
+    return out.withColumns(dates).select(
+        "event_id", "visit", "bbox_w", "bbox_s", "bbox_e", "bbox_n", "aoi_tightened", "source", "tier", "year", *dates, "gfm_n_scenes",
+        "gfm_n_overpass_days", "gfm_flood_px", "gfm_flood_km2", "gfm_epsg", "area_km2_reported", "n_indep")
+
+
+@query("u3_measured_log", SCREEN_SQL + """, stop AS (SELECT COUNT(*) AS kept, MAX(visit) AS last FROM k WHERE ok AND running <= 500)
+  SELECT event_id, visit, ok AS passed, CASE WHEN px IS NULL OR scenes = 0 THEN 'transient' WHEN ok THEN 'pass' ELSE 'no_flood' END AS outcome
+  FROM k, stop WHERE kept < 500 OR visit <= last""")
+def _(t):
+    _kept, log = catalog.screen_until(visits(t).drop("passed"), measured_screen(t), 500)
+    return log.select("event_id", "visit", "passed", "outcome")
+
+
 @query("u4_corroboration", f"""WITH e AS ({_COUNTRY.replace('SELECT f.event_id', 'SELECT f.*, f.event_id AS id0', 1).replace(', f.date_start, f.date_end,', ',')} WHERE f.source = 'groundsource'),
   x AS (SELECT event_id, EXISTS (SELECT 1 FROM fx_points p WHERE DATE '1995-01-01' + p.day_no BETWEEN e.date_start - 15 AND e.date_end + 15
       AND SQRT(POW(GREATEST(e.bbox_w - p.lon, 0, p.lon - e.bbox_e), 2) + POW(GREATEST(e.bbox_s - p.lat, 0, p.lat - e.bbox_n), 2)) <= 150 / 111.0::DOUBLE) AS match_ems,

@@ -325,11 +325,8 @@ _FORWARD = f"""SELECT *, CASE WHEN lat >= 0 THEN 0 ELSE 10000000 END + {_KA} * (
     RADIANS(lon - ((FLOOR((lon0 + 180) / 6) + 1) * 6 - 183)) AS dl FROM {{source}}))"""
 
 
-@query("p34_chip_footprint", """WITH g AS (SELECT ev, lon, lat, lon AS lon0 FROM fx_candidates), f AS (""" + _FORWARD.format(source="g") + """),
-  zone AS (SELECT *, CAST(FLOOR((lon0 + 180) / 6) + 1 AS DOUBLE) * 6 - 183 AS cm FROM f),
-  corner AS (SELECT ev, cm, lat, UNNEST([x, x + 5120]) AS cx, y AS y0, UNNEST([0, 1]) AS k FROM zone),
-  pts AS (SELECT ev, cm, cx, lat, y0 - 5120 * d AS cy FROM corner, (SELECT UNNEST([0, 1]) AS d)),
-  inv AS (SELECT *, (cy - CASE WHEN lat >= 0 THEN 0 ELSE 10000000 END) / {ka} AS xi, (cx - 500000) / {ka} AS eta FROM pts),
+# lon, lat (lo, la) of UTM points (ev, cm, lat, cx, cy) of the CTE pts, as CTE ll
+_INVERSE = """inv AS (SELECT *, (cy - CASE WHEN lat >= 0 THEN 0 ELSE 10000000 END) / {ka} AS xi, (cx - 500000) / {ka} AS eta FROM pts),
   base AS (SELECT ev, cm,
     xi - b1 * SIN(2 * xi) * COSH(2 * eta) - b2 * SIN(4 * xi) * COSH(4 * eta) - b3 * SIN(6 * xi) * COSH(6 * eta) AS x0,
     eta - b1 * COS(2 * xi) * SINH(2 * eta) - b2 * COS(4 * xi) * SINH(4 * eta) - b3 * COS(6 * xi) * SINH(6 * eta) AS e0
@@ -338,9 +335,17 @@ _FORWARD = f"""SELECT *, CASE WHEN lat >= 0 THEN 0 ELSE 10000000 END + {_KA} * (
   ll AS (SELECT ev, DEGREES(ATAN2(SINH(e0), COS(x0))) + cm AS lo,
     DEGREES(chi + d1 * SIN(2 * chi) + d2 * SIN(4 * chi) + d3 * SIN(6 * chi)) AS la
     FROM (SELECT *, ASIN(SIN(x0) / COSH(e0)) AS chi, 2 * {n} - 2.0::DOUBLE / 3 * POW({n}, 2) - 2 * POW({n}, 3) AS d1,
-      7.0::DOUBLE / 3 * POW({n}, 2) - 8.0::DOUBLE / 5 * POW({n}, 3) AS d2, 56.0::DOUBLE / 15 * POW({n}, 3) AS d3 FROM base))
+      7.0::DOUBLE / 3 * POW({n}, 2) - 8.0::DOUBLE / 5 * POW({n}, 3) AS d2, 56.0::DOUBLE / 15 * POW({n}, 3) AS d3 FROM base))""".replace(
+    "{ka}", _KA).replace("{n}", _N)
+
+
+@query("p34_chip_footprint", """WITH g AS (SELECT ev, lon, lat, lon AS lon0 FROM fx_candidates), f AS (""" + _FORWARD.format(source="g") + """),
+  zone AS (SELECT *, CAST(FLOOR((lon0 + 180) / 6) + 1 AS DOUBLE) * 6 - 183 AS cm FROM f),
+  corner AS (SELECT ev, cm, lat, UNNEST([x, x + 5120]) AS cx, y AS y0, UNNEST([0, 1]) AS k FROM zone),
+  pts AS (SELECT ev, cm, cx, lat, y0 - 5120 * d AS cy FROM corner, (SELECT UNNEST([0, 1]) AS d)),
+  """ + _INVERSE + """
   SELECT ev, ROUND(MIN(lo), 5) AS min_lon, ROUND(MIN(la), 5) AS min_lat, ROUND(MAX(lo), 5) AS max_lon, ROUND(MAX(la), 5) AS max_lat
-  FROM ll GROUP BY ev""".replace("{ka}", _KA).replace("{n}", _N))
+  FROM ll GROUP BY ev""")
 def _(t):
     epsg = geo.utm_epsg("lon", "lat")
     p = t.candidates.select("ev", epsg.alias("epsg"), geo.utm_forward("lon", "lat", epsg).alias("p"))

@@ -120,6 +120,29 @@ def test_visit_order_and_quota(spark):
     assert full_log.count() == 160 and everything.count() == sum(ok for _, ok, _ in answers)
 
 
+@pytest.mark.parametrize("quota,rate", [(10, 3), (25, 1), (10, 40), (10_000, 3), (0, 3)])
+def test_screen_is_asked_for_what_the_quota_needs(spark, quota, rate):
+    """Same rows as screening everything; at most twice the visits that the quota needs are screened."""
+    rows = [(f"e{i:04d}", "A", 2020, i + 1) for i in range(1500)]
+    ordered = spark.createDataFrame(rows, "event_id string, continent string, year int, visit long").repartition(5)
+    asked = []
+
+    def screen(part):
+        ids = [r.event_id for r in part.collect()]
+        asked.extend(ids)
+        answers = [(e, int(e[1:]) % rate == 0, "pass" if int(e[1:]) % rate == 0 else "no_flood") for e in ids if int(e[1:]) % 7]
+        return spark.createDataFrame(answers, "event_id string, passed boolean, outcome string")
+
+    kept, log = catalog.screen_until(ordered, screen, quota)
+    passing = [e for e, *_ in rows if int(e[1:]) % 7 and int(e[1:]) % rate == 0][:quota]
+    needed = len(rows) if len(passing) < quota else int(passing[-1][1:]) + 1 if passing else 0
+    assert [r.event_id for r in kept.orderBy("visit").collect()] == passing
+    assert sorted(r.event_id for r in log.collect()) == [e for e, *_ in rows[:needed]]
+    assert len(asked) == len(set(asked)) <= max(2 * needed, quota)
+    empty_kept, empty_log = catalog.screen_until(ordered.filter("false"), screen, 5)
+    assert empty_kept.count() == empty_log.count() == 0
+
+
 def test_shard_names_grow_and_stay_unique(spark):
     df = spark.range(20_000).select(F.col("id").alias("pos"))
     got = {r.pos: r.shard for r in catalog.shard(df, 1).collect()}
