@@ -101,10 +101,11 @@ def flood_screen(events: DataFrame, stack: DataFrame, scenes: DataFrame, by: str
 def lonlat_box(screened: DataFrame, epsg: str = "epsg") -> DataFrame:
     """``screened`` (flood_w, flood_s, flood_e, flood_n in metres of ``epsg``) with ``flood_bbox``: the lon/lat bounds of the
     box's corners at 5 decimals, NULL without flooded pixels."""
-    corners = [utm_inverse(x, y, epsg) for x in ("flood_w", "flood_e") for y in ("flood_s", "flood_n")]
-    sides = {"w": (F.least, "lon"), "s": (F.least, "lat"), "e": (F.greatest, "lon"), "n": (F.greatest, "lat")}
-    box = F.struct(*[F.bround(fn(*[c[axis] for c in corners]), 5).alias(k) for k, (fn, axis) in sides.items()])
-    return screened.withColumn("flood_bbox", F.when(F.col("flood_w").isNotNull(), box))
+    metres = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x in ("flood_w", "flood_e") for y in ("flood_s", "flood_n")])
+    corners = screened.withColumn("_at", F.transform(metres, lambda p: utm_inverse(p["x"], p["y"], epsg)))
+    sides = {"w": (F.array_min, "lon"), "s": (F.array_min, "lat"), "e": (F.array_max, "lon"), "n": (F.array_max, "lat")}
+    box = F.struct(*[F.bround(fn(F.col(f"_at.{axis}")), 5).alias(k) for k, (fn, axis) in sides.items()])
+    return corners.withColumn("flood_bbox", F.when(F.col("flood_w").isNotNull(), box)).drop("_at")
 
 
 def resample_nearest(cells: DataFrame, factor: int = 2) -> DataFrame:
