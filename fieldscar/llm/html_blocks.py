@@ -1,8 +1,9 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines (one per block element); the text lengths of the lines are summed over a
-sliding window; the text runs from each surge of that sum to the next dive. Elements that hold menus,
-adverts and the like become empty lines, so that the sum dives to zero at them.
+Markup is stripped to lines (one per block element); the text lengths of the lines, without links, are summed over a
+sliding window; the text runs from each surge of that sum to the next dive, with every line between. Elements that
+hold menus, adverts and the like become empty lines, so that the sum dives to zero at them. A stretch without a
+line inside an ``article`` or ``main`` element must surge higher, by what the lines inside such elements reach.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import arrow_map, register, table
 
-#: Lines in a window, and the sum at which a window counts as a surge on a page without an article element.
-WINDOW, SURGE = 3, 86
+#: Lines in a window, the sum at which a window counts as a surge, and the share of the largest sum inside article
+#: elements that a stretch outside must reach.
+WINDOW, SURGE, OUTSIDE_SHARE = 3, 86, 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -24,7 +26,7 @@ _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select canvas video audio".split())
+RAW = frozenset("script style noscript template textarea title iframe select canvas video audio".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
@@ -38,8 +40,12 @@ MARKS = frozenset(
     "breadcrumb breadcrumbs footer header masthead comment comments commentlist disqus discussion respond reply replies "
     "cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login share "
     "sharing social related recommended recommendations popup modal overlay toolbar pagination pager widget copyright disclaimer".split())
+#: Parts that may stand beside those; any other part makes the name one of the text, such as "related-work".
+BESIDE = frozenset(
+    "area bar block body bottom box btn button buttons card cards col column container content fixed global group head home icon icons "
+    "inline inner item items js layer left link links list main message module outer page panel post posts primary rail right row "
+    "secondary section site slot small sticky story stories tag tags text title top unit view wrap wrapper article articles".split())
 _NEVER_MARKED = frozenset("html body main article".split())
-_MODIFIERS = frozenset("has with no is without".split())
 _CONTENT = frozenset("article main".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
@@ -58,8 +64,8 @@ def _marked(name: str, attrs: str) -> bool:
             return True
         if key in ("class", "id"):
             for word in value.split():
-                parts = [p.lower() for p in _NAME_PART.findall(word)]
-                if parts and parts[0] not in _MODIFIERS and (parts[0] in MARKS or parts[-1] in MARKS or word.lower() in MARKS):
+                parts = {p.lower() for p in _NAME_PART.findall(word) if not p.isdigit()}
+                if parts & MARKS and parts <= MARKS | BESIDE or word.lower() in MARKS:
                     return True
     return False
 
@@ -84,6 +90,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         _, is_off, is_content, is_link = stack.pop()
         if is_off:
             flush()
+        if is_content and content == 1:
+            flush(gap=WINDOW)  # the sum dives where the article ends
         off, content, links = off - is_off, content - is_content, links - is_link
 
     at, end = 0, len(html)
@@ -138,6 +146,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         if is_off and not off:
             flush(gap=WINDOW)
         kind = (name, is_off, name in _CONTENT and not off and not is_off, name == "a")
+        if kind[2] and not content:
+            flush(gap=WINDOW)
         stack.append(kind)
         off, content, links = off + kind[1], content + kind[2], links + kind[3]
     flush()
@@ -145,23 +155,28 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
 
 
 def main_text(html: str) -> str:
-    """Lines between surges and dives of the windowed text length, joined by line breaks."""
+    """Lines between surges and dives of the windowed text length, joined by line breaks.
+
+    A stretch starts where the sum rises from zero and ends where it is zero again; lines without text of their
+    own (links only) at its ends are none of it, those between are. A stretch with a line inside an article element
+    is text; another one is if its largest sum reaches SURGE (half of the page's largest sum, on short pages) and
+    OUTSIDE_SHARE of the largest sum inside.
+    """
     lines = lines_of(html)
-    inside = any(text and within for text, _, within in lines)
-    weight = [(len(text) if within else 0) if inside else outside for text, outside, within in lines]
-    total = [sum(weight[i:i + WINDOW]) for i in range(len(weight))]
-    surge = 1 if inside else min(SURGE, max(total, default=0) / 2)
+    weight = [own for _, own, _ in lines]
+    total = [sum(weight[i:i + WINDOW]) for i in range(len(lines))]
+    inside = [sum(own for _, own, within in lines[i:i + WINDOW] if within) for i in range(len(lines))]
+    surge = max(min(SURGE, max(total, default=0) / 2), OUTSIDE_SHARE * max(inside, default=0))
     kept, i = [], 0
     while i < len(lines):
-        if not total[i]:
-            i += 1
-            continue
         dive = i
         while dive < len(lines) and total[dive]:
             dive += 1
-        if max(total[i:dive]) >= surge:
-            kept += [text for (text, _, _), w in zip(lines[i:dive], weight[i:dive]) if w]
-        i = dive
+        part = range(i, dive)
+        if part and (any(lines[k][2] and weight[k] for k in part) or max(total[i:dive]) >= surge):
+            held = [k for k in part if weight[k]]
+            kept += [lines[k][0] for k in range(held[0], held[-1] + 1) if lines[k][0]]
+        i = dive + 1
     return "\n".join(kept)
 
 

@@ -30,6 +30,12 @@ PAGES = {
                 f"{BODY} 1 < 2 <i>"),
     "hidden": (f"<article><p hidden>no</p><p style='display: none'>no</p><p>{BODY}</p><ul><li>a<li>b</ul></article>", f"{BODY}\na\nb"),
     "unclosed": (f"<article><div class=share><p>tweet</article><article><p>{BODY}<p>Tail <a href='x", f"{BODY}\nTail"),
+    "body beside a teaser": (f"<div><p>{BODY}</p><p>{BODY} More.</p></div><article><p>teaser one</p></article>", f"{BODY}\n{BODY} More.\nteaser one"),
+    "body in an article, notes outside": (f"<article><p>{BODY * 4}</p></article><div><p>" + "A short note beside it, ninety signs long or so, which nobody has marked as what it is." + "</p></div>", BODY * 4),
+    "link line": (f"<div><p>{BODY}</p><p><a href=x>A source</a></p><p>{BODY}</p></div>", f"{BODY}\nA source\n{BODY}"),
+    "names of the text": (f"<article><h2 id='related-work'>Related work</h2><p class='ad-hoc'>{BODY}</p><div class='social-science'>Science.</div>"
+                          "<p>x <math><mi>y</mi></math> <svg><text>z</text></svg></p><div class='ad-banner'>buy</div><div id='shareButtons2'>tell</div></article>",
+                          f"Related work\n{BODY}\nScience.\nx y z"),
     "empty": ("", ""), "null": (None, ""), "plain": ("just text", "just text"), "markup only": ("<div><p></p></div>", ""),
 }
 
@@ -40,6 +46,31 @@ def test_main_text(name):
     assert html_blocks.main_text(html or "") == want
 
 
+def test_surges_and_dives_equal_plain_search(monkeypatch):
+    """The kept lines, from every window of three lines looked at on its own."""
+    rng = np.random.default_rng(9)
+    for _ in range(400):
+        lines = [(f"t{i}", int(rng.choice([0, 3, 40, 120])), bool(rng.random() < 0.2)) if rng.random() < 0.7 else ("", 0, False)
+                 for i in range(rng.integers(0, 25))]
+        monkeypatch.setattr(html_blocks, "lines_of", lambda _, lines=lines: lines)
+        n = len(lines)
+        sums = [sum(w for _, w, _ in lines[i:i + 3]) for i in range(n)]
+        inner = [sum(w for _, w, within in lines[i:i + 3] if within) for i in range(n)]
+        need = max(min(86, max(sums, default=0) / 2), max(inner, default=0) / 2)
+        want = []
+        for i, (text, _, _) in enumerate(lines):
+            low, high = i, i
+            while low > 0 and sums[low - 1]:
+                low -= 1
+            while high < n and sums[high]:
+                high += 1
+            stretch = range(low, high) if sums[i] else ()
+            own = [k for k in stretch if lines[k][1]]
+            if text and own and own[0] <= i <= own[-1] and (any(lines[k][2] for k in own) or max(sums[k] for k in stretch) >= need):
+                want.append(text)
+        assert html_blocks.main_text("") == "\n".join(want)
+
+
 def test_long_and_hostile_pages_end():
     for html in ("<" * 50_000, "<a b='" * 20_000, "<div>" * 30_000 + "x", "<!--" * 20_000, "<p>" + "y" * 2_000_000, "</p>" * 50_000):
         html_blocks.main_text(html)
