@@ -1,12 +1,15 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-Texts become vectors of term weights over a fixed set of hashed terms, a truncated singular value
-decomposition of labelled texts gives the latent space, and every document takes the votes of the
-labelled texts with the largest cosines, computed exactly in blocks.
+Texts become vectors of term weights over a fixed set of hashed terms: shapes (trigrams of byte classes and
+measures of repetition), words and pairs of words. A truncated singular value decomposition of labelled texts gives
+the latent space, and every document takes the votes of the labelled texts with the largest cosines, computed
+exactly in blocks.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,8 +17,9 @@ from ..session import cut_lineage
 from .common import arrow_map, register, table
 from .toxicity import fold
 
-#: Hashed terms per text (three quarters for character shapes, the rest for words' repetition), latent dimensions.
-SHAPE_TERMS, TERMS, LATENT = 1024, 1088, 64
+#: Hashed terms per text: shapes of characters, shapes with words' repetition, all with words and pairs of words (half
+#: each); the weight of words beside shapes; latent dimensions.
+SHAPE_TERMS, WORDS_FROM, TERMS, WORD_WEIGHT, LATENT = 1024, 1088, 2112, 0.5, 64
 #: Labelled texts per label that vote, the first by a hash of the doc_id: the bound of the broadcast.
 VOTERS_PER_LABEL = 2048
 NEIGHBOURS, SHARPNESS = 15, 8
@@ -31,7 +35,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)  # 2^64 over the golden ratio
 
 def term_counts(text: str) -> np.ndarray:
     """Counts of TERMS hashed terms: trigrams of byte classes, where a run of letters of one case counts
-    as at most two, and flags of repetition between neighbouring words and lines."""
+    as at most two, flags of repetition between neighbouring words and lines, words and pairs of them."""
     kinds = _CLASS[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)]
     if len(kinds) > 2:
         long_run = (kinds[2:] == kinds[1:-1]) & (kinds[1:-1] == kinds[:-2]) & (kinds[2:] <= 6)
@@ -47,12 +51,17 @@ def term_counts(text: str) -> np.ndarray:
             1 - len(set(lines)) / len(lines), len(lines) / len(words), sum(map(len, words)) / len(words) / 20)
         for i, share in enumerate(shares):
             counts[SHAPE_TERMS + 12 * i + min(11, int(share * 12))] = max(1.0, 0.15 * len(words))
+        small, bins = text.lower().encode("utf-8", "replace").split(), (TERMS - WORDS_FROM) // 2
+        hashes = np.fromiter(map(zlib.crc32, small), dtype=np.uint64, count=len(small))
+        for at, h in ((WORDS_FROM, hashes), (WORDS_FROM + bins, hashes[:-1] * np.uint64(31) + hashes[1:])):
+            counts[at:at + bins] = np.bincount(((h * _MIX) >> np.uint64(32)).astype(np.int64) % bins, minlength=bins)
     return counts
 
 
 def weighted(counts: np.ndarray) -> np.ndarray:
-    """Root of the relative frequencies."""
-    return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
+    """Root of the relative frequencies, of shapes and of words each by itself."""
+    shares = [part / np.maximum(part.sum(axis=1, keepdims=True), 1) for part in (counts[:, :WORDS_FROM], counts[:, WORDS_FROM:])]
+    return np.concatenate([np.sqrt(shares[0]), np.float32(WORD_WEIGHT) * np.sqrt(shares[1])], axis=1)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -67,12 +76,15 @@ def fit_space(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def vote(latent: np.ndarray, voters: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Share of label 1 among the NEIGHBOURS nearest voters, weighted by a power of the cosine;
-    blocks of documents against all voters."""
+    """Share of label 1 among the NEIGHBOURS nearest voters (of equally near ones the first), weighted by a power of
+    the cosine; blocks of documents against all voters."""
     k, out = min(NEIGHBOURS, len(voters)), np.empty(len(latent))
     for lo in range(0, len(latent), DOC_BLOCK):
         cosines = latent[lo:lo + DOC_BLOCK] @ voters.T
         near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+        last = np.take_along_axis(cosines, near, axis=1).min(axis=1, keepdims=True)
+        for i in np.flatnonzero((cosines >= last).sum(axis=1) > k):  # a tie at the last place
+            near[i] = np.argsort(-cosines[i], kind="stable")[:k]
         weight = np.maximum(np.take_along_axis(cosines, near, axis=1).astype(np.float64), 1e-3) ** SHARPNESS
         out[lo:lo + DOC_BLOCK] = np.clip((weight * labels[near]).sum(axis=1) / weight.sum(axis=1), 0, 1)
     return out

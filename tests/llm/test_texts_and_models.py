@@ -202,6 +202,41 @@ def test_quality_on_held_out_rows(spark):
     assert (got[got[:, 1] == 0, 0] == 0).mean() > 0.8 and (got[:, 0] == got[:, 1]).mean() > 0.95
 
 
+def test_equally_near_voters_vote_in_their_order():
+    voters = neighbours.unit(np.repeat(np.eye(4), 20, axis=0))
+    labels = np.arange(80) % 20 < 10  # of 20 equal voters the first 10 say yes
+    got = neighbours.vote(neighbours.unit(np.eye(4)), voters, labels.astype(float))
+    assert got == pytest.approx([10 / neighbours.NEIGHBOURS] * 4)
+
+
+def test_quality_equals_plain_voting(spark):
+    """The whole score: terms, space and votes once more, without Spark, from the same voters."""
+    docs, labels = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    marks = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    ids = sorted(marks)
+    raw = np.array([neighbours.term_counts(texts[i]) for i in ids])
+    w = neighbours.weighted(raw)
+    idf = np.log((1 + len(ids)) / (1 + (w > 0).sum(axis=0))) + 1
+    _, _, right = np.linalg.svd((w * idf).astype(np.float64), full_matrices=False)
+    space = right[:neighbours.LATENT].T
+    voters = neighbours.unit((w * idf) @ space)
+    got = {r.doc_id: r.score for r in neighbours.quality(docs, labels).collect()}
+    close = 0
+    for i, text in texts.items():
+        v = neighbours.unit((neighbours.weighted(neighbours.term_counts(text)[None]) * idf) @ space)[0]
+        near = sorted(((float(v @ u), -k) for k, u in enumerate(voters)), reverse=True)[:neighbours.NEIGHBOURS]
+        weights = [max(c, 1e-3) ** neighbours.SHARPNESS for c, _ in near]
+        want = sum(x * marks[ids[-k]] for x, (_, k) in zip(weights, near)) / sum(weights)
+        close += abs(got[i] - want) < 1e-3
+    assert close >= 0.97 * len(texts)  # single precision may order all but equal neighbours otherwise
+
+
+def test_words_change_the_vector_of_a_text():
+    a, b = (neighbours.weighted(neighbours.term_counts(t)[None])[0] for t in ("some plain words in a line", "sema ploin wards on e lane"))
+    assert (a[:neighbours.SHAPE_TERMS] == b[:neighbours.SHAPE_TERMS]).all() and (a[neighbours.WORDS_FROM:] != b[neighbours.WORDS_FROM:]).any()
+
+
 def test_votes_are_exact_nearest_neighbours():
     rng = np.random.default_rng(8)
     voters, docs, labels = neighbours.unit(rng.normal(size=(300, 8))), neighbours.unit(rng.normal(size=(700, 8))), rng.integers(0, 2, 300)
