@@ -1,8 +1,15 @@
-"""Personal data: patterns propose spans, checksums confirm them, nearby words move the score."""
+"""Personal data: patterns propose spans, checksums confirm them, nearby words move the score.
+
+Spans of the base kinds are always reported, with their score; those of the other kinds only if the score, which nearby
+words raise, reaches ACCEPTED. Masking asks all spans for MASKED, so that a run of digits inside an identifier, which
+may pass for a card number by chance, is left alone unless a word speaks for it.
+"""
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import arrow_map, register, table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban")
+KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -20,6 +27,9 @@ _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+_ASSIGNED = re.compile(r"[=:]\s{0,3}[\"']?\Z")
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: Words that make a span of the kind likelier when they stand close to it.
@@ -29,9 +39,16 @@ CONTEXT = {
     "card": {"card", "visa", "credit", "payment", "karte", "carte", "tarjeta"},
     "phone": {"phone", "call", "tel", "mobile", "telefon", "fax"},
     "iban": {"iban", "bank", "account", "konto", "compte", "cuenta"},
+    "ssn": {"ssn", "social", "security", "insurance", "taxpayer"},
+    "secret": {"token", "secret", "key", "api", "apikey", "password", "passwort", "clave", "bearer", "credential", "credentials"},
 }
-START_SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
+START_SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.6, "secret": 0.4}
 CONTEXT_CHARS, CONTEXT_GAIN = 40, 0.15
+#: What a value gains right after = or :, and what digits lose inside an identifier.
+ASSIGNED_GAIN, INSIDE_LOSS = 0.2, 0.4
+ACCEPTED, MASKED = 0.7, 0.5
+#: Bits per character that a secret has at least.
+SECRET_ENTROPY = 3.0
 
 
 def luhn(digits: str) -> bool:
@@ -47,6 +64,13 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def varied(value: str) -> bool:
+    """Whether a string looks drawn at random: letters and digits, many different ones."""
+    if value.isalpha() or not any(c.isalpha() for c in value) or not any(c.isdigit() for c in value):
+        return False
+    return -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values()) >= SECRET_ENTROPY
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches of local part and domain, found from each @ outwards: the local part is
     the whole run of its characters before the @, so no start further left can match."""
@@ -70,8 +94,8 @@ def _digits(text: str, start: int, end: int) -> str:
     return "".join(c for c in text[start:end] if "0" <= c <= "9")
 
 
-def find_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, index in KINDS, end) of all confirmed spans, ordered by start, then kind."""
+def confirmed(text: str) -> list[tuple[int, int, int]]:
+    """(start, index in KINDS, end) of all spans that their checks confirm, whatever their score."""
     found = []
     if "@" in text:
         found += [(s, 0, e) for s, e in _emails(text)]
@@ -91,18 +115,35 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
     for m in _IBAN.finditer(text):
         if mod97(m.group().replace(" ", "")):
             found.append((m.start(), 4, m.end()))
+    for m in _SSN.finditer(text):
+        found.append((m.start(), 5, m.end()))
+    for m in _SECRET.finditer(text):
+        if varied(m.group()):
+            found.append((m.start(), 6, m.end()))
     return sorted(found)
 
 
+def score(text: str, start: int, kind: str, end: int) -> float:
+    """How likely a confirmed span is what its kind says: its start score, the words around it and its neighbours."""
+    around = text[max(0, start - CONTEXT_CHARS):start] + " " + text[end:end + CONTEXT_CHARS]
+    near = {w.lower() for w in _WORD.findall(around)} & CONTEXT[kind]
+    total = START_SCORE[kind] + CONTEXT_GAIN * len(near)
+    if kind == "secret" and _ASSIGNED.search(text[max(0, start - 8):start]):
+        total += ASSIGNED_GAIN
+    if kind == "card" and any(c.isalnum() or c == "_" for c in text[max(0, start - 1):start] + text[end:end + 1]):
+        total -= INSIDE_LOSS
+    return min(1.0, round(total, 6))
+
+
 def scored(text: str) -> list[dict]:
-    out = []
-    for start, k, end in find_spans(text):
-        kind = KINDS[k]
-        around = text[max(0, start - CONTEXT_CHARS):start] + " " + text[end:end + CONTEXT_CHARS]
-        near = {w.lower() for w in _WORD.findall(around)} & CONTEXT[kind]
-        out.append({"kind": kind, "start": start, "end": end,
-                    "score": min(1.0, START_SCORE[kind] + CONTEXT_GAIN * len(near))})
-    return out
+    """All spans of base kinds, and those of the others whose score is ACCEPTED, by start, then kind."""
+    out = [{"kind": KINDS[k], "start": start, "end": end, "score": score(text, start, KINDS[k], end)} for start, k, end in confirmed(text)]
+    return [s for s in out if s["kind"] in BASE_KINDS or s["score"] >= ACCEPTED]
+
+
+def find_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, index in KINDS, end) of ``scored``."""
+    return [(s["start"], KINDS.index(s["kind"]), s["end"]) for s in scored(text)]
 
 
 def pii_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -126,12 +167,15 @@ def joined(spans: Column) -> Column:
 
 
 def mask(text: str) -> str:
-    """``text`` with every span replaced by [KIND]; overlapping spans are masked as one, of the kind of the first."""
+    """``text`` with every span that scores MASKED, or overlaps one, replaced by [KIND]; overlapping spans are masked as one,
+    of the kind of the first."""
     out, at = [], 0
-    for start, kind, end in find_spans(text):
-        if start >= at:
-            out += [text[at:start], f"[{KINDS[kind].upper()}]"]
-        at = max(at, end)
+    for span in scored(text):
+        if span["score"] < MASKED and span["start"] >= at:
+            continue
+        if span["start"] >= at:
+            out += [text[at:span["start"]], f"[{span['kind'].upper()}]"]
+        at = max(at, span["end"])
     return "".join([*out, text[at:]])
 
 
@@ -156,4 +200,5 @@ def op10_pii(spark, folder):
         F.size(F.filter("spans", lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")  # noqa: B023
         for kind in BASE_KINDS
     ]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+                        F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"))

@@ -168,6 +168,51 @@ def test_pii_query_edges(spark):
     assert pii.pii_spans(docs_of(spark, [])).count() == 0
 
 
+TOKEN = "04dbebab91ab85687d33eeaaf9"
+
+
+@pytest.mark.parametrize("text, kinds, masked", [
+    ("my ssn is 123-45-6789 ok", "ssn", "my ssn is [SSN] ok"),  # a context word decides
+    ("part no 123-45-6789 ok", "", "part no 123-45-6789 ok"),
+    ("ssn 000-45-6789, 123-00-6789", "", "ssn 000-45-6789, 123-00-6789"),
+    (f'x token = "{TOKEN}" y', "secret", 'x token = "[SECRET]" y'),
+    (f"x thing = {TOKEN} y", "", f"x thing = {TOKEN} y"),
+    (f"token {'ab' * 15} = {'a1' * 12}", "", f"token {'ab' * 15} = {'a1' * 12}"),  # not varied
+    ("id ghp_x4111111111111111 y", "card", "id ghp_x4111111111111111 y"),  # digits inside an identifier
+    ("visa card x4111111111111111 y", "card", "visa card x[CARD] y"),
+    ("pay 4111111111111111 y", "card", "pay [CARD] y"),
+])
+def test_context_decides(text, kinds, masked):
+    assert " ".join(s["kind"] for s in pii.scored(text)) == kinds and pii.mask(text) == masked
+
+
+def plain_own_spans(text):
+    """Spans of the kinds beside the base, by trying every stretch of the text."""
+    found, word = [], lambda a, b, kind: sum(
+        w in pii.CONTEXT[kind] for w in {x.lower() for x in re.findall(r"[^\W\d_]+", text[max(0, a - 40):a] + " " + text[b:b + 40])})
+    for a in range(len(text)):
+        for b in range(a + 11, len(text) + 1):
+            part, before, after = text[a:b], text[a - 1:a], text[b:b + 1]
+            if re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", part) and not re.match(r"[0-9-]", before + " ") and not re.match(r"[0-9-]", after + " "):
+                if part[:3] not in ("000", "666") and part[0] != "9" and part[4:6] != "00" and part[7:] != "0000" and word(a, b, "ssn"):
+                    found.append(("ssn", a, b))
+            if re.fullmatch(r"[A-Za-z0-9+/_-]{20,}={0,2}", part) and not re.match(r"[A-Za-z0-9+/_=-]", before + " ") and not re.match(
+                    r"[A-Za-z0-9+/_=-]", after + " "):
+                share = [part.count(c) / len(part) for c in set(part)]
+                gain = 0.15 * word(a, b, "secret") + 0.2 * bool(re.search("[=:]\\s{0,3}[\"']?$", text[max(0, a - 8):a]))
+                if re.search("[0-9]", part) and re.search("[A-Za-z]", part) and -sum(x * np.log2(x) for x in share) >= 3 and 0.4 + gain >= 0.7 - 1e-9:
+                    found.append(("secret", a, b))
+    return sorted(found)
+
+
+def test_own_spans_equal_plain_search():
+    rng = np.random.default_rng(17)
+    bits = ["ssn ", "social ", "123-45-6789", "666-12-1234", "-", "1", " ", "token", " = ", ": ", '"', TOKEN, "Zx9" * 3, "key ", "word ", "abcdefgh12345678ijkl"]
+    for _ in range(150):
+        text = "".join(rng.choice(bits, 7))
+        assert sorted((s["kind"], s["start"], s["end"]) for s in pii.scored(text) if s["kind"] in ("ssn", "secret")) == plain_own_spans(text), text
+
+
 def test_warc_round_trip(spark, tmp_path):
     hot = "<p>" + "copy " * 40
     rows = [(i, f"http://x/{i}", f"<html>{i}\r\n\r\nWARC/1.1\r\nContent-Length: 9\r\n\r\n" + "é" * i) for i in range(40)]
