@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def first_batch(events: DataFrame) -> DataFrame:
@@ -71,14 +71,19 @@ def event_counts(events: DataFrame) -> DataFrame:
     return events.groupingSets([["continent"], ["year"]], "continent", "year").agg(F.count("*").alias("n"))
 
 
-def run_counters(outcomes: DataFrame) -> DataFrame:
-    """Counters of a run. ``outcomes``: event_id, error, n_scenes, n_chips, flooded_sum, skipped."""
+def counter_columns() -> list[Column]:
+    """Aggregates over outcomes of a run: event_id, error, n_scenes, n_chips, skipped."""
     ok = F.col("error").isNull() & ~F.col("skipped")
-    return outcomes.agg(
+    return [
         F.count_if(ok).alias("events_processed"), F.count_if(F.col("error").isNotNull()).alias("failures"),
         F.count_if("skipped").alias("skipped_existing"),
         F.coalesce(F.sum(F.when(ok, F.col("n_scenes"))), F.lit(0)).alias("scenes_downloaded"),
-        F.coalesce(F.sum(F.when(ok, F.col("n_chips"))), F.lit(0)).alias("chips_written"))
+        F.coalesce(F.sum(F.when(ok, F.col("n_chips"))), F.lit(0)).alias("chips_written")]
+
+
+def run_counters(outcomes: DataFrame) -> DataFrame:
+    """Counters of a run. ``outcomes``: event_id, error, n_scenes, n_chips, flooded_sum, skipped."""
+    return outcomes.agg(*counter_columns())
 
 
 def mean_flooded_share(chips: DataFrame, digits: int = 4) -> DataFrame:

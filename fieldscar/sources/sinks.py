@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import json
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from .. import schemas
 from ..functions.classes import NODATA
 from ..functions.quality import IMAGES
 from ..functions.geo import rect_ring
+from ..operators.release import counter_columns
 
 
 def manifest_text(df: DataFrame, columns=tuple(schemas.FLOOD_MANIFEST)) -> DataFrame:
@@ -70,6 +75,28 @@ def write_report(tables: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
 
 
+def write_run(outcomes: DataFrame, path: str, stage: str, params: dict | None = None,
+              continents: Sequence[str] = (), years: Sequence[int] = ()) -> dict:
+    """Records of a run (one JSON line per event or failure, in folders of their kind) and its report; returns the report.
+
+    ``outcomes``: event_id, error, skipped, n_scenes, n_chips, continent, year, anything. The counters, and the counts of
+    the named continents and years, are observed while the records are written: the outcomes are computed once.
+    """
+    spark, seen = outcomes.sparkSession, Observation(f"run-{uuid.uuid4().hex}")
+    groups = {("by_continent", c): F.col("continent") == c for c in continents} | {("by_year", str(y)): F.col("year") == y for y in years}
+    named = [F.count_if(F.coalesce(hit, F.lit(False))).alias(f"g{i}") for i, hit in enumerate(groups.values())]
+    kind = F.when(F.col("error").isNotNull(), "failures").otherwise("events").alias("kind")
+    outcomes.select("*", kind).observe(seen, F.count("*").alias("n"), *counter_columns(), *named).write.mode("overwrite").partitionBy(
+        "kind").option("ignoreNullFields", False).json(f"{path}/records")
+    got = seen.get
+    report = {"stage": stage, "params": params or {}, "n_events": got["n"] - got["failures"], "n_failures": got["failures"],
+              "counters": {k: v for k, v in got.items() if k != "n" and not k.startswith("g")}}
+    for i, (section, name) in enumerate(groups):
+        report.setdefault(section, {})[name] = got[f"g{i}"]
+    spark.createDataFrame([(json.dumps(report),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/report")
+    return report
+
+
 def documents(df: DataFrame, body: Column) -> DataFrame:
     """(event_id, chip_id, document): NULL blocks are written out, they carry meaning."""
     return df.select("event_id", "chip_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("document"))

@@ -189,6 +189,24 @@ def test_cycle_is_idempotent(spark):
     assert names(again) == ["d"] and names(manifest2) == names(manifest) and names(ledger2) == names(ledger)
 
 
+def test_run_report_equals_a_recount(spark, tmp_path):
+    rows = [(f"e{i}", "timeout" if i % 7 == 0 else None, i % 5 == 1, i % 4, i % 3, ("Asia", "Europe", None)[i % 3], 2020 + i % 2) for i in range(60)]
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: seen.add(1) or x)
+    outcomes = spark.createDataFrame(rows, "event_id string, error string, skipped boolean, n_scenes int, n_chips int, continent string, year int")
+    path = str(tmp_path / "run")
+    report = K.write_run(outcomes.repartition(4).withColumn("event_id", count("event_id")), path, "sample", {"n": 3}, ["Asia", "Europe", "Africa"], [2020, 2022])
+    assert seen.value == len(rows)  # computed once
+    assert report["counters"] == release.run_counters(outcomes).first().asDict()
+    assert (report["n_events"], report["n_failures"]) == (60 - 9, 9)
+    assert report["by_continent"] == {"Asia": 20, "Europe": 20, "Africa": 0} and report["by_year"] == {"2020": 30, "2022": 0}
+    assert json.loads(spark.read.text(f"{path}/report").first().value) == report
+    back = spark.read.json(f"{path}/records")
+    assert {(r.event_id, r.kind) for r in back.collect()} == {(r[0], "failures" if r[1] else "events") for r in rows}
+    empty = K.write_run(outcomes.filter("false"), str(tmp_path / "none"), "sample")
+    assert empty["n_events"] == 0 and set(empty["counters"].values()) == {0}
+
+
 def test_chip_lists_imagery_and_report(spark, tmp_path):
     chips = spark.createDataFrame([("c1", "e1", None), ("c2", "e1", "x")], "chip_id string, event_id string, note string")
     K.write_chip_lists(chips, str(tmp_path / "j"), str(tmp_path / "c"))
