@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.text import tier_rank
 from ..schemas import CANDIDATE_COLUMNS, FLOOD_MANIFEST
 from ..session import cut_lineage
-from .ranking import first_per_group, ranked, round_robin_position, top_per_group
+from .ranking import first_per_group, kth_smallest, ranked, round_robin_position, top_per_group
 from .spatial import BOX
 
 CLUSTER_KM, CLUSTER_DAYS = 60.0, 15
@@ -114,23 +114,6 @@ def sample_and_screen(ordered: DataFrame, screened: DataFrame, quota: int) -> tu
     return kept, log.select("event_id", "continent", "year", "visit", "passed", "outcome")
 
 
-#: Ranges of visits that are counted at a time to find the visit that fills the quota.
-_RANGES = 1024
-
-
-def _visit_of(passing: DataFrame, k: int, low: int, high: int) -> int:
-    """The visit of the ``k``-th row of ``passing`` in (low, high], by counts of ever smaller ranges of visits."""
-    while high - low > 1:
-        width = -(-(high - low) // _RANGES)
-        part = F.floor((F.col("visit") - (low + 1)) / F.lit(width))
-        counts = dict(passing.filter((F.col("visit") > low) & (F.col("visit") <= high)).groupBy(part.alias("part")).count().collect())
-        at = 0
-        while counts.get(at, 0) < k:
-            k, at = k - counts.get(at, 0), at + 1
-        low, high = low + at * width, min(high, low + (at + 1) * width)
-    return high
-
-
 def screen_until(ordered: DataFrame, screen: Callable[[DataFrame], DataFrame], quota: int) -> tuple[DataFrame, DataFrame]:
     """(kept, log) of ``sample_and_screen``, with a costly ``screen`` called only on visits that the quota asks for.
 
@@ -150,7 +133,7 @@ def screen_until(ordered: DataFrame, screen: Callable[[DataFrame], DataFrame], q
         parts.append(part)
         found = part.filter("passed").count()
         if passed + found >= quota:
-            last = _visit_of(part.filter("passed"), quota - passed, done, upto) if quota else 0
+            last = kth_smallest(part.filter("passed"), "visit", quota - passed, done, upto) if quota else 0
         done, passed = upto, passed + found
     visits = functools.reduce(DataFrame.unionByName, parts)
     log = visits.filter(F.col("visit") <= last)

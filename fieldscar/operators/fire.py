@@ -10,7 +10,7 @@ from ..functions.spectral import burn_present, fire_present, unmask_zero
 from ..session import cut_lineage
 from . import matching as M
 from .components import connected_components
-from .ranking import ranked, top_per_group
+from .ranking import kth_smallest, ranked, top_per_group
 
 MIN_AREA_KM2, MAX_AREA_KM2, MIN_CROP_SHARE = 50.0, 20000.0, 0.15
 MIN_VERIFY_SHARE, MIN_ACTIVE_FIRES, VERIFY_PAD_DAYS, MIN_PATCH_CELLS = 0.20, 3, 45, 20
@@ -101,7 +101,8 @@ def accept_events(candidates: DataFrame, cell: list[str], per_cell: int = ACCEPT
     ``candidates``: seq (unique), lon, lat, day, cell columns. ``accepted`` (lon, lat, day) are
     events of earlier runs. Each round settles, per block, the earliest open row that no earlier
     open row can still suppress; then everything close to a new event is dropped. A block admits
-    one event at most, so a round is linear in the open rows.
+    one event at most, so a round is linear in the open rows. With ``total``, rows after the ``total``-th
+    event found so far are dropped as well: events that are found later can only move that place forward.
     """
     columns = candidates.columns
     lean = candidates.select("seq", "lon", "lat", "day", *cell)
@@ -111,7 +112,7 @@ def accept_events(candidates: DataFrame, cell: list[str], per_cell: int = ACCEPT
         open_rows = _drop_close(open_rows, old)
     open_rows = cut_lineage(open_rows)
     rounds: list[DataFrame] = []
-    used = None
+    used, found, last = None, 0, None
     while not open_rows.isEmpty():
         heads = M.block_heads(open_rows)
         waits = M.with_near_head(
@@ -121,12 +122,19 @@ def accept_events(candidates: DataFrame, cell: list[str], per_cell: int = ACCEPT
         new = cut_lineage(heads.join(waits, "seq", "left_anti").join(room, "seq", "left_semi"))
         rounds.append(new)
         used = _used_slots(used, new, cell)
+        if total is not None:
+            found += new.count()
+            if found >= total:
+                top = used.filter(F.lit(True) if last is None else F.col("seq") <= last)
+                high = last if last is not None else top.agg(F.max("seq")).first()[0]
+                last = kth_smallest(top, "seq", total, top.agg(F.min("seq")).first()[0] - 1, high) if total else 0
+                open_rows = open_rows.filter(F.col("seq") < last)
         open_rows = cut_lineage(_within_cap(_drop_close(open_rows, new), used, new, cell, per_cell))
     if not rounds:
         return candidates.limit(0)
     taken = reduce(DataFrame.unionByName, [r.select("seq") for r in rounds])
     out = candidates.join(taken, "seq", "left_semi").select(*columns)
-    return out if total is None else out.orderBy("seq").limit(total)
+    return out if last is None else out.filter(F.col("seq") <= last)
 
 
 def _drop_close(rows: DataFrame, events: DataFrame) -> DataFrame:

@@ -48,6 +48,24 @@ def ranked(df: DataFrame, by: list[str], order: list[str], name: str = "rank") -
     )
 
 
+#: Ranges of values that are counted at a time to find the k-th value.
+_RANGES = 1024
+
+
+def kth_smallest(rows: DataFrame, column: str, k: int, low: int, high: int) -> int:
+    """The ``k``-th smallest of the whole numbers in ``column`` within (low, high], which holds as many, by counts of
+    ever smaller ranges: no sort, and a bounded number of counts at a time."""
+    while high - low > 1:
+        width = -(-(high - low) // _RANGES)
+        part = F.floor((F.col(column) - (low + 1)) / F.lit(width))
+        counts = dict(rows.filter((F.col(column) > low) & (F.col(column) <= high)).groupBy(part.alias("part")).count().collect())
+        at = 0
+        while counts.get(at, 0) < k:
+            k, at = k - counts.get(at, 0), at + 1
+        low, high = low + at * width, min(high, low + (at + 1) * width)
+    return high
+
+
 def round_robin_position(rank: Column, counts: Column, own_index: Column) -> Column:
     """Position of the ``rank``-th row of one queue when queues are popped in turn.
 
