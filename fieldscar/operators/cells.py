@@ -95,11 +95,13 @@ def day_masks(low: Column, high: Column) -> Column:
     first, last = day_number(low), day_number(high)
     buckets = F.when(low <= high, F.sequence(day_bucket(low, BUCKET_DAYS), day_bucket(high, BUCKET_DAYS)))
 
+    one = F.lit(1).cast("long")
+
     def days(b):
         start = F.greatest(first - b * BUCKET_DAYS, F.lit(0))
         stop = F.least(last - b * BUCKET_DAYS, F.lit(BUCKET_DAYS - 1))
-        bits = F.aggregate(F.sequence(start, stop), F.lit(0).cast("long"), lambda m, d: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), d)))
-        return F.struct(b.alias("bucket"), bits.alias("days"))
+        # the bits from start to stop
+        return F.struct(b.alias("bucket"), (F.call_function("shiftleft", one, stop + 1) - F.call_function("shiftleft", one, start)).alias("days"))
 
     return F.transform(buckets, days)
 

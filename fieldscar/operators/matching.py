@@ -17,8 +17,8 @@ from . import cells as C, spatial as S
 SPAN_DAYS = 32
 
 
-#: Places or shapes of a cell up to which it is not split, and levels below the first.
-CELL_BOUND, CELL_LEVELS = 64, 8
+#: Places and shapes of a cell up to which it is not split, and levels below the first.
+CELL_BOUND, SHAPE_BOUND, CELL_LEVELS = 64, 256, 8
 
 
 def _flag(df: DataFrame, key: str, matched: DataFrame, name: str) -> DataFrame:
@@ -54,6 +54,7 @@ def match_points(events: DataFrame, points: DataFrame, radius_km: float = 150.0,
         return [F.lit(level).alias("level"), F.floor(x / side).alias("cx"), F.floor(y / side).alias("cy")]
 
     with Scratch(events.sparkSession) as scratch:
+        spots = scratch.stored(spots)
         crowded = _crowded(spots.select("lon", "lat").distinct(), at, bound, levels, scratch)
         deepest = len(crowded)
         leaf = spots.withColumn("_n", F.lit(0))
@@ -69,7 +70,8 @@ def match_points(events: DataFrame, points: DataFrame, radius_km: float = 150.0,
                 right = right.unionByName(spots.groupBy(*at(level), "bucket").agg(F.bit_or("seen").alias("seen")).select(
                     *C.NODE, F.lit(True).alias("whole"), "bucket", "seen", F.lit(None).cast("double").alias("lon"), F.lit(None).cast("double").alias("lat")))
         low, high = _padded(days)
-        walk = events.select("event_id", S.ring_edges("rings").alias("edges"), low.alias("low"), high.alias("high"), F.explode(
+        # spread by event first: the work per row is in its cells and days, and a scan may be one task
+        walk = events.select("event_id", "rings", *S.BOX, "date_start", "date_end").repartition("event_id").select("event_id", S.ring_edges("rings").alias("edges"), low.alias("low"), high.alias("high"), F.explode(
             S.grid_boxes(F.col("bbox_w") - radius, F.col("bbox_s") - radius, F.col("bbox_e") + radius, F.col("bbox_n") + radius, cell)).alias("_c")).select(
             "event_id", "edges", "low", "high", "_c.cx", "_c.cy")
         left = None
@@ -111,7 +113,7 @@ def _crowded(things: DataFrame, at, bound: int, levels: int, scratch: Scratch) -
 
 
 def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell: float = 4.0, name: str = "match_dfo",
-                   bound: int = CELL_BOUND, levels: int = CELL_LEVELS) -> DataFrame:
+                   bound: int = SHAPE_BOUND, levels: int = CELL_LEVELS) -> DataFrame:
     """Flag events whose polygon shares a point with an archive polygon (touching counts) with overlapping padded dates.
 
     Archive records with equal rings are one shape, whose days are bits. Both sides are cut to cells; cells that
@@ -167,7 +169,8 @@ EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 def _cut_to_cells(df: DataFrame, keep: list[str], cell: float) -> DataFrame:
     """``keep``, cx, cy, inside, edges for the cells that polygons (bbox_*, rings) of few edges have part in."""
-    cut = df.select(*keep, S.ring_edges("rings").alias("all"), F.explode(S.grid_boxes(*S.BOX, cell)).alias("_c")).select(*keep, "all", "_c.cx", "_c.cy")
+    spread = df.select(*keep, "rings", *S.BOX).repartition(keep[0])  # the work per row is in its cells, and a scan may be one task
+    cut = spread.select(*keep, S.ring_edges("rings").alias("all"), F.explode(S.grid_boxes(*S.BOX, cell)).alias("_c")).select(*keep, "all", "_c.cx", "_c.cy")
     found = cut.select(*keep, "cx", "cy", S.point_inside(*C.centre(cell), F.col("all")).alias("inside"), F.filter(
         "all", lambda e: C.meets_cell(e, F.col("cx"), F.col("cy"), cell)).alias("edges"))
     return found.filter(F.col("inside") | (F.size("edges") > 0))
