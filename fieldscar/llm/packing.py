@@ -21,7 +21,7 @@ from .common import arrow_map, register, table, worker_cache
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 BATCH_WORDS = 20_000
 
 

@@ -37,7 +37,9 @@ BROADCAST_WEIGHTS, BROADCAST_BYTES = 500_000, 16_000_000
 #: Labels (of fixed width) up to which they are sent to every task.
 BROADCAST_LABELS = 4_000_000
 #: Distinct words that a task counts before it passes them on.
-COUNTED_WORDS = 400_000
+COUNTED_WORDS = 200_000
+#: Slices of words for each shuffle partition: a task holds the trie of one slice.
+SLICES_PER_PARTITION = 2
 BINS_PER_UNIT, MAX_BINS = 2000, 10_000
 FOLDS, HELD_FOLD = 5, 0
 END = "$"
@@ -195,7 +197,8 @@ def log_ratios(trie: Trie, border: dict[str, np.ndarray], ends: dict[str, int],
 
 def word_weights(counts: DataFrame) -> DataFrame:
     """``word``, ``weight`` (evidence, toxic above and ordinary below zero) of the words of ``counts`` that have any."""
-    words = cut_lineage(counts.repartitionByRange("word").sortWithinPartitions("word"))
+    slices = SLICES_PER_PARTITION * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = cut_lineage(counts.repartitionByRange(slices, "word").sortWithinPartitions("word"))
     shared = words.sparkSession.sparkContext.broadcast(_slice_statistics(words))
 
     def run(batches):
