@@ -122,3 +122,55 @@ def explode_keys(df: DataFrame, **arrays: Column) -> DataFrame:
     for name, values in arrays.items():
         df = df.withColumn(name, F.explode(values))
     return df
+
+
+#: Side of the finest cells and days of a bucket that ``meeting`` finds its pairs by.
+MEET_DEGREES, MEET_DAYS = 4.0, 32
+
+
+def box_grids(boxes: DataFrame) -> list[tuple]:
+    """(grid, width, height): the grids that boxes stand on by their size, and the largest box of each. A grid has cells
+    of twice the side of the one before; there are few."""
+    return [tuple(g) for g in boxes.groupBy(_box_grid().alias("grid")).agg(
+        F.max(F.col("bbox_e") - F.col("bbox_w")), F.max(F.col("bbox_n") - F.col("bbox_s"))).filter("grid IS NOT NULL").collect()]
+
+
+def _box_grid() -> Column:
+    size = F.greatest(F.col("bbox_e") - F.col("bbox_w"), F.col("bbox_n") - F.col("bbox_s"))
+    return F.when(size > MEET_DEGREES, F.ceil(F.log2(size / MEET_DEGREES))).when(size.isNotNull(), 0).cast("int")
+
+
+def _node(bucket, grid, cx, cy) -> Column:
+    """One number for a bucket of days and a cell of a grid."""
+    return ((bucket.cast("long") * 100 + grid) * 1_000_000 + cx) * 1_000_000 + cy
+
+
+def meeting(p: DataFrame, q: DataFrame, grids: list[tuple], on: tuple[str, ...] = (), also: Column | None = None) -> DataFrame:
+    """Pairs (aliases ``p``, ``q``) of rows whose boxes meet, with ``acq`` of ``q`` in the closed dates ``low`` to ``high``
+    of ``p``, equal in the columns ``on``. ``grids``: the ``box_grids`` of ``q``.
+
+    A row of ``q`` stands in one cell, that of its south-west corner, on the grid of its size; a row of ``p`` asks in the
+    cells where such corners can lie. So no row of ``q`` is copied and no pair comes twice; the pairs are to be
+    added up as they come, by aggregates of fixed width.
+    """
+    far = 1e-9
+    cells = []
+    for grid, width, height in grids:
+        side = MEET_DEGREES * 2 ** grid
+        span = lambda low, high, size: F.sequence(F.floor((F.col(low) - (size + far)) / side), F.floor(F.col(high) / side))  # noqa: E731,B023
+        ys = span("bbox_s", "bbox_n", height)
+        cells.append(F.flatten(F.transform(span("bbox_w", "bbox_e", width), lambda x: F.transform(ys, lambda y: _node(F.lit(0), F.lit(grid), x, y)))))  # noqa: B023
+    known = p.filter("bbox_w <= bbox_e AND bbox_s <= bbox_n AND low <= high")
+    asked = known.withColumn("_bucket", F.explode(day_buckets("low", "high", MEET_DAYS))).withColumn(
+        "_node", F.explode(F.concat(*cells) if cells else F.array().cast("array<bigint>"))).withColumn(
+        "_node", F.col("_node") + _node(F.col("_bucket"), F.lit(0), F.lit(0), F.lit(0))).drop("_bucket").alias("p")
+    side = F.lit(MEET_DEGREES) * F.pow(F.lit(2.0), _box_grid())
+    held = q.withColumn("_node", _node(
+        day_bucket("acq", MEET_DAYS), _box_grid(), F.floor(F.col("bbox_w") / side), F.floor(F.col("bbox_s") / side))).alias("q")
+    (pw, ps, pe, pn), (qw, qs, qe, qn) = ([F.col(f"{side}.{c}") for c in BOX] for side in "pq")
+    meet = (
+        (F.col("p._node") == F.col("q._node")) & F.col("q.acq").between(F.col("p.low"), F.col("p.high"))
+        & (pw <= qe) & (pe >= qw) & (ps <= qn) & (pn >= qs))
+    for c in on:
+        meet = meet & (F.col(f"p.{c}") == F.col(f"q.{c}"))
+    return asked.join(held, meet if also is None else meet & also)

@@ -139,3 +139,38 @@ def test_scene_picks_by_bounds_equal_plain_loops(spark):
     assert {r.event_id: tuple(r)[1:] for r in imagery.scenes_between(ev, sc).collect()} == counts
     found = imagery.nearest_radar(ev.withColumn("target", F.col("date_start")), sc, 9, 7, by=imagery.BOUNDS).collect()
     assert {r.event_id: (r.scene_id, r.n_scenes) for r in found} == nearest
+
+
+def rows_shuffled(spark, run) -> int:
+    """Rows that the stages of ``run`` write for shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def stages(at):
+        while True:
+            try:
+                yield store.lastStageAttempt(at)
+            except Exception:  # no such stage
+                return
+            at += 1
+    first = sum(1 for _ in stages(0))
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(stage.shuffleWriteRecords() for stage in stages(first))
+
+
+def test_pairs_of_boxes_are_not_shuffled(spark):
+    """Every event meets every scene, and no two footprints are equal: the rows shuffled stay near the rows given."""
+    n, bounds = 300, "bbox_w double, bbox_s double, bbox_e double, bbox_n double"
+    box = lambda i: (i / 1000, i / 2000, i / 1000 + 1, i / 2000 + 1)
+    ev = spark.createDataFrame([(f"e{i}", *box(i), DAY, DAY + dt.timedelta(9)) for i in range(n)], f"event_id string, {bounds}, date_start date, date_end date")
+    sc = spark.createDataFrame([(f"s{i:03d}", *box(i), DAY + dt.timedelta(i % 10), "A", 1, "IW", ["VV", "VH"], 0.5) for i in range(n)],
+                               f"scene_id string, {bounds}, acq date, pass string, rel_orbit int, mode string, polarisations array<string>, clear_frac double")
+    at = ev.withColumn("target", F.col("date_start"))
+    for found in (lambda: imagery.scenes_between(ev, sc), lambda: imagery.radar_pair(ev, sc, by=imagery.BOUNDS),
+                  lambda: imagery.nearest_radar(at, sc, 0, 10, by=imagery.BOUNDS), lambda: imagery.clearest_in_window(at, sc, 0, 9, by=imagery.BOUNDS),
+                  lambda: matching.event_scenes(ev, sc)):
+        assert rows_shuffled(spark, lambda: found().collect()) < 40 * n  # noqa: B023
+    assert matching.event_scenes(ev, sc).count() == n * n
+    wide = sc.withColumn("bbox_e", F.col("bbox_e") + 60)  # boxes over many cells are not copied to them
+    assert rows_shuffled(spark, lambda: matching.event_scenes(ev, wide).collect()) < 12 * n
+    assert matching.event_scenes(ev, wide).count() == n * n
