@@ -236,28 +236,13 @@ def corroborate(news: DataFrame, activations: DataFrame, archive: DataFrame, rel
     return out.withColumn("n_indep", sum(F.col(f).cast("int") for f in flags))
 
 
-def event_scenes(events: DataFrame, scenes: DataFrame, cell: float = 4.0) -> DataFrame:
+def event_scenes(events: DataFrame, scenes: DataFrame) -> DataFrame:
     """Scenes whose box meets the event box inside its closed dates, one row per pair.
 
     ``events``: event_id, bbox_*, date_start, date_end; ``scenes``: scene_id, bbox_*, acq.
-    A pair can meet in several cells: it is kept only in the cell of its south-west overlap corner.
     """
-    p = S.explode_keys(
-        events.select("event_id", *S.BOX, "date_start", "date_end"),
-        cell=S.grid_cells(*S.BOX, cell), bucket=S.day_buckets("date_start", "date_end", SPAN_DAYS),
-    ).alias("p")
-    q = S.explode_keys(
-        scenes.withColumn("bucket", S.day_bucket("acq", SPAN_DAYS)), cell=S.grid_cells(*S.BOX, cell)
-    ).alias("q")
-    box = lambda side: tuple(F.col(f"{side}.{c}") for c in S.BOX)
-    (pw, ps, pe, pn), (qw, qs, qe, qn) = box("p"), box("q")
-    corner = S.grid_cell(F.greatest(pw, qw), F.greatest(ps, qs), cell)
-    cond = (
-        (F.col("p.cell") == F.col("q.cell")) & (F.col("p.bucket") == F.col("q.bucket"))
-        & F.col("q.acq").between(F.col("p.date_start"), F.col("p.date_end"))
-        & (pw <= qe) & (pe >= qw) & (ps <= qn) & (pn >= qs) & (F.col("p.cell") == corner)
-    )
-    return p.join(q, cond).select("p.event_id", *[f"q.{c}" for c in scenes.columns])
+    asked = events.select("event_id", *S.BOX, F.col("date_start").alias("low"), F.col("date_end").alias("high"))
+    return S.meeting(asked, scenes, S.box_grids(scenes)).select("p.event_id", *[f"q.{c}" for c in scenes.columns])
 
 
 # --- near-duplicate events ---------------------------------------------------------------------
