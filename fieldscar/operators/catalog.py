@@ -190,12 +190,18 @@ def shard_letters(number: Column, longest: int = 8) -> Column:
     return out
 
 
-def shard(df: DataFrame, size: int = 50, first_batch: int = 1) -> DataFrame:
-    """Cut rows in ``pos`` order into shards of ``size`` with names aa to zz, then aaa to zzz and so on,
-    and batch numbers."""
+def shard_signs(number: Column) -> Column:
+    """Two signs for any number: the 26 x 26 names aa to zz, and beyond them the first sign goes on by code point."""
+    point = F.lpad(F.hex(97 + F.floor(number / 26)), 8, "0")
+    return F.concat(F.decode(F.unhex(point), "UTF-32"), F.chr(97 + F.pmod(number, F.lit(26))))
+
+
+def shard(df: DataFrame, size: int = 50, first_batch: int = 1, names: Callable[[Column], Column] = shard_letters) -> DataFrame:
+    """Cut rows in ``pos`` order into shards of ``size``, with batch numbers and names by ``names``: aa to zz, then aaa
+    to zzz and so on, or ``shard_signs``."""
     block = F.floor((F.col("_row") - 1) / F.lit(size))
     return (
         ranked(df, [], ["pos"], "_row").withColumn("shard_no", block)
-        .withColumn("shard", F.concat(F.lit("shard_"), shard_letters(F.col("shard_no"))))
+        .withColumn("shard", F.concat(F.lit("shard_"), names(F.col("shard_no"))))
         .withColumn("batch", F.col("shard_no") + first_batch).drop("_row")
     )

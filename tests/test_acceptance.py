@@ -156,3 +156,11 @@ def test_seeded_order_is_reproducible(spark):
     df = spark.createDataFrame(rows, "event_id string, continent string, year int, n_indep int, area_km2_reported double, tier string")
     runs = [[r.event_id for r in catalog.visit_order(df, catalog.seeded(42)).orderBy("visit").collect()] for _ in range(2)]
     assert runs[0] == runs[1] and len(runs[0]) == 30
+
+
+def test_shard_signs_are_those_of_the_sql(spark):
+    """Beyond 676 shards the first sign goes on by code point, also beyond one byte."""
+    numbers = [0, 25, 26, 675, 676, 2249, 3743, 4134, 22499, 134999]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    got = {r.n: r.name for r in df.select("n", catalog.shard_signs(F.col("n")).alias("name")).collect()}
+    assert got == {n: chr(97 + n // 26) + chr(97 + n % 26) for n in numbers}
