@@ -248,7 +248,8 @@ def event_scenes(events: DataFrame, scenes: DataFrame) -> DataFrame:
 # --- near-duplicate events ---------------------------------------------------------------------
 # Two points of one block are always within the limits: blocks are sized so that the block diagonal
 # stays below the distance and the block length below the days. A test therefore needs one head per
-# block only, and work grows with the rows, never with the pairs.
+# block only, and work grows with the rows, never with the pairs. Rows meet heads in wider cells, so that
+# a head has few copies.
 
 DEDUP_KM, DEDUP_DAYS = 25.0, 30
 
@@ -270,18 +271,33 @@ def with_block(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> D
     )
 
 
-def neighbour_blocks(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> DataFrame:
-    """One row per block that may hold a point within the limits of the row (near_* columns)."""
-    height = 0.66 * km / KM_PER_DEGREE
-    reach = km / KM_PER_DEGREE
+def _nodes(df: DataFrame, km: float, days: int):
+    """Side in degrees and days of the cells that rows meet in, and the number of a cell."""
+    height, length = 2 * km / KM_PER_DEGREE, max(2 * days, 1)
+    number = lambda slot, band, strip: (slot * 1_000_003 + band) * 1_000_003 + strip
+    return height, length, number
+
+
+def with_node(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> DataFrame:
+    """Add the one cell (``node``) that holds lon, lat, day: twice the limits wide, high and long."""
+    height, length, number = _nodes(df, km, days)
+    band = F.floor(F.col("lat") / height)
+    return df.withColumn("node", number(
+        F.floor(F.col("day") / F.lit(length)), band, F.floor(F.col("lon") / _band_width(band, height))))
+
+
+def near_nodes(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> DataFrame:
+    """One row per cell that may hold a point within the limits of the row, eight as a rule, as ``node``."""
+    height, length, number = _nodes(df, km, days)
+    reach = km / KM_PER_DEGREE + 1e-9
     far_lat = F.least(F.abs(F.col("lat")) + reach, F.lit(90.0))
     dlon = reach / F.greatest(F.cos(F.radians(far_lat)), F.lit(1e-3)) + 1e-9
-    steps = int(reach // height) + 1
-    out = df.withColumn("near_band", F.explode(F.sequence(F.col("band") - steps, F.col("band") + steps)))
-    width = _band_width(F.col("near_band"), height)
-    out = out.withColumn("near_strip", F.explode(F.sequence(
-        F.floor((F.col("lon") - dlon) / width), F.floor((F.col("lon") + dlon) / width))))
-    return out.withColumn("near_slot", F.explode(F.sequence(F.col("slot") - 1, F.col("slot") + 1)))
+    span = lambda low, high, size: F.sequence(F.floor(low / size), F.floor(high / size))
+    bands = span(F.col("lat") - reach, F.col("lat") + reach, F.lit(height))
+    slots = span(F.col("day") - days, F.col("day") + days, F.lit(length))
+    strips = lambda band: span(F.col("lon") - dlon, F.col("lon") + dlon, _band_width(band, height))
+    cells = F.flatten(F.transform(bands, lambda b: F.flatten(F.transform(strips(b), lambda s: F.transform(slots, lambda t: number(t, b, s))))))
+    return df.withColumn("node", F.explode(cells))
 
 
 def close_in_space_and_time(new: str, old: str, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> Column:
@@ -303,18 +319,14 @@ def block_heads(df: DataFrame) -> DataFrame:
     return df.groupBy(*BLOCK).agg(F.min("seq").alias("seq"), *rest).select(*df.columns)
 
 
-def with_near_head(df: DataFrame, heads: DataFrame, condition: Column) -> DataFrame:
-    """Pairs (row ``x``, head ``h``) of neighbouring blocks that satisfy ``condition``.
+def with_near_head(df: DataFrame, heads: DataFrame, condition: Column, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> DataFrame:
+    """Pairs (row ``x``, head ``h``) that satisfy ``condition``, which must ask for the limits.
 
-    ``heads`` holds at most one row per block, so a row meets a bounded number of them.
+    Every row stands in one cell; a head is known in the few cells that its limits reach. ``heads`` holds at most one
+    row per block, so a row meets a bounded number of them.
     """
-    h = neighbour_blocks(heads).alias("h")
-    x = df.alias("x")
-    near = (
-        (F.col("x.band") == F.col("h.near_band")) & (F.col("x.strip") == F.col("h.near_strip"))
-        & (F.col("x.slot") == F.col("h.near_slot")) & condition
-    )
-    return x.join(h, near)
+    h, x = near_nodes(heads, km, days).alias("h"), with_node(df, km, days).alias("x")
+    return x.join(h, (F.col("x.node") == F.col("h.node")) & condition)
 
 
 def seen_before(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> DataFrame:
@@ -326,13 +338,8 @@ def seen_before(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) ->
     blocked = with_block(df, km, days)
     heads = block_heads(blocked)
     earlier = (F.col("x.seq") < F.col("h.seq")) & close_in_space_and_time("h", "x", km, days)
-    h = neighbour_blocks(heads, km, days).alias("h")
-    x = blocked.alias("x")
-    same = (
-        (F.col("x.band") == F.col("h.near_band")) & (F.col("x.strip") == F.col("h.near_strip"))
-        & (F.col("x.slot") == F.col("h.near_slot")) & earlier
-    )
-    hit = x.join(h, same).select("h.seq").distinct().withColumn("_hit", F.lit(True))
+    place = ["seq", "lon", "lat", "day"]
+    hit = with_near_head(df.select(*place), heads.select(*place), earlier, km, days).select("h.seq").distinct()
     fresh = heads.join(hit, "seq", "left_anti").select("seq").withColumn("_fresh", F.lit(True))
     return (
         df.join(fresh, "seq", "left").withColumn("seen", F.col("_fresh").isNull()).drop("_fresh")

@@ -164,3 +164,14 @@ def test_shard_signs_are_those_of_the_sql(spark):
     df = spark.createDataFrame([(n,) for n in numbers], "n long")
     got = {r.n: r.name for r in df.select("n", catalog.shard_signs(F.col("n")).alias("name")).collect()}
     assert got == {n: chr(97 + n // 26) + chr(97 + n % 26) for n in numbers}
+
+
+def test_heads_have_few_copies(spark):
+    """Far-apart rows, each the head of its block: a head was copied to 75 blocks and is copied to eight cells now, more near the poles."""
+    rng = random.Random(8)
+    rows = [(i, rng.uniform(-180, 180), rng.uniform(-60, 60), rng.randrange(20_000)) for i in range(500)]
+    df = spark.createDataFrame(rows, "seq long, lon double, lat double, day int")
+    assert matching.near_nodes(df).count() <= 16 * 500
+    near = matching.near_nodes(df, 100.0).select("seq", "node")
+    own = matching.with_node(df, 100.0).select("seq", "node")
+    assert near.join(own, ["seq", "node"]).count() == 500 and near.count() <= 16 * 500
