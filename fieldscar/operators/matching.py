@@ -124,10 +124,11 @@ def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell:
     low, high = _padded(days)
     ranges = archive.select(shape, low.alias("low"), high.alias("high"))
     seen = _with_days(ranges, F.col("low"), F.col("high"), "shape").groupBy("shape", "bucket").agg(F.bit_or("days").alias("seen"))
-    shapes = archive.select(shape, *S.BOX, "rings").dropDuplicates(["shape"])
+    q_box = [f"q_{c}" for c in S.BOX]
+    shapes = archive.select(shape, *S.BOX, "rings").dropDuplicates(["shape"]).withColumns({q: F.col(c) for q, c in zip(q_box, S.BOX)})
     with Scratch(events.sparkSession) as scratch:
-        theirs = _cut_to_cells(shapes, ["shape"], cell)
-        ours = _cut_to_cells(events, ["event_id", "date_start", "date_end"], cell)
+        theirs = _cut_to_cells(shapes, ["shape", *q_box], cell)
+        ours = _cut_to_cells(events.withColumns({f"p_{c}": F.col(c) for c in S.BOX}), ["event_id", "date_start", "date_end", *[f"p_{c}" for c in S.BOX]], cell)
         kinds, left = [], []
         for level in range(levels + 1):
             side = cell / 2 ** level
@@ -151,16 +152,18 @@ def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell:
         by_node = [*C.NODE, "bucket"]
         whole = dated.groupBy(*by_node, F.when(F.size("edges") == 0, "whole").otherwise("edge").alias("kind")).agg(F.bit_or("seen").alias("seen"))
         none = F.lit(None)
-        together = whole.select(*by_node, "kind", "seen", none.cast("boolean").alias("q_inside"), F.array().cast(EDGES).alias("q_edges"))
+        together = whole.select(*by_node, "kind", "seen", none.cast("boolean").alias("q_inside"), F.array().cast(EDGES).alias("q_edges"), *[none.cast("double").alias(c) for c in q_box])
         alone = dated.filter("split IS NULL AND size(edges) > 0").select(
-            *by_node, F.lit("one").alias("kind"), "seen", F.col("inside").alias("q_inside"), F.col("edges").alias("q_edges"))
+            *by_node, F.lit("one").alias("kind"), "seen", F.col("inside").alias("q_inside"), F.col("edges").alias("q_edges"), *q_box)
         asks = F.when(F.size("edges") == 0, F.array(F.lit("whole"), F.lit("edge"))).when(
             F.col("split").isNull(), F.array(F.lit("whole"), F.lit("one"))).otherwise(F.array(F.lit("whole")))
-        p = _with_days(ours, F.col("date_start"), F.col("date_end"), "event_id", "inside", "edges", "split", *C.NODE).withColumn("kind", F.explode(asks))
+        p = _with_days(ours, F.col("date_start"), F.col("date_end"), "event_id", "inside", "edges", "split", *[f"p_{c}" for c in S.BOX], *C.NODE).withColumn("kind", F.explode(asks))
         pairs = p.join(together.unionByName(alone), [*by_node, "kind"]).filter(C.shared_days("days", "seen"))
         side = F.expr(f"CAST({cell} / shiftleft(1, level) AS DOUBLE)")
-        meets = (F.col("kind") != "one") | S.edges_meet("edges", "q_edges") | (F.col("inside") & F.col("q_inside")) | _reaches_into(
-            "edges", "q_inside", "q_edges", side) | _reaches_into("q_edges", "inside", "edges", side)
+        # boxes first: they settle most pairs of a cell without a look at an edge
+        boxes_meet = F.expr("p_bbox_w <= q_bbox_e AND p_bbox_e >= q_bbox_w AND p_bbox_s <= q_bbox_n AND p_bbox_n >= q_bbox_s")
+        meets = (F.col("kind") != "one") | (boxes_meet & ((F.col("inside") & F.col("q_inside")) | S.edges_meet("edges", "q_edges") | _reaches_into(
+            "edges", "q_inside", "q_edges", side) | _reaches_into("q_edges", "inside", "edges", side)))
         return _flag(events, "event_id", cut_lineage(pairs.filter(meets).select("event_id").distinct()), name)
 
 

@@ -174,3 +174,13 @@ def test_pairs_of_boxes_are_not_shuffled(spark):
     wide = sc.withColumn("bbox_e", F.col("bbox_e") + 60)  # boxes over many cells are not copied to them
     assert rows_shuffled(spark, lambda: matching.event_scenes(ev, wide).collect()) < 12 * n
     assert matching.event_scenes(ev, wide).count() == n * n
+
+
+def test_boxes_settle_polygons_apart(spark):
+    """Many polygons of a cell whose boxes lie apart share nothing; one that holds, crosses or touches the other does."""
+    square = lambda x, y, h: [(x, y), (x + h, y), (x + h, y + h), (x, y + h), (x, y)]
+    shapes = [row(i, square(0.1 + i % 8 * 0.4, 0.1 + i // 8 * 0.4, 0.1), 0, 5) for i in range(64)]
+    asked = [row(100, square(0.25, 0.25, 0.05), 0, 5), row(101, square(0.2, 0.1, 0.05), 0, 5), row(102, square(0.12, 0.12, 0.02), 0, 5),
+             row(103, square(0.0, 0.0, 0.15), 0, 5)]
+    got = matching.match_polygons(spark.createDataFrame(asked, SHAPES), spark.createDataFrame(shapes, SHAPES)).collect()
+    assert {r.event_id: r.match_dfo for r in got} == {"e100": False, "e101": True, "e102": True, "e103": True}
