@@ -164,9 +164,11 @@ def meeting(p: DataFrame, q: DataFrame, grids: list[tuple], on: tuple[str, ...]
     asked = known.withColumn("_bucket", F.explode(day_buckets("low", "high", MEET_DAYS))).withColumn(
         "_node", F.explode(F.concat(*cells) if cells else F.array().cast("array<bigint>"))).withColumn(
         "_node", F.col("_node") + _node(F.col("_bucket"), F.lit(0), F.lit(0), F.lit(0))).drop("_bucket").alias("p")
-    side = F.lit(MEET_DEGREES) * F.pow(F.lit(2.0), _box_grid())
+    # boxes of one grid, the usual case, need no look at their size: shorter code for every row
+    one = F.lit(grids[0][0]) if len(grids) == 1 else None
+    side = F.lit(MEET_DEGREES * 2 ** grids[0][0]) if one is not None else F.lit(MEET_DEGREES) * F.pow(F.lit(2.0), _box_grid())
     held = q.withColumn("_node", _node(
-        day_bucket("acq", MEET_DAYS), _box_grid(), F.floor(F.col("bbox_w") / side), F.floor(F.col("bbox_s") / side))).alias("q")
+        day_bucket("acq", MEET_DAYS), _box_grid() if one is None else one, F.floor(F.col("bbox_w") / side), F.floor(F.col("bbox_s") / side))).alias("q")
     (pw, ps, pe, pn), (qw, qs, qe, qn) = ([F.col(f"{side}.{c}") for c in BOX] for side in "pq")
     meet = (
         (F.col("p._node") == F.col("q._node")) & F.col("q.acq").between(F.col("p.low"), F.col("p.high"))
