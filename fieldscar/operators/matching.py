@@ -335,15 +335,26 @@ def with_near_head(df: DataFrame, heads: DataFrame, condition: Column, km: float
 def seen_before(df: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> DataFrame:
     """Flag rows with an earlier row (smaller ``seq``) close in space and time.
 
-    Rows that are not the head of their block have one by construction; only heads are tested. All
-    rows stand on the left of an inner join, whose hot blocks AQE can split; a row meets a bounded number of heads.
+    Rows that are not the head of their block have one by construction; only heads are tested. Most heads of a
+    crowded region are settled by an earlier head of their own cell (:func:`unsettled_heads`), so only the others are
+    copied to the cells around. There all rows stand on the left of an inner join, whose hot blocks AQE can split; a
+    row meets a bounded number of heads.
     """
-    blocked = with_block(df, km, days)
-    heads = block_heads(blocked)
-    earlier = (F.col("x.seq") < F.col("h.seq")) & close_in_space_and_time("h", "x", km, days)
     place = ["seq", "lon", "lat", "day"]
-    hit = with_near_head(df.select(*place), heads.select(*place), earlier, km, days).select("h.seq").distinct()
-    fresh = heads.join(hit, "seq", "left_anti").select("seq").withColumn("_fresh", F.lit(True))
+    with Scratch(df.sparkSession) as scratch:
+        heads = scratch.stored(unsettled_heads(block_heads(with_block(df, km, days)).select(*place), km, days))
+        earlier = (F.col("x.seq") < F.col("h.seq")) & close_in_space_and_time("h", "x", km, days)
+        hit = with_near_head(df.select(*place), heads, earlier, km, days).select("h.seq").distinct()
+        fresh = cut_lineage(heads.select("seq").join(hit, "seq", "left_anti").withColumn("_fresh", F.lit(True)))
     return (
         df.join(fresh, "seq", "left").withColumn("seen", F.col("_fresh").isNull()).drop("_fresh")
     )
+
+
+def unsettled_heads(heads: DataFrame, km: float = DEDUP_KM, days: int = DEDUP_DAYS) -> DataFrame:
+    """The ``heads`` without an earlier head close to them in their own cell (of twice the usual side), which holds a
+    bounded number of them. Nothing tells the two sides apart, so they are shuffled once."""
+    cells = with_node(heads, 2 * km, 2 * days).withColumn("node", F.coalesce("node", F.lit(-1)))
+    h, x = cells.alias("h"), cells.alias("x")
+    earlier = (F.col("x.seq") < F.col("h.seq")) & close_in_space_and_time("h", "x", km, days)
+    return h.join(x, (F.col("h.node") == F.col("x.node")) & F.coalesce(earlier, F.lit(False)), "left_anti").select(*heads.columns)

@@ -175,3 +175,17 @@ def test_heads_have_few_copies(spark):
     near = matching.near_nodes(df, 100.0).select("seq", "node")
     own = matching.with_node(df, 100.0).select("seq", "node")
     assert near.join(own, ["seq", "node"]).count() == 500 and near.count() <= 16 * 500
+
+
+def test_most_heads_are_settled_in_their_own_cell(spark):
+    """Crowded rows: every head was copied to the cells around, now only those without an earlier head in their cell; no fresh one is lost."""
+    rng = random.Random(9)
+    rows = [(i, rng.uniform(0, 4), rng.uniform(-2, 2), rng.randrange(240)) for i in range(4000)] + [(4000, None, 1.0, 3)]
+    df = spark.createDataFrame(rows, "seq long, lon double, lat double, day int")
+    heads = matching.block_heads(matching.with_block(df)).select("seq", "lon", "lat", "day")
+    known = {r.seq: tuple(r)[1:] for r in heads.collect()}
+    left = {r.seq for r in matching.unsettled_heads(heads).collect()}
+    fresh = {i for i, at in known.items() if at[0] is None or not any(close(at, q[1:]) for q in rows[:i])}
+    assert fresh <= left <= set(known) and 4 * len(left) < len(known)
+    seen = {r.seq: r.seen for r in matching.seen_before(df).collect()}
+    assert {i for i, s in seen.items() if not s} == fresh
