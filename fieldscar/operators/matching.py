@@ -42,10 +42,12 @@ def match_points(events: DataFrame, points: DataFrame, radius_km: float = 150.0,
     ``events``: event_id, bbox_*, rings, date_start, date_end; ``points``: lon, lat, date. A place counts once,
     whatever its number of dates: its days are bits. Cells with more than ``bound`` places are split; an event
     walks down the cells that its surroundings reach, and a cell that lies wholly within the radius needs neither
-    its places nor a distance. So a hot place costs an event a bounded number of rows.
+    its places nor a distance. So a hot place costs an event a bounded number of rows. The box of an event settles
+    most places and cells: what is too far from the box, and what has all of the box within reach, needs no edge.
     """
     radius = radius_km / KM_PER_DEGREE
     x, y = F.col("lon"), F.col("lat")
+    shape = ["event_id", "rings", *S.BOX, "dated"]
     spots = points.filter("date IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL").groupBy(
         "lon", "lat", S.day_bucket("date", C.BUCKET_DAYS).alias("bucket")).agg(F.bit_or(C.day_mask(F.col("date"))).alias("seen"))
 
@@ -71,32 +73,45 @@ def match_points(events: DataFrame, points: DataFrame, radius_km: float = 150.0,
                     *C.NODE, F.lit(True).alias("whole"), "bucket", "seen", F.lit(None).cast("double").alias("lon"), F.lit(None).cast("double").alias("lat")))
         low, high = _padded(days)
         # spread by event first: the work per row is in its cells and days, and a scan may be one task
-        walk = events.select("event_id", "rings", *S.BOX, "date_start", "date_end").repartition("event_id").select("event_id", S.ring_edges("rings").alias("edges"), low.alias("low"), high.alias("high"), F.explode(
-            S.grid_boxes(F.col("bbox_w") - radius, F.col("bbox_s") - radius, F.col("bbox_e") + radius, F.col("bbox_n") + radius, cell)).alias("_c")).select(
-            "event_id", "edges", "low", "high", "_c.cx", "_c.cy")
+        # cells and days of an event are found once, not for each of its rows; explode would have Spark find them
+        # before the shuffle too, to drop empty ones, which explode_outer leaves to the join
+        reach = S.grid_boxes(F.col("bbox_w") - radius, F.col("bbox_s") - radius, F.col("bbox_e") + radius, F.col("bbox_n") + radius, cell)
+        walk = events.select("event_id", "rings", *S.BOX, "date_start", "date_end").repartition("event_id").select(
+            "event_id", "rings", *S.BOX, C.day_masks(low, high).alias("dated"), reach.alias("_c")).select(
+            *shape, F.explode_outer("_c").alias("_c")).select(*shape, "_c.cx", "_c.cy")
         left = None
         for level in range(deepest + 1):
             side = cell / 2 ** level
             half = side * 0.70710679  # of the diagonal, and a little more
-            far = S.point_distance(*C.centre(side), F.col("edges"))
             reached = walk
             if level or deepest:
-                reached = walk.withColumn("_far", far).filter(F.col("_far") <= radius + half)
-            whole = (F.col("_far") + half <= radius) if (level or deepest) and half <= radius else F.lit(False)
+                reached = walk.filter(S.box_distance(*C.centre(side)) <= radius + half)
+            whole = _within(*C.centre(side), radius - half) if (level or deepest) and half <= radius else F.lit(False)
             reached = reached.withColumns({"level": F.lit(level), "whole": whole})
             if level < deepest:
                 split = crowded[level].select("cx", "cy", F.lit(True).alias("_split"))
                 reached = scratch.stored(reached.join(split, ["cx", "cy"], "left"))
-                walk = reached.filter("_split AND NOT whole").select("event_id", "edges", "low", "high", "cx", "cy", F.explode(
+                walk = reached.filter("_split AND NOT whole").select(*shape, "cx", "cy", F.explode(
                     F.array(*map(F.lit, range(4)))).alias("_q")).select(
-                    "event_id", "edges", "low", "high", (2 * F.col("cx") + F.col("_q") % 2).alias("cx"), (2 * F.col("cy") + F.expr("_q div 2")).alias("cy"))
+                    *shape, (2 * F.col("cx") + F.col("_q") % 2).alias("cx"), (2 * F.col("cy") + F.expr("_q div 2")).alias("cy"))
                 reached = reached.filter("whole OR _split IS NULL")
-            kept = reached.select("event_id", "edges", "low", "high", *C.NODE, "whole")
+            kept = reached.select(*shape, *C.NODE, "whole")
             left = kept if left is None else left.unionByName(kept)
-        p = _with_days(left, F.col("low"), F.col("high"), "event_id", "edges", *C.NODE, "whole").join(
-            right, [*C.NODE, "whole", "bucket"]).filter(C.shared_days("days", "seen"))
-        near = F.col("whole") | (S.point_distance(x, y, F.col("edges")) <= radius)
-        return _flag(events, "event_id", cut_lineage(p.filter(near).select("event_id").distinct()), name)
+        rows = left.select(*shape, *C.NODE, "whole", F.explode_outer("dated").alias("_d")).select(
+            "event_id", "rings", *S.BOX, *C.NODE, "whole", "_d.bucket", "_d.days")
+        pairs = rows.join(right, [*C.NODE, "whole", "bucket"]).filter(
+            C.shared_days("days", "seen") & (F.col("whole") | (S.box_distance(x, y) <= radius + 1e-9)))
+        # an aggregate, as a filter would put the look at edges into the join, where it slows down every row
+        hits = pairs.groupBy("event_id").agg(F.bool_or(F.col("whole") | _within(x, y, radius)).alias("_hit")).filter("_hit")
+        return _flag(events, "event_id", cut_lineage(hits.select("event_id")), name)
+
+
+def _within(x: Column, y: Column, reach: float) -> Column:
+    """Whether a polygon (bbox_*, rings) comes within ``reach`` of (x, y): by its box where that tells, else by its edges."""
+    far = 1e-9
+    has_edge = F.exists("rings", lambda ring: F.size(ring) > 1)
+    exact = F.get(F.transform(F.array(S.ring_edges("rings")), lambda edges: S.point_distance(x, y, edges)), F.lit(0))
+    return (S.box_distance(x, y) <= reach + far) & (((S.box_reach(x, y) <= reach - far) & has_edge) | (exact <= reach))
 
 
 def _crowded(things: DataFrame, at, bound: int, levels: int, scratch: Scratch) -> list[DataFrame]:

@@ -47,6 +47,22 @@ def point_distance(x, y, edges) -> Column:
         F.sqrt(F.array_min(F.transform(_col(edges), squared))))
 
 
+def _length(dx: Column, dy: Column) -> Column:
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def box_distance(x: Column, y: Column) -> Column:
+    """Distance of (x, y) to the box bbox_*, 0 inside: what lies in the box is not nearer."""
+    w, s, e, n = map(F.col, BOX)
+    return _length(F.greatest(w - x, F.lit(0.0), x - e), F.greatest(s - y, F.lit(0.0), y - n))
+
+
+def box_reach(x: Column, y: Column) -> Column:
+    """Distance of (x, y) to the farthest corner of the box bbox_*: what lies in the box is not farther."""
+    w, s, e, n = map(F.col, BOX)
+    return _length(F.greatest(F.abs(x - w), F.abs(x - e)), F.greatest(F.abs(y - s), F.abs(y - n)))
+
+
 def _side(ax, ay, bx, by, px, py) -> Column:
     return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
 

@@ -184,3 +184,20 @@ def test_boxes_settle_polygons_apart(spark):
              row(103, square(0.0, 0.0, 0.15), 0, 5)]
     got = matching.match_polygons(spark.createDataFrame(asked, SHAPES), spark.createDataFrame(shapes, SHAPES)).collect()
     assert {r.event_id: r.match_dfo for r in got} == {"e100": False, "e101": True, "e102": True, "e103": True}
+
+
+def test_boxes_settle_what_edges_would(spark):
+    """Places near, inside and around concave polygons, whose edges are looked at only where the box does not tell."""
+    rng = random.Random(11)
+    events = [row(i, blob(rng, rng.uniform(-2, 2), rng.uniform(-2, 2), rng.choice([0.1, 0.5, 2.0]), rng.randrange(3, 8)), 0, 0) for i in range(60)]
+    bare = ("none", -0.1, -0.1, 0.1, 0.1, [], DAY, DAY, 0.0, 0.0)  # a box without a polygon
+    spots = [(rng.uniform(-4, 4), rng.uniform(-4, 4)) for _ in range(40)] + [(0.0, 0.0)]
+    shapes = spark.createDataFrame([*events, bare], SHAPES).drop("lon", "lat")
+    pairs = shapes.crossJoin(spark.createDataFrame(spots, "lon double, lat double"))
+    got = {(r.event_id, r.lon, r.lat): r.near for r in pairs.select(
+        "event_id", "lon", "lat", F.coalesce(matching._within(F.col("lon"), F.col("lat"), 1.0), F.lit(False)).alias("near")).collect()}
+    want = {(e[0], x, y): distance(e[5][0], x, y) <= 1.0 for e in events for x, y in spots} | {("none", x, y): False for x, y in spots}
+    assert got == want and 200 < sum(want.values()) < 2000
+    dated = spark.createDataFrame([(x, y, DAY) for x, y in spots], "lon double, lat double, date date")
+    hit = {r.event_id: r.match_ems for r in matching.match_points(shapes, dated, radius_km=111.0, days=0).collect()}
+    assert hit == {i: any(want[i, x, y] for x, y in spots) for i in hit} and not hit["none"] and len(hit) == 61
