@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 def first_batch(events: DataFrame) -> DataFrame:
@@ -45,13 +45,29 @@ def released_chips(chips: DataFrame, excluded: DataFrame) -> DataFrame:
 
 def summary(chips: DataFrame) -> DataFrame:
     """Per hazard and region (and their totals): events, chips, and shares with both radar images,
-    all images usable and a growth stage."""
-    per_event = chips.groupBy("hazard", "continent", "event_id").agg(
+    all images usable and a growth stage.
+
+    An event counts once in every total: with the first of its rows there. So rows are not copied for each total and no
+    set of events is kept; totals are taken of one row per hazard and region.
+    """
+    per_event = chips.groupBy("event_id", "hazard", "continent").agg(
         F.count("*").alias("n"), F.count_if("has_s1").alias("radar"), F.count_if("usable").alias("usable"), F.count("stage").alias("stage"))
+
+    def first(by, order):
+        place = F.row_number().over(W.partitionBy("event_id", *by).orderBy(*order))
+        return (F.col("event_id").isNotNull() & (place == 1)).cast("long")
+
+    marked = per_event.withColumns({
+        "once": F.col("event_id").isNotNull().cast("long"), "once_hazard": first(["hazard"], ["continent"]),
+        "once_continent": first(["continent"], ["hazard"]), "once_all": first([], ["hazard", "continent"])})
+    sums = [c for c in marked.columns if c not in ("event_id", "hazard", "continent")]
+    small = marked.groupBy("hazard", "continent").agg(*[F.sum(c).alias(c) for c in sums])
+    kept = F.grouping_id()  # 0: both kept, 1: by hazard, 2: by region, 3: neither
+    events = F.when(kept == 0, F.sum("once")).when(kept == 1, F.sum("once_hazard")).when(
+        kept == 2, F.sum("once_continent")).otherwise(F.sum("once_all"))
     share = lambda c: F.bround(100.0 * F.sum(c) / F.sum("n"), 1)
-    return per_event.cube("hazard", "continent").agg(
-        F.count_distinct("event_id").alias("events"), F.sum("n").alias("chips"),
-        F.bround(F.sum("n") / F.count_distinct("event_id"), 1).alias("chips_per_event"),
+    return small.cube("hazard", "continent").agg(
+        events.alias("events"), F.sum("n").alias("chips"), F.bround(F.try_divide(F.sum("n"), events), 1).alias("chips_per_event"),
         share("radar").alias("pct_radar"), share("usable").alias("pct_usable"), share("stage").alias("pct_stage"))
 
 

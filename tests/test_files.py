@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fieldscar import schemas
@@ -237,3 +239,26 @@ def test_release_and_cells_round_trip(spark, tmp_path):
     assert sorted((r.chip_id, r.event_id) for r in back.collect()) == [("c1", "e1"), ("c2", "e1")]
     spark.createDataFrame([(1, dt.date(2022, 8, d)) for d in (1, 2, 3)], "ev int, day date").write.parquet(str(tmp_path / "cells"))
     assert S.read_cells(spark, str(tmp_path / "cells"), "2022-08-02", "2022-08-03").count() == 1
+
+
+def test_release_summary_counts_an_event_once_in_every_total(spark):
+    """Events of several hazards and regions, and rows without one; no set of events is kept beside the rows."""
+    rng = random.Random(12)
+    rows = [(rng.choice([None, *[f"e{i}" for i in range(40)]]), rng.choice([None, "Flooded", "Burnt"]), rng.choice([None, "Asia", "Europe", "Other"]),
+             rng.random() < 0.7, rng.random() < 0.4, rng.choice([None, "stage 1"])) for _ in range(300)]
+    rows.append((None, "Unknown", "Nowhere", True, True, None))  # chips of no event
+    df = spark.createDataFrame(rows, "event_id string, hazard string, continent string, has_s1 boolean, usable boolean, stage string")
+    got = sorted((tuple(r) for r in release.summary(df).collect()), key=repr)
+
+    def line(hazard, continent, part):
+        n, events = len(part), len({r[0] for r in part} - {None})
+        share = lambda k: round(100.0 * k / n, 1)
+        return (hazard, continent, events, n, round(n / events, 1) if events else None,
+                share(sum(r[3] for r in part)), share(sum(r[4] for r in part)), share(sum(r[5] is not None for r in part)))
+
+    want = [line(None, None, rows)]
+    want += [line(h, None, [r for r in rows if r[1] == h]) for h in {r[1] for r in rows}]
+    want += [line(None, c, [r for r in rows if r[2] == c]) for c in {r[2] for r in rows}]
+    want += [line(h, c, [r for r in rows if r[1:3] == (h, c)]) for h, c in {r[1:3] for r in rows}]
+    assert [(r[:4], [v for v in r[4:]]) for r in got] == [(r[:4], [v if v is None else pytest.approx(v, abs=0.11) for v in r[4:]]) for r in sorted(want, key=repr)]
+    assert "distinct" not in release.summary(df)._jdf.queryExecution().executedPlan().toString()
