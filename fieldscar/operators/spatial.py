@@ -5,7 +5,11 @@ Rings are ARRAY<ARRAY<STRUCT<x, y>>>, each ring closed; holes follow the even-od
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import functools
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from ..session import join_in_place
 
 BOX = ("bbox_w", "bbox_s", "bbox_e", "bbox_n")
 
@@ -192,3 +196,114 @@ def meeting(p: DataFrame, q: DataFrame, grids: list[tuple], on: tuple[str, ...]
     for c in on:
         meet = meet & (F.col(f"p.{c}") == F.col(f"q.{c}"))
     return asked.join(held, meet if also is None else meet & also)
+
+
+#: Days of a bucket of ``picked``; bits of the number of cells a region is wide and high and of the buckets it is long; rows of a
+#: side beyond which a region is dealt to several tasks; bits that a row's number in its region has at most.
+PICK_DAYS, REGION_BITS, REGION_ROWS, CODE_BITS = 16, {"x": 2, "y": 2, "t": 3}, 2_000_000, 40
+
+
+def picked(p: DataFrame, q: DataFrame, key: str, order: tuple[str, ...], picks: dict[str, tuple[Column | None, bool]],
+           by: tuple[str, ...] = (), also: Column | None = None, rows: int = REGION_ROWS) -> DataFrame:
+    """Per ``key`` of ``p`` what it picks from the rows of ``q`` that meet it as in ``meeting``: their number ``n`` and per
+    name of ``picks`` a struct (rank, *order), the first by rank, then ``order`` (the largest if the flag says so). Rows of ``p`` that
+    meet nothing are left out. A rank is a whole number from 0 of ``p.*``, ``q.acq`` and ``q.*`` of ``by``; ``also`` knows the same columns.
+
+    Both sides are shuffled once, to regions of several cells and buckets, where all else is done: rows are numbered by
+    ``order``, so that a pick is the smallest number, added up in the join, and its row is found by this number. Only
+    there a row of ``p`` is copied to its cells. Rows of ``q`` with equal box, day and ``by`` count together.
+    """
+    mask = (1 << CODE_BITS) - 1
+    size = F.greatest(F.col("bbox_e") - F.col("bbox_w"), F.col("bbox_n") - F.col("bbox_s"))
+    q = q.select(*dict.fromkeys((*BOX, "acq", *by, *order))).filter(size.isNotNull() & F.col("acq").isNotNull())
+    grids = box_grids(q)
+    one = len(grids) == 1
+    grid = F.lit(grids[0][0]) if one else _box_grid()
+    x, y = _corner_cell(F.lit(MEET_DEGREES * 2.0 ** grids[0][0]) if one else F.lit(MEET_DEGREES) * F.pow(F.lit(2.0), grid))
+    corner = (x, y, day_bucket("acq", PICK_DAYS))
+    held = q.withColumn("_region", _region(grid, *[F.shiftright(v, bits) for v, bits in zip(corner, REGION_BITS.values())]))
+    far = 1e-9
+    # the grid of an asked cell is a constant where there is one only, the usual case: shorter code for every row
+    number = grid if one else F.col("_g")
+
+    def of(get) -> Column:
+        values = [(g[0], F.lit(float(get(g)))) for g in grids]
+        return functools.reduce(lambda rest, v: F.when(number == v[0], v[1]).otherwise(rest), values[1:], values[0][1] if values else F.lit(1.0))
+    width, height, side = of(lambda g: g[1] + far), of(lambda g: g[2] + far), of(lambda g: MEET_DEGREES * 2 ** g[0])
+
+    def span(low, high):
+        return F.floor(low), F.floor(high)
+    cells = {"x": span((F.col("bbox_w") - width) / side, F.col("bbox_e") / side), "y": span((F.col("bbox_s") - height) / side, F.col("bbox_n") / side),
+             "t": (day_bucket("low", PICK_DAYS), day_bucket("high", PICK_DAYS))}
+    asked = p.filter("bbox_w <= bbox_e AND bbox_s <= bbox_n AND low <= high")
+    if not one:
+        asked = asked.withColumn("_g", F.explode(F.array(*[F.lit(g[0]) for g in grids]).cast("array<int>")))
+    for c, (low, high) in cells.items():
+        asked = asked.withColumn(f"_{c}", F.explode(F.sequence(F.shiftright(low, REGION_BITS[c]), F.shiftright(high, REGION_BITS[c]))))
+    asked = asked.withColumn("_region", _region(number, F.col("_x"), F.col("_y"), F.col("_t")))
+    asked, held = _dealt(asked, held, key, by, rows)
+    extra = [c for c in p.columns if c not in (key, *BOX, "low", "high")]
+    where = [c for c in asked.columns if c in ("_region", "_i", "_j")]
+    join_in_place(p.sparkSession)
+    asked, held = asked.repartition(*where), held.repartition(*where)
+    # every column is in the order, so that both uses below read the same shuffled rows, and ties are none
+    coded = held.withColumn("_code", F.row_number().over(W.partitionBy(*where).orderBy(*q.select(*dict.fromkeys((*order, *q.columns))).columns)))
+    daily = coded.groupBy(*where, *BOX, "acq", *by).agg(F.min("_code").alias("first"), F.max("_code").alias("last"), F.count("*").alias("n"))
+    daily = daily.withColumn("_node", _place(*corner))
+    for c, (low, high) in cells.items():
+        cells_wide = 1 << REGION_BITS[c]
+        first = F.col(f"_{c}") * cells_wide
+        asked = asked.withColumn(f"_{c}", F.explode(F.sequence(F.greatest(low, first), F.least(high, first + (cells_wide - 1)))))
+    asked = asked.withColumn("_node", _place(F.col("_x"), F.col("_y"), F.col("_t"))).select(
+        *where, key, *BOX, "low", "high", "_node", *extra)
+    (pw, ps, pe, pn), (qw, qs, qe, qn) = ([F.col(f"{side}.{c}") for c in BOX] for side in "pq")
+    meet = F.col("q.acq").between(F.col("p.low"), F.col("p.high")) & (pw <= qe) & (pe >= qw) & (ps <= qn) & (pn >= qs)
+    for c in (*where, "_node"):
+        meet = meet & (F.col(f"p.{c}") == F.col(f"q.{c}"))
+    pairs = asked.alias("p").join(daily.alias("q"), meet if also is None else meet & also)
+    ranked = {name: F.lit(0).cast("long") if rank is None else rank.cast("long") for name, (rank, _) in picks.items()}
+    best = [(F.max if last else F.min)(F.call_function("shiftleft", ranked[name], F.lit(CODE_BITS)) + F.col("q.last" if last else "q.first")).alias(f"_{name}")
+            for name, (_, last) in picks.items()]
+    met = pairs.groupBy(*[F.col(f"p.{c}").alias(c) for c in where], F.col(f"p.{key}").alias(key)).agg(F.sum("q.n").alias("n"), *best)
+    asks = F.array(*[F.struct(F.lit(i).alias("pick"), F.col(f"_{name}").alias("best"), (F.col("n") if i == 0 else F.lit(0).cast("long")).alias("n"))
+                     for i, name in enumerate(picks)])
+    asks = met.select(*where, key, F.explode(asks).alias("_a")).select(
+        *where, key, "_a.pick", "_a.n", F.shiftright("_a.best", CODE_BITS).alias("rank"), F.col("_a.best").bitwiseAND(F.lit(mask)).cast("int").alias("_code"))
+    named = asks.join(coded.select(*where, "_code", *order), [*where, "_code"])
+    found = F.struct("rank", *order)
+    return named.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("n"), *[
+        (F.max if last else F.min)(F.when(F.col("pick") == i, found)).alias(name) for i, (name, (_, last)) in enumerate(picks.items())])
+
+
+def _corner_cell(side: Column) -> tuple[Column, Column]:
+    """Cell of the south-west corner of a box on the grid of ``side``."""
+    return F.floor(F.col("bbox_w") / side), F.floor(F.col("bbox_s") / side)
+
+
+def _region(grid, x, y, t) -> Column:
+    # never null, so that Spark does not look at the whole expression for nulls at the scan
+    return F.coalesce(((t.cast("long") * 100 + grid) * 1_000_000 + x) * 1_000_000 + y, F.lit(-1).cast("long"))
+
+
+def _place(x, y, t) -> Column:
+    """Number of a cell and a bucket in their region."""
+    number = F.lit(0)
+    for v, bits in zip((x, y, t), REGION_BITS.values()):
+        number = number * (1 << bits) + F.pmod(v, F.lit(1 << bits)).cast("int")
+    return F.coalesce(number, F.lit(-1))
+
+
+def _dealt(asked: DataFrame, held: DataFrame, key: str, by: tuple[str, ...], rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the part ``_i`` of ``asked`` and ``_j`` of ``held`` in their region, if there are regions of more than ``rows``
+    rows of a side: every part of one side meets every part of the other. Such regions are few."""
+    most = lambda side: {r["_region"]: -(-r["count"] // rows) for r in side.groupBy("_region").count().filter(F.col("count") > rows).collect()}
+    many, wide = most(asked), most(held)
+    parts = {region: (many.get(region, 1), wide.get(region, 1)) for region in many | wide}
+    if not parts:
+        return asked, held
+    table = F.broadcast(held.sparkSession.createDataFrame([(k, *v) for k, v in parts.items()], "_region long, _ni int, _nj int"))
+    part = lambda count, *columns: F.pmod(F.xxhash64(*columns), F.coalesce(count, F.lit(1))).cast("int")
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.coalesce(count, F.lit(1)) - 1))
+    asked = asked.join(table, "_region", "left").withColumns({"_i": part(F.col("_ni"), key), "_j": each(F.col("_nj"))})
+    held = held.join(table, "_region", "left").withColumns({"_i": each(F.col("_ni")), "_j": part(F.col("_nj"), *BOX, "acq", *by)})
+    return asked.drop("_ni", "_nj"), held.drop("_ni", "_nj")

@@ -12,6 +12,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
 
@@ -22,6 +23,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def join_in_place(spark: SparkSession) -> None:
+    """Until the next :func:`configure`, sides dealt by the same part of a join's keys are joined without another shuffle."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the session names; pick a temporary one only in local mode."""
     context = spark.sparkContext

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fieldscar.operators import cells, imagery, matching
+from fieldscar.operators import cells, imagery, matching, spatial
 
 DAY = dt.date(2021, 3, 1)
 SHAPES = ("event_id string, bbox_w double, bbox_s double, bbox_e double, bbox_n double, "
@@ -201,3 +201,42 @@ def test_boxes_settle_what_edges_would(spark):
     dated = spark.createDataFrame([(x, y, DAY) for x, y in spots], "lon double, lat double, date date")
     hit = {r.event_id: r.match_ems for r in matching.match_points(shapes, dated, radius_km=111.0, days=0).collect()}
     assert hit == {i: any(want[i, x, y] for x, y in spots) for i in hit} and not hit["none"] and len(hit) == 61
+
+
+def test_events_are_not_copied_to_cells_in_shuffles(spark):
+    """Events that ask in many cells and buckets of days are shuffled about once, and so are scenes."""
+    rng = random.Random(8)
+    n, bounds = 400, "bbox_w double, bbox_s double, bbox_e double, bbox_n double"
+    box = lambda x, y, h: (x - h, y - h, x + h, y + h)
+    ev = spark.createDataFrame([(f"e{i}", *box(rng.uniform(-150, 150), rng.uniform(-60, 60), 0.7), DAY + dt.timedelta(i), DAY + dt.timedelta(i + 40)) for i in range(n)],
+                               f"event_id string, {bounds}, date_start date, date_end date")
+    sc = spark.createDataFrame([(f"s{i:03d}", *box(rng.uniform(-150, 150), rng.uniform(-60, 60), 1.9), DAY + dt.timedelta(i), 0.5) for i in range(n)],
+                               f"scene_id string, {bounds}, acq date, clear_frac double")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found in (lambda: imagery.scenes_between(ev, sc),):
+            assert rows_shuffled(spark, lambda: found().collect()) < 10 * n  # noqa: B023
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+@pytest.mark.parametrize("rows", [7, 40])
+def test_crowded_regions_are_dealt_to_tasks(spark, rows):
+    """Parts of a region, boxes on several grids and a rank of its own: each pair counts once, ties go by the order."""
+    rng = random.Random(rows)
+    bounds = "bbox_w double, bbox_s double, bbox_e double, bbox_n double"
+    box = lambda x, y, h: (x - h, y - h, x + h, y + h)
+    asked = [(f"p{i}", *box(rng.gauss(3, 6), rng.gauss(-2, 6), rng.choice([0.2, 2, 9])), DAY + dt.timedelta(lo := rng.randrange(60)), DAY + dt.timedelta(lo + rng.randrange(40)))
+             for i in range(70)] + [("none", None, None, None, None, DAY, DAY)]
+    held = [(f"q{i % 90:02d}", *box(float(round(rng.gauss(3, 6))), float(round(rng.gauss(-2, 6))), rng.choice([1.0, 1.0, 3.0, 20.0])), DAY + dt.timedelta(rng.randrange(90))) for i in range(150)]
+    p, q = spark.createDataFrame(asked, f"id string, {bounds}, low date, high date"), spark.createDataFrame(held, f"name string, {bounds}, acq date")
+    late = F.date_diff("p.high", "q.acq")
+    got = spatial.picked(p, q, "id", ("acq", "name"), {"first": (None, False), "last": (None, True), "near": (late, False)}, rows=rows).collect()
+    want = {}
+    for a in asked[:-1]:
+        met = [(s[5], s[0]) for s in held if a[1] <= s[3] and a[3] >= s[1] and a[2] <= s[4] and a[4] >= s[2] and a[5] <= s[5] <= a[6]]
+        if met:
+            want[a[0]] = (len(met), min(met), max(met), min(((a[6] - d).days, d, name) for d, name in met))
+    assert {r.id: (r.n, tuple(r.first)[1:], tuple(r.last)[1:], tuple(r.near)) for r in got} == want and len(want) > 40
+    assert spatial.picked(p, q.limit(0), "id", ("acq", "name"), {"first": (None, False)}).count() == 0
