@@ -19,6 +19,8 @@ SPAN_DAYS = 32
 
 #: Places and shapes of a cell up to which it is not split, and levels below the first.
 CELL_BOUND, SHAPE_BOUND, CELL_LEVELS = 64, 256, 8
+#: Rows of archive boxes in a cell and a bucket of days up to which each event there looks at them.
+BOX_BOUND = 8192
 
 
 def _flag(df: DataFrame, key: str, matched: DataFrame, name: str) -> DataFrame:
@@ -128,9 +130,58 @@ def _crowded(things: DataFrame, at, bound: int, levels: int, scratch: Scratch) -
 
 
 def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell: float = 4.0, name: str = "match_dfo",
-                   bound: int = SHAPE_BOUND, levels: int = CELL_LEVELS) -> DataFrame:
+                   bound: int = SHAPE_BOUND, levels: int = CELL_LEVELS, box_bound: int = BOX_BOUND) -> DataFrame:
     """Flag events whose polygon shares a point with an archive polygon (touching counts) with overlapping padded dates.
 
+    Polygons that are their box meet where the boxes do, so no edge is needed among them (:func:`_boxes_met`). All other
+    events (of another shape, or left where the archive has other shapes or too many boxes in one place) go to the
+    tree of cells (:func:`_polygons_met`), if there are any.
+    """
+    plain = S.is_box()
+    boxes = archive.filter(plain)
+    settled, crowded = _boxes_met(events.filter(plain), boxes, days, cell, box_bound)
+    settled = cut_lineage(settled)
+    shaped = lambda df: df.agg(F.coalesce(F.bool_or(~plain), F.lit(False))).first()[0]
+    left = None
+    if crowded or shaped(archive):
+        left = events.join(settled, "event_id", "left_anti")
+    elif shaped(events):
+        left = events.filter(~plain)
+    hits = settled if left is None else settled.unionByName(_polygons_met(left, archive, days, cell, bound, levels))
+    return _flag(events, "event_id", hits, name)
+
+
+def _boxes_met(events: DataFrame, archive: DataFrame, days: int, cell: float, bound: int) -> tuple[DataFrame, bool]:
+    """event_id of the events whose box meets one of the archive with overlapping padded dates, and whether boxes were left
+    out: those of cells and buckets with more than ``bound`` of them.
+
+    Both sides stand in the cells and buckets they touch; a semi join stops at the first box that meets an event.
+    """
+    low, high = _padded(days)
+    where = ["cx", "cy", "bucket"]
+
+    def placed(df, first, last, *columns):
+        span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell)))
+        rows = df.select(*columns, *S.BOX, first.alias("low"), last.alias("high")).filter("low <= high")
+        rows = rows.withColumn("bucket", F.explode(F.sequence(S.day_bucket("low", SPAN_DAYS), S.day_bucket("high", SPAN_DAYS))))
+        return rows.withColumn("cx", span("bbox_w", "bbox_e")).withColumn("cy", span("bbox_s", "bbox_n"))
+
+    held = placed(archive, low, high)
+    asked = placed(events, F.col("date_start"), F.col("date_end"), "event_id")
+    crowd = cut_lineage(held.groupBy(*where).count().filter(F.col("count") > bound).select(*where))
+    crowded = not crowd.isEmpty()
+    if crowded:
+        held = held.join(crowd, where, "left_anti")
+    p, q = asked.alias("p"), held.alias("q")
+    meet = functools.reduce(Column.__and__, [F.col(f"p.{c}") == F.col(f"q.{c}") for c in where] + [
+        F.col("p.bbox_w") <= F.col("q.bbox_e"), F.col("p.bbox_e") >= F.col("q.bbox_w"), F.col("p.bbox_s") <= F.col("q.bbox_n"),
+        F.col("p.bbox_n") >= F.col("q.bbox_s"), F.col("p.low") <= F.col("q.high"), F.col("p.high") >= F.col("q.low")])
+    return p.join(q, meet, "left_semi").select("event_id").distinct(), crowded
+
+
+def _polygons_met(events: DataFrame, archive: DataFrame, days: int, cell: float, bound: int, levels: int) -> DataFrame:
+    """event_id of the events whose polygon shares a point with one of the archive with overlapping padded dates.
+
     Archive records with equal rings are one shape, whose days are bits. Both sides are cut to cells; cells that
     the edges of more than ``bound`` shapes meet are split. Where either polygon holds a whole cell, all shapes of
     the cell count together; edges are compared only in cells with few of them.
@@ -179,7 +230,7 @@ def match_polygons(events: DataFrame, archive: DataFrame, days: int = 15, cell:
         boxes_meet = F.expr("p_bbox_w <= q_bbox_e AND p_bbox_e >= q_bbox_w AND p_bbox_s <= q_bbox_n AND p_bbox_n >= q_bbox_s")
         meets = (F.col("kind") != "one") | (boxes_meet & ((F.col("inside") & F.col("q_inside")) | S.edges_meet("edges", "q_edges") | _reaches_into(
             "edges", "q_inside", "q_edges", side) | _reaches_into("q_edges", "inside", "edges", side)))
-        return _flag(events, "event_id", cut_lineage(pairs.filter(meets).select("event_id").distinct()), name)
+        return cut_lineage(pairs.filter(meets).select("event_id").distinct())
 
 
 EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"

@@ -9,6 +9,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.geo import rect_ring
 from ..session import join_in_place
 
 BOX = ("bbox_w", "bbox_s", "bbox_e", "bbox_n")
@@ -55,6 +56,24 @@ def _length(dx: Column, dy: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
+def is_box() -> Column:
+    """Whether a polygon (bbox_*, rings) is its box: one ring through its corners, either way round from any of them."""
+    def holds(v):
+        ring, (w, s, e, n) = v["ring"], (v[c] for c in BOX)
+        a, b, c, d = ([F.get(ring, F.lit(i))[k] for k in ("x", "y")] for i in range(4))
+        same = lambda p, x, y: (p[0] == x) & (p[1] == y)
+        across = (F.least(a[0], c[0]) == w) & (F.greatest(a[0], c[0]) == e) & (F.least(a[1], c[1]) == s) & (F.greatest(a[1], c[1]) == n)
+        around = (same(b, a[0], c[1]) & same(d, c[0], a[1])) | (same(b, c[0], a[1]) & same(d, a[0], c[1]))
+        finite = F.abs(w) + F.abs(s) + F.abs(e) + F.abs(n) < float("inf")
+        return (v["rings"] == 1) & (F.size(ring) == 5) & (F.get(ring, F.lit(4)) == F.get(ring, F.lit(0))) & (w < e) & (s < n) & finite & across & around
+
+    w, s, e, n = map(F.col, BOX)
+    usual = (w < e) & (s < n) & (F.abs(w) + F.abs(s) + F.abs(e) + F.abs(n) < float("inf")) & (F.col("rings") == F.array(rect_ring(*BOX)))
+    # in an array of one, so that the ring is built once for all that is asked of it
+    known = F.struct(F.size("rings").alias("rings"), F.get(F.col("rings"), F.lit(0)).alias("ring"), *BOX)
+    return F.coalesce(usual, F.lit(False)) | F.coalesce(F.get(F.transform(F.array(known), holds), F.lit(0)), F.lit(False))
+
+
 def box_distance(x: Column, y: Column) -> Column:
     """Distance of (x, y) to the box bbox_*, 0 inside: what lies in the box is not nearer."""
     w, s, e, n = map(F.col, BOX)

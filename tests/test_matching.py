@@ -241,3 +241,40 @@ def test_crowded_regions_are_dealt_to_tasks(spark, rows):
             want[a[0]] = (len(met), min(met), max(met), min(((a[6] - d).days, d, name) for d, name in met))
     assert {r.id: (r.n, tuple(r.first)[1:], tuple(r.last)[1:], tuple(r.near)) for r in got} == want and len(want) > 40
     assert spatial.picked(p, q.limit(0), "id", ("acq", "name"), {"first": (None, False)}).count() == 0
+
+
+@pytest.mark.parametrize("box_bound", [8192, 6])
+def test_boxes_and_other_polygons_share_a_point(spark, box_bound):
+    """Polygons that are their box, round either way, among concave ones and boxes with a hole; a hot place."""
+    rng = random.Random(box_bound)
+
+    def square(x, y, h):
+        ring = [(x - h, y - h), (x + h, y - h), (x + h, y + h), (x - h, y + h)]
+        start, way = rng.randrange(4), rng.choice([1, -1])
+        ring = [ring[(start + way * k) % 4] for k in range(4)]
+        return [*ring, ring[0]]
+    shape = lambda: square(rng.gauss(10, 5), rng.gauss(-3, 5), rng.choice([0.1, 0.5, 2])) if rng.random() < 0.8 else blob(
+        rng, rng.gauss(10, 5), rng.gauss(-3, 5), rng.choice([0.5, 3]), rng.randrange(3, 9))
+    hot = lambda: square(10 + rng.gauss(0, 0.5), -3 + rng.gauss(0, 0.5), 0.02)
+    events = [row(i, hot() if i % 3 == 0 else shape(), rng.randrange(200), rng.randrange(20)) for i in range(120)]
+    boxes = [row(900 + i, hot() if i % 3 == 0 else square(rng.gauss(10, 5), rng.gauss(-3, 5), 0.5), rng.randrange(200), rng.randrange(20)) for i in range(90)]
+    others = [row(2000 + i, shape(), rng.randrange(200), 5) for i in range(30)]
+    for archive in (boxes, boxes + others):
+        want = {e[0]: any(overlap(a, e, 3) and meet(e[5][0], a[5][0]) for a in archive) for e in events}
+        got = matching.match_polygons(spark.createDataFrame(events, SHAPES), spark.createDataFrame(archive, SHAPES), days=3, box_bound=box_bound)
+        assert {r.event_id: r.match_dfo for r in got.collect()} == want and 10 < sum(want.values()) < 110
+    ring, hole = square(0.0, 0.0, 3.0), square(0.0, 0.0, 2.0)
+    flags = spark.createDataFrame([("a", -3.0, -3.0, 3.0, 3.0, [ring]), ("b", -3.0, -3.0, 3.0, 3.0, [ring, hole]), ("c", -3.0, -3.0, 3.0, 4.0, [ring]),
+                                   ("d", -3.0, -3.0, 3.0, 3.0, [[ring[0], ring[2], ring[1], ring[3], ring[0]]]), ("e", None, None, None, None, None)],
+                                  "id string, bbox_w double, bbox_s double, bbox_e double, bbox_n double, rings array<array<struct<x:double,y:double>>>")
+    assert {r.id for r in flags.filter(spatial.is_box()).collect()} == {"a"}
+
+
+def test_boxes_need_no_edges(spark, monkeypatch):
+    """Where all polygons are their boxes, none is cut to cells or looked at by its edges."""
+    square = lambda x, y, h: [(x, y), (x + h, y), (x + h, y + h), (x, y + h), (x, y)]
+    events = spark.createDataFrame([row(i, square(float(i), 0.0, 1.0), 0, 5) for i in range(9)], SHAPES)
+    archive = spark.createDataFrame([row(i, square(2.0 * i, 1.0, 0.5), 0, 5) for i in range(2)], SHAPES)
+    monkeypatch.setattr(matching, "_cut_to_cells", None)
+    got = matching.match_polygons(events, archive).collect()
+    assert {r.event_id for r in got if r.match_dfo} == {"e0", "e1", "e2"} and len(got) == 9
