@@ -278,3 +278,18 @@ def test_boxes_need_no_edges(spark, monkeypatch):
     monkeypatch.setattr(matching, "_cut_to_cells", None)
     got = matching.match_polygons(events, archive).collect()
     assert {r.event_id for r in got if r.match_dfo} == {"e0", "e1", "e2"} and len(got) == 9
+
+
+def test_corroboration_of_boxes_needs_no_edges(spark, monkeypatch):
+    """All three flags and their number, with polygons that are their boxes and are not cut to cells."""
+    square = lambda x, y, h: [(x, y), (x + h, y), (x + h, y + h), (x, y + h), (x, y)]
+    news = spark.createDataFrame([row(i, square(6.0 * i, 0.0, 1.0), 0, 5) for i in range(4)], SHAPES)
+    archive = spark.createDataFrame([row(9, square(0.5, 0.5, 3.0), 18, 2), row(8, square(6.5, 0.5, 1.0), 40, 2)], SHAPES)
+    places = spark.createDataFrame([(0.2, 0.2, DAY), (18.5, 2.0, DAY)], "lon double, lat double, date date")
+    land = [{"x": x, "y": y} for x, y in square(-1.0, -1.0, 9.0)]
+    countries = spark.createDataFrame([(1, "AAA", [land])], "country_id long, iso_a3 string, rings array<array<struct<x:double,y:double>>>")
+    relief = spark.createDataFrame([("BBB;AAA", DAY)], "iso3 string, date date")
+    monkeypatch.setattr(matching, "_cut_to_cells", None)
+    got = matching.corroborate(news, places, archive, relief, countries).collect()
+    assert {r.event_id: (r.match_ems, r.match_dfo, r.match_ifrc, r.n_indep) for r in got} == {
+        "e0": (True, True, True, 3), "e1": (False, False, True, 1), "e2": (False, False, False, 0), "e3": (True, False, False, 1)}
